@@ -86,6 +86,22 @@ def learned_scores(U: np.ndarray, I: np.ndarray, head: dict, chunk: int = 32) ->
     return out
 
 
+def score_learned_pairs(pairs: DataFrame, head: dict, key: str = "k", u: str = "uv", i: str = "iv") -> DataFrame:
+    """Learned-head score of rows that hold both vectors: (key, score), Arrow batches through numpy."""
+    key_type = pairs.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            if len(b) == 0:
+                continue
+            U = np.stack([np.asarray(x, dtype=np.float64) for x in b[u]])
+            I_ = np.stack([np.asarray(x, dtype=np.float64) for x in b[i]])
+            h = np.maximum(np.concatenate([U, I_], axis=1) @ head["w1"].T + head["b1"], 0.0)
+            yield pd.DataFrame({key: b[key], "score": h @ head["w2"][0] + head["b2"][0]})
+
+    return pairs.select(key, u, i).mapInPandas(run, f"{key} {key_type}, score double")
+
+
 # ---------------------------------------------------------------- numpy block kernel
 
 def _method_scores(U, I, methods, head):
