@@ -1 +1,142 @@
-"""Queries."""
+"""Loss, evaluation and model-side queries over the vector fixtures."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marquee.functions import vectors as V
+from marquee.operators import losses as ls
+from marquee.plans import data
+from marquee.plans.catalog import R, query
+from marquee.plans.oracle_views import with_views as W
+from marquee.sources import fixtures as fx
+
+_COS = ("list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})), 1e-8) * "
+        "greatest(sqrt(list_dot_product({b}, {b})), 1e-8))")
+
+
+def _masked_sql(s, t, mask):
+    return (f"list_sum(list_transform(range(1, len({s}) + 1), lambda j: case when j <= {mask} then 0.0e0 "
+            f"else ({s}[j] - {t}[j]) * ({s}[j] - {t}[j]) end))")
+
+
+_MSE_ROWS = ("mse", "select k, batch_id, weight * power((" + _COS.format(a="uv", b="iv") +
+             " + 1.0e0) / 2.0e0 - rating / 5.0e0, 2) as loss from fx_pairs")
+
+
+@query("weighted_mse", W("fx_pairs", extra=[_MSE_ROWS]) +
+       "select batch_id, round(avg(loss), 6) as loss from mse group by batch_id")
+def q_weighted_mse(spark, d):
+    return ls.weighted_mse(fx.fx_pairs(spark, d)).select("batch_id", R("loss").alias("loss"))
+
+
+_INFONCE = [
+    ("sim", "select a.batch_id, a.k as i, b.k as j, (" + _COS.format(a="a.uv", b="b.iv") +
+            ") / 0.07e0 * (case when a.k = b.k then a.weight else 1.0e0 end) as x "
+            "from fx_pairs a join fx_pairs b on a.batch_id = b.batch_id"),
+    ("rl", "select batch_id, i, max(m) + ln(sum(exp(x - m))) as lse from "
+           "(select *, max(x) over (partition by batch_id, i) as m from sim) group by batch_id, i"),
+    ("cl", "select batch_id, j, max(m) + ln(sum(exp(x - m))) as lse from "
+           "(select *, max(x) over (partition by batch_id, j) as m from sim) group by batch_id, j"),
+    ("dg", "select batch_id, i, x from sim where i = j"),
+    ("lu", "select rl.batch_id, avg(rl.lse - dg.x) as l from rl join dg on rl.batch_id = dg.batch_id and rl.i = dg.i "
+           "group by rl.batch_id"),
+    ("li", "select cl.batch_id, avg(cl.lse - dg.x) as l from cl join dg on cl.batch_id = dg.batch_id and cl.j = dg.i "
+           "group by cl.batch_id"),
+]
+
+
+@query("infonce_loss", W("fx_pairs", extra=_INFONCE) + """
+select lu.batch_id, round((lu.l + li.l) / 2.0e0, 6) as loss from lu join li on lu.batch_id = li.batch_id""")
+def q_infonce_loss(spark, d):
+    return ls.infonce_loss(fx.fx_pairs(spark, d)).select("batch_id", R("loss").alias("loss"))
+
+
+@query("embedding_kl", W("fx_pairs") + f"""
+select batch_id, round(0.5e0 * sum({_masked_sql('uv', 'iv', 8)}) / (count(*) * max(len(uv))), 6) as kl
+from fx_pairs group by batch_id""")
+def q_embedding_kl(spark, d):
+    return ls.embedding_kl(fx.fx_pairs(spark, d), "uv", "iv", mask_dims=8).select("batch_id", R("kl").alias("kl"))
+
+
+@query("cross_kl", W("fx_pairs", extra=[
+    ("ct", "select batch_id, list_concat(uv, iv) as s, list_concat(iv, uv[1:32]) as t from fx_pairs"),
+    ("cc", "select batch_id, s[1:least(len(s), len(t))] as s, t[1:least(len(s), len(t))] as t from ct")]) + f"""
+select batch_id, round(0.5e0 * sum({_masked_sql('s', 't', 0)}) / (count(*) * max(len(s))), 6) as kl
+from cc group by batch_id""")
+def q_cross_kl(spark, d):
+    p = fx.fx_pairs(spark, d).withColumn("tu", F.col("iv")).withColumn("ti", F.slice("uv", 1, 32))
+    return ls.cross_kl(p, "uv", "iv", "tu", "ti").select("batch_id", R("kl").alias("kl"))
+
+
+@query("model_pairs", W("fx_metrics", extra=[("mm", "select distinct metric from fx_metrics")]) + """
+select t.metric as teacher, s.metric as student from mm t join mm s on t.metric <> s.metric""")
+def q_model_pairs(spark, d):
+    return ls.model_pairs(fx.fx_metrics(spark, d), col="metric")
+
+
+@query("batch_mean_loss", W("fx_pairs", extra=[_MSE_ROWS]) + """
+select round(avg(m), 6) as loss from (select k // 20 as b, avg(loss) as m from mse group by k // 20)""")
+def q_batch_mean_loss(spark, d):
+    rows = ls.weighted_mse_rows(fx.fx_pairs(spark, d))
+    return ls.batch_mean_loss(rows, "k", 20).select(R("loss").alias("loss"))
+
+
+@query("embedding_norm_stats", W("uvec", "ivec") + """
+select (select round(avg(sqrt(list_dot_product(u, u))), 6) from uvec) as mean_user_norm,
+       (select round(avg(sqrt(list_dot_product(i, i))), 6) from ivec) as mean_item_norm""")
+def q_embedding_norm_stats(spark, d):
+    s = ls.embedding_norm_stats(fx.user_vectors(spark, d), fx.item_vectors(spark, d))
+    return s.select(R("mean_user_norm").alias("mean_user_norm"), R("mean_item_norm").alias("mean_item_norm"))
+
+
+@query("best_epoch", W("fx_metrics") + """
+select run_id, step as best_epoch, value as best_value from (
+  select *, row_number() over (partition by run_id order by value, step) as rn_ from fx_metrics where metric = 'view')
+where rn_ = 1""")
+def q_best_epoch(spark, d):
+    m = fx.fx_metrics(spark, d).filter(F.col("metric") == "view")
+    return ls.best_epoch(m)
+
+
+@query("ema_blend", W("fx_pairs") + """
+select k, pos, round(0.5e0 * c + 0.5e0 * p, 6) as value from (
+  select k, unnest(range(len(iv))) as pos, unnest(iv) as c, unnest(uv) as p from fx_pairs)""")
+def q_ema_blend(spark, d):
+    p = fx.fx_pairs(spark, d)
+    b = ls.ema_blend(p.select("k", F.col("uv").alias("v")), p.select("k", F.col("iv").alias("v")), "k", "v", 0.5)
+    return b.select("k", F.posexplode("v").alias("pos", "value")).select(
+        "k", F.col("pos").cast("bigint").alias("pos"), R("value").alias("value"))
+
+
+@query("lookup_user_vectors", W("rk", "uvec") + """
+select u.user_id, len(u.u) as dim, round(sqrt(list_dot_product(u.u, u.u)), 6) as norm
+from (select distinct user_id from rk) r join uvec u on r.user_id = u.user_id""")
+def q_lookup_user_vectors(spark, d):
+    req = data.ratings(spark, d).select("user_id").distinct()
+    v = req.join(fx.user_vectors(spark, d), "user_id")
+    return v.select("user_id", F.size("u").alias("dim"), R(V.norm("u")).alias("norm"))
+
+
+@query("best_trial", W("fx_metrics", extra=[
+    ("last", "select run_id, arg_max(value, step) as v from fx_metrics where metric = 'view' group by run_id"),
+    ("trials", "select r.run_id, coalesce(l.v, 9999.0e0) as v from (select distinct run_id from fx_metrics) r "
+               "left join last l on r.run_id = l.run_id")]) + """
+select run_id, v as value from trials order by v, run_id limit 1""")
+def q_best_trial(spark, d):
+    from marquee.operators.factors import best_trial
+    m = fx.fx_metrics(spark, d)
+    last = m.filter(F.col("metric") == "view").groupBy("run_id").agg(F.max_by("value", "step").alias("v"))
+    trials = m.select("run_id").distinct().join(last, "run_id", "left").select(
+        "run_id", F.coalesce("v", F.lit(9999.0)).alias("value"))
+    return best_trial(trials, "run_id", "value")
+
+
+@query("pending_combos", W("fx_metrics") + """
+select distinct arch, metric from fx_metrics
+except select distinct arch, metric from fx_metrics where metric in ('view', 'click')""")
+def q_pending_combos(spark, d):
+    from marquee.operators.factors import pending_combos
+    m = fx.fx_metrics(spark, d)
+    combos = m.select("arch", "metric").distinct()
+    cached = m.filter(F.col("metric").isin("view", "click")).select("arch", "metric").distinct()
+    return pending_combos(combos, cached, ["arch", "metric"])
