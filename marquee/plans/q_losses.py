@@ -140,3 +140,61 @@ def q_pending_combos(spark, d):
     combos = m.select("arch", "metric").distinct()
     cached = m.filter(F.col("metric").isin("view", "click")).select("arch", "metric").distinct()
     return pending_combos(combos, cached, ["arch", "metric"])
+
+
+# ---------------------------------------------------------------- encoders and factor models (rows-only)
+
+def _towers(spark, d):
+    from marquee.operators import encode as en
+    from marquee.operators import features as fe
+    rk, mv = data.ratings(spark, d), data.movies(spark, d)
+    w = en.tower_weights(embed_dim=64)
+    return rk, mv, w, en, fe
+
+
+@query("encode_items")
+def q_encode_items(spark, d):
+    """Item tower over item features; id embeddings = the item vector table joined on movie_id."""
+    rk, mv, w, en, fe = _towers(spark, d)
+    itf = fe.item_features(mv, data.tags(spark, d))
+    emb = fx.item_vectors(spark, d).select("movie_id", F.col("i").alias("emb"))
+    v = en.encode_items(itf, emb, w)
+    return v.select("movie_id", F.size("vec").alias("dim"), R(V.norm("vec")).alias("norm"))
+
+
+@query("encode_users")
+def q_encode_users(spark, d):
+    """User tower over user features; id embeddings = the user vector table joined on user_id."""
+    rk, mv, w, en, fe = _towers(spark, d)
+    uf = fe.user_features(rk, mv)
+    emb = fx.user_vectors(spark, d).select("user_id", F.col("u").alias("emb"))
+    v = en.encode_users(uf, emb, w)
+    return v.select("user_id", F.size("vec").alias("dim"), R(V.norm("vec")).alias("norm"))
+
+
+def _train_val(spark, d):
+    from marquee.operators import samples as sm
+    from marquee.operators import split as sp
+    rk = data.ratings(spark, d)
+    w = sm.sample_decay_weights(sp.load_splits(rk, sp.temporal_split(rk)))
+    return w.filter(F.col("split") == "train"), w.filter(F.col("split") == "val")
+
+
+@query("fit_factors")
+def q_fit_factors(spark, d):
+    """ALS stand-in for the trainers: user and item vectors from the weighted train split."""
+    from marquee.operators.factors import fit_factors
+    train, _ = _train_val(spark, d)
+    _, users, items = fit_factors(train, rank=8, max_iter=5)
+    return (users.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), F.size("u").alias("dim"))
+            .unionByName(items.select(F.lit("item").alias("side"), F.col("movie_id").alias("id"),
+                                      F.size("i").alias("dim"))))
+
+
+@query("sweep_factors")
+def q_sweep_factors(spark, d):
+    """Two-setting sweep scored on the temporal validation split, then the best trial."""
+    from marquee.operators.factors import sweep_factors
+    train, val = _train_val(spark, d)
+    trials = sweep_factors(train, val, [{"rank": 4, "max_iter": 3}, {"rank": 8, "max_iter": 3}])
+    return trials.select("trial", "params", R("val_loss").alias("val_loss"))
