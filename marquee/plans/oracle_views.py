@@ -38,6 +38,12 @@ select u.vec_id // 2 as k, (u.vec_id // 2) // 16 as batch_id, u.v as uv, i.v as
 from fx_vec u join fx_vec i on i.vec_id = u.vec_id + 1 where u.vec_id % 2 = 0"""),
     ("fx_metrics", (), """
 select user_id as run_id, event_type as metric, event_id as step, value, user_id % 2 as arch from events"""),
+    ("fx_runs", (), """
+select user_id as run_id, min(ts) as start_time, arg_min(event_type, (ts, event_id)) as experiment,
+       case when user_id % 2 = 0 then 'TwoTower' else 'InfoNCEEncoder' end as architecture,
+       case when count(*) % 3 = 0 then 'self' when count(*) % 3 = 1 then 'cross' else 'none' end as distillation_type,
+       case when count(*) % 2 = 0 then 'sweep_trial' else '' end as sweep
+from events group by user_id"""),
     # raw.ratings after ingest: one row per (user, movie), the last arrival wins
     ("rk", ("fx_ratings",), """
 select id, user_id, movie_id, rating, timestamp, inserted_at from (

@@ -1 +1,139 @@
-"""Queries."""
+"""Incremental queries: rows since a watermark, the first table that fires, the daily gate,
+trigger-log updates, and the file-landing ingest stream."""
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from marquee.operators import merge
+from marquee.operators import watermark as wmk
+from marquee.plans.catalog import query
+from marquee.plans.oracle_views import with_views as W
+from marquee.plans.q_ingest import (BATCH_TS, FIRST_LOAD_BEFORE, KEYS, SECOND_FILE_FROM, _MERGE, _first_load,
+                                    _second_file)
+from marquee.session import scratch_path
+from marquee.sources import fixtures as fx
+
+# FIXED VALUES of the watermark scenario
+MOVIES_STAMP = datetime(2024, 1, 20)
+TAGS_STAMP = datetime(2024, 1, 25)
+TAGS_WATERMARK = datetime(2024, 1, 21)
+
+
+def _tables(spark, d):
+    return {"ratings": _first_load(spark, d),
+            "movies": merge.stamp_inserted_at(fx.fx_movies(spark, d), MOVIES_STAMP),
+            "tags": merge.stamp_inserted_at(fx.fx_tags(spark, d), TAGS_STAMP),
+            "links": merge.stamp_inserted_at(fx.fx_links(spark, d), TAGS_STAMP)}
+
+
+def _watermarks(spark, d):
+    t = _tables(spark, d)
+    wm = merge.max_inserted_watermark({"ratings": t["ratings"], "movies": t["movies"]})
+    tags = spark.range(1).select(F.lit("tags").alias("table_name"),
+                                 F.lit(TAGS_WATERMARK).cast("timestamp_ntz").alias("last_inserted_at"))
+    return wm.unionByName(tags)
+
+
+_WM = _MERGE + [
+    ("counts", f"""
+select 0 as ord, 'ratings' as table_name, count(*) as new_rows from tgt where inserted_at > (select max(inserted_at) from tgt)
+union all select 1, 'movies', count(*) from fx_movies where TIMESTAMP '{MOVIES_STAMP:%Y-%m-%d %H:%M:%S}' > TIMESTAMP '{MOVIES_STAMP:%Y-%m-%d %H:%M:%S}'
+union all select 2, 'tags', count(*) from fx_tags where TIMESTAMP '{TAGS_STAMP:%Y-%m-%d %H:%M:%S}' > TIMESTAMP '{TAGS_WATERMARK:%Y-%m-%d %H:%M:%S}'
+union all select 3, 'links', count(*) from fx_links"""),
+    ("firstt", "select table_name from counts where new_rows > 0 order by ord limit 1"),
+]
+
+
+@query("new_rows_since", W("fx_ratings", extra=_MERGE) + """
+select id, user_id, movie_id from upserted where inserted_at > (select max(inserted_at) from tgt)""")
+def q_new_rows_since(spark, d):
+    up = merge.merge_upsert(_first_load(spark, d), _second_file(spark, d), KEYS, "id")
+    wm = merge.max_inserted_watermark({"ratings": _first_load(spark, d)})
+    return wmk.new_rows_since(up, "ratings", wm).select("id", "user_id", "movie_id")
+
+
+@query("new_rows_no_watermark", W("fx_links") + "select movie_id from fx_links")
+def q_new_rows_no_watermark(spark, d):
+    """A table without a watermark row: every row counts as new."""
+    t = _tables(spark, d)
+    return wmk.new_rows_since(t["links"], "links", _watermarks(spark, d)).select("movie_id")
+
+
+@query("new_row_counts", W("fx_ratings", "fx_movies", "fx_tags", "fx_links", extra=_WM) +
+       "select ord, table_name, new_rows from counts")
+def q_new_row_counts(spark, d):
+    return wmk.new_row_counts(_tables(spark, d), _watermarks(spark, d))
+
+
+@query("first_changed_table", W("fx_ratings", "fx_movies", "fx_tags", "fx_links", extra=_WM) + """
+select (select count(*) from firstt) > 0 as has_new_data, (select table_name from firstt) as table_name""")
+def q_first_changed_table(spark, d):
+    return wmk.first_changed_table(_tables(spark, d), _watermarks(spark, d))
+
+
+@query("daily_gate", W("fx_ratings", "fx_movies", "fx_tags", "fx_links", extra=_WM) + """
+select 'ingest' as stage, (select count(*) from firstt) > 0 as run
+union all select unnest(['validate', 'featurize', 'split', 'train', 'evaluate', 'precompute']), true""")
+def q_daily_gate(spark, d):
+    return wmk.daily_gate(_tables(spark, d), _watermarks(spark, d))
+
+
+_STATUS = ("case event_type when 'purchase' then 'success' when 'error' then 'failed' else 'running' end")
+
+
+@query("trigger_log_update", W("fx_runs", extra=[
+    ("log", "select 'trg-' || cast(run_id as varchar) as trigger_id, experiment as trigger_type, 'queued' as status, "
+            "start_time as created_at, cast(null as timestamp) as completed_at from fx_runs"),
+    ("upd", f"select case when event_type = 'signup' then 'new-' else 'trg-' end || cast(user_id as varchar) "
+            f"as trigger_id, {_STATUS} as status, ts as at_ts from events"),
+    ("lastu", "select trigger_id, status, at_ts from (select *, row_number() over (partition by trigger_id "
+              "order by at_ts desc, status desc) as rn_ from upd) where rn_ = 1")]) + """
+select l.trigger_id, l.trigger_type, coalesce(u.status, l.status) as status, l.created_at,
+       case when u.status in ('success', 'failed') then u.at_ts else l.completed_at end as completed_at
+from log l left join lastu u on l.trigger_id = u.trigger_id""")
+def q_trigger_log_update(spark, d):
+    runs = fx.fx_runs(spark, d)
+    log = runs.select(F.concat(F.lit("trg-"), F.col("run_id").cast("string")).alias("trigger_id"),
+                      F.col("experiment").alias("trigger_type"), F.lit("queued").alias("status"),
+                      F.col("start_time").alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("completed_at"))
+    ev = fx.table(spark, d, "events")
+    status = (F.when(F.col("event_type") == "purchase", F.lit("success"))
+              .when(F.col("event_type") == "error", F.lit("failed")).otherwise(F.lit("running")))
+    upd = ev.select(F.concat(F.when(F.col("event_type") == "signup", F.lit("new-")).otherwise(F.lit("trg-")),
+                             F.col("user_id").cast("string")).alias("trigger_id"),
+                    status.alias("status"), F.col("ts").alias("at"))
+    return wmk.trigger_log_update(log, upd).select("trigger_id", "trigger_type", "status", "created_at", "completed_at")
+
+
+# FIXED VALUE: insert stamp of the first streamed delivery; later deliveries add one hour each
+STREAM_BASE = datetime(2024, 3, 1)
+
+
+@query("stream_ingest", W("fx_ratings", extra=[
+    ("f1", f"select id, user_id, movie_id, rating, timestamp, TIMESTAMP '{STREAM_BASE:%Y-%m-%d %H:%M:%S}' as inserted_at "
+           f"from fx_ratings where inserted_at < TIMESTAMP '{FIRST_LOAD_BEFORE}'"),
+    ("f2", f"select id, user_id, movie_id, rating, timestamp, TIMESTAMP '{STREAM_BASE:%Y-%m-%d} 01:00:00' as inserted_at "
+           f"from fx_ratings where inserted_at >= TIMESTAMP '{SECOND_FILE_FROM}'"),
+    ("t1", "select * from (select *, row_number() over (partition by user_id, movie_id order by id desc) as rn_ "
+           "from f1) where rn_ = 1"),
+    ("t2", "select * from (select *, row_number() over (partition by user_id, movie_id order by id desc) as rn_ "
+           "from f2) where rn_ = 1")]) + """
+select id, user_id, movie_id, rating, timestamp, inserted_at from t1
+where not exists (select 1 from t2 where t2.user_id = t1.user_id and t2.movie_id = t1.movie_id)
+union all select id, user_id, movie_id, rating, timestamp, inserted_at from t2""")
+def q_stream_ingest(spark, d):
+    """Two deliveries land one after the other; each availableNow run merges what is new."""
+    from marquee.streaming.ingest import current_table, stream_ingest
+    base = scratch_path(spark, "stream")
+    landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+    cols = ["id", "user_id", "movie_id", "rating", "timestamp"]
+    r = fx.fx_ratings(spark, d)
+    deliveries = [r.filter(F.col("inserted_at") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")),
+                  r.filter(F.col("inserted_at") >= F.lit(SECOND_FILE_FROM).cast("timestamp_ntz"))]
+    for n, part in enumerate(deliveries):
+        part.select(*cols).write.option("header", True).csv(f"{landing}/delivery={n:04d}")
+        q = stream_ingest(spark, f"{landing}/*/", table, ckpt, base_ts=STREAM_BASE)
+        q.awaitTermination()
+    return current_table(spark, table).select(*cols, "inserted_at")

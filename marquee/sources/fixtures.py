@@ -116,3 +116,19 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("vec_id") / 2).cast("int").alias("movie_id"),
         F.get(genre_vocab_col(), F.col("label")).alias("genre"),
         F.col("v").alias("i"))
+
+
+def fx_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per events user: started at its first event; experiment = type of that first event;
+    architecture from the user's parity; distillation and sweep tags from its event count."""
+    ev = table(spark, sf_dir, "events")
+    g = ev.groupBy("user_id").agg(
+        F.min("ts").alias("start_time"),
+        F.min(F.struct("ts", "event_id", "event_type")).alias("first"),
+        F.count(F.lit(1)).alias("n"))
+    return g.select(
+        F.col("user_id").alias("run_id"), "start_time", F.col("first.event_type").alias("experiment"),
+        F.when(F.col("user_id") % 2 == 0, F.lit("TwoTower")).otherwise(F.lit("InfoNCEEncoder")).alias("architecture"),
+        F.when(F.col("n") % 3 == 0, F.lit("self")).when(F.col("n") % 3 == 1, F.lit("cross"))
+        .otherwise(F.lit("none")).alias("distillation_type"),
+        F.when(F.col("n") % 2 == 0, F.lit("sweep_trial")).otherwise(F.lit("")).alias("sweep"))
