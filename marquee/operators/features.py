@@ -137,3 +137,8 @@ def feature_counts(uf: DataFrame, itf: DataFrame) -> DataFrame:
     u = uf.agg(F.count(F.lit(1)).alias("n")).select(F.lit("users").alias("kind"), "n")
     i = itf.agg(F.count(F.lit(1)).alias("n")).select(F.lit("items").alias("kind"), "n")
     return u.unionByName(i)
+
+
+def load_features(spark, path: str, columns: list[str]) -> DataFrame:
+    """Projected scan of a written feature table (column pruning reaches the Parquet reader)."""
+    return spark.read.parquet(path).select(*columns)

@@ -31,12 +31,12 @@ def stamp_inserted_at(df: DataFrame, batch_ts: datetime | None = None, col: str
 
 
 def _pick(df: DataFrame, keys: list[str], order_col: str, last: bool) -> DataFrame:
+    """One row per key chosen by the order column (which must be unique within a key)."""
     others = [c for c in df.columns if c not in keys]
-    ordered = [order_col] + [c for c in others if c != order_col]
-    packed = F.struct(*[F.col(c) for c in ordered])
-    agg = (F.max if last else F.min)(packed).alias("_row")
+    packed = F.struct(*[F.col(c) for c in others])
+    agg = (F.max_by if last else F.min_by)(packed, F.col(order_col)).alias("_row")
     picked = df.groupBy(*keys).agg(agg)
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in ordered]).select(*df.columns)
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
 def dedupe_last(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:

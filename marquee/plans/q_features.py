@@ -149,3 +149,26 @@ union all select 'items' as kind, count(*) as n from fx_movies""")
 def q_feature_counts(spark, d):
     rk, mv = data.ratings(spark, d), data.movies(spark, d)
     return fe.feature_counts(fe.user_features(rk, mv), fe.item_features(mv, data.tags(spark, d)))
+
+
+@query("write_features", W("wrk", "fx_ratings") + """
+select user_id, count(*) as rating_count, round(avg(rating), 6) as avg_rating from rk group by user_id""")
+def q_write_features(spark, d):
+    """Features of a first load, then upserted with a full recompute: changed users replaced, others kept."""
+    from marquee.operators import merge
+    from marquee.plans.q_ingest import _first_load
+    mv = data.movies(spark, d)
+    prev = fe.user_features(_first_load(spark, d), mv).withColumn("version", F.lit(1))
+    cur = fe.user_features(data.ratings(spark, d), mv).withColumn("version", F.lit(2))
+    out = merge.merge_upsert(prev, cur, ["user_id"], "version")
+    return out.select("user_id", "rating_count", R("avg_rating").alias("avg_rating"))
+
+
+@query("load_item_features", W("fx_movies") + """
+select movie_id, cast(nullif(regexp_extract(title, '\\((\\d{4})\\)', 1), '') as int) as release_year from fx_movies""")
+def q_load_item_features(spark, d):
+    """Write item features to Parquet and load them back projected (only the needed columns are read)."""
+    from marquee.session import scratch_path
+    path = scratch_path(spark, "item-features")
+    fe.item_features(data.movies(spark, d), data.tags(spark, d)).write.parquet(path)
+    return fe.load_features(spark, path, ["movie_id", "release_year"])

@@ -157,3 +157,12 @@ def q_pad_sequences(spark, d):
     p = sm.pad_sequences(pairs, "batch_id", "s")
     return p.select("k", F.posexplode(F.arrays_zip("padded", "mask")).alias("pos", "z")).select(
         "k", F.col("pos").cast("bigint").alias("pos"), R("z.padded").alias("value"), F.col("z.mask").alias("mask"))
+
+
+@query("write_split", W("rk", extra=_SPLIT[:2]) + "select rating_id from sp where split = 'test'")
+def q_write_split(spark, d):
+    """Write the split partitioned by label, read one label back (partition pruning)."""
+    from marquee.session import scratch_path
+    path = scratch_path(spark, "split")
+    sp.write_split(_split(spark, d), path)
+    return sp.split_filter(spark.read.parquet(path), "test").select("rating_id")

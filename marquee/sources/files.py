@@ -28,9 +28,10 @@ HEADER_NAMES = {"userId": "user_id", "movieId": "movie_id", "imdbId": "imdb_id",
 
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True,
-         encoding: str = "UTF-8") -> DataFrame:
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
+         encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """Explicit schema, RFC 4180 quoting (a doubled quote inside a quoted field is a quote)."""
+    return (spark.read.schema(schema).option("header", header).option("sep", sep).option("escape", '"')
+            .option("encoding", encoding).option("mode", "PERMISSIVE").option("multiLine", multi_line).csv(path))
 
 
 def require_columns(spark: SparkSession, path: str, needed: list[str], sep: str = ",") -> list[str]:
@@ -56,8 +57,9 @@ def read_movies_csv(spark, path, pandas_na: bool = False) -> DataFrame:
     return df.withColumn("title", _na_to_null("title")) if pandas_na else df
 
 
-def read_tags_csv(spark, path, pandas_na: bool = True) -> DataFrame:
-    df = _csv(spark, path, TAGS)
+def read_tags_csv(spark, path, pandas_na: bool = True, multi_line: bool = True) -> DataFrame:
+    """Tags may hold quoted line breaks, so records may span lines (multiLine: one task per file)."""
+    df = _csv(spark, path, TAGS, multi_line=multi_line)
     if pandas_na:
         df = df.withColumn("tag", _na_to_null("tag"))
     return drop_null_keys(df, ["tag"])
@@ -131,3 +133,9 @@ def ingest_report(offered: dict[str, DataFrame], skipped: dict[str, str] | None
         notes = spark.createDataFrame(extra, "table_name string, note string")
         report = report.unionByName(notes, allowMissingColumns=True)
     return report
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, encoding: str = "UTF-8") -> None:
+    """Write in the same dialect the readers expect."""
+    (df.write.option("header", header).option("sep", sep).option("escape", '"').option("encoding", encoding)
+     .csv(path))
