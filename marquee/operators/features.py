@@ -5,11 +5,12 @@ the only scalars pulled to the driver are the global time bounds (one row).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.text import extract_year, tokens
 from marquee.functions.vocab import GENRE_VOCAB, genre_vocab_col
+from marquee.session import ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------- time decay
@@ -110,17 +111,24 @@ def tag_tokens(tags: DataFrame, mv: DataFrame) -> DataFrame:
 
 
 def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100) -> DataFrame:
-    """Long form (movie_id, term, tfidf): smoothed idf over all movies, L2-normalised over kept terms, > 0 only."""
+    """Long form (movie_id, term, tfidf): smoothed idf over all movies, L2-normalised over kept terms, > 0 only.
+
+    Term counts are aggregated once and checkpointed; the vocabulary (a bounded top-k) is broadcast back onto them,
+    and the per-movie norm is a window over at most max_features rows per movie.
+    """
     n_docs = mv.select("movie_id").distinct().count()
-    tf = tag_tokens(tags, mv).groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    ensure_checkpoint_dir(tags.sparkSession)
+    # the text is tokenised once; the (movie, term, count) table is far smaller than the text and is
+    # read twice (vocabulary, then weights), so it is checkpointed to the shared folder
+    tf = (tag_tokens(tags, mv).groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+          .checkpoint(eager=True))
     # Vocabulary: the max_features terms with the greatest corpus count; a bounded top-k, then broadcast.
     vocab = (tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.desc("cf"), F.asc("term")).limit(max_features))
     idf = vocab.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
     raw = tf.join(F.broadcast(idf), "term").select("movie_id", "term", (F.col("tf") * F.col("idf")).alias("x"))
-    norms = raw.groupBy("movie_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("n"))
-    return (raw.join(norms, "movie_id").select("movie_id", "term", (F.col("x") / F.col("n")).alias("tfidf"))
-            .filter(F.col("tfidf") > 0))
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("movie_id")))
+    return raw.select("movie_id", "term", (F.col("x") / norm).alias("tfidf")).filter(F.col("tfidf") > 0)
 
 
 def item_features(mv: DataFrame, tags: DataFrame, max_features: int = 100) -> DataFrame:

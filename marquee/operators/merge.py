@@ -31,12 +31,15 @@ def stamp_inserted_at(df: DataFrame, batch_ts: datetime | None = None, col: str
 
 
 def _pick(df: DataFrame, keys: list[str], order_col: str, last: bool) -> DataFrame:
-    """One row per key chosen by the order column (which must be unique within a key)."""
-    others = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in others])
-    agg = (F.max_by if last else F.min_by)(packed, F.col(order_col)).alias("_row")
-    picked = df.groupBy(*keys).agg(agg)
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    """One row per key chosen by the order column (which must be unique within a key).
+
+    One max_by/min_by per column: with fixed-width columns the aggregate stays a hash aggregate with
+    a map-side partial step (a hot key is reduced before the shuffle)."""
+    others = [c for c in df.columns if c not in keys and c != order_col]
+    by = F.max_by if last else F.min_by
+    aggs = [by(F.col(c), F.col(order_col)).alias(c) for c in others]
+    aggs.append((F.max if last else F.min)(F.col(order_col)).alias(order_col))
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
 def dedupe_last(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
