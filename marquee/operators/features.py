@@ -54,12 +54,6 @@ def decayed_history(rk: DataFrame, lam: float = 0.1, bounds=None) -> DataFrame:
     return w.select("user_id", "movie_id", (F.col("weight") * F.col("rating")).alias("value"))
 
 
-def decayed_history_map(rk: DataFrame, lam: float = 0.1, bounds=None) -> DataFrame:
-    h = decayed_history(rk, lam, bounds)
-    return h.groupBy("user_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("movie_id", "value"))).alias("decayed_history"))
-
-
 def genre_affinity(rk: DataFrame, mv: DataFrame, lam: float = 0.1, bounds=None) -> DataFrame:
     """(user_id, genre, affinity): decayed weight on the genre / decayed weight of all the user's ratings."""
     w = time_decay_weight(rk, lam, bounds=bounds).select("user_id", "movie_id", "weight")
@@ -71,8 +65,11 @@ def genre_affinity(rk: DataFrame, mv: DataFrame, lam: float = 0.1, bounds=None)
 
 
 def genre_affinity_vector(affinity: DataFrame) -> DataFrame:
-    """(user_id, genre_affinity array[20]) in vocabulary order, 0.0 where absent."""
-    m = affinity.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("genre", "affinity"))).alias("m"))
+    """(user_id, genre_affinity array[20]) in vocabulary order, 0.0 where absent.
+
+    Only vocabulary genres are gathered, so each user's list holds at most 20 entries."""
+    inv = affinity.filter(F.col("genre").isin(GENRE_VOCAB))
+    m = inv.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("genre", "affinity"))).alias("m"))
     return m.select("user_id", F.transform(genre_vocab_col(),
                                            lambda g: F.coalesce(F.try_element_at(F.col("m"), g), F.lit(0.0)))
                     .alias("genre_affinity"))
@@ -83,16 +80,21 @@ def rating_stats(rk: DataFrame) -> DataFrame:
 
 
 def user_features(rk: DataFrame, mv: DataFrame, lam: float = 0.1) -> DataFrame:
-    """One row per rating user: decayed_history map, 20-slot genre_affinity, rating_count, avg_rating."""
+    """One row per rating user: 20-slot genre_affinity, rating_count, avg_rating, and a summary of the
+    decayed history (history_items, history_sum).
+
+    The history itself (movie -> weight * rating) stays a long table, ``decayed_history``: a per-user
+    map would put a heavy user's whole history into one row."""
     bounds = _bounds(rk)
-    hist = decayed_history_map(rk, lam, bounds)
+    w = time_decay_weight(rk, lam, bounds=bounds)
+    per_user = w.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("rating_count"), F.avg("rating").alias("avg_rating"),
+        F.count(F.lit(1)).alias("history_items"), F.sum(F.col("weight") * F.col("rating")).alias("history_sum"))
     aff = genre_affinity_vector(genre_affinity(rk, mv, lam, bounds))
-    stats = rating_stats(rk)
     zeros = F.array_repeat(F.lit(0.0), len(GENRE_VOCAB))
-    return (stats.join(hist, "user_id").join(aff, "user_id", "left")
-            .select("user_id", "decayed_history",
-                    F.coalesce(F.col("genre_affinity"), zeros).alias("genre_affinity"),
-                    "rating_count", "avg_rating"))
+    return (per_user.join(aff, "user_id", "left")
+            .select("user_id", F.coalesce(F.col("genre_affinity"), zeros).alias("genre_affinity"),
+                    "rating_count", "avg_rating", "history_items", "history_sum"))
 
 
 # ---------------------------------------------------------------- items

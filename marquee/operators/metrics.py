@@ -36,11 +36,6 @@ def metric_history(metrics: DataFrame, run: str = "run_id", metric: str = "metri
     return rank_within_groups(metrics, [run, metric], [step])
 
 
-def metric_history_lists(metrics: DataFrame, run: str = "run_id", metric: str = "metric") -> DataFrame:
-    """List form for a bounded request (one dashboard run): sort_array of (step, value)."""
-    return metrics.groupBy(run, metric).agg(F.sort_array(F.collect_list(F.struct("step", "value"))).alias("points"))
-
-
 def latest_metric(runs: DataFrame, metrics: DataFrame, name: str = "val_loss", run: str = "run_id",
                   digits: int = 4) -> DataFrame:
     """Per run the value at the greatest step of the named metric, 0 when the run has none."""

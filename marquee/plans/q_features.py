@@ -90,8 +90,7 @@ def q_user_features(spark, d):
     uf = fe.user_features(data.ratings(spark, d), data.movies(spark, d))
     return uf.select(
         "user_id", "rating_count", R("avg_rating").alias("avg_rating"),
-        F.size("decayed_history").cast("bigint").alias("history_items"),
-        R(F.aggregate(F.map_values("decayed_history"), F.lit(0.0), lambda a, x: a + x)).alias("history_sum"),
+        "history_items", R("history_sum").alias("history_sum"),
         R(F.aggregate("genre_affinity", F.lit(0.0), lambda a, x: a + x)).alias("affinity_sum"))
 
 
