@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.text import extract_year, tokens
 from marquee.functions.vocab import GENRE_VOCAB, genre_vocab_col
-from marquee.session import ensure_checkpoint_dir
+from marquee.session import materialize
 
 
 # ---------------------------------------------------------------- time decay
@@ -115,15 +115,14 @@ def tag_tokens(tags: DataFrame, mv: DataFrame) -> DataFrame:
 def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100) -> DataFrame:
     """Long form (movie_id, term, tfidf): smoothed idf over all movies, L2-normalised over kept terms, > 0 only.
 
-    Term counts are aggregated once and checkpointed; the vocabulary (a bounded top-k) is broadcast back onto them,
+    Term counts are aggregated once and written to the checkpoint folder; the vocabulary (a bounded top-k) is broadcast back onto them,
     and the per-movie norm is a window over at most max_features rows per movie.
     """
     n_docs = mv.select("movie_id").distinct().count()
-    ensure_checkpoint_dir(tags.sparkSession)
     # the text is tokenised once; the (movie, term, count) table is far smaller than the text and is
-    # read twice (vocabulary, then weights), so it is checkpointed to the shared folder
-    tf = (tag_tokens(tags, mv).groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-          .checkpoint(eager=True))
+    # read twice (vocabulary, then weights), so it is written once to the shared checkpoint folder
+    tf = materialize(tag_tokens(tags, mv).groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf")),
+                     "term-counts")
     # Vocabulary: the max_features terms with the greatest corpus count; a bounded top-k, then broadcast.
     vocab = (tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.desc("cf"), F.asc("term")).limit(max_features))

@@ -1,7 +1,7 @@
 """Global position in a total order without a single-task window, and the temporal split built on it.
 
 with_global_index: range-partition on the order columns, sort inside partitions, record
-(partition id, row position), checkpoint so both are fixed, count rows per partition (one small
+(partition id, row position), write that table to the checkpoint folder so both are fixed, count rows per partition (one small
 row per partition to the driver), then add the running offsets as a literal array. No un-partitioned
 window and no second shuffle.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.session import ensure_checkpoint_dir
+from marquee.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the lower 33 bits
 
@@ -19,12 +19,11 @@ def with_global_index(df: DataFrame, order_cols: list[str], out: str = "idx",
                       num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based position in the total order given by order_cols (which must be unique together)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)  # cuts lineage; ids can no longer move on a retry
+    ranged = materialize(ranged, "global-index")  # written once: ids can no longer move on a retry
     counts = {r["_pid"]: r["n"] for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, running = [], 0
     for pid in range(max(counts) + 1 if counts else 0):

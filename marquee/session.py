@@ -55,3 +55,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/marquee-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing a Parquet table in the shared checkpoint folder and reading it back.
+
+    One computation (a plain checkpoint() recomputes its input when it writes), columnar files, and
+    the re-read gets pushdown and pruning. The table survives executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
