@@ -132,11 +132,21 @@ def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100) -> DataFr
     return raw.select("movie_id", "term", (F.col("x") / norm).alias("tfidf")).filter(F.col("tfidf") > 0)
 
 
+def item_base_features(mv: DataFrame) -> DataFrame:
+    """(movie_id, genre_multihot[20], release_year): the item features that need no tags."""
+    parts = F.split(F.col("genres"), r"[|]")
+    return mv.select("movie_id", F.transform(
+        genre_vocab_col(), lambda g: F.when(F.array_contains(parts, g), F.lit(1.0)).otherwise(F.lit(0.0)))
+        .alias("genre_multihot"), extract_year("title").alias("release_year"))
+
+
 def item_features(mv: DataFrame, tags: DataFrame, max_features: int = 100) -> DataFrame:
-    """One row per movie: genre_multihot[20], tag_tfidf map (empty when no terms), release_year."""
+    """One row per movie: genre_multihot[20], tag_tfidf map (empty when no terms), release_year.
+
+    A movie's map holds at most max_features terms (the vocabulary size), so the gather is bounded."""
     tfidf = (tag_tfidf(tags, mv, max_features).groupBy("movie_id")
              .agg(F.map_from_entries(F.collect_list(F.struct("term", "tfidf"))).alias("tag_tfidf")))
-    base = genre_multihot(mv).join(mv.select("movie_id", extract_year("title").alias("release_year")), "movie_id")
+    base = item_base_features(mv)
     empty = F.create_map().cast("map<string,double>")
     return (base.join(tfidf, "movie_id", "left")
             .select("movie_id", "genre_multihot", F.coalesce("tag_tfidf", empty).alias("tag_tfidf"), "release_year"))

@@ -27,7 +27,12 @@ def null_sentinel(df: DataFrame, cols: list[str], sentinel: str = "nan") -> Data
 def stamp_inserted_at(df: DataFrame, batch_ts: datetime | None = None, col: str = "inserted_at") -> DataFrame:
     """Every row of one batch gets one and the same insert time (a literal, not a per-row clock)."""
     ts = batch_ts or datetime.now(timezone.utc).replace(tzinfo=None)
-    return df.withColumn(col, F.lit(ts).cast("timestamp_ntz"))
+    return df.withColumn(col, ntz_literal(ts))
+
+
+def ntz_literal(ts: datetime):
+    """A TIMESTAMP_NTZ literal from its wall-clock text (independent of the session time zone)."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def _pick(df: DataFrame, keys: list[str], order_col: str, last: bool) -> DataFrame:

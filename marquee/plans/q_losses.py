@@ -156,7 +156,7 @@ def _towers(spark, d):
 def q_encode_items(spark, d):
     """Item tower over item features; id embeddings = the item vector table joined on movie_id."""
     rk, mv, w, en, fe = _towers(spark, d)
-    itf = fe.item_features(mv, data.tags(spark, d))
+    itf = fe.item_base_features(mv)  # the item tower reads multi-hot and year only
     emb = fx.item_vectors(spark, d).select("movie_id", F.col("i").alias("emb"))
     v = en.encode_items(itf, emb, w)
     return v.select("movie_id", F.size("vec").alias("dim"), R(V.norm("vec")).alias("norm"))

@@ -95,7 +95,7 @@ def _samples(spark, d):
     lsp = sp.load_splits(rk, sp.temporal_split(rk))
     weighted = sm.sample_decay_weights(lsp)
     uf = fe.user_features(rk, mv)
-    itf = fe.item_features(mv, data.tags(spark, d))
+    itf = fe.item_base_features(mv)  # samples use multi-hot and year only
     demo = sm.best_demonstration(lsp, by=["split"])
     return sm.training_samples(weighted.select("id", "split", "user_id", "movie_id", "rating", "weight"),
                                uf, itf, demo)

@@ -32,7 +32,7 @@ def _watermarks(spark, d):
     t = _tables(spark, d)
     wm = merge.max_inserted_watermark({"ratings": t["ratings"], "movies": t["movies"]})
     tags = spark.range(1).select(F.lit("tags").alias("table_name"),
-                                 F.lit(TAGS_WATERMARK).cast("timestamp_ntz").alias("last_inserted_at"))
+                                 merge.ntz_literal(TAGS_WATERMARK).alias("last_inserted_at"))
     return wm.unionByName(tags)
 
 
