@@ -36,16 +36,27 @@ def cosine(a, b, eps: float = 1e-8) -> Column:
     return dot(a, b) / (F.greatest(norm(a), F.lit(eps)) * F.greatest(norm(b), F.lit(eps)))
 
 
+# Scorer registry: name -> (column expression builder, larger_is_better). New scorers plug in here;
+# the learned head has no expression form and runs in the Arrow block kernel instead.
+SCORERS: dict = {
+    "cosine": (cosine, True),
+    "dot": (dot, True),
+    "l2": (sqdist, False),
+}
+
+
+def register_scorer(name: str, build, larger_is_better: bool = True) -> None:
+    SCORERS[name] = (build, larger_is_better)
+
+
 def score(method: str, u, i) -> Column:
-    if method == "cosine":
-        return cosine(u, i)
-    if method == "dot":
-        return dot(u, i)
-    if method == "l2":
-        return sqdist(u, i)
-    raise ValueError(f"no expression form for scoring method {method!r}")
+    if method not in SCORERS:
+        raise ValueError(f"no expression form for scoring method {method!r}")
+    return SCORERS[method][0](u, i)
 
 
 def larger_is_better(method: str) -> bool:
     """Direction of a scoring method: l2 is a squared distance, smaller is better."""
-    return method != "l2"
+    if method == "learned":
+        return True
+    return SCORERS[method][1]

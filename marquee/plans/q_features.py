@@ -171,3 +171,13 @@ def q_load_item_features(spark, d):
     path = scratch_path(spark, "item-features")
     fe.item_features(data.movies(spark, d), data.tags(spark, d)).write.parquet(path)
     return fe.load_features(spark, path, ["movie_id", "release_year"])
+
+
+@query("load_user_features", W("rk") + """
+select user_id, count(*) as rating_count from rk group by user_id""")
+def q_load_user_features(spark, d):
+    """Write user features to Parquet and load them back projected."""
+    from marquee.session import scratch_path
+    path = scratch_path(spark, "user-features")
+    fe.user_features(data.ratings(spark, d), data.movies(spark, d)).write.parquet(path)
+    return fe.load_features(spark, path, ["user_id", "rating_count"])

@@ -78,15 +78,38 @@ for _m in METHODS:
     _pair_query(_m)
 
 
-@query("score_learned")
+def _learned_sql(dim: int = 64, hidden: int = 64) -> str:
+    """The learned head in SQL, weights rebuilt from the same fixed rule as learned_head_weights."""
+    w1 = f"((((h.h * 31 + x.j * 17) % 97) - 48) / 97.0e0 / sqrt({2 * dim}))"
+    b1 = "((h.h % 7) - 3) / 70.0e0"
+    w2 = f"((((hd.h * 29) % 97) - 48) / 97.0e0 / sqrt({hidden}))"
+    return W("fx_pairs", extra=[
+        ("x", "select k, unnest(range(len(uv) + len(iv))) as j, unnest(list_concat(uv, iv)) as xv from fx_pairs"),
+        ("hd", f"select x.k, h.h, greatest(sum(x.xv * {w1}) + {b1}, 0.0e0) as a from x "
+               f"cross join (select unnest(range({hidden})) as h) h group by x.k, h.h"),
+    ]) + f"select k, round(sum(hd.a * {w2}) + 0.01e0, 6) as score from hd group by k"
+
+
+@query("score_learned", _learned_sql())
 def q_score_learned(spark, d):
-    """Learned head on explicit pairs (Arrow batches, fixed-rule weights); checked against numpy in tests."""
+    """Learned head on explicit pairs (Arrow batches through numpy, fixed-rule weights)."""
     pairs = fx.fx_pairs(spark, d).select("k", "uv", "iv")
     dim = pairs.select(F.max(F.size("uv"))).first()[0]
     s = rt.score_learned_pairs(pairs, rt.learned_head_weights(dim), key="k")
     return s.select("k", R("score").alias("score"))
 
 
+@query("topk_user_genre_learned")
+def q_topk_user_genre_learned(spark, d):
+    """Top-k per user and genre under the learned head (numpy block kernel; tests compare with numpy)."""
+    users, items = _users(spark, d), _items(spark, d)
+    dim = items.select(F.max(F.size("i"))).first()[0]
+    t = rt.topk_user_genre(users, items, _membership(spark, d), ("learned",), k=20,
+                           head=rt.learned_head_weights(dim))
+    return t.select("user_id", "genre", "scoring_method", F.col("rank").cast("bigint").alias("rank"), "movie_id",
+                    R("score").alias("score"))
+
+
 @query("genre_membership", W("mem") + "select movie_id, genre from mem")
 def q_genre_membership(spark, d):
     return rt.genre_membership(fe.genre_multihot(data.movies(spark, d)))
