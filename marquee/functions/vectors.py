@@ -28,10 +28,19 @@ def norm(a) -> Column:
 
 
 def l2_normalize(a, eps: float = 1e-8) -> Column:
+    """Normalised vector. The norm sits inside the element lambda, so prefer ``with_normalized`` on
+    DataFrames: it computes the norm once per row in its own projection."""
     n = F.greatest(norm(a), F.lit(eps))
     return F.transform(_c(a), lambda x: x / n)
 
 
+def with_normalized(df, col: str, out: str, eps: float = 1e-8):
+    """df with ``out`` = col / max(||col||, eps); the norm is one column, computed once per row."""
+    tmp = f"_{out}_norm"
+    return (df.withColumn(tmp, F.greatest(norm(col), F.lit(eps)))
+            .withColumn(out, F.transform(F.col(col), lambda x: x / F.col(tmp))).drop(tmp))
+
+
 def cosine(a, b, eps: float = 1e-8) -> Column:
     return dot(a, b) / (F.greatest(norm(a), F.lit(eps)) * F.greatest(norm(b), F.lit(eps)))
 

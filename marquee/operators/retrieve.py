@@ -50,7 +50,7 @@ def score_pairs(pairs: DataFrame, methods=("cosine", "dot", "l2"), u: str = "uv"
 
 
 def l2_normalize(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    return df.withColumn(out or col, V.l2_normalize(col, EPS))
+    return V.with_normalized(df, col, out or col, EPS)
 
 
 def genre_membership(itf: DataFrame) -> DataFrame:
@@ -296,10 +296,11 @@ def precompute_counts(top: DataFrame, cold: DataFrame) -> DataFrame:
 def save_item_index(items: DataFrame, model_name: str, methods, path: str) -> None:
     """Persist per (model, method) the searchable vectors (normalised for cosine)."""
     parts = []
+    normed = V.with_normalized(items.select("movie_id", "i"), "i", "n", EPS)
     for m in methods:
-        vec = V.l2_normalize("i", EPS) if m == "cosine" else F.col("i")
-        parts.append(items.select(F.lit(model_name).alias("model_name"), F.lit(m).alias("scoring_method"),
-                                  "movie_id", vec.alias("i")))
+        vec = F.col("n") if m == "cosine" else F.col("i")
+        parts.append(normed.select(F.lit(model_name).alias("model_name"), F.lit(m).alias("scoring_method"),
+                                   "movie_id", vec.alias("i")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
