@@ -59,13 +59,17 @@ def latest_version(spark: SparkSession, table_path: str, before: int | None = No
 def stream_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                   keys=("user_id", "movie_id"), order_col: str = "id", schema: T.StructType = RATING_FILE,
                   base_ts: datetime = datetime(2024, 3, 1), available_now: bool = True,
-                  max_files_per_trigger: int = 1, poll: str = "60 seconds"):
+                  max_files_per_trigger: int | None = None, poll: str = "60 seconds",
+                  table_name: str = "ratings"):
     """Start the ingest stream; returns the StreamingQuery.
 
-    Rows of batch b are stamped inserted_at = base_ts + b hours (one literal per batch)."""
+    Rows of batch b are stamped inserted_at = base_ts + b hours (one literal per batch). After each
+    merge the table's high-water mark is written next to it (``<table_path>_watermark/v=<batch>``)."""
     keys = list(keys)
-    src = (spark.readStream.schema(schema).option("header", True)
-           .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing))
+    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.csv(landing)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         out = version_path(table_path, batch_id)
@@ -78,6 +82,8 @@ def stream_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint
         else:
             merged = merge.merge_upsert(spark.read.parquet(prev), stamped, keys, order_col)
         merged.write.mode("overwrite").parquet(out)
+        wm = merge.max_inserted_watermark({table_name: spark.read.parquet(out)})
+        wm.write.mode("overwrite").parquet(version_path(table_path.rstrip("/") + "_watermark", batch_id))
 
     w = src.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=poll)
@@ -89,3 +95,11 @@ def current_table(spark: SparkSession, table_path: str) -> DataFrame:
     if path is None:
         raise FileNotFoundError(f"no committed version under {table_path}")
     return spark.read.parquet(path)
+
+
+def current_watermark(spark: SparkSession, table_path: str) -> DataFrame:
+    """(table_name, last_inserted_at) of the newest committed batch."""
+    path = latest_version(spark, table_path.rstrip("/") + "_watermark")
+    if path is None:
+        raise FileNotFoundError(f"no watermark for {table_path}")
+    return spark.read.parquet(path)

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from marquee.streaming.ingest import current_table, stream_ingest
+from marquee.streaming.ingest import current_table, current_watermark, stream_ingest
 from marquee.operators import watermark as wm
 
 
@@ -25,6 +25,8 @@ def test_two_deliveries_and_replay(spark, tmp_path):
     t = current_table(spark, table)
     assert {(r.user_id, r.movie_id): r.rating for r in t.collect()} == {(1, 10): 2.0, (1, 20): 5.0, (2, 30): 1.0}
     assert t.select("inserted_at").distinct().count() == 2
+    mark = current_watermark(spark, table).first()
+    assert mark["table_name"] == "ratings" and mark["last_inserted_at"] == t.agg(F.max("inserted_at")).first()[0]
     # nothing new: no batch runs, the table stays as it is
     stream_ingest(spark, f"{landing}/*/", table, ckpt).awaitTermination()
     assert current_table(spark, table).count() == 3
