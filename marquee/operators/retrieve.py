@@ -214,7 +214,10 @@ def topk_pools(users: DataFrame, items: DataFrame, membership: DataFrame | None,
                 uid, U = _users_matrix(b)
                 yield _topk_block(uid, U, ids_, I_, pools_, methods, k, head_)
 
-        return users.select("user_id", "u").mapInPandas(run, RESULT_SCHEMA)
+        # scoring is users x items per task: spread users evenly over the configured parallelism
+        # (a linear shuffle of vectors buys balanced quadratic work, whatever the upstream layout)
+        n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return users.select("user_id", "u").repartition(n_tasks).mapInPandas(run, RESULT_SCHEMA)
 
     # blocked: count-derived block numbers, one (user block, item block) pair per cogroup
     n_users = users.count()

@@ -63,10 +63,12 @@ def test_ties_break_on_movie_id(spark):
         assert [r["movie_id"] for r in got] == [3, 5]
 
 
-def test_learned_head_matches_numpy(vecs, spark):
+@pytest.mark.parametrize("strategy,kw", [("broadcast", {}), ("blocked", {"user_block": 5, "item_block": 9})])
+def test_learned_head_matches_numpy(vecs, spark, strategy, kw):
     U, uid, I, iid, pools, users, items, mem = vecs
     head = rt.learned_head_weights(8)
-    got = rt.topk_global(users, items, ("learned",), k=3, head=head).filter("user_id = 0").orderBy("rank").collect()
+    got = (rt.topk_global(users, items, ("learned",), k=3, head=head, strategy=strategy, **kw)
+           .filter("user_id = 0").orderBy("rank").collect())
     x = np.concatenate([np.repeat(U[:1], len(I), 0), I], axis=1)
     s = np.maximum(x @ head["w1"].T + head["b1"], 0) @ head["w2"][0] + head["b2"][0]
     order = np.argsort(-s, kind="stable")[:3]
