@@ -103,7 +103,7 @@ def q_max_inserted_watermark(spark, d):
 select table_name, rows_offered,
        (select count(*) from counts where table_name in ('ratings', 'movies')) = 2 as ok
 from counts
-union all select 'total', sum(rows_offered),
+union all select 'total', cast(sum(rows_offered) as bigint),
        (select count(*) from counts where table_name in ('ratings', 'movies')) = 2 from counts""")
 def q_ingest_report(spark, d):
     from marquee.sources.files import ingest_report

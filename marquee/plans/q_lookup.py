@@ -208,7 +208,7 @@ select r.request_id as user_id, r.pos, r.movie_id,
        case when len(list_intersect(coalesce(tl.top, []), coalesce(ig.g, []))) > 0 then 'affinity' else 'embedding' end
          as reason,
        array_to_string(list_sort(list_intersect(coalesce(tl.top, []), coalesce(ig.g, []))), ', ') as overlap,
-       round(r.score, 3) as score3
+       round(r.score, 3) + 0.0e0 as score3
 from recs r left join tl on tl.user_id = r.request_id left join ig on ig.movie_id = r.movie_id""")
 def q_explain(spark, d):
     top, _ = _serving(spark, d)

@@ -114,7 +114,7 @@ from (select distinct user_id from rk) r join uvec u on r.user_id = u.user_id"""
 def q_lookup_user_vectors(spark, d):
     req = data.ratings(spark, d).select("user_id").distinct()
     v = req.join(fx.user_vectors(spark, d), "user_id")
-    return v.select("user_id", F.size("u").alias("dim"), R(V.norm("u")).alias("norm"))
+    return v.select("user_id", F.size("u").cast("bigint").alias("dim"), R(V.norm("u")).alias("norm"))
 
 
 @query("best_trial", W("fx_metrics", extra=[

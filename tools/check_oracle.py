@@ -18,11 +18,14 @@ from marquee.session import local_session  # noqa: E402
 from marquee.sources.fixtures import TABLES  # noqa: E402
 
 
+EXACT = "--exact" in sys.argv
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 5)
+        return repr(v) if EXACT else round(v, 5)
     if isinstance(v, (list, tuple)):
         return tuple(norm(x) for x in v)
     if hasattr(v, "item"):
@@ -36,7 +39,7 @@ def rows_of(cols, rows):
 
 
 def main():
-    args = sys.argv[1:]
+    args = [a for a in sys.argv[1:] if a != "--exact"]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     load_all()
@@ -62,6 +65,7 @@ def main():
         try:
             res = con.execute(ORACLES[name])
             dcols = [d[0] for d in res.description]
+            dtypes = [str(d[1]) for d in res.description]
             drows = res.fetchall()
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
@@ -78,7 +82,8 @@ def main():
             print(f"FAIL {name}: rows spark={len(srows)} duckdb={len(drows)} spark-only={diff1} duck-only={diff2}")
             bad += 1
         else:
-            print(f"OK   {name}: {len(srows)} rows ({ts:.1f}s)")
+            odd = [f"{c}:{t}" for c, t in zip(dcols, dtypes) if t in ("HUGEINT", "DECIMAL") or t.startswith("DECIMAL")]
+            print(f"OK   {name}: {len(srows)} rows ({ts:.1f}s)" + (f" duckdb types {odd}" if odd else ""))
     print(f"{bad} failing")
 
 
