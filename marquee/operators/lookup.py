@@ -21,9 +21,13 @@ def _vocab_pos(genre_col):
     return F.when(p == 0, F.lit(len(GENRE_VOCAB) + 1)).otherwise(p)
 
 
-def _pick_rows(req: DataFrame, rows: DataFrame, keys: list[str], req_id: str) -> DataFrame:
-    """Join requests to rows on keys; keep the request's genre, or the lowest vocabulary genre if none."""
-    j = req.alias("q").join(rows.alias("r"), on=keys, how="inner").filter(
+def _pick_rows(req: DataFrame, rows: DataFrame, keys: list[str], req_id: str, small_rows: bool = False) -> DataFrame:
+    """Join requests to rows on keys; keep the request's genre, or the lowest vocabulary genre if none.
+
+    small_rows: the rows side is bounded (cold start: genres x methods x models) and is broadcast, so
+    the request side is never the one shipped, whatever the optimizer makes of constant keys."""
+    r = F.broadcast(rows) if small_rows else rows
+    j = req.alias("q").join(r.alias("r"), on=keys, how="inner").filter(
         F.col("q.genre").isNull() | (F.col("q.genre") == F.col("r.genre")))
     best = F.min(F.struct(_vocab_pos(F.col("r.genre")).alias("vp"), F.col("r.genre").alias("genre"),
                           F.col("r.movie_ids").alias("movie_ids"), F.col("r.scores").alias("scores")))
@@ -54,8 +58,9 @@ def lookup_user(serving: DataFrame, requests: DataFrame, req_id: str = "request_
 
 
 def lookup_cold_start(cold: DataFrame, requests: DataFrame, req_id: str = "request_id") -> DataFrame:
+    """Cold-start rows per request; the cold table is bounded (at most genres x methods x models rows)."""
     req = with_request_defaults(requests)
-    return _pick_rows(req, cold, ["model_name", "scoring_method"], req_id)
+    return _pick_rows(req, cold, ["model_name", "scoring_method"], req_id, small_rows=True)
 
 
 def batch_recommend(serving: DataFrame, cold: DataFrame, requests: DataFrame, req_id: str = "request_id") -> DataFrame:

@@ -100,9 +100,11 @@ def batch_mean_loss(row_loss: DataFrame, index_col: str, batch_size: int, by: li
 
 
 def embedding_norm_stats(users: DataFrame, items: DataFrame, u: str = "u", i: str = "i") -> DataFrame:
-    a = users.agg(F.avg(V.norm(u)).alias("mean_user_norm")).withColumn("_k", F.lit(1))
-    b = items.agg(F.avg(V.norm(i)).alias("mean_item_norm")).withColumn("_k", F.lit(1))
-    return a.join(b, "_k").drop("_k")
+    """(mean_user_norm, mean_item_norm): one aggregate over the union of both sides (no join)."""
+    both = (users.select(F.lit("u").alias("_s"), V.norm(u).alias("_n"))
+            .unionByName(items.select(F.lit("i").alias("_s"), V.norm(i).alias("_n"))))
+    return both.agg(F.avg(F.when(F.col("_s") == "u", F.col("_n"))).alias("mean_user_norm"),
+                    F.avg(F.when(F.col("_s") == "i", F.col("_n"))).alias("mean_item_norm"))
 
 
 def best_epoch(metrics: DataFrame, run: str = "run_id", epoch: str = "step", value: str = "value") -> DataFrame:

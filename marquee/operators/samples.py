@@ -67,9 +67,13 @@ def demo_context(samples: DataFrame, a: float = 0.7, b: float = 0.3) -> DataFram
 
 
 def id_space(uf: DataFrame, itf: DataFrame) -> DataFrame:
-    u = uf.agg((F.max("user_id") + 1).alias("n_users"))
-    i = itf.agg((F.max("movie_id") + 1).alias("n_items"), F.max(F.size("genre_multihot")).alias("n_genres"))
-    return (u.withColumn("_k", F.lit(1)).join(i.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    """n_users = max(user_id) + 1, n_items = max(movie_id) + 1, n_genres = vector length (one aggregate)."""
+    both = (uf.select(F.col("user_id").cast("bigint").alias("_u"), F.lit(None).cast("bigint").alias("_i"),
+                      F.lit(None).cast("int").alias("_g"))
+            .unionByName(itf.select(F.lit(None).cast("bigint").alias("_u"), F.col("movie_id").cast("bigint").alias("_i"),
+                                    F.size("genre_multihot").alias("_g"))))
+    return both.agg((F.max("_u") + 1).alias("n_users"), (F.max("_i") + 1).alias("n_items"),
+                    F.max("_g").alias("n_genres"))
 
 
 def pad_sequences(df: DataFrame, batch_col: str, seq_col: str, out: str = "padded", mask: str = "mask") -> DataFrame:

@@ -10,13 +10,21 @@ RAW_TABLES = ["ratings", "movies", "tags", "links", "genome_scores"]
 DONE_STATES = ("success", "failed")
 
 
+def watermark_of(wm: DataFrame, table_name: str):
+    """The stored high-water mark of one table (None when missing or null): one bounded row."""
+    row = wm.filter(F.col("table_name") == table_name).agg(F.max("last_inserted_at").alias("m")).first()
+    return None if row is None else row["m"]
+
+
 def new_rows_since(df: DataFrame, table_name: str, wm: DataFrame, col: str = "inserted_at") -> DataFrame:
     """Rows inserted after the table's watermark; every row when the watermark is null or missing.
 
-    wm: (table_name, last_inserted_at), one row per table (a bounded side, joined on the name)."""
-    w = wm.select(F.col("table_name").alias("_tn"), F.col("last_inserted_at").alias("_wm"))
-    j = df.withColumn("_t", F.lit(table_name)).join(F.broadcast(w), F.col("_t") == F.col("_tn"), "left")
-    return j.filter(F.col("_wm").isNull() | (F.col(col) > F.col("_wm"))).drop("_t", "_tn", "_wm")
+    wm: (table_name, last_inserted_at). The mark is read as one value, so the comparison becomes a
+    literal predicate that reaches the table scan."""
+    mark = watermark_of(wm, table_name)
+    if mark is None:
+        return df
+    return df.filter(F.col(col) > F.lit(mark.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
 
 
 def new_row_counts(tables: dict[str, DataFrame], wm: DataFrame, order: list[str] | None = None) -> DataFrame:
