@@ -236,3 +236,13 @@ def q_expand_archives(spark, d):
     if not any(r["status"] == "refused" for r in statuses):
         raise AssertionError("the traversal archive was not refused")
     return fl.read_ratings_csv(spark, f"{base}/out/*/ratings.csv")
+
+
+@query("require_columns", """
+select * from (values ('user_id', 0), ('movie_id', 1), ('rating', 2), ('timestamp', 3)) as t(found, pos)""")
+def q_require_columns(spark, d):
+    """Header check of a written ratings file before casting: the found columns, in file order."""
+    p = scratch_path(spark, "ratings.csv")
+    fl.write_csv(_ratings_out(spark, d), p)
+    found = fl.require_columns(spark, p, ["user_id", "movie_id", "rating", "timestamp"])
+    return spark.createDataFrame([(c, n) for n, c in enumerate(found)], "found string, pos int")
