@@ -7,7 +7,7 @@ from marquee.functions import vectors as V
 from marquee.operators import losses as ls
 from marquee.plans import data
 from marquee.plans.catalog import R, query
-from marquee.plans.oracle_views import with_views as W
+from marquee.plans.oracle_views import VOCAB, with_views as W
 from marquee.sources import fixtures as fx
 
 _COS = ("list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})), 1e-8) * "
@@ -152,7 +152,37 @@ def _towers(spark, d):
     return rk, mv, w, en, fe
 
 
-@query("encode_items")
+def _layer_sql(name: str, src: str, rows: int, cols: int, a: int, b: int, norm: bool) -> list[tuple[str, str]]:
+    """One dense layer (rule weights, bias (r % 5 - 2) / 50) [+ LayerNorm + ReLU] over long rows (user_id, pos, v)."""
+    w = f"((((h.h * {a} + x.pos * {b}) % 97) - 48) / 97.0e0 / sqrt({cols}))"
+    z = (f"select x.user_id, h.h, sum(x.v * {w}) + ((h.h % 5) - 2) / 50.0e0 as z from {src} x "
+         f"cross join (select unnest(range({rows})) as h) h group by x.user_id, h.h")
+    if not norm:
+        return [(name, z)]
+    return [(f"{name}_z", z),
+            (name, f"select user_id, h as pos, greatest((z - avg(z) over w) / sqrt(var_pop(z) over w + 1e-5), 0.0e0) "
+                   f"as v from {name}_z window w as (partition by user_id)")]
+
+
+def _encode_items_sql() -> str:
+    x_in = [
+        ("slots", f"select unnest(range(0, 20)) as pos, unnest({VOCAB}) as genre"),
+        ("items", "select movie_id, coalesce(nullif(cast(nullif(regexp_extract(title, '\\((\\d{4})\\)', 1), '') "
+                  "as int), 0), 1995) as year, string_split(genres, '|') as gl from fx_movies"),
+        ("emb", "select i.movie_id as user_id, unnest(range(len(i.i))) as pos, unnest(i.i) as v from ivec i "
+                "where i.movie_id in (select movie_id from items)"),
+        ("x0", "select user_id, pos, v from emb union all "
+               "select it.movie_id, 64 + s.pos, case when list_contains(it.gl, s.genre) then 1.0e0 else 0.0e0 end "
+               "from items it cross join slots s union all select movie_id, 84, cast(year as double) from items"),
+    ]
+    layers = (_layer_sql("a1", "x0", 256, 85, 38, 17, True) + _layer_sql("a2", "a1", 128, 256, 39, 19, True)
+              + _layer_sql("a3", "a2", 128, 128, 40, 21, False))
+    return (W("fx_movies", "ivec", extra=x_in + layers) +
+            "select user_id as movie_id, cast(count(*) as int) as dim, round(sqrt(sum(z * z)), 6) as norm "
+            "from a3 group by user_id")
+
+
+@query("encode_items", _encode_items_sql())
 def q_encode_items(spark, d):
     """Item tower over item features; id embeddings = the item vector table joined on movie_id."""
     rk, mv, w, en, fe = _towers(spark, d)
@@ -162,7 +192,26 @@ def q_encode_items(spark, d):
     return v.select("movie_id", F.size("vec").alias("dim"), R(V.norm("vec")).alias("norm"))
 
 
-@query("encode_users")
+def _encode_users_sql() -> str:
+    from marquee.plans.q_lookup import _TOPG
+    x_in = [
+        ("st", "select user_id, count(*) as cnt, avg(rating) as av from rk group by user_id"),
+        ("emb", "select u.user_id, unnest(range(len(u.u))) as pos, unnest(u.u) as v from uvec u "
+                "where u.user_id in (select user_id from st)"),
+        ("hid", "select a.user_id, h.h as pos, greatest(sum(a.v * ((((h.h * 11 + a.pos * 5) % 97) - 48) / 97.0e0 "
+                "/ sqrt(20))), 0.0e0) as v from affv a cross join (select unnest(range(32)) as h) h "
+                "group by a.user_id, h.h"),
+        ("x0", "select user_id, pos, v from emb union all select user_id, 64 + pos, v from affv "
+               "union all select user_id, 84 + pos, v from hid union all select user_id, 116, cnt from st "
+               "union all select user_id, 117, av from st"),
+    ]
+    layers = (_layer_sql("a1", "x0", 256, 118, 31, 17, True) + _layer_sql("a2", "a1", 128, 256, 32, 19, True)
+              + _layer_sql("a3", "a2", 128, 128, 33, 21, False))
+    return (W("rk", "wrk", "mg", "uvec", extra=_TOPG[:3] + x_in + layers) +
+            "select user_id, cast(count(*) as int) as dim, round(sqrt(sum(z * z)), 6) as norm from a3 group by user_id")
+
+
+@query("encode_users", _encode_users_sql())
 def q_encode_users(spark, d):
     """User tower over user features; id embeddings = the user vector table joined on user_id."""
     rk, mv, w, en, fe = _towers(spark, d)

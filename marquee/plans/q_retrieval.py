@@ -99,7 +99,26 @@ def q_score_learned(spark, d):
     return s.select("k", R("score").alias("score"))
 
 
-@query("topk_user_genre_learned")
+def _learned_topk_sql(dim: int = 64, hidden: int = 64, k: int = 20) -> str:
+    """Learned-head top-k per user and genre: concat(u, i) W1 = u W1u + i W1i, so each side is projected
+    once and the pair step only adds two hidden vectors."""
+    w1 = "((((h.h * 31 + ({c}) * 17) % 97) - 48) / 97.0e0 / sqrt({n}))"
+    return W("uvec", "ivec", "mem", extra=[
+        ("ux", "select user_id, unnest(range(len(u))) as j, unnest(u) as v from uvec"),
+        ("ix", "select movie_id, unnest(range(len(i))) as j, unnest(i) as v from ivec"),
+        ("uh", f"select ux.user_id, h.h, sum(ux.v * {w1.format(c='ux.j', n=2 * dim)}) as a from ux "
+               f"cross join (select unnest(range({hidden})) as h) h group by ux.user_id, h.h"),
+        ("ih", f"select ix.movie_id, h.h, sum(ix.v * {w1.format(c=f'{dim} + ix.j', n=2 * dim)}) + ((h.h % 7) - 3) / 70.0e0 "
+               f"as a from ix cross join (select unnest(range({hidden})) as h) h group by ix.movie_id, h.h"),
+        ("ls", f"select u.user_id, i.movie_id, sum(greatest(u.a + i.a, 0.0e0) * ((((u.h * 29) % 97) - 48) / 97.0e0 "
+               f"/ sqrt({hidden}))) + 0.01e0 as score from uh u join ih i on u.h = i.h group by u.user_id, i.movie_id"),
+        ("scored", "select ls.user_id, mem.genre, 'learned' as scoring_method, ls.movie_id, ls.score from ls "
+                   "join mem on mem.movie_id = ls.movie_id"),
+    ]) + f"""
+select user_id, genre, scoring_method, rank, movie_id, round(score, 6) as score from ({_ranked_sql(k)})"""
+
+
+@query("topk_user_genre_learned", _learned_topk_sql())
 def q_topk_user_genre_learned(spark, d):
     """Top-k per user and genre under the learned head (numpy block kernel; tests compare with numpy)."""
     users, items = _users(spark, d), _items(spark, d)
