@@ -72,17 +72,27 @@ def learned_head_weights(dim: int, hidden: int = 64) -> dict[str, np.ndarray]:
             "w2": rule(1, hidden, 13, 29), "b2": np.array([0.01])}
 
 
-def learned_scores(U: np.ndarray, I: np.ndarray, head: dict, chunk: int = 32) -> np.ndarray:
-    """concat(u, i) -> Linear -> ReLU -> Linear, for every (u, i) in the block, chunked over users."""
+# Memory bound of the numpy kernel: at most this many float64 cells per score matrix (32 MB), so a task's
+# peak stays small whatever the Arrow batch size or the item count.
+CELL_BUDGET = 1 << 22
+
+
+def learned_scores(U: np.ndarray, I: np.ndarray, head: dict, budget: int = CELL_BUDGET) -> np.ndarray:
+    """concat(u, i) -> Linear -> ReLU -> Linear for every (u, i): concat(u, i) W1 = u W1u + i W1i, so each
+    side is projected once; the (users x items x hidden) step runs in chunks of at most ``budget`` cells."""
     d = U.shape[1]
     w1u, w1i = head["w1"][:, :d], head["w1"][:, d:]
     iu = I @ w1i.T + head["b1"]            # (ni, h)
     uu = U @ w1u.T                          # (nu, h)
     w2 = head["w2"][0]
+    hidden = len(w2)
     out = np.empty((U.shape[0], I.shape[0]))
-    for s in range(0, U.shape[0], chunk):
-        h = np.maximum(uu[s:s + chunk, None, :] + iu[None, :, :], 0.0)
-        out[s:s + chunk] = h @ w2 + head["b2"][0]
+    ci = max(1, min(I.shape[0], budget // hidden))
+    cu = max(1, budget // (ci * hidden))
+    for s in range(0, U.shape[0], cu):
+        for t in range(0, I.shape[0], ci):
+            h = np.maximum(uu[s:s + cu, None, :] + iu[None, t:t + ci, :], 0.0)
+            out[s:s + cu, t:t + ci] = h @ w2 + head["b2"][0]
     return out
 
 
@@ -104,56 +114,58 @@ def score_learned_pairs(pairs: DataFrame, head: dict, key: str = "k", u: str = "
 
 # ---------------------------------------------------------------- numpy block kernel
 
-def _method_scores(U, I, methods, head):
-    dots = U @ I.T if any(m in ("cosine", "dot", "l2") for m in methods) else None
-    res = {}
-    if "dot" in methods:
-        res["dot"] = dots
-    if "cosine" in methods:
-        nu = np.maximum(np.sqrt(np.einsum("ij,ij->i", U, U)), EPS)
-        ni = np.maximum(np.sqrt(np.einsum("ij,ij->i", I, I)), EPS)
-        res["cosine"] = dots / nu[:, None] / ni[None, :]
-    if "l2" in methods:
-        su = np.einsum("ij,ij->i", U, U)
-        si = np.einsum("ij,ij->i", I, I)
-        res["l2"] = su[:, None] + si[None, :] - 2.0 * dots
-    if "learned" in methods:
-        res["learned"] = learned_scores(U, I, head)
-    return res
-
-
-def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head):
-    """pools: list of (pool name, positions into item arrays sorted by movie_id)."""
-    frames = []
+def _empty_result() -> pd.DataFrame:
+    return pd.DataFrame({c.name: pd.Series(dtype="object") for c in RESULT_SCHEMA})
+
+
+def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET):
+    """Exact top-k per (user, pool, method) for one block of users against one block of items.
+
+    Users are processed in chunks of at most budget / n_items rows and one method at a time, so a
+    task holds a few (chunk x items) matrices, never (batch x items x methods).
+    pools: list of (pool name, positions into the item arrays, sorted by movie_id)."""
     if len(user_ids) == 0 or len(item_ids) == 0:
-        return pd.DataFrame({c.name: pd.Series(dtype="object") for c in RESULT_SCHEMA})
-    scores = _method_scores(U, I, methods, head)
-    for m in methods:
-        S = scores[m]
-        key = S if m == "l2" else -S
-        for pool, pos in pools:
-            if len(pos) == 0:
-                continue
-            sub = key[:, pos]
-            kk = min(k, len(pos))
-            if len(pos) > kk:
-                # threshold per row, then a stable sort of the survivors keeps movie_id order on ties
-                part = np.partition(sub, kk - 1, axis=1)[:, kk - 1:kk]
-                order = np.argsort(np.where(sub <= part, sub, np.inf), axis=1, kind="stable")[:, :kk]
+        return _empty_result()
+    need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
+    sq_i = np.einsum("ij,ij->i", I, I)
+    norm_i = np.maximum(np.sqrt(sq_i), EPS)
+    chunk = max(1, budget // len(item_ids))
+    frames = []
+    for s in range(0, len(user_ids), chunk):
+        Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
+        dots = Uc @ I.T if need_dot else None
+        for m in methods:
+            if m == "dot":
+                S = dots
+            elif m == "cosine":
+                S = dots / np.maximum(np.sqrt(np.einsum("ij,ij->i", Uc, Uc)), EPS)[:, None] / norm_i[None, :]
+            elif m == "l2":
+                S = np.einsum("ij,ij->i", Uc, Uc)[:, None] + sq_i[None, :] - 2.0 * dots
             else:
-                order = np.argsort(sub, axis=1, kind="stable")[:, :kk]
-            chosen = pos[order]
-            frames.append(pd.DataFrame({
-                "user_id": np.repeat(user_ids, kk).astype("int32"),
-                "genre": pool,
-                "scoring_method": m,
-                "rank": np.tile(np.arange(1, kk + 1, dtype="int32"), len(user_ids)),
-                "movie_id": item_ids[chosen].reshape(-1).astype("int32"),
-                "score": np.take_along_axis(S[:, pos], order, axis=1).reshape(-1),
-            }))
-    if not frames:
-        return pd.DataFrame({c.name: pd.Series(dtype="object") for c in RESULT_SCHEMA})
-    return pd.concat(frames, ignore_index=True)
+                S = learned_scores(Uc, I, head, budget)
+            key = S if m == "l2" else -S
+            for pool, pos in pools:
+                if len(pos) == 0:
+                    continue
+                sub = key[:, pos]
+                kk = min(k, len(pos))
+                if len(pos) > kk:
+                    # threshold per row, then a stable sort of the survivors keeps movie_id order on ties
+                    part = np.partition(sub, kk - 1, axis=1)[:, kk - 1:kk]
+                    order = np.argsort(np.where(sub <= part, sub, np.inf), axis=1, kind="stable")[:, :kk]
+                else:
+                    order = np.argsort(sub, axis=1, kind="stable")[:, :kk]
+                chosen = pos[order]
+                frames.append(pd.DataFrame({
+                    "user_id": np.repeat(ids, kk).astype("int32"),
+                    "genre": pool,
+                    "scoring_method": m,
+                    "rank": np.tile(np.arange(1, kk + 1, dtype="int32"), len(ids)),
+                    "movie_id": item_ids[chosen].reshape(-1).astype("int32"),
+                    "score": np.take_along_axis(S, chosen, axis=1).reshape(-1),
+                }))
+            del S, key
+    return pd.concat(frames, ignore_index=True) if frames else _empty_result()
 
 
 def _pools_from(item_pdf: pd.DataFrame):
