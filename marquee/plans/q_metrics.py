@@ -1,8 +1,6 @@
 """Run-metric queries over the runs and metrics fixtures."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from marquee.operators import metrics as mt
 from marquee.operators import quality
 from marquee.plans import data

@@ -10,7 +10,7 @@ from marquee.operators import merge
 from marquee.operators import watermark as wmk
 from marquee.plans.catalog import query
 from marquee.plans.oracle_views import with_views as W
-from marquee.plans.q_ingest import (BATCH_TS, FIRST_LOAD_BEFORE, KEYS, SECOND_FILE_FROM, _MERGE, _first_load,
+from marquee.plans.q_ingest import (FIRST_LOAD_BEFORE, KEYS, SECOND_FILE_FROM, _MERGE, _first_load,
                                     _second_file)
 from marquee.session import scratch_path
 from marquee.sources import fixtures as fx

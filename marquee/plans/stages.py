@@ -48,7 +48,14 @@ class Warehouse:
 
 
 def run_ingest(spark: SparkSession, source: str, wh: Warehouse, mode: str = "upsert") -> DataFrame:
-    """Every loadable file merged into its raw table (upsert | skip | replace); watermarks advanced."""
+    """Every loadable file merged into its raw table (upsert | skip | replace); watermarks advanced.
+
+    A folder holding no known data file but zip archives is unpacked first (archives with unsafe member
+    paths are refused whole) into the warehouse's staging area."""
+    if not dv.has_known_files(dv.list_files(spark, source)):
+        staged = f"{wh.path('staging/unzipped')}/v={wh.next_version('staging/unzipped'):08d}"
+        dv.expand_archives(spark, source, staged).count()
+        source = staged
     plan = dv.discover_inputs(spark, source).collect()  # one row per file or part folder (listing metadata)
     written, report = {}, []
     for r in sorted(plan, key=lambda r: r["dataset_path"]):

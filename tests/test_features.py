@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from marquee.functions.text import extract_year
 from marquee.functions.vocab import GENRE_VOCAB

@@ -3,7 +3,6 @@ import os
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from marquee.sources import discover as dv
 from marquee.sources import files as fl

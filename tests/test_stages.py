@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from marquee.plans import stages
 from marquee.plans.q_sources import _landing
@@ -34,3 +33,20 @@ def test_reingest_upsert_is_idempotent(spark, tmp_path):
     assert wh.next_version("raw/ratings") == 2
     stages.run(spark, src, out, ["ingest"], mode="skip")
     assert wh.read("raw/ratings").count() == n1
+
+
+def test_ingest_unpacks_archives_when_no_data_file(spark, tmp_path):
+    import io
+    import zipfile
+    good = io.BytesIO()
+    with zipfile.ZipFile(good, "w") as z:
+        z.writestr("ml/ratings.csv", "userId,movieId,rating,timestamp\n1,10,4.0,1000\n1,10,5.0,2000\n2,20,3.0,1500\n")
+        z.writestr("ml/movies.csv", "movieId,title,genres\n10,A (2000),Action\n20,B (2001),Drama\n")
+    src = tmp_path / "download"
+    src.mkdir()
+    (src / "ml.zip").write_bytes(good.getvalue())
+    out = str(tmp_path / "wh")
+    summary = stages.run(spark, str(src), out, ["ingest"])
+    assert {r["file"] for r in summary["ingest"] if r["action"] == "load"} == {"ratings.csv", "movies.csv"}
+    rk = {(r.user_id, r.movie_id): r.rating for r in stages.Warehouse(spark, out).read("raw/ratings").collect()}
+    assert rk == {(1, 10): 5.0, (2, 20): 3.0}  # the later row of a key wins
