@@ -9,10 +9,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def as_double(v) -> Column:
-    return F.transform(_c(v), lambda x: x.cast("double"))
-
-
 def dot(a, b) -> Column:
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0).cast("double"),
                        lambda acc, x: acc + x)

@@ -1,6 +1,7 @@
 """Keyed merges (upsert / skip / replace), key cleaning, insert stamps and watermarks.
 
-Parquet has no MERGE; a merge is a keyed anti-join plus union, written to a fresh version folder.
+Parquet has no MERGE; a merge is a keyed anti-join plus union, written by the caller to a fresh version
+folder (plans.stages.Warehouse, streaming.ingest).
 Duplicates inside one source are resolved with a grouped max/min over a struct that starts with
 the order column: a partial (map-side) aggregate, so a hot key collapses before the shuffle.
 """
@@ -76,16 +77,6 @@ def merge_replace(src: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     return dedupe_first(drop_null_keys(src, keys), keys, order_col)
 
 
-def write_version(df: DataFrame, base_path: str, version: int, partition_by: list[str] | None = None) -> str:
-    """Write a merge result to a fresh version folder (never overwrite a path being read)."""
-    path = f"{base_path.rstrip('/')}/v={version:08d}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
 def write_model_rows(df: DataFrame, path: str, partition_by=("model_name",)) -> None:
     """Replace only the rows of the model(s) present in df (dynamic partition overwrite)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.functions import vectors as V
 from marquee.operators import features as fe
 from marquee.operators import retrieve as rt
 from marquee.plans import data
@@ -70,7 +69,8 @@ def _pair_query(method):
 
     @query(f"score_{method}", W("fx_pairs") + f"select k, round({sql_expr}, 6) as score from fx_pairs")
     def q(spark, d):
-        return fx.fx_pairs(spark, d).select("k", R(V.score(method, "uv", "iv")).alias("score"))
+        scored = rt.score_pairs(fx.fx_pairs(spark, d), (method,))
+        return scored.select("k", R(f"score_{method}").alias("score"))
     return q
 
 
