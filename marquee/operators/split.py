@@ -18,9 +18,10 @@ _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the lowe
 def with_global_index(df: DataFrame, order_cols: list[str], out: str = "idx",
                       num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based position in the total order given by order_cols (which must be unique together)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count, AQE may merge neighbouring range partitions (order is kept: only
+    # contiguous ranges are merged), so partition sizes follow the data instead of a fixed setting.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ranged = (ranged.sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
     ranged = materialize(ranged, "global-index")  # written once: ids can no longer move on a retry
