@@ -13,29 +13,17 @@ from marquee.operators import retrieve as rt
 from marquee.plans import data
 from marquee.plans.catalog import R, query
 from marquee.plans.oracle_views import VOCAB, with_views as W
+from marquee.plans.q_retrieval import sql_score
 from marquee.sources import fixtures as fx
 
 A, B = lk.MODEL_A, lk.MODEL_B
 METHODS = ("cosine", "dot", "l2")
 
 
-def _cos(a, b):
-    return (f"list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})), 1e-8) * "
-            f"greatest(sqrt(list_dot_product({b}, {b})), 1e-8))")
-
-
-def _score(m, a, b):
-    if m == "cosine":
-        return _cos(a, b)
-    if m == "dot":
-        return f"list_dot_product({a}, {b})"
-    return f"(list_dot_product({a}, {a}) + list_dot_product({b}, {b}) - 2.0e0 * list_dot_product({a}, {b}))"
-
-
 _SC = " union all ".join(
-    [f"select '{A}' as model_name, u.user_id, mem.genre, '{m}' as scoring_method, i.movie_id, {_score(m, 'u.u', 'i.i')} "
+    [f"select '{A}' as model_name, u.user_id, mem.genre, '{m}' as scoring_method, i.movie_id, {sql_score(m, 'u.u', 'i.i')} "
      f"as score from ua u cross join ivec i join mem on mem.movie_id = i.movie_id" for m in METHODS] +
-    [f"select '{B}', u.user_id, mem.genre, 'cosine', i.movie_id, {_cos('u.u', 'i.i')} "
+    [f"select '{B}', u.user_id, mem.genre, 'cosine', i.movie_id, {sql_score('cosine', 'u.u', 'i.i')} "
      f"from ub u cross join ib i join mem on mem.movie_id = i.movie_id"])
 
 _SERVING = [

@@ -8,18 +8,16 @@ from marquee.operators import losses as ls
 from marquee.plans import data
 from marquee.plans.catalog import R, query
 from marquee.plans.oracle_views import VOCAB, with_views as W
+from marquee.plans.q_retrieval import sql_score
 from marquee.sources import fixtures as fx
 
-_COS = ("list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})), 1e-8) * "
-        "greatest(sqrt(list_dot_product({b}, {b})), 1e-8))")
-
 
 def _masked_sql(s, t, mask):
     return (f"list_sum(list_transform(range(1, len({s}) + 1), lambda j: case when j <= {mask} then 0.0e0 "
             f"else ({s}[j] - {t}[j]) * ({s}[j] - {t}[j]) end))")
 
 
-_MSE_ROWS = ("mse", "select k, batch_id, weight * power((" + _COS.format(a="uv", b="iv") +
+_MSE_ROWS = ("mse", "select k, batch_id, weight * power((" + sql_score("cosine", "uv", "iv") +
              " + 1.0e0) / 2.0e0 - rating / 5.0e0, 2) as loss from fx_pairs")
 
 
@@ -30,7 +28,7 @@ def q_weighted_mse(spark, d):
 
 
 _INFONCE = [
-    ("sim", "select a.batch_id, a.k as i, b.k as j, (" + _COS.format(a="a.uv", b="b.iv") +
+    ("sim", "select a.batch_id, a.k as i, b.k as j, (" + sql_score("cosine", "a.uv", "b.iv") +
             ") / 0.07e0 * (case when a.k = b.k then a.weight else 1.0e0 end) as x "
             "from fx_pairs a join fx_pairs b on a.batch_id = b.batch_id"),
     ("rl", "select batch_id, i, max(m) + ln(sum(exp(x - m))) as lse from "

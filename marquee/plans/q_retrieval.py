@@ -17,7 +17,7 @@ _DOT = "list_dot_product({a}, {b})"
 _NRM = "greatest(sqrt(list_dot_product({a}, {a})), 1e-8)"
 
 
-def _sql_score(method: str, a: str, b: str) -> str:
+def sql_score(method: str, a: str, b: str) -> str:
     if method == "dot":
         return _DOT.format(a=a, b=b)
     if method == "cosine":
@@ -33,7 +33,7 @@ def _scored_sql(pool_join: str, pool_col: str) -> str:
     parts = []
     for m in METHODS:
         parts.append(f"select u.user_id, {pool_col} as genre, '{m}' as scoring_method, i.movie_id, "
-                     f"{_sql_score(m, 'u.u', 'i.i')} as score from uvec u cross join ivec i {pool_join}")
+                     f"{sql_score(m, 'u.u', 'i.i')} as score from uvec u cross join ivec i {pool_join}")
     return " union all ".join(parts)
 
 
@@ -65,7 +65,7 @@ def q_l2_normalize(spark, d):
 
 
 def _pair_query(method):
-    sql_expr = _sql_pair_sq("uv", "iv") if method == "l2" else _sql_score(method, "uv", "iv")
+    sql_expr = _sql_pair_sq("uv", "iv") if method == "l2" else sql_score(method, "uv", "iv")
 
     @query(f"score_{method}", W("fx_pairs") + f"select k, round({sql_expr}, 6) as score from fx_pairs")
     def q(spark, d):
