@@ -95,18 +95,23 @@ def top_genres(uf: DataFrame, k: int = 2) -> DataFrame:
             .select("user_id", F.get(vocab, F.col("pos")).alias("genre"), "rank"))
 
 
-def explain(recs_long: DataFrame, uf: DataFrame, itf: DataFrame, cold_genre: str | None = None) -> DataFrame:
-    """Per recommended item: reason ('affinity' | 'cold_start' | 'embedding'), overlap list, 3-decimal score."""
+def explain(recs_long: DataFrame, uf: DataFrame, itf: DataFrame, cold_genre: str | None = None,
+            cold_genre_col: str | None = None) -> DataFrame:
+    """Per recommended item: reason ('affinity' | 'cold_start' | 'embedding'), overlap list, 3-decimal score.
+
+    The cold-start genre is either one value for all rows or, for a batch of cold-start requests, a
+    column of recs_long (each request's own genre; null = none)."""
     vocab = genre_vocab_col()
     tops = top_genres(uf).groupBy("user_id").agg(F.collect_list("genre").alias("top"))
     item_g = itf.select("movie_id", F.filter(F.transform(
         F.arrays_zip(vocab.alias("g"), F.col("genre_multihot").alias("x")),
         lambda s: F.when(s["x"] > 0, s["g"])), lambda g: g.isNotNull()).alias("item_genres"))
     j = recs_long.join(tops, "user_id", "left").join(item_g, "movie_id", "left")
+    cold = F.col(cold_genre_col) if cold_genre_col else F.lit(cold_genre).cast("string")
     overlap = F.array_sort(F.array_intersect(F.coalesce("top", F.array().cast("array<string>")),
                                              F.coalesce("item_genres", F.array().cast("array<string>"))))
     reason = (F.when(F.size(overlap) > 0, F.lit("affinity"))
-              .when(F.lit(cold_genre).isNotNull(), F.lit("cold_start")).otherwise(F.lit("embedding")))
+              .when(cold.isNotNull(), F.lit("cold_start")).otherwise(F.lit("embedding")))
     return j.select(*recs_long.columns, reason.alias("reason"), F.array_join(overlap, ", ").alias("overlap"),
                     F.round("score", 3).alias("score3"))
 

@@ -251,3 +251,23 @@ def q_search_titles(spark, d):
     mv = data.movies(spark, d)
     itf = mv.select("movie_id", fe.extract_year("title").alias("release_year"))
     return lk.search_titles(mv, itf, SEARCH_Q, SEARCH_LIMIT)
+
+
+@query("explain_cold_start", W_([
+    ("req", f"select genre as request_id, genre, 'dot' as scoring_method, 10 as top_n, '{A}' as model_name "
+            f"from (select distinct genre from mg)"),
+    ("recs", _pick_sql("req", "cold", ["model_name", "scoring_method"]))]) + """
+select r.request_id, r.pos, r.movie_id,
+       case when r.request_id is not null then 'cold_start' else 'embedding' end as reason, '' as overlap,
+       round(r.score, 3) + 0.0e0 as score3
+from recs r""")
+def q_explain_cold_start(spark, d):
+    """Cold-start lists for genre requests (no user): every item is explained by the requested genre."""
+    _, cold = _serving(spark, d)
+    genres = fe.explode_genres(data.movies(spark, d)).select("genre").distinct()
+    req = (genres.select(F.col("genre").alias("request_id"), "genre")
+           .withColumn("scoring_method", F.lit("dot")).withColumn("model_name", F.lit(A)))
+    recs = lk.explode_recs(lk.lookup_cold_start(cold, req), ["request_id"]).withColumn(
+        "user_id", F.lit(None).cast("int"))
+    e = lk.explain(recs, _uf(spark, d), fe.genre_multihot(data.movies(spark, d)), cold_genre_col="request_id")
+    return e.select("request_id", F.col("pos").cast("bigint").alias("pos"), "movie_id", "reason", "overlap", "score3")

@@ -99,7 +99,7 @@ MAP = [
     ("I", "batch_recommend", "operators.lookup.batch_recommend", ["batch_recommend"]),
     ("I", "multi_model_recommend", "operators.lookup.multi_model_recommend", ["multi_model_recommend"]),
     ("I", "top_genres", "operators.lookup.top_genres", ["top_genres"]),
-    ("I", "explain", "operators.lookup.explain", ["explain"]),
+    ("I", "explain", "operators.lookup.explain", ["explain", "explain_cold_start"]),
     ("I", "enrich_recs", "operators.lookup.enrich_recs", ["enrich_recs"]),
     ("I", "ab_assign", "operators.lookup.ab_assign", ["ab_assign"]),
     ("I", "ab_compare", "operators.lookup.ab_compare", ["ab_compare"]),
