@@ -44,3 +44,31 @@ def op8(spark, d):
 def op10(spark, d):
     from marquee.llm.mixing import mix
     return mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op2_quality_classifier")
+def op2(spark, d):
+    from marquee.llm.quality import score_documents
+    out = score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_document_fingerprints")
+def op4(spark, d):
+    from marquee.llm.winnow import edited_fingerprints
+    return edited_fingerprints(table(spark, d, "documents"))
+
+
+@query("op5_sentencepiece")
+def op5(spark, d):
+    import public_tokenizers
+
+    from marquee.llm.pieces import token_digests
+    return token_digests(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op7_html_extraction")
+def op7(spark, d):
+    from marquee.llm.html_text import extract_pages
+    out = extract_pages(table(spark, d, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
