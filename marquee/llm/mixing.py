@@ -101,3 +101,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col("id").alias(id_col), "text_key", F.col("source").alias(source_col), "size", "source_size", "target", full.alias("copies"),
         F.when(F.col("extra") == F.col("size"), 0).otherwise(F.col("extra")).cast("long").alias("part"),
         (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
+
+
+def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """docs with every row as often as the mix takes it, in whole documents: the one at the edge of a source's target is
+    taken once more if at least half of it fits."""
+    mixed = mix(docs, id_col, text_col, source_col, **how)
+    times = F.col("copies") + F.when((F.col("part") * 2 >= F.col("size")) & (F.col("part") > 0), 1).otherwise(0)
+    mixed = mixed.groupBy(F.xxhash64(id_col).alias("__k"), F.col("text_key").alias("__tk")).agg(F.sum(times).cast("int").alias("__n"))
+    row = docs.select(F.xxhash64(id_col).alias("__k"), F.xxhash64(text_of(text_col)).alias("__tk"), F.struct("*").alias("__row"))
+    # equal rows share both keys; their repetitions are added up
+    row = row.join(materialize(mixed.where("__n > 0"), "mix-repeats"), ["__k", "__tk"]).dropDuplicates(["__k", "__tk"])
+    return row.select(F.explode(F.array_repeat("__row", F.col("__n"))).alias("r")).select("r.*")

@@ -96,3 +96,29 @@ ss_doc as (
 select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
        sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
 from documents d left join ss_doc s on d.doc_id = s.doc_id"""
+
+#: SHA-1 as 160 bits from DuckDB's hexadecimal digits, then 32 groups of 5 bits.
+_NIBBLES = ", ".join(f"'{i:04b}'" for i in range(16))
+_GROUP = " + ".join(f"{16 >> j} * substr(bits, 1 + 5 * i + {j}, 1)::int" for j in range(5))
+WARC = f"""with w as (
+  select page_id, coalesce(html, '') as payload from pages),
+p as (select payload, min(page_id) as first_id from w group by payload),
+h as (
+  select w.page_id, strlen(w.payload)::bigint as payload_bytes, p.first_id,
+         list_aggregate([([{_NIBBLES}])[strpos('0123456789abcdef', substr(sha1(w.payload), 1 + i, 1))] for i in range(40)], 'string_agg', '') as bits
+  from w join p on w.payload = p.payload)
+select page_id, payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + {_GROUP})::int, 1) for i in range(32)], 'string_agg', '') as payload_digest,
+       case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id = first_id then null else first_id end as refers_to
+from h"""
+
+TOP_K = """with tk as (
+  select vec_id, [floor(256 * x::double)::bigint for x in embedding] as v from embeddings
+  where embedding is not null and vec_id is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+tk_pairs as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+  from (select distinct * from tk where vec_id % 50 = 0) q join tk c on q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from tk_pairs) where rank <= 5"""

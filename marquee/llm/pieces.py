@@ -20,6 +20,7 @@ import hashlib
 import re
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -206,16 +207,17 @@ def codec(model_file: str) -> PieceCodec:
     return PieceCodec(model_file)
 
 
-def encode_documents(docs: DataFrame, model_file: str, text_col: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """docs plus ids array<int> and decoded string."""
+def encode_documents(docs: DataFrame, model_file: str, text_col: str = "text", ids: str = "ids", decoded: str | None = "decoded") -> DataFrame:
+    """docs plus ids array<int> and, unless decoded is None, the text that they decode to."""
     @F.pandas_udf("ids array<int>, decoded string")
     def run(texts: pd.Series) -> pd.DataFrame:
         c = codec(model_file)
         made = [c.process(t or "") for t in texts]
-        return pd.DataFrame({"ids": [[int(i) for i in m[0].split(",")] if m[1] else [] for m in made], "decoded": [m[2] for m in made]})
+        return pd.DataFrame({"ids": pd.Series([np.fromstring(m[0], dtype=np.int32, sep=",") for m in made], dtype=object),
+                             "decoded": pd.Series([m[2] if decoded else None for m in made], dtype=object)})
 
-    both = docs.withColumn("__enc", run(F.col(text_col)))
-    return both.withColumn(ids, F.col("__enc.ids")).withColumn(decoded, F.col("__enc.decoded")).drop("__enc")
+    both = docs.withColumn("__enc", run(F.col(text_col))).withColumn(ids, F.col("__enc.ids"))
+    return (both.withColumn(decoded, F.col("__enc.decoded")) if decoded else both).drop("__enc")
 
 
 def token_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

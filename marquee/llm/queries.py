@@ -72,3 +72,24 @@ def op7(spark, d):
     from marquee.llm.html_text import extract_pages
     out = extract_pages(table(spark, d, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_warc", oracles.WARC)
+def op3(spark, d):
+    from marquee.llm.warc import read_records, write_archives
+    out = read_records(write_archives(table(spark, d, "pages")), payloads=False)
+    return out.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_simhash_near_dedup")
+def op6(spark, d):
+    from marquee.llm.simhash import near_groups
+    out = near_groups(table(spark, d, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op9_exact_top_k", oracles.TOP_K)
+def op9(spark, d):
+    from marquee.llm.vector_search import exact_top_k
+    vectors = table(spark, d, "embeddings")
+    return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import shuffle_partitions
+from marquee.llm.common import shuffle_partitions, text_of
 from marquee.llm.components import components
 from marquee.session import materialize
 
@@ -254,12 +254,25 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) per row: component_id is the smallest id reachable over links of at most max_bits."""
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    base = materialize(fingerprints(base, shingle, "t").select("id", "fp"), "simhash")
+    """(id, text_key, fp, group_fp, component_id) per row: group_fp names the component of links of at most max_bits,
+    component_id is the smallest id in it."""
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(text_of(text_col)).alias("text_key"))
+    base = materialize(fingerprints(base, shingle, "t").select("id", "text_key", "fp"), "simhash")
     distinct = materialize(base.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-distinct")
     labels = materialize(components(fingerprint_links(distinct, max_bits)), "simhash-labels")
-    joined = distinct.join(labels, F.col("fp") == F.col("vertex"), "left").select("fp", "least_id", F.coalesce("label", "fp").alias("label"))
-    least = materialize(joined.groupBy("label").agg(F.min("least_id").alias("component_id")), "simhash-least")
-    by_print = materialize(joined.join(least, "label").select("fp", "component_id"), "simhash-groups")
-    return base.join(by_print, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    joined = distinct.join(labels, F.col("fp") == F.col("vertex"), "left").select("fp", "least_id", F.coalesce("label", "fp").alias("group_fp"))
+    least = materialize(joined.groupBy("group_fp").agg(F.min("least_id").alias("component_id")), "simhash-least")
+    by_print = materialize(joined.join(least, "group_fp").select("fp", "group_fp", "component_id"), "simhash-groups")
+    return base.join(by_print, "fp").select(F.col("id").alias(id_col), "text_key", "fp", "group_fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """The document of the smallest id of each group (of equal ids the smallest text hash; a null id only where there is no
+    other), with the columns of docs."""
+    groups = near_groups(docs, shingle, max_bits, id_col, text_col)
+    first = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("text_key").alias("text_key"))
+    kept = groups.groupBy("group_fp").agg(F.min(first).alias("f")).select(F.xxhash64("f.id").alias("__k"), F.col("f.text_key").alias("__tk"))
+    row = docs.select(F.xxhash64(id_col).alias("__k"), F.xxhash64(text_of(text_col)).alias("__tk"), F.struct("*").alias("__row"))
+    # equal rows share both keys; one of them is enough
+    return row.join(materialize(kept, "simhash-kept"), ["__k", "__tk"], "left_semi").dropDuplicates(["__k", "__tk"]).select("__row.*")
