@@ -5,7 +5,7 @@ without user_id. A request without genre takes the row of the lowest vocabulary
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.vocab import GENRE_VOCAB, genre_vocab_col
@@ -14,6 +14,7 @@ from marquee.functions.vocab import GENRE_VOCAB, genre_vocab_col
 MODEL_A = "TwoTower_TimedecayMSELoss"
 MODEL_B = "InfoNCEEncoder_TimedecayInfoNCELoss"
 DEFAULT_TOP_N = 10
+MAX_TOP_N = 100
 
 
 def _vocab_pos(genre_col):
@@ -21,56 +22,72 @@ def _vocab_pos(genre_col):
     return F.when(p == 0, F.lit(len(GENRE_VOCAB) + 1)).otherwise(p)
 
 
-def _pick_rows(req: DataFrame, rows: DataFrame, keys: list[str], req_id: str, small_rows: bool = False) -> DataFrame:
-    """Join requests to rows on keys; keep the request's genre, or the lowest vocabulary genre if none.
+def _first_genres(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """The lowest vocabulary genre of each key; chosen by place alone, before any list is looked at."""
+    place = F.min(F.struct(_vocab_pos(F.col("genre")).alias("vp"), F.col("genre").alias("g")))
+    return rows.groupBy(*keys).agg(place.alias("f")).select(*keys, F.col("f.g").alias(out))
 
-    small_rows: the rows side is bounded (cold start: genres x methods x models) and is broadcast, so
-    the request side is never the one shipped, whatever the optimizer makes of constant keys."""
-    r = F.broadcast(rows) if small_rows else rows
-    j = req.alias("q").join(r.alias("r"), on=keys, how="inner").filter(
-        F.col("q.genre").isNull() | (F.col("q.genre") == F.col("r.genre")))
-    best = F.min(F.struct(_vocab_pos(F.col("r.genre")).alias("vp"), F.col("r.genre").alias("genre"),
-                          F.col("r.movie_ids").alias("movie_ids"), F.col("r.scores").alias("scores")))
-    return j.groupBy(*[F.col(f"q.{c}").alias(c) for c in [req_id] + keys + ["top_n"]]).agg(best.alias("b")).select(
-        req_id, *keys, "top_n", F.col("b.genre").alias("genre"),
-        F.slice("b.movie_ids", 1, F.col("top_n")).alias("movie_ids"),
-        F.slice("b.scores", 1, F.col("top_n")).alias("scores"))
+
+def _pick_rows(req: DataFrame, rows: DataFrame, keys: list[str], req_id: str) -> DataFrame:
+    """Join requests to rows on keys; keep the request's genre, or the lowest vocabulary genre if none. Which side is
+    small enough to be sent around is the optimizer's business at run time."""
+    q = req.join(_first_genres(rows, keys, "first_genre"), on=keys, how="inner")
+    q = q.withColumn("genre", F.coalesce("genre", "first_genre")).drop("first_genre")
+    j = q.join(rows.select(*keys, "genre", "movie_ids", "scores"), on=[*keys, "genre"], how="inner")
+    return j.select(req_id, *keys, "top_n", "genre", F.slice("movie_ids", 1, F.col("top_n")).alias("movie_ids"),
+                    F.slice("scores", 1, F.col("top_n")).alias("scores"))
 
 
 def with_request_defaults(req: DataFrame) -> DataFrame:
-    cols = req.columns
+    """Every request with genre, top_n, scoring_method and model_name; a null or absent one takes the default."""
+    defaults = {"genre": F.lit(None).cast("string"), "top_n": F.lit(DEFAULT_TOP_N), "scoring_method": F.lit("cosine"),
+                "model_name": F.lit(MODEL_A)}
     out = req
-    if "genre" not in cols:
-        out = out.withColumn("genre", F.lit(None).cast("string"))
-    if "top_n" not in cols:
-        out = out.withColumn("top_n", F.lit(DEFAULT_TOP_N))
-    if "scoring_method" not in cols:
-        out = out.withColumn("scoring_method", F.lit("cosine"))
-    if "model_name" not in cols:
-        out = out.withColumn("model_name", F.lit(MODEL_A))
-    return out.withColumn("top_n", F.least(F.greatest(F.col("top_n").cast("int"), F.lit(1)), F.lit(100)))
+    for c, default in defaults.items():
+        out = out.withColumn(c, F.coalesce(F.col(c), default) if c in req.columns else default)
+    return out.withColumn("top_n", F.col("top_n").cast("int"))
+
+
+def bad_requests(req: DataFrame, req_id: str = "request_id") -> DataFrame:
+    """(request, error) of the requests that no lookup serves: top_n outside 1..MAX_TOP_N or an unknown genre."""
+    q = with_request_defaults(req)
+    known = F.col("genre").isNull() | F.array_contains(genre_vocab_col(), F.col("genre"))
+    error = (F.when(~F.col("top_n").between(1, MAX_TOP_N), F.concat(F.lit("top_n "), F.col("top_n"), F.lit(f" is outside 1..{MAX_TOP_N}")))
+             .when(~known, F.concat(F.lit("unknown genre "), F.col("genre"))))
+    return q.select(req_id, error.alias("error")).where("error is not null")
+
+
+def _served(req: DataFrame) -> DataFrame:
+    return with_request_defaults(req).where(F.col("top_n").between(1, MAX_TOP_N))
 
 
 def lookup_user(serving: DataFrame, requests: DataFrame, req_id: str = "request_id") -> DataFrame:
-    """Personalised rows for (user, model, method[, genre]); first top_n of both arrays."""
-    req = with_request_defaults(requests)
-    return _pick_rows(req, serving, ["user_id", "model_name", "scoring_method"], req_id)
+    """Personalised rows for (user, model, method[, genre]); first top_n of both arrays. Requests outside the
+    bounds have no row here and one in ``bad_requests``."""
+    return _pick_rows(_served(requests), serving, ["user_id", "model_name", "scoring_method"], req_id)
 
 
 def lookup_cold_start(cold: DataFrame, requests: DataFrame, req_id: str = "request_id") -> DataFrame:
-    """Cold-start rows per request; the cold table is bounded (at most genres x methods x models rows)."""
-    req = with_request_defaults(requests)
-    return _pick_rows(req, cold, ["model_name", "scoring_method"], req_id, small_rows=True)
+    """Cold-start rows per request (genre x method x model)."""
+    return _pick_rows(_served(requests), cold, ["model_name", "scoring_method"], req_id)
 
 
 def batch_recommend(serving: DataFrame, cold: DataFrame, requests: DataFrame, req_id: str = "request_id") -> DataFrame:
-    """Per request the personalised list, else the cold-start list for the same model/method/genre."""
-    req = with_request_defaults(requests)
-    personal = lookup_user(serving, req, req_id).withColumn("source", F.lit("personal"))
-    missing = req.join(personal.select(req_id), req_id, "left_anti")
-    fallback = lookup_cold_start(cold, missing.drop("user_id"), req_id).join(
-        missing.select(req_id, "user_id"), req_id).withColumn("source", F.lit("cold_start"))
-    return personal.unionByName(fallback)
+    """Exactly one row per request: the personalised list (source 'personal'), else the cold-start list for the same
+    model, method and genre ('cold_start'), else nothing found ('none', null lists), or 'invalid' if out of bounds."""
+    q = with_request_defaults(requests)
+    valid = F.col("top_n").between(1, MAX_TOP_N)
+    for prefix, rows, keys in (("p", serving, ["user_id", "model_name", "scoring_method"]), ("c", cold, ["model_name", "scoring_method"])):
+        lists = rows.select(*keys, F.col("genre").alias(f"{prefix}_genre"),
+                            F.struct("genre", "movie_ids", "scores").alias(prefix))
+        q = q.join(_first_genres(rows, keys, f"{prefix}_genre"), keys, "left")
+        q = q.withColumn(f"{prefix}_genre", F.coalesce("genre", f"{prefix}_genre")).join(lists, [*keys, f"{prefix}_genre"], "left")
+    found = F.when(valid, F.coalesce("p", "c"))
+    source = (F.when(~valid, "invalid").when(F.col("p").isNotNull(), "personal").when(F.col("c").isNotNull(), "cold_start")
+              .otherwise("none"))
+    return q.select(req_id, "user_id", "model_name", "scoring_method", "top_n", F.coalesce(found["genre"], F.col("genre")).alias("genre"),
+                    F.slice(found["movie_ids"], 1, F.greatest("top_n", F.lit(1))).alias("movie_ids"),
+                    F.slice(found["scores"], 1, F.greatest("top_n", F.lit(1))).alias("scores"), source.alias("source"))
 
 
 def multi_model_recommend(serving: DataFrame, requests: DataFrame, models: list[str],
@@ -87,12 +104,13 @@ def explode_recs(recs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def top_genres(uf: DataFrame, k: int = 2) -> DataFrame:
-    """(user_id, genre, rank): the k highest positive affinities, ties in vocabulary order."""
+    """(user_id, genre, rank): the k highest positive affinities, ties in vocabulary order. The array is sorted in its
+    row; only k entries of it are exploded."""
     vocab = genre_vocab_col()
-    e = uf.select("user_id", F.posexplode("genre_affinity").alias("pos", "v"))
-    w = Window.partitionBy("user_id").orderBy(F.desc("v"), F.asc("pos"))
-    return (e.withColumn("rank", F.row_number().over(w)).filter((F.col("rank") <= k) & (F.col("v") > 0))
-            .select("user_id", F.get(vocab, F.col("pos")).alias("genre"), "rank"))
+    entry = F.transform("genre_affinity", lambda v, i: F.struct((-v).alias("nv"), i.alias("pos")))
+    best = F.slice(F.array_sort(F.filter(entry, lambda e: e["nv"] < 0)), 1, k)
+    e = uf.select("user_id", F.posexplode(best).alias("n", "e"))
+    return e.select("user_id", F.get(vocab, F.col("e.pos")).alias("genre"), (F.col("n") + 1).alias("rank"))
 
 
 def explain(recs_long: DataFrame, uf: DataFrame, itf: DataFrame, cold_genre: str | None = None,
@@ -135,8 +153,9 @@ def ab_compare(serving: DataFrame, users: DataFrame, req_id: str = "user_id") ->
 
 
 def search_titles(mv: DataFrame, itf: DataFrame, q: str, limit: int = 10) -> DataFrame:
-    """Case-insensitive contains ('%' and '_' in q act as wildcards), ordered by movie_id, limit 1..50."""
-    limit = max(1, min(int(limit), 50))
+    """Case-insensitive contains ('%' and '_' in q act as wildcards), ordered by movie_id; a limit outside 1..50 raises."""
+    if not 1 <= int(limit) <= 50:
+        raise ValueError(f"limit {limit} is outside 1..50")
     hits = mv.filter(F.col("title").ilike(f"%{q}%")).select("movie_id", "title")
     return (hits.join(itf.select("movie_id", F.col("release_year").alias("year")), "movie_id", "left")
             .orderBy("movie_id").limit(limit))

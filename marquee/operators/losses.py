@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import vectors as V
+from marquee.operators.split import with_global_index
 
 
 def weighted_mse_rows(pairs: DataFrame, rating_scale: float = 5.0) -> DataFrame:
@@ -42,8 +43,20 @@ def _infonce_batch(pdf: pd.DataFrame, tau: float) -> float:
     return (ce(S) + ce(S.T)) / 2.0
 
 
-def infonce_loss(pairs: DataFrame, tau: float = 0.07, by: str = "batch_id", order: str = "k") -> DataFrame:
-    """Per batch: mean of the row-wise and column-wise cross-entropy of cos/tau, diagonal scaled by weight."""
+def with_batches(pairs: DataFrame, batch_size: int = 256, order: str = "k", by: str = "batch_id") -> DataFrame:
+    """Batches of ``batch_size`` consecutive rows in a unique order, from a global index."""
+    idx = with_global_index(pairs, [order], out="_n")
+    return idx.withColumn(by, F.floor(F.col("_n") / batch_size)).drop("_n")
+
+
+def infonce_loss(pairs: DataFrame, tau: float = 0.07, by: str = "batch_id", order: str = "k",
+                 max_batch: int = 8192) -> DataFrame:
+    """Per batch: mean of the row-wise and column-wise cross-entropy of cos/tau, diagonal scaled by weight.
+
+    A batch is one similarity matrix in one task, so batches above ``max_batch`` rows raise; ``with_batches`` deals them."""
+    largest = pairs.groupBy(by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > max_batch:
+        raise ValueError(f"a batch of {largest} rows exceeds {max_batch}; deal the rows with with_batches")
     key_type = pairs.schema[by].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -76,18 +89,12 @@ def cross_kl(rows: DataFrame, s_user: str, s_item: str, t_user: str, t_item: str
     return embedding_kl(cut, "_s", "_t", mask_dims, by)
 
 
-def model_pairs(models: DataFrame, col: str = "model_name", max_models: int = 1000) -> DataFrame:
-    """All ordered (teacher, student) with teacher != student; none for fewer than two models.
-
-    The model list is configuration-sized; it is checked before the pairs are built.
-    """
-    names = models.select(col).distinct()
-    n = names.count()
-    if n > max_models:
-        raise ValueError(f"{n} models exceed the bound of {max_models}")
-    packed = names.agg(F.collect_list(col).alias("m"))
-    return (packed.select(F.explode("m").alias("teacher"), "m")
-            .select("teacher", F.explode("m").alias("student")).filter(F.col("teacher") != F.col("student")))
+def model_pairs(models: DataFrame, col: str = "model_name") -> DataFrame:
+    """All ordered (teacher, student) with teacher != student; none for fewer than two models. The pairs are the answer;
+    names are distinct before they meet."""
+    names = models.select(col).where(F.col(col).isNotNull()).distinct()
+    return (names.select(F.col(col).alias("teacher")).join(names.select(F.col(col).alias("student")),
+                                                          F.col("teacher") != F.col("student")))
 
 
 def batch_mean_loss(row_loss: DataFrame, index_col: str, batch_size: int, by: list[str] | None = None,
@@ -108,7 +115,9 @@ def embedding_norm_stats(users: DataFrame, items: DataFrame, u: str = "u", i: st
 
 
 def best_epoch(metrics: DataFrame, run: str = "run_id", epoch: str = "step", value: str = "value") -> DataFrame:
-    """Per run the first epoch with the strictly lowest value."""
+    """Per run the first epoch with the strictly lowest value; epochs without a number are no candidates, so a run
+    that has no other is left out."""
+    metrics = metrics.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     best = F.min(F.struct(value, epoch)).alias("b")
     return metrics.groupBy(run).agg(best).select(run, F.col(f"b.{epoch}").alias("best_epoch"),
                                                 F.col(f"b.{value}").alias("best_value"))

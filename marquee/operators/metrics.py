@@ -11,8 +11,9 @@ SWEEP_TAG = "sweep_trial"
 
 def runs_filtered(runs: DataFrame, experiment: str | None = None, architecture: str | None = None,
                   distillation_type: str | None = None, limit: int = 50) -> DataFrame:
-    """Filter by experiment and tags; newest first (ties by run_id); limit 1..500 (a report size)."""
-    limit = max(1, min(int(limit), 500))
+    """Filter by experiment and tags; newest first (ties by run_id); a limit outside 1..500 (a report size) raises."""
+    if not 1 <= int(limit) <= 500:
+        raise ValueError(f"limit {limit} is outside 1..500")
     out = runs
     if experiment:
         out = out.filter(F.col("experiment") == experiment)

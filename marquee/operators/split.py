@@ -43,7 +43,7 @@ def temporal_split(rk: DataFrame, train: float = 0.8, val: float = 0.1,
     if not train + val < 1.0:
         raise ValueError("train + val fractions must be < 1.0")
     indexed = with_global_index(rk.select(key, ts), [ts, key])
-    n = indexed.count()
+    n = (indexed.agg(F.max("idx")).first()[0] + 1) if not indexed.isEmpty() else 0
     if n == 0:
         raise ValueError("ratings are empty")
     n_train, n_val = int(n * train), int(n * val)

@@ -18,5 +18,9 @@ def movies(spark: SparkSession, d: str) -> DataFrame:
     return fx.fx_movies(spark, d)
 
 
+def movies_gaps(spark: SparkSession, d: str) -> DataFrame:
+    return fx.fx_movies_gaps(spark, d)
+
+
 def tags(spark: SparkSession, d: str) -> DataFrame:
     return merge.drop_null_keys(fx.fx_tags(spark, d), ["user_id", "movie_id", "tag", "timestamp"])

@@ -23,13 +23,22 @@ select cast(p_partkey as int) as movie_id,
             when p_partkey % 19 = p_size % 19 then list_extract({VOCAB}, cast(p_partkey % 19 as int) + 1)
             else concat(list_extract({VOCAB}, cast(p_partkey % 19 as int) + 1), '|',
                         list_extract({VOCAB}, cast(p_size % 19 as int) + 1)) end as genres
-from part where p_partkey % 10 <> 7"""),
+from part"""),
+    ("fx_movies_gaps", ("fx_movies",), "select * from fx_movies where movie_id % 10 <> 7"),
+    ("fx_dirty_ratings", ("fx_ratings",), """
+select r.id, case when event_type <> 'error' then r.user_id end as user_id,
+       case when event_type <> 'signup' then r.movie_id end as movie_id,
+       case when event_type = 'purchase' then rating + 3.0e0 else rating end as rating, timestamp, inserted_at
+from fx_ratings r join events e on e.event_id = r.id"""),
+    ("fx_dirty_movies", ("fx_movies",), """
+select movie_id, case when genres <> '(no genres listed)' then title end as title, genres from fx_movies"""),
     ("fx_tags", (), """
 select cast(doc_id % 150 as int) as user_id, cast(doc_id as int) as movie_id, text as tag, doc_id as timestamp
 from documents"""),
     ("fx_links", (), """
 select cast(p_partkey as int) as movie_id, lpad(cast(p_partkey as varchar), 7, '0') as imdb_id,
        case when p_partkey % 3 = 0 then null else cast(p_partkey * 7 as varchar) end as tmdb_id from part"""),
+    ("fx_dirty_links", ("fx_links",), "select movie_id, imdb_id, coalesce(tmdb_id, 'nan') as tmdb_id from fx_links"),
     ("fx_vec", (), """
 select vec_id, label, list_transform(embedding, lambda x: x::double * (1.0e0 + vec_id % 5)) as v from embeddings"""),
     ("fx_pairs", ("fx_vec",), """

@@ -46,8 +46,14 @@ _MERGE = [
              f"from fx_ratings where inserted_at >= TIMESTAMP '{SECOND_FILE_FROM}'"),
     ("src_last", _dedupe_sql("src0", True)),
     ("src_first", _dedupe_sql("src0", False)),
-    ("upserted", "select * from tgt where not exists (select 1 from src_last s where s.user_id = tgt.user_id "
-                 "and s.movie_id = tgt.movie_id) union all select * from src_last"),
+    # an existing key keeps its row id
+    ("upserted", "select coalesce(t.id, s.id) as id, user_id, movie_id, "
+                 "case when s.id is null then t.rating else s.rating end as rating, "
+                 "case when s.id is null then t.timestamp else s.timestamp end as timestamp, "
+                 "case when s.id is null then t.inserted_at else s.inserted_at end as inserted_at "
+                 "from tgt t full join src_last s using (user_id, movie_id)"),
+    ("all_first", "select id, user_id, movie_id, rating, timestamp, inserted_at from (select *, row_number() over "
+                  "(partition by user_id, movie_id order by id) as rn_ from fx_ratings) where rn_ = 1"),
 ]
 _COLS = "id, user_id, movie_id, rating, timestamp, inserted_at"
 
@@ -57,6 +63,39 @@ def q_merge_upsert(spark, d):
     return merge.merge_upsert(_first_load(spark, d), _second_file(spark, d), KEYS, "id")
 
 
+@query("upsert_keeps_id", W("fx_ratings", extra=_MERGE) + """
+select t.id, t.user_id, t.movie_id, s.rating from tgt t join src_last s using (user_id, movie_id)""")
+def q_upsert_keeps_id(spark, d):
+    """Rows of the first load that the second file replaces: new values under the old row ids."""
+    first = _first_load(spark, d)
+    up = merge.merge_upsert(first, _second_file(spark, d), KEYS, "id")
+    return up.where(F.col("inserted_at") == merge.ntz_literal(BATCH_TS)).join(first.select("id"), "id").select("id", *KEYS, "rating")
+
+
+@query("splits_after_upsert", W("fx_ratings", extra=_MERGE + [
+    ("nth", "select id, row_number() over (order by timestamp, id) - 1 as k, count(*) over () as n from tgt"),
+    ("sp", "select id as rating_id, case when k < cast(floor(n * 0.8e0) as bigint) then 'train' when k < cast(floor(n * 0.8e0) as bigint) "
+           "+ cast(floor(n * 0.1e0) as bigint) then 'val' else 'test' end as split from nth")]) + """
+select u.id, u.rating, sp.split from upserted u join sp on sp.rating_id = u.id""")
+def q_splits_after_upsert(spark, d):
+    """A split made before an upsert still finds all its ratings after it."""
+    from marquee.operators import split
+    first = _first_load(spark, d)
+    sp = split.temporal_split(first)
+    return split.load_splits(merge.merge_upsert(first, _second_file(spark, d), KEYS, "id"), sp).select("id", "rating", "split")
+
+
+@query("watermarks_partial_run", W("fx_ratings", extra=_MERGE) + f"""
+select 'ratings' as table_name, max(inserted_at) as last_inserted_at from upserted
+union all select 'movies', TIMESTAMP '{BATCH_TS:%Y-%m-%d %H:%M:%S}'""")
+def q_watermarks_partial_run(spark, d):
+    """A run that loads ratings alone moves their mark and leaves that of the movies."""
+    first = _first_load(spark, d)
+    marks = merge.max_inserted_watermark({"ratings": first, "movies": merge.stamp_inserted_at(fx.fx_movies(spark, d), BATCH_TS)})
+    up = merge.merge_upsert(first, _second_file(spark, d), KEYS, "id")
+    return merge.merge_watermarks(marks, merge.max_inserted_watermark({"ratings": up}))
+
+
 @query("merge_skip", W("fx_ratings", extra=_MERGE) + f"""
 select {_COLS} from tgt union all
 select {_COLS} from src_first s where not exists (select 1 from tgt where s.user_id = tgt.user_id and s.movie_id = tgt.movie_id)""")
@@ -64,27 +103,28 @@ def q_merge_skip(spark, d):
     return merge.merge_skip(_first_load(spark, d), _second_file(spark, d), KEYS, "id")
 
 
-@query("merge_replace", W("fx_ratings", extra=_MERGE) + f"select {_COLS} from src_first")
+@query("merge_replace", W("fx_ratings", extra=_MERGE) + f"select {_COLS} from all_first")
 def q_merge_replace(spark, d):
-    return merge.merge_replace(_second_file(spark, d), KEYS, "id")
+    """A full file replaces the table; of conflicting rows the first stays."""
+    return merge.merge_replace(fx.fx_ratings(spark, d), KEYS, "id")
 
 
-@query("stamp_inserted_at", W("fx_ratings", extra=_MERGE) + """
-select inserted_at, count(*) as n from src0 group by inserted_at""")
+@query("stamp_inserted_at", W("fx_ratings") + f"""
+select id, user_id, movie_id, TIMESTAMP '{BATCH_TS:%Y-%m-%d %H:%M:%S}' as inserted_at from fx_ratings""")
 def q_stamp_inserted_at(spark, d):
-    return _second_file(spark, d).groupBy("inserted_at").agg(F.count(F.lit(1)).alias("n"))
+    return merge.stamp_inserted_at(fx.fx_ratings(spark, d), BATCH_TS).select("id", "user_id", "movie_id", "inserted_at")
 
 
-@query("drop_null_keys", W("fx_links") + """
-select movie_id, imdb_id, tmdb_id from fx_links where movie_id is not null and tmdb_id is not null""")
+@query("drop_null_keys", W("fx_dirty_ratings") + """
+select id, user_id, movie_id, rating from fx_dirty_ratings where user_id is not null and movie_id is not null""")
 def q_drop_null_keys(spark, d):
-    return merge.drop_null_keys(fx.fx_links(spark, d), ["movie_id", "tmdb_id"])
+    return merge.drop_null_keys(fx.fx_dirty_ratings(spark, d), KEYS).select("id", "user_id", "movie_id", "rating")
 
 
-@query("null_sentinel", W("fx_links") + """
-select movie_id, nullif(imdb_id, 'nan') as imdb_id, nullif(tmdb_id, 'nan') as tmdb_id from fx_links""")
+@query("null_sentinel", W("fx_dirty_links") + """
+select movie_id, nullif(imdb_id, 'nan') as imdb_id, nullif(tmdb_id, 'nan') as tmdb_id from fx_dirty_links""")
 def q_null_sentinel(spark, d):
-    return merge.null_sentinel(fx.fx_links(spark, d), ["imdb_id", "tmdb_id"])
+    return merge.null_sentinel(fx.fx_dirty_links(spark, d), ["imdb_id", "tmdb_id"])
 
 
 @query("max_inserted_watermark", W("fx_ratings", extra=_MERGE) + """
@@ -122,23 +162,23 @@ def q_check_row_count(spark, d):
         quality.check_row_count(data.movies(spark, d), "movies"))
 
 
-@query("check_null_keys", W("fx_ratings") + """
+@query("check_null_keys", W("fx_dirty_ratings") + """
 select count(*) filter (where user_id is null) as null_user_id, count(*) filter (where movie_id is null) as null_movie_id
-from fx_ratings""")
+from fx_dirty_ratings""")
 def q_check_null_keys(spark, d):
-    return quality.check_null_keys(fx.fx_ratings(spark, d))
+    return quality.check_null_keys(fx.fx_dirty_ratings(spark, d))
 
 
-@query("check_null_titles", W("fx_movies") + """
-select count(*) as row_count, count(*) filter (where title is null) as null_titles from fx_movies""")
+@query("check_null_titles", W("fx_dirty_movies") + """
+select count(*) as row_count, count(*) filter (where title is null) as null_titles from fx_dirty_movies""")
 def q_check_null_titles(spark, d):
-    return quality.check_null_titles(data.movies(spark, d))
+    return quality.check_null_titles(fx.fx_dirty_movies(spark, d))
 
 
-@query("check_rating_range", W("fx_ratings") + """
-select count(*) filter (where rating < 0.5e0 or rating > 5.0e0) as out_of_range from fx_ratings""")
+@query("check_rating_range", W("fx_dirty_ratings") + """
+select count(*) filter (where rating < 0.5e0 or rating > 5.0e0) as out_of_range from fx_dirty_ratings""")
 def q_check_rating_range(spark, d):
-    return quality.check_rating_range(fx.fx_ratings(spark, d))
+    return quality.check_rating_range(fx.fx_dirty_ratings(spark, d))
 
 
 @query("distinct_counts", W("rk") + """
@@ -147,19 +187,24 @@ def q_distinct_counts(spark, d):
     return quality.distinct_counts(data.ratings(spark, d))
 
 
-@query("orphan_ratings", W("rk", "fx_movies") + """
-select r.id, r.user_id, r.movie_id from rk r left join fx_movies m on r.movie_id = m.movie_id where m.movie_id is null""")
+@query("orphan_ratings", W("rk", "fx_movies_gaps") + """
+select r.id, r.user_id, r.movie_id from rk r left join fx_movies_gaps m on r.movie_id = m.movie_id where m.movie_id is null""")
 def q_orphan_ratings(spark, d):
-    return quality.orphan_ratings(data.ratings(spark, d), data.movies(spark, d)).select("id", "user_id", "movie_id")
+    return quality.orphan_ratings(data.ratings(spark, d), data.movies_gaps(spark, d)).select("id", "user_id", "movie_id")
 
 
-@query("validate_all", W("rk", "fx_movies", extra=[
-    ("r", """select count(*) as n, count(*) filter (where user_id is null) as nu,
+def _validate_sql(ratings: str, movies: str) -> list[tuple[str, str]]:
+    return [
+        ("r", f"""select count(*) as n, count(*) filter (where user_id is null) as nu,
                   count(*) filter (where movie_id is null) as nm,
                   count(*) filter (where rating < 0.5e0 or rating > 5.0e0) as oor,
-                  count(distinct user_id) as du, count(distinct movie_id) as dm from rk"""),
-    ("m", "select count(*) as n, count(*) filter (where title is null) as nt from fx_movies"),
-    ("o", "select count(*) as n from rk where not exists (select 1 from fx_movies f where f.movie_id = rk.movie_id)")]) + """
+                  count(distinct user_id) as du, count(distinct movie_id) as dm from {ratings}"""),
+        ("m", f"select count(*) as n, count(*) filter (where title is null) as nt from {movies}"),
+        ("o", f"select count(*) as n from {ratings} q where not exists "
+              f"(select 1 from {movies} f where f.movie_id = q.movie_id)")]
+
+
+_VALIDATE = """
 select 'ratings_row_count' as "check", case when n > 0 then 'ok' else 'fail' end as severity, n as value from r
 union all select 'ratings_null_user_id', case when nu > 0 then 'fail' else 'ok' end, nu from r where n > 0
 union all select 'ratings_null_movie_id', case when nm > 0 then 'fail' else 'ok' end, nm from r where n > 0
@@ -168,9 +213,18 @@ union all select 'ratings_distinct_users', 'info', du from r where n > 0
 union all select 'ratings_distinct_movies', 'info', dm from r where n > 0
 union all select 'movies_row_count', case when n > 0 then 'ok' else 'fail' end, n from m
 union all select 'movies_null_titles', case when nt > 0 then 'fail' else 'ok' end, nt from m where n > 0
-union all select 'orphan_ratings', case when n > 0 then 'warn' else 'ok' end, n from o""")
+union all select 'orphan_ratings', case when n > 0 then 'warn' else 'ok' end, n from o"""
+
+
+@query("validate_all", W("rk", "fx_movies_gaps", extra=_validate_sql("rk", "fx_movies_gaps")) + _VALIDATE)
 def q_validate_all(spark, d):
-    return quality.validate_all(data.ratings(spark, d), data.movies(spark, d))
+    return quality.validate_all(data.ratings(spark, d), data.movies_gaps(spark, d))
+
+
+@query("validate_failing", W("fx_dirty_ratings", "fx_dirty_movies", extra=_validate_sql("fx_dirty_ratings", "fx_dirty_movies")) + _VALIDATE)
+def q_validate_failing(spark, d):
+    """The same checks over rows with null keys, ratings out of range and missing titles: the fail and warn branches."""
+    return quality.validate_all(fx.fx_dirty_ratings(spark, d), fx.fx_dirty_movies(spark, d))
 
 
 @query("table_counts", W("rk", "fx_movies", "fx_tags", "fx_links") + """

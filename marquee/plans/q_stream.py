@@ -112,28 +112,34 @@ STREAM_BASE = datetime(2024, 3, 1)
 
 
 @query("stream_ingest", W("fx_ratings", extra=[
-    ("f1", f"select id, user_id, movie_id, rating, timestamp, TIMESTAMP '{STREAM_BASE:%Y-%m-%d %H:%M:%S}' as inserted_at "
+    ("f1", f"select row_number() over (order by id) - 1 as rid, user_id, movie_id, rating, timestamp "
            f"from fx_ratings where inserted_at < TIMESTAMP '{FIRST_LOAD_BEFORE}'"),
-    ("f2", f"select id, user_id, movie_id, rating, timestamp, TIMESTAMP '{STREAM_BASE:%Y-%m-%d} 01:00:00' as inserted_at "
+    ("f2", f"select (select count(*) from f1) + row_number() over (order by id) - 1 as rid, user_id, movie_id, rating, timestamp "
            f"from fx_ratings where inserted_at >= TIMESTAMP '{SECOND_FILE_FROM}'"),
-    ("t1", "select * from (select *, row_number() over (partition by user_id, movie_id order by id desc) as rn_ "
+    ("t1", "select * from (select *, row_number() over (partition by user_id, movie_id order by rid desc) as rn_ "
            "from f1) where rn_ = 1"),
-    ("t2", "select * from (select *, row_number() over (partition by user_id, movie_id order by id desc) as rn_ "
-           "from f2) where rn_ = 1")]) + """
-select id, user_id, movie_id, rating, timestamp, inserted_at from t1
-where not exists (select 1 from t2 where t2.user_id = t1.user_id and t2.movie_id = t1.movie_id)
-union all select id, user_id, movie_id, rating, timestamp, inserted_at from t2""")
+    ("t2", "select * from (select *, row_number() over (partition by user_id, movie_id order by rid desc) as rn_ "
+           "from f2) where rn_ = 1")]) + f"""
+select coalesce(t1.rid, t2.rid) as id, user_id, movie_id, case when t2.rid is null then t1.rating else t2.rating end as rating,
+       case when t2.rid is null then t1.timestamp else t2.timestamp end as timestamp,
+       case when t2.rid is null then TIMESTAMP '{STREAM_BASE:%Y-%m-%d %H:%M:%S}' else TIMESTAMP '{STREAM_BASE:%Y-%m-%d} 01:00:00' end as inserted_at
+from t1 full join t2 using (user_id, movie_id)""")
 def q_stream_ingest(spark, d):
-    """Two deliveries land one after the other; each availableNow run merges what is new."""
+    """Two deliveries in the download's own layout (no row ids) land one after the other; each availableNow run
+    merges what is new."""
+    from datetime import timedelta
+
+    from marquee.sources import files as fl
     from marquee.streaming.ingest import current_table, stream_ingest
     base = scratch_path(spark, "stream")
     landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
-    cols = ["id", "user_id", "movie_id", "rating", "timestamp"]
     r = fx.fx_ratings(spark, d)
     deliveries = [r.filter(F.col("inserted_at") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")),
                   r.filter(F.col("inserted_at") >= F.lit(SECOND_FILE_FROM).cast("timestamp_ntz"))]
     for n, part in enumerate(deliveries):
-        part.select(*cols).write.option("header", True).csv(f"{landing}/delivery={n:04d}")
-        q = stream_ingest(spark, f"{landing}/*/", table, ckpt, base_ts=STREAM_BASE)
+        rows = part.repartitionByRange("id").sortWithinPartitions("id")  # file names follow the ids
+        fl.write_csv(rows.select(F.col("user_id").alias("userId"), F.col("movie_id").alias("movieId"), "rating", "timestamp"),
+                     f"{landing}/delivery={n:04d}")
+        q = stream_ingest(spark, f"{landing}/*/", table, ckpt, clock=lambda b: STREAM_BASE + timedelta(hours=b), buckets=8)
         q.awaitTermination()
-    return current_table(spark, table).select(*cols, "inserted_at")
+    return current_table(spark, table).select("id", "user_id", "movie_id", "rating", "timestamp", "inserted_at")

@@ -47,40 +47,59 @@ class Warehouse:
         return self.spark.read.parquet(out)
 
 
-def run_ingest(spark: SparkSession, source: str, wh: Warehouse, mode: str = "upsert") -> DataFrame:
+class IngestFailed(RuntimeError):
+    """Some files could not be loaded; the others are. ``report`` holds one row per file."""
+
+    def __init__(self, message: str, report: DataFrame):
+        super().__init__(message)
+        self.report = report
+
+
+def run_ingest(spark: SparkSession, source: str, wh: Warehouse, mode: str = "upsert", strict: bool = True) -> DataFrame:
     """Every loadable file merged into its raw table (upsert | skip | replace); watermarks advanced.
 
     A folder holding no known data file but zip archives is unpacked first (archives with unsafe member
-    paths are refused whole) into the warehouse's staging area."""
+    paths are refused whole) into the warehouse's staging area. A file that cannot be read is reported and the rest goes on;
+    at the end the report is written, and with ``strict`` any error raises IngestFailed."""
     if not dv.has_known_files(dv.list_files(spark, source)):
         staged = f"{wh.path('staging/unzipped')}/v={wh.next_version('staging/unzipped'):08d}"
         dv.expand_archives(spark, source, staged).count()
         source = staged
+    variant = dv.detect_variant(dv.list_files(spark, source)).first()["variant"]
     plan = dv.discover_inputs(spark, source).collect()  # one row per file or part folder (listing metadata)
     written, report = {}, []
     for r in sorted(plan, key=lambda r: r["dataset_path"]):
         if r["action"] != "load":
-            report.append((r["name"], r["action"], 0, r["reason"]))
+            report.append((r["name"], r["action"], r["table_name"], 0, 0, r["reason"]))
             continue
-        table, df = dv.read_dataset(spark, r["name"], r["dataset_path"])
-        keys = CONFLICT_KEYS[table]
-        name = f"raw/{table}"
-        current = written[table] if table in written else wh.read(name)
-        base = 0 if current is None or "id" not in current.columns else (current.agg(F.max("id")).first()[0] or -1) + 1
-        src = merge.stamp_inserted_at(merge.drop_null_keys(df, keys)).withColumn(
-            "id", F.monotonically_increasing_id() + F.lit(base))  # arrival order: file position
-        if mode == "replace" or current is None:
-            merged = merge.merge_replace(src, keys, "id") if mode != "upsert" else merge.dedupe_last(src, keys, "id")
-        elif mode == "skip":
-            merged = merge.merge_skip(current.select(*src.columns), src, keys, "id")
-        else:
-            merged = merge.merge_upsert(current.select(*src.columns), src, keys, "id")
-        written[table] = wh.write(name, merged)
-        report.append((r["name"], "load", src.count(), None))
-    marks = merge.max_inserted_watermark({t: df for t, df in written.items()}) if written else None
-    if marks is not None:
-        wh.write("pipeline/trigger_watermarks", marks)
-    return spark.createDataFrame(report, "file string, action string, rows_offered long, reason string")
+        try:
+            table, df = dv.read_dataset(spark, r["name"], r["dataset_path"])
+            keys, name = CONFLICT_KEYS[table], f"raw/{table}"
+            current = written[table] if table in written else wh.read(name)
+            src = merge.arrival_ids(merge.drop_null_keys(df, keys), merge.next_id(current))
+            src = merge.stamp_inserted_at(src)
+            if mode == "replace" or current is None:
+                merged = merge.merge_replace(src, keys, "id") if mode != "upsert" else merge.dedupe_last(src, keys, "id")
+            elif mode == "skip":
+                merged = merge.merge_skip(current.select(*src.columns), src, keys, "id")
+            else:
+                merged = merge.merge_upsert(current.select(*src.columns), src, keys, "id")
+            written[table] = wh.write(name, merged)
+            bad = dv.unparsable(spark, r["name"], r["dataset_path"]).count()
+            report.append((r["name"], "load", table, src.count(), bad, f"{bad} records do not parse" if bad else None))
+        except Exception as e:  # noqa: BLE001 - recorded per file; the stage fails at the end
+            report.append((r["name"], "error", r["table_name"], 0, 0, f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"))
+    if written:
+        marks = merge.max_inserted_watermark(dict(written))
+        wh.write("pipeline/trigger_watermarks", merge.merge_watermarks(wh.read("pipeline/trigger_watermarks"), marks))
+    errors = [x for x in report if x[1] == "error"]
+    ok = not errors and {"ratings", "movies"} <= {x[2] for x in report if x[1] == "load"}
+    out = spark.createDataFrame([(*x, variant, ok) for x in report], "file string, action string, table_name string, rows_offered long, "
+                                "unparsable long, reason string, variant string, ok boolean")
+    out = wh.write("pipeline/ingest_report", out)
+    if errors and strict:
+        raise IngestFailed("; ".join(f"{x[0]}: {x[5]}" for x in errors), out)
+    return out
 
 
 def run_validate(spark: SparkSession, wh: Warehouse, strict: bool = False) -> DataFrame:
@@ -133,8 +152,8 @@ def run_precompute(spark: SparkSession, wh: Warehouse, top_n: int = 20) -> DataF
     items = wh.read(f"models/{MODEL_NAME}/items")
     membership = retrieve.genre_membership(wh.read("features/item_features"))
     top, cold = retrieve.precompute_serving(users, items, membership, MODEL_NAME, ("cosine", "dot", "l2"), top_n)
-    merge.write_model_rows(top, wh.path("serving/top_n_user_genre"), ("model_name", "scoring_method"))
-    merge.write_model_rows(cold, wh.path("serving/cold_start_genre"), ("model_name", "scoring_method"))
+    merge.write_model_rows(top, wh.path("serving/top_n_user_genre"))  # a model's rows go as a whole, dropped methods too
+    merge.write_model_rows(cold, wh.path("serving/cold_start_genre"))
     t = spark.read.parquet(wh.path("serving/top_n_user_genre"))
     c = spark.read.parquet(wh.path("serving/cold_start_genre"))
     return retrieve.precompute_counts(t.filter(F.col("model_name") == MODEL_NAME), c.filter(F.col("model_name") == MODEL_NAME))

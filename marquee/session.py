@@ -35,7 +35,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private folder is created.
+    Only a local master may do without the setting: it gets a private folder. On a cluster a private folder
+    would be another disk on every machine, so the call raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="marquee-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -66,3 +69,12 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table whose readers are done; only paths under the checkpoint folder are accepted."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(base + "/marquee-"):
+        raise ValueError(f"{path} is no scratch table")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

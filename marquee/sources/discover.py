@@ -7,8 +7,11 @@ by its folder. Classification is a join against a small fixed manifest (broadcas
 """
 from __future__ import annotations
 
-import io
+import hashlib
 import posixpath
+import re
+import shutil
+import uuid
 import zipfile
 
 import pandas as pd
@@ -105,7 +108,7 @@ def task_filesystem(uri: str):
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
     if "://" in uri:
-        return pafs.FileSystem.from_uri(uri)
+        return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
     return pafs.LocalFileSystem(), uri
 
 
@@ -113,39 +116,58 @@ def _unsafe(member: str) -> bool:
     return member.startswith("/") or ".." in member
 
 
+COPY_BYTES = 4 << 20
+
+
 def expand_archives(spark: SparkSession, archives: str, out: str) -> DataFrame:
-    """Unpack every zip under ``archives`` into out/<archive name>/; an archive with any member that
-    starts with '/' or contains '..' is refused whole. One archive per task (a zip cannot be split).
+    """Unpack every zip under ``archives`` into ``out``/<digest of the archive's path>-<archive name>/, so archives of one name in
+    different folders stay apart. An archive with a member that starts with '/' or contains '..' is refused whole; one that is
+    broken is reported and the others go on. One archive per task (a zip cannot be split), opened in place and copied in
+    pieces, never held in memory; a member appears under its name only when it is complete, so a repeated task does no harm.
 
-    Returns (archive, member, status) rows."""
+    Paths may be anything that pyarrow's file systems open (file, hdfs, s3, gs, abfs; s3a and s3n are read as s3).
+    Returns (archive, member, status) rows; status is extracted, refused or 'error: ...'."""
     zips = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-            .option("recursiveFileLookup", "true").load(archives).select("path", "content"))
+            .option("recursiveFileLookup", "true").load(archives).select("path"))
     out_root = out.rstrip("/")
+    zips = zips.repartition(F.xxhash64("path"))
 
     def run(batches):
         fs, base = task_filesystem(out_root)
         for b in batches:
-            rows = []
-            for path, content in zip(b["path"], b["content"]):
-                name = posixpath.basename(path)
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    members = [m for m in zf.namelist() if not m.endswith("/")]
-                    if any(_unsafe(m) for m in zf.namelist()):
-                        rows += [(path, m, "refused") for m in members]
-                        continue
-                    target = f"{base}/{posixpath.splitext(name)[0]}"
-                    for m in members:
-                        dest = f"{target}/{m}"
-                        fs.create_dir(posixpath.dirname(dest), recursive=True)
-                        with fs.open_output_stream(dest) as fh:
-                            fh.write(zf.read(m))
-                        rows.append((path, m, "extracted"))
-            yield pd.DataFrame(rows, columns=["archive", "member", "status"])
+            yield pd.DataFrame([row for path in b["path"] for row in _unpack(fs, base, path)], columns=["archive", "member", "status"])
 
     return zips.mapInPandas(run, "archive string, member string, status string")
 
 
+def _unpack(fs, base: str, path: str) -> list[tuple[str, str | None, str]]:
+    rows: list[tuple[str, str | None, str]] = []
+    target = f"{base}/{hashlib.sha1(path.encode()).hexdigest()[:12]}-{posixpath.splitext(posixpath.basename(path))[0]}"
+    try:
+        source, inner = task_filesystem(path)
+        with source.open_input_file(inner) as raw, zipfile.ZipFile(raw) as zf:
+            members = [m for m in zf.namelist() if not m.endswith("/")]
+            if any(_unsafe(m) for m in zf.namelist()):
+                return [(path, m, "refused") for m in members]
+            for m in members:
+                dest = f"{target}/{m}"
+                part = f"{posixpath.dirname(dest)}/.{uuid.uuid4().hex}.part"
+                fs.create_dir(posixpath.dirname(dest), recursive=True)
+                with zf.open(m) as src, fs.open_output_stream(part, compression=None) as fh:
+                    shutil.copyfileobj(src, fh, COPY_BYTES)
+                fs.move(part, dest)
+                rows.append((path, m, "extracted"))
+    except Exception as e:  # noqa: BLE001 - one bad archive must not fail the others
+        rows.append((path, None, f"error: {type(e).__name__}: {e}"))
+    return rows
+
+
 def read_dataset(spark: SparkSession, name: str, path: str) -> tuple[str, DataFrame]:
     """Read one classified dataset with the reader of its file name: (table, DataFrame)."""
     table, reader = READERS[name.lower()]
     return table, reader(spark, path)
+
+
+def unparsable(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The records of one classified dataset that its reader leaves out because they do not parse, with their raw text."""
+    return READERS[name.lower()][1](spark, path, bad=True)

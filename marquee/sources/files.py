@@ -18,7 +18,7 @@ def _schema(*fields) -> T.StructType:
 RATINGS = _schema(("user_id", I), ("movie_id", I), ("rating", D), ("timestamp", L))
 MOVIES = _schema(("movie_id", I), ("title", S), ("genres", S))
 TAGS = _schema(("user_id", I), ("movie_id", I), ("tag", S), ("timestamp", L))
-LINKS_TEXT = _schema(("movie_id", S), ("imdb_id", S), ("tmdb_id", S))
+LINKS = _schema(("movie_id", I), ("imdb_id", S), ("tmdb_id", S))
 GENOME = _schema(("movie_id", I), ("tag_id", I), ("relevance", D))
 ITEM_PIPE = _schema(("movie_id", I), ("title", S))
 
@@ -27,71 +27,109 @@ HEADER_NAMES = {"userId": "user_id", "movieId": "movie_id", "imdbId": "imdb_id",
                 "tagId": "tag_id"}
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True,
-         encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
-    """Explicit schema, RFC 4180 quoting (a doubled quote inside a quoted field is a quote)."""
-    return (spark.read.schema(schema).option("header", header).option("sep", sep).option("escape", '"')
-            .option("encoding", encoding).option("mode", "PERMISSIVE").option("multiLine", multi_line).csv(path))
+CORRUPT = "_corrupt_record"
 
 
-def require_columns(spark: SparkSession, path: str, needed: list[str], sep: str = ",") -> list[str]:
-    """Check a header line names every needed column; raise naming the missing and the found ones."""
-    head = spark.read.option("header", True).option("sep", sep).csv(path).columns
-    found = [HEADER_NAMES.get(c, c) for c in head]
+def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool):
+    """RFC 4180 quoting: a doubled quote inside a quoted field is a quote."""
+    return (spark.read.option("sep", sep).option("escape", '"').option("encoding", encoding).option("mode", "PERMISSIVE")
+            .option("multiLine", multi_line).option("columnNameOfCorruptRecord", CORRUPT))
+
+
+def _broken(df: DataFrame) -> F.Column:
+    """Whether a record does not parse in any of its fields. A scan only parses the columns that a query uses, so the test
+    uses all of them (through a hash that is always in range): a record is broken or not whatever is selected later."""
+    fields = [F.col(f"`{c}`") for c in df.columns if c != CORRUPT]
+    return F.col(CORRUPT).isNotNull() & (F.xxhash64(*fields) >= F.lit(-(1 << 63)).cast("long"))
+
+
+def header_of(spark: SparkSession, path, sep: str = ",", encoding: str = "UTF-8") -> list[str]:
+    return _reader(spark, sep, encoding, False).option("header", True).csv(path).columns
+
+
+def require_columns(spark: SparkSession, path, needed: list[str], sep: str = ",") -> list[str]:
+    """Our names of a file's columns, in file order; raise naming the needed ones that are missing and those found."""
+    found = [HEADER_NAMES.get(c.strip(), c.strip()) for c in header_of(spark, path, sep)]
     missing = [c for c in needed if c not in found]
     if missing:
         raise ValueError(f"missing columns {missing}; found {found}")
     return found
 
 
+def _by_name(spark: SparkSession, path, schema: T.StructType, optional: tuple[str, ...] = (), multi_line: bool = False,
+             bad: bool = False) -> DataFrame:
+    """Columns by their header names, whatever their order; other columns are ignored, optional ones may be absent (null).
+
+    Files read together must share one header (Spark checks each). Records that do not parse are left out; bad=True gives
+    those instead, with their raw text."""
+    found = require_columns(spark, path, [f.name for f in schema if f.name not in optional])
+    types = {f.name: f.dataType for f in schema}
+    file_schema = T.StructType([T.StructField(h, types.get(n, S)) for h, n in zip(header_of(spark, path), found)]
+                               + [T.StructField(CORRUPT, S)])
+    df = _reader(spark, ",", "UTF-8", multi_line).schema(file_schema).option("header", True).option("enforceSchema", False).csv(path)
+    at = {n: F.col(f"`{h}`") for h, n in zip(file_schema.names, found)}
+    cols = [at.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    return df.where(_broken(df)).select(*cols, CORRUPT) if bad else df.where(~_broken(df)).select(*cols)
+
+
+def _by_place(spark: SparkSession, path, schema: T.StructType, sep: str, encoding: str = "UTF-8", bad: bool = False) -> DataFrame:
+    """Files without a header: fields in the layout's order. Records that do not parse as with _by_name."""
+    df = _reader(spark, sep, encoding, False).schema(T.StructType([*schema, T.StructField(CORRUPT, S)])).csv(path)
+    return df.where(_broken(df)) if bad else df.where(~_broken(df)).select(*schema.names)
+
+
 def _na_to_null(col: str) -> F.Column:
     return F.when(F.col(col).isin(PANDAS_NA), F.lit(None).cast("string")).otherwise(F.col(col))
 
 
-def read_ratings_csv(spark, path) -> DataFrame:
-    return _csv(spark, path, RATINGS)
+def read_ratings_csv(spark, path, bad: bool = False) -> DataFrame:
+    return _by_name(spark, path, RATINGS, bad=bad)
 
 
-def read_movies_csv(spark, path, pandas_na: bool = False) -> DataFrame:
-    df = _csv(spark, path, MOVIES)
+def read_movies_csv(spark, path, pandas_na: bool = False, multi_line: bool = True, bad: bool = False) -> DataFrame:
+    """Titles may hold quoted line breaks, so records may span lines (multiLine: one task per file)."""
+    df = _by_name(spark, path, MOVIES, multi_line=multi_line, bad=bad)
     return df.withColumn("title", _na_to_null("title")) if pandas_na else df
 
 
-def read_tags_csv(spark, path, pandas_na: bool = True, multi_line: bool = True) -> DataFrame:
-    """Tags may hold quoted line breaks, so records may span lines (multiLine: one task per file)."""
-    df = _csv(spark, path, TAGS, multi_line=multi_line)
+def read_tags_csv(spark, path, pandas_na: bool = True, multi_line: bool = True, bad: bool = False) -> DataFrame:
+    """Tags may hold quoted line breaks, so records may span lines (multiLine: one task per file; files known to have none
+    can be read with multi_line=False, in splits)."""
+    df = _by_name(spark, path, TAGS, multi_line=multi_line, bad=bad)
+    if bad:
+        return df
     if pandas_na:
         df = df.withColumn("tag", _na_to_null("tag"))
     return drop_null_keys(df, ["tag"])
 
 
-def read_links_csv(spark, path) -> DataFrame:
-    """All text, so leading zeros stay; a missing id column reads as null; 'nan' text is null."""
-    df = _csv(spark, path, LINKS_TEXT)
-    return df.select(F.col("movie_id").cast("int").alias("movie_id"),
-                     F.nullif(F.col("imdb_id"), F.lit("nan")).alias("imdb_id"),
-                     F.nullif(F.col("tmdb_id"), F.lit("nan")).alias("tmdb_id"))
+def read_links_csv(spark, path, bad: bool = False) -> DataFrame:
+    """Ids as text, so leading zeros stay; a missing id column reads as null; 'nan' text is null."""
+    df = _by_name(spark, path, LINKS, optional=("imdb_id", "tmdb_id"), bad=bad)
+    return df.withColumn("imdb_id", F.nullif(F.col("imdb_id"), F.lit("nan"))).withColumn("tmdb_id", F.nullif(F.col("tmdb_id"), F.lit("nan")))
 
 
-def read_genome_csv(spark, path) -> DataFrame:
-    return _csv(spark, path, GENOME)
+def read_genome_csv(spark, path, bad: bool = False) -> DataFrame:
+    return _by_name(spark, path, GENOME, bad=bad)
 
 
-def read_ratings_dat(spark, path) -> DataFrame:
-    return _csv(spark, path, RATINGS, sep="::", header=False, encoding="ISO-8859-1")
+def read_ratings_dat(spark, path, bad: bool = False) -> DataFrame:
+    return _by_place(spark, path, RATINGS, "::", "ISO-8859-1", bad)
 
 
-def read_movies_dat(spark, path) -> DataFrame:
-    return _csv(spark, path, MOVIES, sep="::", header=False, encoding="ISO-8859-1")
+def read_movies_dat(spark, path, bad: bool = False) -> DataFrame:
+    return _by_place(spark, path, MOVIES, "::", "ISO-8859-1", bad)
 
 
-def read_ratings_tab(spark, path) -> DataFrame:
-    return _csv(spark, path, RATINGS, sep="\t", header=False)
+def read_ratings_tab(spark, path, bad: bool = False) -> DataFrame:
+    return _by_place(spark, path, RATINGS, "\t", bad=bad)
 
 
-def read_movies_pipe(spark, path) -> DataFrame:
-    """u.item layout: first two of many columns; every title gets the no-genres token; bad lines skipped."""
-    df = _csv(spark, path, ITEM_PIPE, sep="|", header=False, encoding="ISO-8859-1")
+def read_movies_pipe(spark, path, bad: bool = False) -> DataFrame:
+    """u.item layout: first two of many columns; every title gets the no-genres token; lines without a movie id are bad."""
+    df = _reader(spark, "|", "ISO-8859-1", False).schema(ITEM_PIPE).csv(path)
+    if bad:
+        return df.where(F.col("movie_id").isNull()).withColumn(CORRUPT, F.col("title"))
     return df.filter(F.col("movie_id").isNotNull()).withColumn("genres", F.lit(NO_GENRES))
 
 
@@ -104,6 +142,9 @@ READERS = {
     "u.data": ("ratings", read_ratings_tab), "u.item": ("movies", read_movies_pipe),
 }
 
+# the stream and the stages read a table's own layout with these
+TABLE_READERS = {t: r for n, (t, r) in READERS.items() if n.endswith(".csv")}
+
 CONFLICT_KEYS = {
     "ratings": ["user_id", "movie_id"], "movies": ["movie_id"],
     "tags": ["user_id", "movie_id", "tag", "timestamp"], "links": ["movie_id"],

@@ -44,13 +44,38 @@ def fx_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     genres = (F.when(F.col("p_partkey") % 20 == 19, F.lit("(no genres listed)"))
               .when(F.col("p_partkey") % 19 == F.col("p_size") % 19, g1)
               .otherwise(F.concat(g1, F.lit("|"), g2)))
-    return p.filter(F.col("p_partkey") % 10 != 7).select(
+    return p.select(
         F.col("p_partkey").cast("int").alias("movie_id"),
         F.concat("p_name", F.lit(" ("), (1950 + F.col("p_size")).cast("string"), F.lit(")")).alias("title"),
         genres.alias("genres"),
     )
 
 
+def fx_movies_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue that lacks a tenth of the movies: for the queries that look for ratings and tags without a movie."""
+    return fx_movies(spark, sf_dir).filter(F.col("movie_id") % 10 != 7)
+
+
+def fx_dirty_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ratings, some with a null key or a rating out of range (by the event's type)."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "event_type")
+    r = fx_ratings(spark, sf_dir).join(ev, "id")
+    return r.select("id", F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"),
+                    F.when(F.col("event_type") != "signup", F.col("movie_id")).alias("movie_id"),
+                    F.when(F.col("event_type") == "purchase", F.col("rating") + 3.0).otherwise(F.col("rating")).alias("rating"),
+                    "timestamp", "inserted_at")
+
+
+def fx_dirty_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All movies; those without genres also lack a title."""
+    return fx_movies(spark, sf_dir).withColumn("title", F.when(F.col("genres") != "(no genres listed)", F.col("title")))
+
+
+def fx_dirty_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All links; a missing tmdb id is the text 'nan', as a careless export writes it."""
+    return fx_links(spark, sf_dir).withColumn("tmdb_id", F.coalesce("tmdb_id", F.lit("nan")))
+
+
 def fx_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return d.select(

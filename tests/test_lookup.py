@@ -34,6 +34,37 @@ def test_batch_falls_back_to_cold_start(spark):
     assert got[9] == ("cold_start", [7, 8, 9])
 
 
+def test_defaults_fill_nulls_in_each_request(spark):
+    top, cold = _serving(spark)
+    schema = "request_id int, user_id int, genre string, top_n int, scoring_method string, model_name string"
+    req = spark.createDataFrame([(1, 1, None, None, None, None), (2, 1, "Drama", 2, "cosine", None)], schema)
+    got = {r["request_id"]: (r["genre"], r["movie_ids"], r["top_n"]) for r in lk.lookup_user(top, req).collect()}
+    assert got == {1: ("Action", [40, 50], 10), 2: ("Drama", [10, 20], 2)}
+
+
+def test_every_request_has_one_answer(spark):
+    top, cold = _serving(spark)
+    req = spark.createDataFrame([(1, 1, "Drama", 2), (1, 1, None, 1), (3, 9, "Comedy", 5), (4, 9, "Drama", 500), (5, 9, "Nonsense", 5), (6, 1, "Drama", 0)],
+                                "request_id int, user_id int, genre string, top_n int")
+    got = sorted((r.request_id, r.source, r.genre, r.movie_ids) for r in lk.batch_recommend(top, cold, req).collect())
+    assert got == [(1, "personal", "Action", [40]), (1, "personal", "Drama", [10, 20]), (3, "none", "Comedy", None), (4, "invalid", "Drama", None),
+                   (5, "none", "Nonsense", None), (6, "invalid", "Drama", None)]
+    assert {r.request_id: r.error for r in lk.bad_requests(req).collect()} == {
+        4: "top_n 500 is outside 1..100", 5: "unknown genre Nonsense", 6: "top_n 0 is outside 1..100"}
+
+
+def test_limits_out_of_range_raise(spark):
+    import pytest
+
+    from marquee.operators import metrics as mt
+    mv = spark.createDataFrame([(1, "A (1995)")], "movie_id int, title string")
+    for bad in (0, 51):
+        with pytest.raises(ValueError, match="outside 1..50"):
+            lk.search_titles(mv, mv, "a", bad)
+    with pytest.raises(ValueError, match="outside 1..500"):
+        mt.runs_filtered(mv, limit=501)
+
+
 def test_multi_model_skips_models_without_rows(spark):
     top, _ = _serving(spark)
     req = spark.createDataFrame([(1, 1)], "request_id int, user_id int")

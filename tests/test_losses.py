@@ -69,3 +69,19 @@ def test_encoder_forward_matches_numpy(spark):
     x2 = np.concatenate([np.zeros(4), np.zeros(20), [1995.0]])[None, :]
     assert np.allclose(got[2], en.mlp_forward(x2, w["item_mlp"])[0])
     assert len(got[1]) == 3
+
+
+def test_best_epoch_ignores_epochs_without_a_number(spark):
+    m = spark.createDataFrame([(1, 1, None), (1, 2, float("nan")), (1, 3, 0.5), (1, 4, 0.4), (2, 1, None)], "run_id int, step int, value double")
+    assert [tuple(r) for r in ls.best_epoch(m).collect()] == [(1, 4, 0.4)]
+
+
+def test_batches_are_dealt_and_checked(spark):
+    import pytest
+    rows = [(k, [1.0, float(k)], [float(k), 1.0], 1.0) for k in range(10)]
+    pairs = spark.createDataFrame(rows, "k long, uv array<double>, iv array<double>, weight double")
+    dealt = ls.with_batches(pairs, 4)
+    assert {r["batch_id"]: r["count"] for r in dealt.groupBy("batch_id").count().collect()} == {0: 4, 1: 4, 2: 2}
+    assert ls.infonce_loss(dealt).count() == 3
+    with pytest.raises(ValueError, match="exceeds 3"):
+        ls.infonce_loss(dealt, max_batch=3)

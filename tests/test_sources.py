@@ -18,13 +18,13 @@ def _write(path, text, encoding="utf-8"):
 def download(tmp_path):
     d = tmp_path / "ml"
     _write(str(d / "ratings.csv"), "userId,movieId,rating,timestamp\n1,10,4.0,1000\n2,20,3.5,2000\n")
-    _write(str(d / "movies.csv"), 'movieId,title,genres\n10,"Movie A, The (2010)",Action\n20,Movie B (2015),Drama\n')
-    _write(str(d / "tags.csv"), 'userId,movieId,tag,timestamp\n1,10,funny,1500\n1,10,,1600\n2,20,"two\nlines",1700\n')
-    _write(str(d / "links.csv"), "movieId,imdbId,tmdbId\n10,0114709,862\n20,0113497,\n")
+    _write(str(d / "movies.csv"), 'movieId,title,genres\n10,"Lantern, The (2011)",Action\n20,Quiet Harbour (2016),Drama\n')
+    _write(str(d / "tags.csv"), 'userId,movieId,tag,timestamp\n1,10,slow burn,1500\n1,10,,1600\n2,20,"two\nlines",1700\n')
+    _write(str(d / "links.csv"), "movieId,imdbId,tmdbId\n10,0450017,7731\n20,0620031,\n")
     _write(str(d / "genome-scores.csv"), "movieId,tagId,relevance\n10,1,0.9\n10,2,0.4\n")
     _write(str(d / "README.txt"), "hello\n")
     _write(str(d / "genome-tags.csv"), "tagId,tag\n1,a\n")
-    _write(str(d / "mystery_data.csv"), "a,b\n1,2\n")
+    _write(str(d / "stray_table.csv"), "a,b\n1,2\n")
     return str(d)
 
 
@@ -32,21 +32,56 @@ def test_modern_readers(spark, download):
     r = fl.read_ratings_csv(spark, f"{download}/ratings.csv").collect()
     assert [(x.user_id, x.movie_id, x.rating, x.timestamp) for x in r] == [(1, 10, 4.0, 1000), (2, 20, 3.5, 2000)]
     m = fl.read_movies_csv(spark, f"{download}/movies.csv").collect()
-    assert m[0].title == "Movie A, The (2010)"
+    assert m[0].title == "Lantern, The (2011)"
     t = fl.read_tags_csv(spark, f"{download}/tags.csv").collect()
-    assert sorted(x.tag for x in t) == ["funny", "two\nlines"]  # the empty tag is dropped
+    assert sorted(x.tag for x in t) == ["slow burn", "two\nlines"]  # the empty tag is dropped
     links = {x.movie_id: (x.imdb_id, x.tmdb_id) for x in fl.read_links_csv(spark, f"{download}/links.csv").collect()}
-    assert links == {10: ("0114709", "862"), 20: ("0113497", None)}
+    assert links == {10: ("0450017", "7731"), 20: ("0620031", None)}
     g = fl.read_genome_csv(spark, f"{download}/genome-scores.csv").collect()
     assert [(x.movie_id, x.tag_id, x.relevance) for x in g] == [(10, 1, 0.9), (10, 2, 0.4)]
 
 
 def test_links_without_tmdb(spark, tmp_path):
     p = str(tmp_path / "links.csv")
-    _write(p, "movieId,imdbId\n10,0114709\n")
+    _write(p, "movieId,imdbId\n10,0450017\n")
     assert fl.read_links_csv(spark, p).first().tmdb_id is None
 
 
+def test_columns_go_by_name(spark, tmp_path):
+    p = str(tmp_path / "links.csv")
+    _write(p, "movieId,tmdbId\n10,7731\n11,nan\n")
+    assert [tuple(r) for r in fl.read_links_csv(spark, p).collect()] == [(10, None, "7731"), (11, None, None)]
+    p = str(tmp_path / "ratings.csv")
+    _write(p, "timestamp,rating,extra,movieId,userId\n1000,4.5,x,10,1\n")
+    assert [tuple(r) for r in fl.read_ratings_csv(spark, p).collect()] == [(1, 10, 4.5, 1000)]
+    p = str(tmp_path / "short.csv")
+    _write(p, "userId,rating\n1,4.0\n")
+    with pytest.raises(ValueError, match=r"missing columns \['movie_id', 'timestamp'\]; found \['user_id', 'rating'\]"):
+        fl.read_ratings_csv(spark, p)
+
+
+def test_files_of_another_header_are_not_mixed(spark, tmp_path):
+    d = str(tmp_path / "parts")
+    _write(f"{d}/part-0.csv", "userId,movieId,rating,timestamp\n1,10,4.0,1000\n")
+    _write(f"{d}/part-1.csv", "movieId,userId,rating,timestamp\n10,1,4.0,1000\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        fl.read_ratings_csv(spark, d).collect()
+
+
+def test_records_that_do_not_parse_are_kept_apart(spark, tmp_path):
+    p = str(tmp_path / "ratings.csv")
+    _write(p, "userId,movieId,rating,timestamp\n1,10,4.0,1000\n2,x,4.0,1000\n3,30,high,1000\n4,40,1.0\n5,50,,1000\n")
+    assert [r.user_id for r in fl.read_ratings_csv(spark, p).collect()] == [1, 5]
+    bad = fl.read_ratings_csv(spark, p, bad=True).collect()
+    assert sorted(r[fl.CORRUPT] for r in bad) == ["2,x,4.0,1000", "3,30,high,1000", "4,40,1.0"]
+
+
+def test_title_with_a_line_break(spark, tmp_path):
+    p = str(tmp_path / "movies.csv")
+    _write(p, 'movieId,title,genres\n10,"Two\nLines (2001)",Drama\n11,Next (2002),Action\n')
+    assert [tuple(r) for r in fl.read_movies_csv(spark, p).collect()] == [(10, "Two\nLines (2001)", "Drama"), (11, "Next (2002)", "Action")]
+
+
 def test_legacy_readers(spark, tmp_path):
     p = str(tmp_path / "ratings.dat")
     _write(p, "1::10::4::1000\n2::20::3::2000\n", encoding="latin-1")
@@ -59,9 +94,9 @@ def test_legacy_readers(spark, tmp_path):
     _write(p, "1\t10\t4\t1000\n2\t20\t3\t2000\n")
     assert fl.read_ratings_tab(spark, p).count() == 2
     p = str(tmp_path / "u.item")
-    _write(p, "1|Toy Story (1995)|01-Jan-1995||http://x|" + "|".join(["0"] * 19) + "\nnot a row\n", encoding="latin-1")
+    _write(p, "1|Paper Moons (1995)|01-Jan-1995||http://x|" + "|".join(["0"] * 19) + "\nnot a row\n", encoding="latin-1")
     items = fl.read_movies_pipe(spark, p).collect()
-    assert [(x.movie_id, x.title, x.genres) for x in items] == [(1, "Toy Story (1995)", "(no genres listed)")]
+    assert [(x.movie_id, x.title, x.genres) for x in items] == [(1, "Paper Moons (1995)", "(no genres listed)")]
 
 
 def test_require_columns(spark, download):
@@ -75,7 +110,7 @@ def test_classify_and_variant(spark, download):
     assert got["ratings.csv"] == ("load", "ratings")
     assert got["genome-scores.csv"] == ("load", "genome_scores")
     assert got["README.txt"][0] == "skip" and got["genome-tags.csv"][0] == "skip"
-    assert got["mystery_data.csv"][0] == "reject"
+    assert got["stray_table.csv"][0] == "reject"
     assert dv.detect_variant(dv.list_files(spark, download)).first()["variant"] == "ml-25m"
 
 
@@ -96,9 +131,15 @@ def test_zip_traversal_refused(spark, tmp_path):
     os.makedirs(tmp_path / "zips")
     (tmp_path / "zips" / "good.zip").write_bytes(good.getvalue())
     (tmp_path / "zips" / "bad.zip").write_bytes(bad.getvalue())
-    res = {(os.path.basename(r["archive"]), r["member"]): r["status"]
-           for r in dv.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "out")).collect()}
-    assert res[("good.zip", "ratings.csv")] == "extracted"
-    assert res[("bad.zip", "ratings.csv")] == "refused"
-    assert not (tmp_path / "out" / "bad").exists()
-    assert fl.read_ratings_csv(spark, str(tmp_path / "out" / "*" / "ratings.csv")).count() == 1
+    os.makedirs(tmp_path / "zips" / "more")
+    (tmp_path / "zips" / "more" / "good.zip").write_bytes(good.getvalue().replace(b"1,10,4.0,1000", b"1,10,4.0,1000"))
+    (tmp_path / "zips" / "broken.zip").write_bytes(b"PK no zip at all")
+    rows = dv.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "out")).collect()
+    res = sorted((os.path.basename(r["archive"]), r["member"] or "", r["status"].split(":")[0]) for r in rows)
+    assert res == [("bad.zip", "../evil.py", "refused"), ("bad.zip", "ratings.csv", "refused"), ("broken.zip", "", "error"),
+                   ("good.zip", "ratings.csv", "extracted"), ("good.zip", "ratings.csv", "extracted")]
+    # archives of one name stay apart, and a second run over the same archives changes nothing
+    assert fl.read_ratings_csv(spark, str(tmp_path / "out" / "*" / "ratings.csv")).count() == 2
+    dv.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "out")).collect()
+    assert fl.read_ratings_csv(spark, str(tmp_path / "out" / "*" / "ratings.csv")).count() == 2
+    assert not list((tmp_path / "out").glob("*/.*part"))

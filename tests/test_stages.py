@@ -11,7 +11,7 @@ def test_all_stages_end_to_end(spark, tmp_path):
     summary = stages.run(spark, src, out)
     ingest = {r["file"]: r for r in summary["ingest"]}
     assert ingest["ratings.csv"]["rows_offered"] == 1000
-    assert ingest["mystery_data.csv"]["action"] == "reject"
+    assert ingest["stray_table.csv"]["action"] == "reject"
     wh = stages.Warehouse(spark, out)
     rk = wh.read("raw/ratings")
     assert rk.count() == rk.select("user_id", "movie_id").distinct().count()
@@ -50,3 +50,35 @@ def test_ingest_unpacks_archives_when_no_data_file(spark, tmp_path):
     assert {r["file"] for r in summary["ingest"] if r["action"] == "load"} == {"ratings.csv", "movies.csv"}
     rk = {(r.user_id, r.movie_id): r.rating for r in stages.Warehouse(spark, out).read("raw/ratings").collect()}
     assert rk == {(1, 10): 5.0, (2, 20): 3.0}  # the later row of a key wins
+
+
+def test_bad_file_is_reported_and_the_rest_is_loaded(spark, tmp_path):
+    import pytest
+    src = tmp_path / "download"
+    src.mkdir()
+    (src / "ratings.csv").write_text("userId,rating\n1,4.0\n")
+    (src / "movies.csv").write_text("movieId,title,genres\n10,A (2000),Action\nx,B (2001),Drama\n")
+    out = str(tmp_path / "wh")
+    with pytest.raises(stages.IngestFailed, match="ratings.csv: ValueError: missing columns") as e:
+        stages.run(spark, str(src), out, ["ingest"])
+    report = {r.file: r for r in e.value.report.collect()}
+    assert report["ratings.csv"].action == "error" and not report["movies.csv"].ok
+    assert (report["movies.csv"].rows_offered, report["movies.csv"].unparsable, report["movies.csv"].variant) == (1, 1, "ml-latest-small")
+    assert stages.Warehouse(spark, out).read("raw/movies").count() == 1
+
+
+def test_row_ids_survive_a_second_load(spark, tmp_path):
+    src = tmp_path / "download"
+    src.mkdir()
+    (src / "movies.csv").write_text("movieId,title,genres\n10,A (2000),Action\n")
+    (src / "ratings.csv").write_text("userId,movieId,rating,timestamp\n1,10,4.0,1000\n")
+    out = str(tmp_path / "wh")
+    wh = stages.Warehouse(spark, out)
+    stages.run(spark, str(src), out, ["ingest"])
+    first = {r.table_name: r.last_inserted_at for r in wh.read("pipeline/trigger_watermarks").collect()}
+    (src / "movies.csv").unlink()
+    (src / "ratings.csv").write_text("userId,movieId,rating,timestamp\n2,10,3.0,1500\n1,10,5.0,2000\n")
+    stages.run(spark, str(src), out, ["ingest"])
+    assert {(r.user_id, r.id, r.rating) for r in wh.read("raw/ratings").collect()} == {(1, 0, 5.0), (2, 1, 3.0)}
+    marks = {r.table_name: r.last_inserted_at for r in wh.read("pipeline/trigger_watermarks").collect()}
+    assert marks["movies"] == first["movies"] and marks["ratings"] > first["ratings"]
