@@ -6,8 +6,6 @@ numpy forward pass inside mapInPandas.
 """
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,30 +16,35 @@ from marquee.functions.vocab import DEFAULT_YEAR
 N_GENRES = 20
 
 
-def rule_matrix(rows: int, cols: int, a: int, b: int) -> np.ndarray:
-    """Deterministic weights ((r*a + c*b) mod 97 - 48) / 97 / sqrt(cols)."""
-    r = np.arange(rows)[:, None]
-    c = np.arange(cols)[None, :]
-    return (((r * a + c * b) % 97) - 48) / 97.0 / math.sqrt(cols)
+WEIGHTS_SCHEMA = "part string, layer int, row int, w array<double>, b double"
+
 
+def save_weights(spark, weights: dict, path: str) -> None:
+    """Write tower weights as a table: one row per output of a layer."""
+    rows = []
+    for part in ("user_mlp", "item_mlp", "history"):
+        layers = [weights[part]] if part == "history" else weights[part]
+        rows += [(part, n, r, [float(x) for x in layer["w"][r]], float(layer["b"][r])) for n, layer in enumerate(layers)
+                 for r in range(len(layer["w"]))]
+    spark.createDataFrame(rows, WEIGHTS_SCHEMA).write.mode("overwrite").parquet(path)
 
-def mlp_weights(input_dim: int, hidden: list[int], output_dim: int, salt: int = 0) -> list[dict]:
-    layers, d = [], input_dim
-    for n, h in enumerate(hidden + [output_dim]):
-        layers.append({"w": rule_matrix(h, d, 31 + n + salt, 17 + 2 * n), "b": (np.arange(h) % 5 - 2) / 50.0})
-        d = h
-    return layers
 
+def load_weights(spark, path: str) -> dict:
+    """Tower weights from a table written by a trainer (or save_weights). They are fixed-size model parameters."""
+    parts: dict[str, dict[int, dict[int, tuple]]] = {}
+    for r in spark.read.schema(WEIGHTS_SCHEMA).parquet(path).collect():
+        parts.setdefault(r["part"], {}).setdefault(r["layer"], {})[r["row"]] = (r["w"], r["b"])
+    missing = {"user_mlp", "item_mlp", "history"} - set(parts)
+    if missing:
+        raise ValueError(f"no weights for {sorted(missing)}")
 
-def tower_weights(embed_dim: int = 64, hidden=(256, 128), output_dim: int = 128, history_dim: int = 32) -> dict:
-    user_in = embed_dim + N_GENRES + history_dim + 2
-    item_in = embed_dim + N_GENRES + 1
-    return {
-        "user_mlp": mlp_weights(user_in, list(hidden), output_dim, salt=0),
-        "item_mlp": mlp_weights(item_in, list(hidden), output_dim, salt=7),
-        "history": {"w": rule_matrix(history_dim, N_GENRES, 11, 5), "b": np.zeros(history_dim)},
-        "embed_dim": embed_dim, "output_dim": output_dim,
-    }
+    def layers(part: str) -> list[dict]:
+        return [{"w": np.array([rows[i][0] for i in sorted(rows)]), "b": np.array([rows[i][1] for i in sorted(rows)])}
+                for _, rows in sorted(parts[part].items())]
+
+    user, item = layers("user_mlp"), layers("item_mlp")
+    return {"user_mlp": user, "item_mlp": item, "history": layers("history")[0], "output_dim": len(item[-1]["b"]),
+            "embed_dim": item[0]["w"].shape[1] - N_GENRES - 1}
 
 
 def mlp_forward(x: np.ndarray, layers: list[dict], eps: float = 1e-5) -> np.ndarray:
@@ -55,11 +58,23 @@ def mlp_forward(x: np.ndarray, layers: list[dict], eps: float = 1e-5) -> np.ndar
     return x @ last["w"].T + last["b"]
 
 
-def _stack(series, width: int) -> np.ndarray:
+def _embeddings(series, width: int) -> np.ndarray:
+    """Id embeddings as a matrix; an absent id has zeros, a vector of another length is an error."""
     out = np.zeros((len(series), width))
     for n, v in enumerate(series):
         if v is not None:
-            a = np.asarray(v, dtype=np.float64)[:width]
+            if len(v) != width:
+                raise ValueError(f"an id embedding has {len(v)} values, the weights expect {width}")
+            out[n] = v
+    return out
+
+
+def _slots(series) -> np.ndarray:
+    """Genre vectors padded or cut to the vocabulary's slots."""
+    out = np.zeros((len(series), N_GENRES))
+    for n, v in enumerate(series):
+        if v is not None:
+            a = np.asarray(v, dtype=np.float64)[:N_GENRES]
             out[n, :len(a)] = a
     return out
 
@@ -78,7 +93,7 @@ def encode_items(itf: DataFrame, id_emb: DataFrame, weights: dict) -> DataFrame:
         for b in batches:
             if len(b) == 0:
                 continue
-            x = np.concatenate([_stack(b["emb"], e), _stack(b["genre_multihot"], N_GENRES),
+            x = np.concatenate([_embeddings(b["emb"], e), _slots(b["genre_multihot"]),
                                 b["year"].to_numpy(dtype=np.float64)[:, None]], axis=1)
             y = mlp_forward(x, weights["item_mlp"])
             yield pd.DataFrame({"movie_id": b["movie_id"], "vec": list(y)})
@@ -98,9 +113,9 @@ def encode_users(uf: DataFrame, id_emb: DataFrame, weights: dict) -> DataFrame:
         for b in batches:
             if len(b) == 0:
                 continue
-            ga = _stack(b["genre_affinity"], N_GENRES)
+            ga = _slots(b["genre_affinity"])
             h = np.maximum(ga @ hist["w"].T + hist["b"], 0.0)
-            x = np.concatenate([_stack(b["emb"], e), ga, h,
+            x = np.concatenate([_embeddings(b["emb"], e), ga, h,
                                 b["rating_count"].to_numpy(dtype=np.float64)[:, None],
                                 b["avg_rating"].to_numpy(dtype=np.float64)[:, None]], axis=1)
             y = mlp_forward(x, weights["user_mlp"])

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions import vectors as V
+from marquee.session import materialize
+
 FAILED_LOSS = 9999.0
 
 
@@ -19,7 +22,7 @@ def fit_factors(train: DataFrame, rank: int = 16, reg: float = 0.1, max_iter: in
 
     pref = train.select("user_id", "movie_id", (F.col("weight") * F.col("rating")).alias("pref"))
     als = ALS(rank=rank, regParam=reg, maxIter=max_iter, alpha=alpha, implicitPrefs=True, seed=seed,
-              userCol="user_id", itemCol="movie_id", ratingCol="pref", coldStartStrategy="drop",
+              userCol="user_id", itemCol="movie_id", ratingCol="pref", coldStartStrategy="nan",
               checkpointInterval=checkpoint_interval)
     model = als.fit(pref)
     users = model.userFactors.select(F.col("id").cast("int").alias("user_id"),
@@ -29,34 +32,47 @@ def fit_factors(train: DataFrame, rank: int = 16, reg: float = 0.1, max_iter: in
     return model, users, items
 
 
-def validation_loss(model, val: DataFrame) -> DataFrame:
-    """Weighted squared error of the model's preference on the validation rows (one row)."""
+def fit_margin(train: DataFrame, users: DataFrame, items: DataFrame) -> float:
+    """How far the mean predicted preference of the rated pairs lies above that of all pairs, which is the dot product
+    of the mean user and the mean item vector. A fit that learned nothing has a margin of about 0."""
+    rated = (train.select("user_id", "movie_id").join(users, "user_id").join(items, "movie_id")
+             .agg(F.avg(V.dot("u", "i")).alias("m")).first()["m"])
+
+    def mean(df: DataFrame, col: str) -> list[float]:
+        e = df.select(F.posexplode(col).alias("p", "x")).groupBy("p").agg(F.avg("x").alias("x"))
+        return [r["x"] for r in e.orderBy("p").collect()]  # rank values
+
+    return float(rated) - sum(a * b for a, b in zip(mean(users, "u"), mean(items, "i")))
+
+
+def validation_loss(model, val: DataFrame, default: float = 0.0) -> DataFrame:
+    """One row: val_loss, the weighted squared error of the predicted preference over every validation row, n_val, and
+    n_unseen, the rows whose user or item the fit has not seen. Those are scored with ``default``."""
     pred = model.transform(val.select("user_id", "movie_id", "weight", "rating"))
-    target = F.col("rating") / F.lit(5.0)
-    return pred.agg(F.avg(F.col("weight") * (F.col("prediction") - target) * (F.col("prediction") - target))
-                    .alias("val_loss"))
+    unseen = F.col("prediction").isNull() | F.isnan("prediction")
+    err = F.when(unseen, F.lit(default)).otherwise(F.col("prediction")) - F.col("rating") / F.lit(5.0)
+    return pred.agg(F.avg(F.col("weight") * err * err).alias("val_loss"), F.count(F.lit(1)).alias("n_val"),
+                    F.count_if(unseen).alias("n_unseen"))
 
 
 def sweep_factors(train: DataFrame, val: DataFrame, grid: list[dict], seed: int = 42) -> DataFrame:
-    """Fit once per setting on the cached train split and score on the val split: (trial, params..., val_loss).
+    """Fit once per setting on the written train split and score on the val split:
+    (trial, params, val_loss, n_val, n_unseen, error). A failed trial carries the sentinel loss and its error.
 
     The grid is configuration-sized; each fit is a distributed ALS job.
     """
-    spark = train.sparkSession
     rows = []
-    train = train.persist()
-    try:
-        for n, params in enumerate(grid):
-            try:
-                model, _, _ = fit_factors(train, seed=seed, **params)
-                loss = validation_loss(model, val).first()["val_loss"]
-                loss = FAILED_LOSS if loss is None else float(loss)
-            except Exception:  # noqa: BLE001 - a failed trial is recorded, the sweep goes on
-                loss = FAILED_LOSS
-            rows.append((n, str(sorted(params.items())), loss))
-    finally:
-        train.unpersist()
-    return spark.createDataFrame(rows, "trial int, params string, val_loss double")
+    train, val = materialize(train, "sweep-train"), materialize(val, "sweep-val")
+    for n, params in enumerate(grid):
+        loss, n_val, n_unseen, error = FAILED_LOSS, None, None, None
+        try:
+            model, _, _ = fit_factors(train, seed=seed, **params)
+            r = validation_loss(model, val).first()
+            loss, n_val, n_unseen = (FAILED_LOSS if r["val_loss"] is None else float(r["val_loss"])), r["n_val"], r["n_unseen"]
+        except Exception as e:  # noqa: BLE001 - a failed trial is recorded with its error, the sweep goes on
+            error = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"
+        rows.append((n, str(sorted(params.items())), loss, n_val, n_unseen, error))
+    return train.sparkSession.createDataFrame(rows, "trial int, params string, val_loss double, n_val long, n_unseen long, error string")
 
 
 def best_trial(trials: DataFrame, trial: str = "trial", loss: str = "val_loss") -> DataFrame:

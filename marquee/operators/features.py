@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from marquee.functions.text import extract_year, tokens
 from marquee.functions.vocab import GENRE_VOCAB, genre_vocab_col
-from marquee.session import materialize
 
 
 # ---------------------------------------------------------------- time decay
@@ -85,25 +84,23 @@ def user_features(rk: DataFrame, mv: DataFrame, lam: float = 0.1) -> DataFrame:
 
     The history itself (movie -> weight * rating) stays a long table, ``decayed_history``: a per-user
     map would put a heavy user's whole history into one row."""
-    bounds = _bounds(rk)
-    w = time_decay_weight(rk, lam, bounds=bounds)
+    w = time_decay_weight(rk, lam, bounds=_bounds(rk))
     per_user = w.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("rating_count"), F.avg("rating").alias("avg_rating"),
+        F.count(F.lit(1)).alias("rating_count"), F.avg("rating").alias("avg_rating"), F.sum("weight").alias("total_weight"),
         F.count(F.lit(1)).alias("history_items"), F.sum(F.col("weight") * F.col("rating")).alias("history_sum"))
-    aff = genre_affinity_vector(genre_affinity(rk, mv, lam, bounds))
-    zeros = F.array_repeat(F.lit(0.0), len(GENRE_VOCAB))
-    return (per_user.join(aff, "user_id", "left")
-            .select("user_id", F.coalesce(F.col("genre_affinity"), zeros).alias("genre_affinity"),
-                    "rating_count", "avg_rating", "history_items", "history_sum"))
+    # the vocabulary genres of a user, summed before the shuffle; at most 20 entries each
+    genres = explode_genres(mv).filter(F.col("genre").isin(GENRE_VOCAB))
+    per_genre = w.select("user_id", "movie_id", "weight").join(genres, "movie_id").groupBy("user_id", "genre").agg(F.sum("weight").alias("gw"))
+    sums = per_genre.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("genre", "gw"))).alias("m"))
+    affinity = F.transform(genre_vocab_col(), lambda g: F.coalesce(F.try_element_at("m", g) / F.col("total_weight"), F.lit(0.0)))
+    return (per_user.join(sums, "user_id", "left")
+            .select("user_id", affinity.alias("genre_affinity"), "rating_count", "avg_rating", "history_items", "history_sum"))
 
 
 # ---------------------------------------------------------------- items
 
 def genre_multihot(mv: DataFrame) -> DataFrame:
-    parts = F.split(F.col("genres"), r"[|]")
-    return mv.select("movie_id", F.transform(
-        genre_vocab_col(), lambda g: F.when(F.array_contains(parts, g), F.lit(1.0)).otherwise(F.lit(0.0)))
-        .alias("genre_multihot"))
+    return mv.select("movie_id", _multihot().alias("genre_multihot"))
 
 
 def tag_tokens(tags: DataFrame, mv: DataFrame) -> DataFrame:
@@ -115,29 +112,30 @@ def tag_tokens(tags: DataFrame, mv: DataFrame) -> DataFrame:
 def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100) -> DataFrame:
     """Long form (movie_id, term, tfidf): smoothed idf over all movies, L2-normalised over kept terms, > 0 only.
 
-    Term counts are aggregated once and written to the checkpoint folder; the vocabulary (a bounded top-k) is broadcast back onto them,
-    and the per-movie norm is a window over at most max_features rows per movie.
-    """
-    n_docs = mv.select("movie_id").distinct().count()
-    # the text is tokenised once; the (movie, term, count) table is far smaller than the text and is
-    # read twice (vocabulary, then weights), so it is written once to the shared checkpoint folder
-    tf = materialize(tag_tokens(tags, mv).groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf")),
-                     "term-counts")
-    # Vocabulary: the max_features terms with the greatest corpus count; a bounded top-k, then broadcast.
-    vocab = (tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-             .orderBy(F.desc("cf"), F.asc("term")).limit(max_features))
-    idf = vocab.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
-    raw = tf.join(F.broadcast(idf), "term").select("movie_id", "term", (F.col("tf") * F.col("idf")).alias("x"))
+    Pass 1 counts every term (map-side sums) and keeps the max_features most frequent. Pass 2 drops all other tokens
+    inside their array, before anything is exploded, so counts, document frequencies and norms come from at most
+    max_features rows per movie; its aggregation is shared by the idf and the weights, and nothing is written."""
+    counts = tag_tokens(tags, mv).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    vocab = [r["term"] for r in counts.orderBy(F.desc("cf"), F.asc("term")).limit(max_features).collect()]  # the vocabulary
+    kept = tags.select("movie_id", F.filter(tokens("tag"), lambda t: t.isin(vocab)).alias("terms")).where(F.size("terms") > 0)
+    tf = (kept.join(mv.select("movie_id"), "movie_id", "left_semi").select("movie_id", F.explode("terms").alias("term"))
+          .groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    n_docs = mv.agg(F.countDistinct("movie_id").alias("n_docs"))  # one row
+    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n_docs))
+           .select("term", (F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+    raw = tf.join(F.broadcast(idf), "term").select("movie_id", "term", (F.col("tf") * F.col("idf")).alias("x"))  # max_features rows
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("movie_id")))
     return raw.select("movie_id", "term", (F.col("x") / norm).alias("tfidf")).filter(F.col("tfidf") > 0)
 
 
+def _multihot():
+    parts = F.split(F.col("genres"), r"[|]")
+    return F.transform(genre_vocab_col(), lambda g: F.when(F.array_contains(parts, g), F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
 def item_base_features(mv: DataFrame) -> DataFrame:
     """(movie_id, genre_multihot[20], release_year): the item features that need no tags."""
-    parts = F.split(F.col("genres"), r"[|]")
-    return mv.select("movie_id", F.transform(
-        genre_vocab_col(), lambda g: F.when(F.array_contains(parts, g), F.lit(1.0)).otherwise(F.lit(0.0)))
-        .alias("genre_multihot"), extract_year("title").alias("release_year"))
+    return mv.select("movie_id", _multihot().alias("genre_multihot"), extract_year("title").alias("release_year"))
 
 
 def item_features(mv: DataFrame, tags: DataFrame, max_features: int = 100) -> DataFrame:

@@ -1,16 +1,13 @@
 """Scoring and exact top-k retrieval per (user, genre pool).
 
-Exact top-k needs every (user, item) score, but never as rows. Two plans, both Arrow-batched numpy
-inside Spark tasks, both emitting at most k rows per (user, pool, method):
-
-  broadcast  the item side (ids, vectors, pool membership) is collected only after its size is
-             checked against ``max_broadcast_bytes``; users stream through ``mapInPandas``.
-  blocked    users and items are cut into fixed-size blocks (count-derived block numbers); each user
-             row is replicated once per item block and each item once per user block, then a
-             ``cogroup`` scores one (user block, item block) pair per group; a window top-k
-             (WindowGroupLimit, partial before the shuffle) merges the per-block candidates.
-
-Pools are genres (items can belong to several); ``topk_global`` uses a single pool.
+Exact top-k needs every (user, item) score, but never as rows. One plan at every size: users and items are dealt to blocks
+of bounded size by a hash of their id, each user goes once to every item block and each item once to every user
+block, and a ``cogroup`` scores one (user block, item block) cell per task with Arrow-batched numpy. A cell emits one row per
+(user, pool, method) holding its best k in two arrays; where there are several item blocks the arrays of a user are
+merged by one aggregation. Block sizes bound a task's memory; with u users and i items of d doubles the cells ship
+8 d u i (1 / user_block + 1 / item_block) bytes.
+
+Pools are genres (items can belong to several; an item carries its pools in an array); ``topk_global`` uses a single pool.
 Order: best score first (larger for cosine/dot/learned, smaller for squared l2), then movie_id.
 """
 from __future__ import annotations
@@ -21,7 +18,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marquee.functions import vectors as V
 from marquee.functions.vocab import GENRE_VOCAB, TOP_N
@@ -29,14 +25,8 @@ from marquee.functions.vocab import GENRE_VOCAB, TOP_N
 EPS = 1e-8
 ALL_POOL = "*"
 
-RESULT_SCHEMA = T.StructType([
-    T.StructField("user_id", T.IntegerType()),
-    T.StructField("genre", T.StringType()),
-    T.StructField("scoring_method", T.StringType()),
-    T.StructField("rank", T.IntegerType()),
-    T.StructField("movie_id", T.IntegerType()),
-    T.StructField("score", T.DoubleType()),
-])
+LIST_SCHEMA = "user_id int, genre string, scoring_method string, movie_ids array<int>, scores array<double>"
+LIST_COLUMNS = [c.split()[0] for c in LIST_SCHEMA.split(", ")]
 
 
 # ---------------------------------------------------------------- expression form (explicit pairs)
@@ -60,18 +50,6 @@ def genre_membership(itf: DataFrame) -> DataFrame:
             .filter(F.col("x") > 0).select("movie_id", F.get(vocab, F.col("pos")).alias("genre")))
 
 
-# ---------------------------------------------------------------- learned head weights
-
-def learned_head_weights(dim: int, hidden: int = 64) -> dict[str, np.ndarray]:
-    """Deterministic head weights from a fixed rule, so tests and SQL can rebuild them."""
-    def rule(rows, cols, a, b):
-        r = np.arange(rows)[:, None]
-        c = np.arange(cols)[None, :]
-        return (((r * a + c * b) % 97) - 48) / 97.0 / math.sqrt(cols)
-    return {"w1": rule(hidden, 2 * dim, 31, 17), "b1": (np.arange(hidden) % 7 - 3) / 70.0,
-            "w2": rule(1, hidden, 13, 29), "b2": np.array([0.01])}
-
-
 # Memory bound of the numpy kernel: at most this many float64 cells per score matrix (32 MB), so a task's
 # peak stays small whatever the Arrow batch size or the item count.
 CELL_BUDGET = 1 << 22
@@ -114,153 +92,122 @@ def score_learned_pairs(pairs: DataFrame, head: dict, key: str = "k", u: str = "
 
 # ---------------------------------------------------------------- numpy block kernel
 
-def _empty_result() -> pd.DataFrame:
-    return pd.DataFrame({c.name: pd.Series(dtype="object") for c in RESULT_SCHEMA})
+def _best(key: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k least keys of each row, in order, ties by column; linear in the row length but for sorting k."""
+    if key.shape[1] > k:
+        edge = np.partition(key, k - 1, axis=1)[:, k - 1:k]
+        below, level = key < edge, key == edge
+        take = below | (level & (np.cumsum(level, axis=1) <= k - below.sum(axis=1, keepdims=True)))
+        cols = np.nonzero(take)[1].reshape(len(key), k)
+    else:
+        cols = np.broadcast_to(np.arange(key.shape[1]), key.shape)
+    order = np.argsort(np.take_along_axis(key, cols, 1), axis=1, kind="stable")
+    return np.take_along_axis(cols, order, 1)
 
 
-def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET):
-    """Exact top-k per (user, pool, method) for one block of users against one block of items.
+def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET) -> pd.DataFrame:
+    """Exact top-k lists per (user, pool, method) for one block of users against one block of items.
 
     Users are processed in chunks of at most budget / n_items rows and one method at a time, so a
     task holds a few (chunk x items) matrices, never (batch x items x methods).
     pools: list of (pool name, positions into the item arrays, sorted by movie_id)."""
-    if len(user_ids) == 0 or len(item_ids) == 0:
-        return _empty_result()
-    need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
-    sq_i = np.einsum("ij,ij->i", I, I)
-    norm_i = np.maximum(np.sqrt(sq_i), EPS)
-    chunk = max(1, budget // len(item_ids))
-    frames = []
-    for s in range(0, len(user_ids), chunk):
-        Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
-        dots = Uc @ I.T if need_dot else None
-        for m in methods:
-            if m == "dot":
-                S = dots
-            elif m == "cosine":
-                S = dots / np.maximum(np.sqrt(np.einsum("ij,ij->i", Uc, Uc)), EPS)[:, None] / norm_i[None, :]
-            elif m == "l2":
-                S = np.einsum("ij,ij->i", Uc, Uc)[:, None] + sq_i[None, :] - 2.0 * dots
-            else:
-                S = learned_scores(Uc, I, head, budget)
-            key = S if m == "l2" else -S
-            for pool, pos in pools:
-                if len(pos) == 0:
-                    continue
-                sub = key[:, pos]
-                kk = min(k, len(pos))
-                if len(pos) > kk:
-                    # threshold per row, then a stable sort of the survivors keeps movie_id order on ties
-                    part = np.partition(sub, kk - 1, axis=1)[:, kk - 1:kk]
-                    order = np.argsort(np.where(sub <= part, sub, np.inf), axis=1, kind="stable")[:, :kk]
+    out: dict[str, list] = {c: [] for c in LIST_COLUMNS}
+    if len(user_ids) and len(item_ids):
+        need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
+        sq_i = np.einsum("ij,ij->i", I, I)
+        norm_i = np.maximum(np.sqrt(sq_i), EPS)
+        chunk = max(1, budget // len(item_ids))
+        for s in range(0, len(user_ids), chunk):
+            Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
+            dots = Uc @ I.T if need_dot else None
+            for m in methods:
+                if m == "dot":
+                    S = dots
+                elif m == "cosine":
+                    S = dots / np.maximum(np.sqrt(np.einsum("ij,ij->i", Uc, Uc)), EPS)[:, None] / norm_i[None, :]
+                elif m == "l2":
+                    S = np.einsum("ij,ij->i", Uc, Uc)[:, None] + sq_i[None, :] - 2.0 * dots
                 else:
-                    order = np.argsort(sub, axis=1, kind="stable")[:, :kk]
-                chosen = pos[order]
-                frames.append(pd.DataFrame({
-                    "user_id": np.repeat(ids, kk).astype("int32"),
-                    "genre": pool,
-                    "scoring_method": m,
-                    "rank": np.tile(np.arange(1, kk + 1, dtype="int32"), len(ids)),
-                    "movie_id": item_ids[chosen].reshape(-1).astype("int32"),
-                    "score": np.take_along_axis(S, chosen, axis=1).reshape(-1),
-                }))
-            del S, key
-    return pd.concat(frames, ignore_index=True) if frames else _empty_result()
-
-
-def _pools_from(item_pdf: pd.DataFrame):
-    """item_pdf: one row per (movie_id, pool) sorted by movie_id -> unique items + pool positions."""
-    ids = item_pdf["movie_id"].to_numpy()
-    uniq, first = np.unique(ids, return_index=True)
-    vecs = item_pdf["i"].to_numpy()
-    I = np.stack([np.asarray(vecs[j], dtype=np.float64) for j in first]) if len(first) else np.zeros((0, 0))
-    pos_of = {m: p for p, m in enumerate(uniq)}
-    pools = []
-    for pool, grp in item_pdf.groupby("genre", sort=True):
-        pools.append((pool, np.array(sorted(pos_of[m] for m in grp["movie_id"].unique()), dtype=np.int64)))
-    return uniq, I, pools
-
-
-def _users_matrix(pdf: pd.DataFrame):
-    ids = pdf["user_id"].to_numpy()
-    U = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["u"].to_numpy()]) if len(ids) else np.zeros((0, 0))
-    return ids, U
-
-
-# ---------------------------------------------------------------- plans
+                    S = learned_scores(Uc, I, head, budget)
+                key = S if m == "l2" else -S
+                for pool, pos in pools:
+                    chosen = pos[_best(key[:, pos], k)]
+                    out["user_id"] += ids.tolist()
+                    out["genre"] += [pool] * len(ids)
+                    out["scoring_method"] += [m] * len(ids)
+                    out["movie_ids"] += list(item_ids[chosen].astype("int32"))
+                    out["scores"] += list(np.take_along_axis(S, chosen, axis=1))
+                del S, key
+    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in out.items()})
+
+
+def _item_block(pdf: pd.DataFrame):
+    """Items sorted by id, their matrix, and the positions of each pool."""
+    pdf = pdf.sort_values("movie_id", kind="stable").drop_duplicates("movie_id")
+    at: dict[str, list[int]] = {}
+    for n, names in enumerate(pdf["pools"]):
+        for name in names:
+            at.setdefault(name, []).append(n)
+    return pdf["movie_id"].to_numpy(), _matrix(pdf["i"]), [(name, np.array(p)) for name, p in sorted(at.items())]
+
+
+def _matrix(vectors) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
+
+
+# ---------------------------------------------------------------- plan
 
 def _pool_items(items: DataFrame, membership: DataFrame | None) -> DataFrame:
+    """One row per item: (movie_id, pools, i); items in no pool are left out."""
     if membership is None:
-        return items.select("movie_id", F.lit(ALL_POOL).alias("genre"), "i")
-    return items.select("movie_id", "i").join(membership.select("movie_id", "genre"), "movie_id")
+        return items.select("movie_id", F.array(F.lit(ALL_POOL)).alias("pools"), "i")
+    pools = membership.groupBy("movie_id").agg(F.collect_set("genre").alias("pools"))  # at most the vocabulary
+    return items.select("movie_id", "i").join(pools, "movie_id").select("movie_id", "pools", "i")
 
 
-def topk_pools(users: DataFrame, items: DataFrame, membership: DataFrame | None,
-               methods=("cosine", "dot", "l2"), k: int = TOP_N, strategy: str = "auto",
-               max_broadcast_bytes: int = 256 << 20, user_block: int = 2048, item_block: int = 8192,
-               head: dict | None = None) -> DataFrame:
-    """Exact top-k per (user, pool, method): (user_id, genre, scoring_method, rank, movie_id, score).
+def topk_lists(users: DataFrame, items: DataFrame, membership: DataFrame | None, methods=("cosine", "dot", "l2"),
+               k: int = TOP_N, user_block: int = 65_536, item_block: int = 32_768, head: dict | None = None) -> DataFrame:
+    """Exact top-k per (user, pool, method): (user_id, genre, scoring_method, movie_ids, scores), best first.
 
     users: (user_id, u array<double>); items: (movie_id, i array<double>);
-    membership: (movie_id, genre) or None for one global pool.
-    """
+    membership: (movie_id, genre) or None for one global pool."""
     methods = list(methods)
-    pooled = _pool_items(items, membership)
-    spark = users.sparkSession
     if "learned" in methods and head is None:
-        dim = items.select(F.max(F.size("i"))).first()[0] or 0
-        head = learned_head_weights(dim)
-    if strategy == "auto":
-        stats = pooled.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("i")).alias("d")).first()
-        est = (stats["n"] or 0) * ((stats["d"] or 0) * 8 + 64)
-        strategy = "broadcast" if est <= max_broadcast_bytes else "blocked"
-
-    if strategy == "broadcast":
-        pdf = pooled.orderBy("movie_id", "genre").toPandas()   # size checked above
-        uniq, I, pools = _pools_from(pdf)
-        bc = spark.sparkContext.broadcast((uniq, I, pools, head))
-
-        def run(batches):
-            ids_, I_, pools_, head_ = bc.value
-            for b in batches:
-                uid, U = _users_matrix(b)
-                yield _topk_block(uid, U, ids_, I_, pools_, methods, k, head_)
-
-        # scoring is users x items per task: spread users evenly over the configured parallelism
-        # (a linear shuffle of vectors buys balanced quadratic work, whatever the upstream layout)
-        n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return users.select("user_id", "u").repartition(n_tasks).mapInPandas(run, RESULT_SCHEMA)
-
-    # blocked: count-derived block numbers, one (user block, item block) pair per cogroup
-    n_users = users.count()
-    n_items = items.count()
-    nub = max(1, math.ceil(n_users / user_block))
+        raise ValueError("the learned method needs the weights of a trained head")
+    pooled = _pool_items(items, membership)
+    n_users, n_items = users.count(), items.count()
+    # at least as many user blocks as shuffle partitions, so that small inputs use every core too
+    nub = max(1, math.ceil(n_users / user_block), min(n_users, int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     nib = max(1, math.ceil(n_items / item_block))
     ub = F.pmod(F.xxhash64("user_id"), F.lit(nub)).cast("int")
     ib = F.pmod(F.xxhash64("movie_id"), F.lit(nib)).cast("int")
-    u_rep = (users.select("user_id", "u").withColumn("ub", ub)
-             .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(nib - 1)))))
-    i_rep = (pooled.withColumn("ib", ib)
-             .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nub - 1)))))
+    u_rep = users.select("user_id", "u").withColumn("ub", ub).withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(nib - 1))))
+    i_rep = pooled.withColumn("ib", ib).withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nub - 1))))
 
-    def run_block(upd: pd.DataFrame, ipd: pd.DataFrame) -> pd.DataFrame:
-        uid, U = _users_matrix(upd)
-        ipd = ipd.sort_values(["movie_id", "genre"], kind="stable")
-        uniq, I, pools = _pools_from(ipd)
-        return _topk_block(uid, U, uniq, I, pools, methods, k, head)
+    def run(upd: pd.DataFrame, ipd: pd.DataFrame) -> pd.DataFrame:
+        return _topk_block(upd["user_id"].to_numpy(), _matrix(upd["u"]), *_item_block(ipd), methods, k, head)
 
-    cand = (u_rep.groupBy("ub", "ib").cogroup(i_rep.groupBy("ub", "ib"))
-            .applyInPandas(run_block, RESULT_SCHEMA))
-    return merge_candidates(cand, k)
+    cand = u_rep.groupBy("ub", "ib").cogroup(i_rep.groupBy("ub", "ib")).applyInPandas(run, LIST_SCHEMA)
+    return cand if nib == 1 else merge_lists(cand, k)
 
 
-def merge_candidates(cand: DataFrame, k: int) -> DataFrame:
-    """Final exact top-k over per-block candidates (bounded: k per block per key)."""
-    asc = F.col("scoring_method") == "l2"
-    key = F.when(asc, F.col("score")).otherwise(-F.col("score"))
-    w = Window.partitionBy("user_id", "genre", "scoring_method").orderBy(key, F.col("movie_id"))
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(*[f.name for f in RESULT_SCHEMA]))
+def merge_lists(cand: DataFrame, k: int) -> DataFrame:
+    """The k best of the lists of each (user, pool, method): at most k entries per item block."""
+    keys = ["user_id", "genre", "scoring_method"]
+    sign = F.when(F.col("scoring_method") == "l2", 1.0).otherwise(-1.0)
+    entries = cand.select(*keys, F.transform(F.arrays_zip("movie_ids", "scores"), lambda z: F.struct(
+        (z["scores"] * sign).alias("key"), z["movie_ids"].alias("movie_id"), z["scores"].alias("score"))).alias("e"))
+    best = entries.groupBy(*keys).agg(F.slice(F.array_sort(F.flatten(F.collect_list("e"))), 1, k).alias("e"))
+    return best.select(*keys, F.transform("e", lambda x: x["movie_id"]).alias("movie_ids"), F.transform("e", lambda x: x["score"]).alias("scores"))
+
+
+def topk_pools(users: DataFrame, items: DataFrame, membership: DataFrame | None, methods=("cosine", "dot", "l2"),
+               k: int = TOP_N, **kw) -> DataFrame:
+    """topk_lists in long form: (user_id, genre, scoring_method, rank, movie_id, score)."""
+    lists = topk_lists(users, items, membership, methods, k, **kw)
+    long = lists.select("user_id", "genre", "scoring_method", F.posexplode(F.arrays_zip("movie_ids", "scores")).alias("n", "z"))
+    return long.select("user_id", "genre", "scoring_method", (F.col("n") + 1).alias("rank"), F.col("z.movie_ids").alias("movie_id"),
+                       F.col("z.scores").alias("score"))
 
 
 def topk_user_genre(users: DataFrame, items: DataFrame, membership: DataFrame,
@@ -295,9 +242,9 @@ def precompute_serving(users: DataFrame, items: DataFrame, membership: DataFrame
                        methods=("cosine", "dot", "l2"), k: int = TOP_N, head: dict | None = None, **kw):
     """(top_n_user_genre rows, cold_start_genre rows) for one model; 'learned' only with a head."""
     ms = [m for m in methods if m != "learned"] + (["learned"] if head is not None else [])
-    personal = topk_user_genre(users, items, membership, ms, k, head=head, **kw)
+    personal = topk_lists(users, items, membership, ms, k, head=head, **kw)
     cold = cold_start_genre(items, membership, ms, k)
-    top = to_serving_rows(personal, ["user_id", "genre", "scoring_method"]).withColumn("model_name", F.lit(model_name))
+    top = personal.withColumn("model_name", F.lit(model_name))
     cs = to_serving_rows(cold, ["genre", "scoring_method"]).withColumn("model_name", F.lit(model_name))
     return top, cs
 
@@ -323,6 +270,15 @@ def save_item_index(items: DataFrame, model_name: str, methods, path: str) -> No
      .partitionBy("model_name", "scoring_method").parquet(path))
 
 
+def search_item_index(index: DataFrame, queries: DataFrame, method: str, k: int = TOP_N, **kw) -> DataFrame:
+    """Exact search of a loaded index: (user_id, rank, movie_id, score). Cosine indexes hold unit vectors, so the dot
+    product with the unit query is the cosine."""
+    if method == "cosine":
+        queries = V.with_normalized(queries.select("user_id", "u"), "u", "u", EPS)
+    found = topk_global(queries, index, ("dot" if method == "cosine" else method,), k, **kw)
+    return found.drop("scoring_method")
+
+
 def load_item_index(spark, path: str, model_name: str, method: str) -> DataFrame:
     return (spark.read.parquet(path)
             .filter((F.col("model_name") == model_name) & (F.col("scoring_method") == method))

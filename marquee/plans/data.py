@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators import merge
+from marquee.session import materialize
 from marquee.sources import fixtures as fx
 
 RATING_KEYS = ["user_id", "movie_id"]
@@ -14,6 +15,11 @@ def ratings(spark: SparkSession, d: str) -> DataFrame:
     return merge.dedupe_last(merge.drop_null_keys(fx.fx_ratings(spark, d), RATING_KEYS), RATING_KEYS, "id")
 
 
+def ratings_table(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows, deduplicated once and written, for queries that read them several times."""
+    return materialize(ratings(spark, d), "ratings")
+
+
 def movies(spark: SparkSession, d: str) -> DataFrame:
     return fx.fx_movies(spark, d)
 

@@ -81,17 +81,28 @@ def q_rating_stats(spark, d):
 
 
 @query("user_features", W("wrk", "mg", extra=_AFF + [
-    ("vocab_aff", f"select user_id, sum(affinity) as s from aff where list_contains({VOCAB}, genre) group by user_id")]) + """
-select w.user_id, count(*) as rating_count, round(avg(w.rating), 6) as avg_rating,
-       count(*) as history_items, round(sum(w.weight * w.rating), 6) as history_sum,
-       round(coalesce(max(v.s), 0.0e0), 6) as affinity_sum
-from wrk w left join vocab_aff v on w.user_id = v.user_id group by w.user_id""")
+    ("slots", f"select unnest(range(0, 20)) as pos, unnest({VOCAB}) as genre"),
+    ("per_user", "select user_id, count(*) as rating_count, avg(rating) as avg_rating, count(*) as history_items, "
+                 "sum(weight * rating) as history_sum from wrk group by user_id")]) + """
+select u.user_id, rating_count, round(avg_rating, 6) as avg_rating, history_items, round(history_sum, 6) as history_sum, s.pos,
+       round(coalesce(aff.affinity, 0.0e0), 6) as affinity
+from per_user u cross join slots s left join aff on aff.user_id = u.user_id and aff.genre = s.genre""")
 def q_user_features(spark, d):
-    uf = fe.user_features(data.ratings(spark, d), data.movies(spark, d))
-    return uf.select(
-        "user_id", "rating_count", R("avg_rating").alias("avg_rating"),
-        "history_items", R("history_sum").alias("history_sum"),
-        R(F.aggregate("genre_affinity", F.lit(0.0), lambda a, x: a + x)).alias("affinity_sum"))
+    """Every slot of the affinity vector, in long form."""
+    uf = fe.user_features(data.ratings_table(spark, d), data.movies(spark, d))
+    return uf.select("user_id", "rating_count", R("avg_rating").alias("avg_rating"), "history_items", R("history_sum").alias("history_sum"),
+                     F.posexplode("genre_affinity").alias("pos", "affinity")).withColumn("pos", F.col("pos").cast("bigint")).withColumn(
+        "affinity", R("affinity"))
+
+
+@query("features_with_history", W("wrk", "mg", extra=_AFF) + """
+select w.user_id, w.movie_id, round(w.weight * w.rating, 6) as value, n.n as rating_count
+from wrk w join (select user_id, count(*) as n from wrk group by user_id) n on n.user_id = w.user_id""")
+def q_features_with_history(spark, d):
+    """The decayed history (long table) next to the user's feature row."""
+    rk = data.ratings_table(spark, d)
+    uf = fe.user_features(rk, data.movies(spark, d)).select("user_id", "rating_count")
+    return fe.decayed_history(rk).join(uf, "user_id").select("user_id", "movie_id", R("value").alias("value"), "rating_count")
 
 
 @query("genre_multihot", W("fx_movies", extra=[
@@ -127,19 +138,18 @@ def q_tag_tfidf(spark, d):
 
 
 @query("item_features", W("fx_movies", "fx_tags", extra=_TFIDF_CTES + [
-    ("ng", f"select movie_id, count(distinct genre) as n from (select movie_id, unnest(string_split(genres, '|')) "
-           f"as genre from fx_movies) where list_contains({VOCAB}, genre) group by movie_id"),
-    ("tt", "select movie_id, count(*) as n_terms, sum(tfidf * tfidf) as sq from tfidf group by movie_id")]) + """
-select m.movie_id, cast(nullif(regexp_extract(m.title, '\\((\\d{4})\\)', 1), '') as int) as release_year,
-       coalesce(ng.n, 0) * 1.0e0 as n_genres, coalesce(tt.n_terms, 0) as n_terms, round(coalesce(tt.sq, 0.0e0), 6) as tfidf_sq
-from fx_movies m left join ng on m.movie_id = ng.movie_id left join tt on m.movie_id = tt.movie_id""")
+    ("slots", f"select unnest(range(0, 20)) as pos, unnest({VOCAB}) as genre"),
+    ("years", "select movie_id, cast(nullif(regexp_extract(title, '\\((\\d{4})\\)', 1), '') as int) as release_year, genres from fx_movies")]) + """
+select y.movie_id, y.release_year, cast(s.pos as varchar) as name,
+       case when list_contains(string_split(y.genres, '|'), s.genre) then 1.0e0 else 0.0e0 end as value from years y cross join slots s
+union all select y.movie_id, y.release_year, 'term:' || t.term, round(t.tfidf, 6) from years y join tfidf t on t.movie_id = y.movie_id""")
 def q_item_features(spark, d):
+    """Every value of the vectors, in long form: genre slots by their place, terms by name."""
     itf = fe.item_features(data.movies(spark, d), data.tags(spark, d))
-    return itf.select(
-        "movie_id", "release_year",
-        F.aggregate("genre_multihot", F.lit(0.0), lambda a, x: a + x).alias("n_genres"),
-        F.size("tag_tfidf").cast("bigint").alias("n_terms"),
-        R(F.aggregate(F.map_values("tag_tfidf"), F.lit(0.0), lambda a, x: a + x * x)).alias("tfidf_sq"))
+    slots = F.transform("genre_multihot", lambda x, i: F.struct(i.cast("string").alias("name"), x.alias("value")))
+    terms = F.transform(F.map_entries("tag_tfidf"), lambda e: F.struct(F.concat(F.lit("term:"), e["key"]).alias("name"), e["value"].alias("value")))
+    return itf.select("movie_id", "release_year", F.explode(F.concat(slots, terms)).alias("v")).select(
+        "movie_id", "release_year", F.col("v.name").alias("name"), R("v.value").alias("value"))
 
 
 @query("feature_counts", W("rk", "fx_movies") + """
@@ -147,7 +157,7 @@ select 'users' as kind, count(distinct user_id) as n from rk
 union all select 'items' as kind, count(*) as n from fx_movies""")
 def q_feature_counts(spark, d):
     rk, mv = data.ratings(spark, d), data.movies(spark, d)
-    return fe.feature_counts(fe.user_features(rk, mv), fe.item_features(mv, data.tags(spark, d)))
+    return fe.feature_counts(rk.select("user_id").distinct(), mv)  # one feature row per rating user and per movie
 
 
 @query("write_features", W("wrk", "fx_ratings") + """

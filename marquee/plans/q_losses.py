@@ -7,6 +7,8 @@ from marquee.functions import vectors as V
 from marquee.operators import losses as ls
 from marquee.plans import data
 from marquee.plans.catalog import R, query
+from marquee.plans.q_split import _SPLIT
+from marquee.session import materialize, scratch_path
 from marquee.plans.oracle_views import VOCAB, with_views as W
 from marquee.plans.q_retrieval import sql_score
 from marquee.sources import fixtures as fx
@@ -146,7 +148,9 @@ def _towers(spark, d):
     from marquee.operators import encode as en
     from marquee.operators import features as fe
     rk, mv = data.ratings(spark, d), data.movies(spark, d)
-    w = en.tower_weights(embed_dim=64)
+    path = scratch_path(spark, "tower-weights")
+    en.save_weights(spark, fx.tower_weights(embed_dim=64), path)
+    w = en.load_weights(spark, path)
     return rk, mv, w, en, fe
 
 
@@ -176,8 +180,7 @@ def _encode_items_sql() -> str:
     layers = (_layer_sql("a1", "x0", 256, 85, 38, 17, True) + _layer_sql("a2", "a1", 128, 256, 39, 19, True)
               + _layer_sql("a3", "a2", 128, 128, 40, 21, False))
     return (W("fx_movies", "ivec", extra=x_in + layers) +
-            "select user_id as movie_id, cast(count(*) as int) as dim, round(sqrt(sum(z * z)), 6) as norm "
-            "from a3 group by user_id")
+            "select user_id as movie_id, h as pos, round(z, 6) as value from a3")
 
 
 @query("encode_items", _encode_items_sql())
@@ -187,7 +190,7 @@ def q_encode_items(spark, d):
     itf = fe.item_base_features(mv)  # the item tower reads multi-hot and year only
     emb = fx.item_vectors(spark, d).select("movie_id", F.col("i").alias("emb"))
     v = en.encode_items(itf, emb, w)
-    return v.select("movie_id", F.size("vec").alias("dim"), R(V.norm("vec")).alias("norm"))
+    return v.select("movie_id", F.posexplode("vec").alias("pos", "value")).select("movie_id", F.col("pos").cast("bigint").alias("pos"), R("value").alias("value"))
 
 
 def _encode_users_sql() -> str:
@@ -206,7 +209,7 @@ def _encode_users_sql() -> str:
     layers = (_layer_sql("a1", "x0", 256, 118, 31, 17, True) + _layer_sql("a2", "a1", 128, 256, 32, 19, True)
               + _layer_sql("a3", "a2", 128, 128, 33, 21, False))
     return (W("rk", "wrk", "mg", "uvec", extra=_TOPG[:3] + x_in + layers) +
-            "select user_id, cast(count(*) as int) as dim, round(sqrt(sum(z * z)), 6) as norm from a3 group by user_id")
+            "select user_id, h as pos, round(z, 6) as value from a3")
 
 
 @query("encode_users", _encode_users_sql())
@@ -216,7 +219,7 @@ def q_encode_users(spark, d):
     uf = fe.user_features(rk, mv)
     emb = fx.user_vectors(spark, d).select("user_id", F.col("u").alias("emb"))
     v = en.encode_users(uf, emb, w)
-    return v.select("user_id", F.size("vec").alias("dim"), R(V.norm("vec")).alias("norm"))
+    return v.select("user_id", F.posexplode("vec").alias("pos", "value")).select("user_id", F.col("pos").cast("bigint").alias("pos"), R("value").alias("value"))
 
 
 def _train_val(spark, d):
@@ -227,21 +230,38 @@ def _train_val(spark, d):
     return w.filter(F.col("split") == "train"), w.filter(F.col("split") == "val")
 
 
-@query("fit_factors")
+_TRAIN_VAL = _SPLIT[:3] + [
+    ("tr", "select * from lsp where split = 'train'"), ("va", "select * from lsp where split = 'val'"),
+    ("unseen", "select count(*) as n from va where user_id not in (select user_id from tr) or movie_id not in (select movie_id from tr)")]
+
+
+@query("fit_factors", W("rk", extra=_TRAIN_VAL) + """
+select 'user' as side, user_id as id, 8 as dim, count(*) as n_train, true as fits from tr group by user_id
+union all select 'item', movie_id, 8, count(*), true from tr group by movie_id""")
 def q_fit_factors(spark, d):
-    """ALS stand-in for the trainers: user and item vectors from the weighted train split."""
-    from marquee.operators.factors import fit_factors
+    """ALS stand-in for the trainers: exactly the users and items of the train split have a vector, and the vectors fit: the
+    mean preference of rated pairs lies well above that of all pairs (the product of the mean vectors)."""
+    from marquee.operators.factors import fit_factors, fit_margin
     train, _ = _train_val(spark, d)
+    train = materialize(train, "train-split")
     _, users, items = fit_factors(train, rank=8, max_iter=5)
-    return (users.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), F.size("u").alias("dim"))
-            .unionByName(items.select(F.lit("item").alias("side"), F.col("movie_id").alias("id"),
-                                      F.size("i").alias("dim"))))
-
-
-@query("sweep_factors")
+    users, items = materialize(users, "user-factors"), materialize(items, "item-factors")
+    fits = F.lit(fit_margin(train, users, items) > 0.1)
+    sides = [(users.withColumnRenamed("u", "f"), "user", "user_id"), (items.withColumnRenamed("i", "f"), "item", "movie_id")]
+    out = [f.join(train.groupBy(k).agg(F.count(F.lit(1)).alias("n_train")), k).select(
+        F.lit(side).alias("side"), F.col(k).alias("id"), F.size("f").alias("dim"), "n_train", fits.alias("fits")) for f, side, k in sides]
+    return out[0].unionByName(out[1])
+
+
+@query("sweep_factors", W("rk", extra=_TRAIN_VAL) + """
+select t.trial, t.params, (select count(*) from va) as n_val, (select n from unseen) as n_unseen, true as scored, cast(null as varchar) as error
+from (values (0, '[(''max_iter'', 3), (''rank'', 4)]'), (1, '[(''max_iter'', 3), (''rank'', 8)]')) as t(trial, params)
+union all select 2, '[(''max_iter'', 3), (''rank'', -1)]', null, null, false, 'IllegalArgumentException'""")
 def q_sweep_factors(spark, d):
-    """Two-setting sweep scored on the temporal validation split, then the best trial."""
-    from marquee.operators.factors import sweep_factors
+    """Two settings scored on every row of the temporal validation split (with the rows whose user or movie the train split
+    lacks), and a third that cannot be fitted: its error is kept."""
+    from marquee.operators.factors import FAILED_LOSS, sweep_factors
     train, val = _train_val(spark, d)
-    trials = sweep_factors(train, val, [{"rank": 4, "max_iter": 3}, {"rank": 8, "max_iter": 3}])
-    return trials.select("trial", "params", R("val_loss").alias("val_loss"))
+    trials = sweep_factors(train, val, [{"rank": 4, "max_iter": 3}, {"rank": 8, "max_iter": 3}, {"rank": -1, "max_iter": 3}])
+    return trials.select("trial", "params", "n_val", "n_unseen", ((F.col("val_loss") > 0) & (F.col("val_loss") < FAILED_LOSS)).alias("scored"),
+                         F.regexp_extract("error", "^([A-Za-z]+)", 1).alias("error"))

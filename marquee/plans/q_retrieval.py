@@ -95,7 +95,7 @@ def q_score_learned(spark, d):
     """Learned head on explicit pairs (Arrow batches through numpy, fixed-rule weights)."""
     pairs = fx.fx_pairs(spark, d).select("k", "uv", "iv")
     dim = pairs.select(F.max(F.size("uv"))).first()[0]
-    s = rt.score_learned_pairs(pairs, rt.learned_head_weights(dim), key="k")
+    s = rt.score_learned_pairs(pairs, fx.learned_head_weights(dim), key="k")
     return s.select("k", R("score").alias("score"))
 
 
@@ -124,7 +124,7 @@ def q_topk_user_genre_learned(spark, d):
     users, items = _users(spark, d), _items(spark, d)
     dim = items.select(F.max(F.size("i"))).first()[0]
     t = rt.topk_user_genre(users, items, _membership(spark, d), ("learned",), k=20,
-                           head=rt.learned_head_weights(dim))
+                           head=fx.learned_head_weights(dim))
     return t.select("user_id", "genre", "scoring_method", F.col("rank").cast("bigint").alias("rank"), "movie_id",
                     R("score").alias("score"))
 
@@ -159,8 +159,8 @@ def q_topk_user_genre(spark, d):
 
 @query("topk_user_genre_blocked", _TOPK_UG)
 def q_topk_user_genre_blocked(spark, d):
-    """Same result through the blocked plan (small blocks so several block pairs really merge)."""
-    return _topk_ug(spark, d, strategy="blocked", user_block=64, item_block=64)
+    """Same result from small blocks, so that several item blocks really merge."""
+    return _topk_ug(spark, d, user_block=64, item_block=64)
 
 
 _COLD = W("ivec", "mem", extra=[

@@ -7,6 +7,7 @@ from marquee.operators import features as fe
 from marquee.operators import samples as sm
 from marquee.operators import split as sp
 from marquee.plans import data
+from marquee.session import materialize
 from marquee.plans.catalog import R, query
 from marquee.plans.oracle_views import VOCAB, with_views as W
 from marquee.sources import fixtures as fx
@@ -72,27 +73,27 @@ def q_best_demonstration(spark, d):
 
 _SAMPLES = _SPLIT + [
     ("tw", "select user_id, sum(weight) as total_weight from wrk group by user_id"),
-    ("ga", f"select w.user_id, sum(w.weight) as gw from wrk w join mg g on w.movie_id = g.movie_id "
-           f"where list_contains({VOCAB}, g.genre) group by w.user_id"),
-    ("uf", "select r.user_id, count(*) as rating_count, avg(r.rating) as avg_rating, "
-           "coalesce(max(ga.gw) / max(tw.total_weight), 0.0e0) as affinity_sum "
-           "from wrk r join tw on r.user_id = tw.user_id left join ga on r.user_id = ga.user_id group by r.user_id"),
-    ("itf", "select m.movie_id, cast(nullif(regexp_extract(m.title, '\\((\\d{4})\\)', 1), '') as int) as release_year, "
-            "(select count(*) from mem where mem.movie_id = m.movie_id) * 1.0e0 as multihot_sum from fx_movies m"),
+    ("gw", "select w.user_id, g.genre, sum(w.weight) as gw from wrk w join mg g on w.movie_id = g.movie_id group by w.user_id, g.genre"),
+    ("uf", "select user_id, count(*) as rating_count, avg(rating) as avg_rating from wrk group by user_id"),
+    ("itf", "select movie_id, cast(nullif(regexp_extract(title, '\\((\\d{4})\\)', 1), '') as int) as release_year, "
+            "string_split(genres, '|') as gl from fx_movies"),
+    ("slots", f"select unnest(range(0, 20)) as pos, unnest({VOCAB}) as genre"),
     ("smp", "select w.id, w.split, w.user_id, w.movie_id, w.rating, w.weight, "
             "coalesce(u.rating_count, 0) as rating_count, coalesce(u.avg_rating, 0.0e0) as avg_rating, "
-            "coalesce(u.affinity_sum, 0.0e0) as affinity_sum, coalesce(i.multihot_sum, 0.0e0) as multihot_sum, "
-            "coalesce(nullif(i.release_year, 0), 1995) as release_year, dm.demo_movie_id, dm.demo_rating, "
-            "coalesce(di.multihot_sum, 0.0e0) as demo_multihot_sum "
-            "from wsp w left join uf u on w.user_id = u.user_id left join itf i on w.movie_id = i.movie_id "
+            "coalesce(nullif(i.release_year, 0), 1995) as release_year, dm.demo_movie_id, dm.demo_rating, s.pos, "
+            "coalesce(gw.gw / tw.total_weight, 0.0e0) as affinity, "
+            "case when list_contains(coalesce(i.gl, []), s.genre) then 1.0e0 else 0.0e0 end as multihot, "
+            "case when list_contains(coalesce(di.gl, []), s.genre) then 1.0e0 else 0.0e0 end as demo_multihot "
+            "from wsp w cross join slots s left join uf u on w.user_id = u.user_id left join itf i on w.movie_id = i.movie_id "
             "left join demo dm on w.split = dm.split and w.user_id = dm.user_id "
-            "left join itf di on dm.demo_movie_id = di.movie_id"),
+            "left join itf di on dm.demo_movie_id = di.movie_id left join tw on tw.user_id = w.user_id "
+            "left join gw on gw.user_id = w.user_id and gw.genre = s.genre"),
 ]
 
 
 def _samples(spark, d):
-    rk, mv = data.ratings(spark, d), data.movies(spark, d)
-    lsp = sp.load_splits(rk, sp.temporal_split(rk))
+    rk, mv = data.ratings_table(spark, d), data.movies(spark, d)
+    lsp = materialize(sp.load_splits(rk, sp.temporal_split(rk)), "split-ratings")
     weighted = sm.sample_decay_weights(lsp)
     uf = fe.user_features(rk, mv)
     itf = fe.item_base_features(mv)  # samples use multi-hot and year only
@@ -101,20 +102,19 @@ def _samples(spark, d):
                                uf, itf, demo)
 
 
-def _vsum(c):
-    return F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-
-
 @query("training_samples", W("rk", "wrk", "mg", "mem", "fx_movies", extra=_SAMPLES) + """
-select id, split, user_id, movie_id, rating, round(weight, 6) as weight, rating_count, round(avg_rating, 6) as avg_rating,
-       round(affinity_sum, 6) as affinity_sum, multihot_sum, release_year, demo_movie_id, demo_rating, demo_multihot_sum
+select id, split, user_id, movie_id, rating, round(weight, 6) as weight, rating_count, round(avg_rating, 6) as avg_rating, release_year,
+       demo_movie_id, demo_rating, pos, round(affinity, 6) as affinity, multihot, demo_multihot
 from smp""")
 def q_training_samples(spark, d):
+    """Every slot of the three vectors of a sample, in long form."""
     s = _samples(spark, d)
-    return s.select("id", "split", "user_id", "movie_id", "rating", R("weight").alias("weight"), "rating_count",
-                    R("avg_rating").alias("avg_rating"), R(_vsum("genre_affinity")).alias("affinity_sum"),
-                    _vsum("genre_multihot").alias("multihot_sum"), "release_year", "demo_movie_id", "demo_rating",
-                    _vsum("demo_genre_multihot").alias("demo_multihot_sum"))
+    slots = F.arrays_zip("genre_affinity", "genre_multihot", "demo_genre_multihot")
+    return s.select("id", "split", "user_id", "movie_id", "rating", R("weight").alias("weight"), "rating_count", R("avg_rating").alias("avg_rating"),
+                    "release_year", "demo_movie_id", "demo_rating", F.posexplode(slots).alias("pos", "z")).select(
+        "id", "split", "user_id", "movie_id", "rating", "weight", "rating_count", "avg_rating", "release_year", "demo_movie_id", "demo_rating",
+        F.col("pos").cast("bigint").alias("pos"), R("z.genre_affinity").alias("affinity"), F.col("z.genre_multihot").alias("multihot"),
+        F.coalesce("z.demo_genre_multihot", F.lit(0.0)).alias("demo_multihot"))
 
 
 @query("demo_context", W("rk", "wrk", "mg", "mem", "fx_movies", extra=_SPLIT + [
@@ -159,10 +159,10 @@ def q_pad_sequences(spark, d):
         "k", F.col("pos").cast("bigint").alias("pos"), R("z.padded").alias("value"), F.col("z.mask").alias("mask"))
 
 
-@query("write_split", W("rk", extra=_SPLIT[:2]) + "select rating_id from sp where split = 'test'")
+@query("write_split", W("rk", extra=_SPLIT[:2]) + "select rating_id, split from sp")
 def q_write_split(spark, d):
-    """Write the split partitioned by label, read one label back (partition pruning)."""
+    """Write the split partitioned by label and read it back whole (split_filter reads one label)."""
     from marquee.session import scratch_path
     path = scratch_path(spark, "split")
     sp.write_split(_split(spark, d), path)
-    return sp.split_filter(spark.read.parquet(path), "test").select("rating_id")
+    return spark.read.parquet(path).select("rating_id", "split")

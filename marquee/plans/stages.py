@@ -1,5 +1,5 @@
-"""Batch stages chained through written tables: ingest -> validate -> featurize -> split -> train ->
-evaluate -> precompute. Each stage reads the newest committed version of its inputs and writes a fresh
+"""Batch stages chained through written tables: ingest -> validate -> featurize -> split -> sweep -> train ->
+evaluate -> cross_evaluate -> precompute. Each stage reads the newest committed version of its inputs and writes a fresh
 version folder, so a failed stage leaves the previous state readable and a rerun starts from it.
 
     python -m marquee.plans.stages --data-dir <download folder> --out <warehouse> [--stages a,b] [--mode upsert]
@@ -7,17 +7,20 @@ version folder, so a failed stage leaves the previous state readable and a rerun
 from __future__ import annotations
 
 import argparse
+import ast
 import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators import factors, features, merge, quality, retrieve, samples, split
+from marquee.operators import factors, features, merge, quality, retrieve, samples, split, watermark
 from marquee.sources import discover as dv
 from marquee.sources.files import CONFLICT_KEYS
 from marquee.streaming.ingest import latest_version, version_path
 
-STAGES = ["ingest", "validate", "featurize", "split", "train", "evaluate", "precompute"]
+STAGES = ["ingest", "validate", "featurize", "split", "sweep", "train", "evaluate", "cross_evaluate", "precompute"]
+#: Settings that the sweep tries when none are given.
+GRID = [{"rank": 8, "max_iter": 5}, {"rank": 16, "max_iter": 5}]
 MODEL_NAME = "als_factors"
 
 
@@ -30,6 +33,12 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def folders(self, namespace: str) -> list[str]:
+        """Names of the folders in a namespace (configuration-sized: models)."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(namespace))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
     def read(self, table: str) -> DataFrame | None:
         p = latest_version(self.spark, self.path(table))
         return None if p is None else self.spark.read.parquet(p)
@@ -128,11 +137,39 @@ def _weighted_split(wh: Warehouse) -> DataFrame:
     return samples.sample_decay_weights(split.load_splits(wh.read("raw/ratings"), wh.read("features/split_indices")))
 
 
-def run_train(spark: SparkSession, wh: Warehouse, rank: int = 16, max_iter: int = 10) -> dict[str, DataFrame]:
+def run_sweep(spark: SparkSession, wh: Warehouse, grid: list[dict] | None = None) -> DataFrame:
+    """Try the settings that no earlier sweep has tried; returns the best trial of all, with its settings."""
+    done = wh.read("pipeline/sweep_trials")
+    combos = spark.createDataFrame([(str(sorted(g.items())),) for g in grid or GRID], "params string")
+    todo = combos if done is None else factors.pending_combos(combos, done.where("error is null"), ["params"])
+    wanted = {r["params"] for r in todo.collect()}  # a configuration-sized list
+    if wanted:
+        w = _weighted_split(wh)
+        new = factors.sweep_factors(w.filter(F.col("split") == "train"), w.filter(F.col("split") == "val"),
+                                    [g for g in grid or GRID if str(sorted(g.items())) in wanted])
+        base = 0 if done is None else done.agg(F.max("trial")).first()[0] + 1
+        new = new.withColumn("trial", F.col("trial") + F.lit(base))
+        done = wh.write("pipeline/sweep_trials", new if done is None else done.unionByName(new))
+    return factors.best_trial(done).join(done.select("trial", "params"), "trial")
+
+
+def best_settings(wh: Warehouse) -> dict:
+    """Settings of the best trial so far; none without a sweep that scored anything."""
+    done = wh.read("pipeline/sweep_trials")
+    good = None if done is None else done.where((F.col("val_loss") < factors.FAILED_LOSS) & F.col("error").isNull())
+    if good is None or good.isEmpty():
+        return {}
+    best = factors.best_trial(good).join(good.select("trial", "params"), "trial").first()["params"]
+    return dict(ast.literal_eval(best))
+
+
+def run_train(spark: SparkSession, wh: Warehouse, model_name: str = MODEL_NAME, **settings) -> dict[str, DataFrame]:
+    """Fit on the train split, with the settings of the best trial unless some are given."""
     w = _weighted_split(wh)
-    _, users, items = factors.fit_factors(w.filter(F.col("split") == "train"), rank=rank, max_iter=max_iter)
-    return {"users": wh.write(f"models/{MODEL_NAME}/users", users),
-            "items": wh.write(f"models/{MODEL_NAME}/items", items)}
+    settings = settings or best_settings(wh) or {"rank": 16, "max_iter": 10}
+    _, users, items = factors.fit_factors(w.filter(F.col("split") == "train"), **settings)
+    return {"users": wh.write(f"models/{model_name}/users", users),
+            "items": wh.write(f"models/{model_name}/items", items)}
 
 
 def run_evaluate(spark: SparkSession, wh: Warehouse, batch_size: int = 256) -> DataFrame:
@@ -147,16 +184,56 @@ def run_evaluate(spark: SparkSession, wh: Warehouse, batch_size: int = 256) -> D
     return wh.write("pipeline/evaluation", loss.withColumn("model_name", F.lit(MODEL_NAME)))
 
 
-def run_precompute(spark: SparkSession, wh: Warehouse, top_n: int = 20) -> DataFrame:
-    users = wh.read(f"models/{MODEL_NAME}/users").join(wh.read("features/user_features").select("user_id"), "user_id")
-    items = wh.read(f"models/{MODEL_NAME}/items")
+def run_cross_evaluate(spark: SparkSession, wh: Warehouse, batch_size: int = 256) -> DataFrame:
+    """Divergence of every student's vectors from every teacher's on the validation pairs, as a mean of batch means.
+
+    (teacher, student, kl); empty while there are fewer than two models. The models are folders of the warehouse."""
+    from marquee.operators import losses
+    names = wh.folders("models")
+    pairs = losses.model_pairs(spark.createDataFrame([(n,) for n in names], "model_name string")).collect()
+    out = spark.createDataFrame([], "teacher string, student string, kl double")
+    val = _weighted_split(wh).filter(F.col("split") == "val").select("id", "user_id", "movie_id")
+    val = losses.with_batches(val, batch_size, "id")
+    for p in sorted(pairs, key=lambda p: (p["teacher"], p["student"])):
+        rows = val
+        for side, prefix in ((p["student"], "s"), (p["teacher"], "t")):
+            rows = (rows.join(wh.read(f"models/{side}/users").withColumnRenamed("u", f"{prefix}u"), "user_id")
+                    .join(wh.read(f"models/{side}/items").withColumnRenamed("i", f"{prefix}i"), "movie_id"))
+        kl = losses.cross_kl(rows, "su", "si", "tu", "ti").agg(F.avg("kl").alias("kl"))
+        out = out.unionByName(kl.select(F.lit(p["teacher"]).alias("teacher"), F.lit(p["student"]).alias("student"), "kl"))
+    return wh.write("pipeline/cross_evaluation", out)
+
+
+def run_precompute(spark: SparkSession, wh: Warehouse, top_n: int = 20, model_name: str = MODEL_NAME, head: dict | None = None) -> DataFrame:
+    """Serving tables and the searchable item index of a model; the learned method only with a trained head."""
+    users = wh.read(f"models/{model_name}/users").join(wh.read("features/user_features").select("user_id"), "user_id")
+    items = wh.read(f"models/{model_name}/items")
     membership = retrieve.genre_membership(wh.read("features/item_features"))
-    top, cold = retrieve.precompute_serving(users, items, membership, MODEL_NAME, ("cosine", "dot", "l2"), top_n)
+    methods = ("cosine", "dot", "l2", *(("learned",) if head is not None else ()))
+    top, cold = retrieve.precompute_serving(users, items, membership, model_name, methods, top_n, head=head)
     merge.write_model_rows(top, wh.path("serving/top_n_user_genre"))  # a model's rows go as a whole, dropped methods too
     merge.write_model_rows(cold, wh.path("serving/cold_start_genre"))
+    retrieve.save_item_index(items, model_name, ("cosine", "dot", "l2"), wh.path("serving/item_index"))
     t = spark.read.parquet(wh.path("serving/top_n_user_genre"))
     c = spark.read.parquet(wh.path("serving/cold_start_genre"))
-    return retrieve.precompute_counts(t.filter(F.col("model_name") == MODEL_NAME), c.filter(F.col("model_name") == MODEL_NAME))
+    return retrieve.precompute_counts(t.filter(F.col("model_name") == model_name), c.filter(F.col("model_name") == model_name))
+
+
+def run_gate(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """(stage, run) of the daily run: ingest only where a raw table has rows after its watermark."""
+    tables = {t: wh.read(f"raw/{t}") for t in CONFLICT_KEYS}
+    marks = wh.read("pipeline/trigger_watermarks")
+    if marks is None:
+        marks = spark.createDataFrame([], "table_name string, last_inserted_at timestamp_ntz")
+    return watermark.daily_gate({t: df for t, df in tables.items() if df is not None}, marks)
+
+
+def run_trigger_log(spark: SparkSession, wh: Warehouse, updates: DataFrame) -> DataFrame:
+    """Apply status updates (trigger_id, status, at) to the trigger log."""
+    log = wh.read("pipeline/trigger_log")
+    if log is None:
+        raise FileNotFoundError("no trigger log")
+    return wh.write("pipeline/trigger_log", watermark.trigger_log_update(log, updates))
 
 
 def run(spark: SparkSession, data_dir: str, out: str, stages: list[str] | None = None, mode: str = "upsert") -> dict:
@@ -171,10 +248,16 @@ def run(spark: SparkSession, data_dir: str, out: str, stages: list[str] | None =
             res = {k: v.count() for k, v in run_featurize(spark, wh).items()}
         elif stage == "split":
             res = split.split_counts(run_split(spark, wh))
+        elif stage == "sweep":
+            res = run_sweep(spark, wh)
         elif stage == "train":
             res = {k: v.count() for k, v in run_train(spark, wh).items()}
         elif stage == "evaluate":
             res = run_evaluate(spark, wh)
+        elif stage == "cross_evaluate":
+            res = run_cross_evaluate(spark, wh)
+        elif stage == "gate":
+            res = run_gate(spark, wh)
         elif stage == "precompute":
             res = run_precompute(spark, wh)
         else:

@@ -6,6 +6,9 @@ Every view is derived from a given table with Spark, so its size grows with the
 """
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,3 +160,33 @@ def fx_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n") % 3 == 0, F.lit("self")).when(F.col("n") % 3 == 1, F.lit("cross"))
         .otherwise(F.lit("none")).alias("distillation_type"),
         F.when(F.col("n") % 2 == 0, F.lit("sweep_trial")).otherwise(F.lit("")).alias("sweep"))
+
+
+# ---------------------------------------------------------------- stand-ins for trained weights, by a rule that SQL can rebuild
+
+def rule_matrix(rows: int, cols: int, a: int, b: int) -> np.ndarray:
+    """((r * a + c * b) mod 97 - 48) / 97 / sqrt(cols)."""
+    r = np.arange(rows)[:, None]
+    c = np.arange(cols)[None, :]
+    return (((r * a + c * b) % 97) - 48) / 97.0 / math.sqrt(cols)
+
+
+def learned_head_weights(dim: int, hidden: int = 64) -> dict[str, np.ndarray]:
+    return {"w1": rule_matrix(hidden, 2 * dim, 31, 17), "b1": (np.arange(hidden) % 7 - 3) / 70.0,
+            "w2": rule_matrix(1, hidden, 13, 29), "b2": np.array([0.01])}
+
+
+def _mlp_weights(input_dim: int, hidden: list[int], output_dim: int, salt: int = 0) -> list[dict]:
+    layers, d = [], input_dim
+    for n, h in enumerate(hidden + [output_dim]):
+        layers.append({"w": rule_matrix(h, d, 31 + n + salt, 17 + 2 * n), "b": (np.arange(h) % 5 - 2) / 50.0})
+        d = h
+    return layers
+
+
+def tower_weights(embed_dim: int = 64, hidden=(256, 128), output_dim: int = 128, history_dim: int = 32) -> dict:
+    n_genres = 20
+    return {"user_mlp": _mlp_weights(embed_dim + n_genres + history_dim + 2, list(hidden), output_dim, salt=0),
+            "item_mlp": _mlp_weights(embed_dim + n_genres + 1, list(hidden), output_dim, salt=7),
+            "history": {"w": rule_matrix(history_dim, n_genres, 11, 5), "b": np.zeros(history_dim)},
+            "embed_dim": embed_dim, "output_dim": output_dim}

@@ -40,3 +40,18 @@ def test_pending_combos(spark):
     cached = spark.createDataFrame([("a", "x")], "arch string, loss string")
     got = sorted(tuple(r) for r in factors.pending_combos(combos, cached, ["arch", "loss"]).collect())
     assert got == [("a", "y"), ("b", "x")]
+
+
+def test_fit_margin_and_unseen_rows(spark, interactions):
+    train = interactions.filter(F.col("movie_id") < 12)
+    model, users, items = factors.fit_factors(train, rank=4, max_iter=3)
+    assert factors.fit_margin(train, users, items) > 0.05
+    flat = users.withColumn("u", F.expr("transform(u, x -> 0.5D)"))
+    assert abs(factors.fit_margin(train, flat, items.withColumn("i", F.expr("transform(i, x -> 0.5D)")))) < 1e-9
+    r = factors.validation_loss(model, interactions).first()
+    assert (r.n_val, r.n_unseen) == (interactions.count(), interactions.filter("movie_id >= 12").count()) and r.val_loss > 0
+
+
+def test_sweep_keeps_errors(interactions):
+    rows = factors.sweep_factors(interactions, interactions, [{"rank": 2, "max_iter": 1}, {"rank": -3}]).collect()
+    assert rows[0].error is None and rows[1].val_loss == factors.FAILED_LOSS and "rank" in rows[1].error

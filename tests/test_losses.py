@@ -61,7 +61,8 @@ def test_best_epoch_first_lowest(spark):
 
 def test_encoder_forward_matches_numpy(spark):
     from marquee.operators import encode as en
-    w = en.tower_weights(embed_dim=4, hidden=(8,), output_dim=3)
+    from marquee.sources.fixtures import tower_weights as fx_tower_weights
+    w = fx_tower_weights(embed_dim=4, hidden=(8,), output_dim=3)
     itf = spark.createDataFrame([(1, [1.0] + [0.0] * 19, 2001), (2, [0.0] * 20, 0)],
                                 "movie_id int, genre_multihot array<double>, release_year int")
     emb = spark.createDataFrame([(1, [0.1, 0.2, 0.3, 0.4])], "movie_id int, emb array<double>")

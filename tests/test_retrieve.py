@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from marquee.operators import retrieve as rt
+from marquee.sources.fixtures import learned_head_weights
 
 
 def _brute(U, uid, I, iid, pools, method, k):
@@ -36,10 +37,10 @@ def vecs(spark):
     return U, uid, I, iid, pools, users, items, mem
 
 
-@pytest.mark.parametrize("strategy,kw", [("broadcast", {}), ("blocked", {"user_block": 7, "item_block": 11})])
-def test_topk_matches_brute_force(vecs, strategy, kw):
+@pytest.mark.parametrize("kw", [{}, {"user_block": 7, "item_block": 11}])
+def test_topk_matches_brute_force(vecs, kw):
     U, uid, I, iid, pools, users, items, mem = vecs
-    got = rt.topk_user_genre(users, items, mem, ("cosine", "dot", "l2"), k=5, strategy=strategy, **kw).collect()
+    got = rt.topk_user_genre(users, items, mem, ("cosine", "dot", "l2"), k=5, **kw).collect()
     for m in ("cosine", "dot", "l2"):
         want = _brute(U, uid, I, iid, pools, m, 5)
         have = {}
@@ -57,16 +58,16 @@ def test_pool_smaller_than_k(vecs):
 def test_ties_break_on_movie_id(spark):
     users = spark.createDataFrame([(1, [1.0, 0.0])], "user_id int, u array<double>")
     items = spark.createDataFrame([(5, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0])], "movie_id int, i array<double>")
-    for strategy in ("broadcast", "blocked"):
-        got = rt.topk_global(users, items, ("dot",), k=2, strategy=strategy).orderBy("rank").collect()
+    for kw in ({}, {"item_block": 1}):
+        got = rt.topk_global(users, items, ("dot",), k=2, **kw).orderBy("rank").collect()
         assert [r["movie_id"] for r in got] == [3, 5]
 
 
-@pytest.mark.parametrize("strategy,kw", [("broadcast", {}), ("blocked", {"user_block": 5, "item_block": 9})])
-def test_learned_head_matches_numpy(vecs, spark, strategy, kw):
+@pytest.mark.parametrize("kw", [{}, {"user_block": 5, "item_block": 9}])
+def test_learned_head_matches_numpy(vecs, spark, kw):
     U, uid, I, iid, pools, users, items, mem = vecs
-    head = rt.learned_head_weights(8)
-    got = (rt.topk_global(users, items, ("learned",), k=3, head=head, strategy=strategy, **kw)
+    head = learned_head_weights(8)
+    got = (rt.topk_global(users, items, ("learned",), k=3, head=head, **kw)
            .filter("user_id = 0").orderBy("rank").collect())
     x = np.concatenate([np.repeat(U[:1], len(I), 0), I], axis=1)
     s = np.maximum(x @ head["w1"].T + head["b1"], 0) @ head["w2"][0] + head["b2"][0]
@@ -103,12 +104,48 @@ def test_kernel_chunking_does_not_change_results():
     U, I = rng.normal(size=(13, 6)), rng.normal(size=(29, 6))
     uid, iid = np.arange(13), np.arange(100, 129)
     pools = [("A", np.arange(0, 29)), ("B", np.arange(3, 29, 4))]
-    head = rt.learned_head_weights(6)
+    head = learned_head_weights(6)
     methods = ("cosine", "dot", "l2", "learned")
     big = rt._topk_block(uid, U, iid, I, pools, methods, 5, head, budget=1 << 22)
     small = rt._topk_block(uid, U, iid, I, pools, methods, 5, head, budget=40)
-    key = ["user_id", "genre", "scoring_method", "rank"]
+    key = ["user_id", "genre", "scoring_method"]
     a = big.sort_values(key).reset_index(drop=True)
     b = small.sort_values(key).reset_index(drop=True)
-    assert a["movie_id"].tolist() == b["movie_id"].tolist()
-    assert np.allclose(a["score"].to_numpy(dtype=float), b["score"].to_numpy(dtype=float))
+    assert [x.tolist() for x in a["movie_ids"]] == [x.tolist() for x in b["movie_ids"]]
+    assert all(np.allclose(x, y) for x, y in zip(a["scores"], b["scores"]))
+
+
+def test_best_columns_with_ties():
+    key = np.array([[3.0, 1.0, 2.0, 1.0, 1.0], [5.0, 5.0, 5.0, 5.0, 5.0]])
+    assert rt._best(key, 2).tolist() == [[1, 3], [0, 1]]
+    assert rt._best(key, 9).tolist() == [[1, 3, 4, 2, 0], [0, 1, 2, 3, 4]]
+
+
+def test_learned_without_a_head_raises(vecs):
+    *_, users, items, mem = vecs
+    with pytest.raises(ValueError, match="needs the weights"):
+        rt.topk_user_genre(users, items, mem, ("learned",))
+
+
+def test_search_of_a_loaded_index(vecs, spark, tmp_path):
+    U, uid, I, iid, pools, users, items, mem = vecs
+    rt.save_item_index(items, "m", ("cosine", "l2"), str(tmp_path / "ix"))
+    for method in ("cosine", "l2"):
+        got = rt.search_item_index(rt.load_item_index(spark, str(tmp_path / "ix"), "m", method), users, method, 4).collect()
+        want = _brute(U, uid, I, iid, {"*": set(iid)}, method, 4)
+        have = {}
+        for r in sorted(got, key=lambda r: r["rank"]):
+            have.setdefault((r["user_id"], "*"), []).append(r["movie_id"])
+        assert have == want
+
+
+def test_weights_from_a_table(spark, tmp_path):
+    from marquee.operators import encode as en
+    from marquee.sources.fixtures import tower_weights
+    w = tower_weights(embed_dim=4, hidden=(8,), output_dim=3)
+    en.save_weights(spark, w, str(tmp_path / "w"))
+    back = en.load_weights(spark, str(tmp_path / "w"))
+    assert back["embed_dim"] == 4 and back["output_dim"] == 3 and np.array_equal(back["history"]["w"], w["history"]["w"])
+    assert all(np.array_equal(a["w"], b["w"]) and np.array_equal(a["b"], b["b"]) for p in ("user_mlp", "item_mlp") for a, b in zip(w[p], back[p]))
+    with pytest.raises(ValueError, match="expect 4"):
+        en._embeddings([[1.0, 2.0]], 4)

@@ -20,6 +20,20 @@ def test_all_stages_end_to_end(spark, tmp_path):
     counts = {r["table_name"]: r["n"] for r in summary["precompute"]}
     assert counts["top_n_user_genre"] > 0 and counts["cold_start_genre"] > 0
     assert summary["evaluate"][0]["loss"] >= 0
+    assert summary["sweep"][0]["params"] in {str(sorted(g.items())) for g in stages.GRID} and summary["cross_evaluate"] == []
+    assert wh.read(f"models/{stages.MODEL_NAME}/users").selectExpr("max(size(u))").first()[0] == dict(eval(summary["sweep"][0]["params"]))["rank"]
+    # nothing new since the load, so the daily run skips the ingest
+    assert {r.stage: r.run for r in stages.run_gate(spark, wh).collect()}["ingest"] is False
+    # a second sweep has nothing left to try; a second model makes a pair in each direction
+    stages.run_sweep(spark, wh)
+    assert wh.next_version("pipeline/sweep_trials") == 1
+    stages.run_train(spark, wh, "other", rank=4, max_iter=2)
+    kl = {(r.teacher, r.student): r.kl for r in stages.run_cross_evaluate(spark, wh).collect()}
+    assert set(kl) == {("other", stages.MODEL_NAME), (stages.MODEL_NAME, "other")} and all(v > 0 for v in kl.values())
+    from marquee.operators import retrieve as rt
+    index = rt.load_item_index(spark, wh.path("serving/item_index"), stages.MODEL_NAME, "cosine")
+    found = rt.search_item_index(index, wh.read(f"models/{stages.MODEL_NAME}/users"), "cosine", 3)
+    assert found.count() == 3 * wh.read(f"models/{stages.MODEL_NAME}/users").count()
 
 
 def test_reingest_upsert_is_idempotent(spark, tmp_path):
