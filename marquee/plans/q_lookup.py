@@ -160,6 +160,34 @@ def q_batch_recommend(spark, d):
     return _long(recs, ["request_id", "user_id", "source", "genre"])
 
 
+_EDGE_REQ = ("req0", f"select user_id as request_id, user_id, case when user_id % 5 = 2 then 'No Such Genre' end as genre, 'cosine' as scoring_method, "
+             f"case when user_id % 5 = 0 then 10 when user_id % 5 = 1 then 500 else 5 end as top_n, '{A}' as model_name from uvec")
+
+
+@query("lookup_edge_requests", W_([
+    _EDGE_REQ, ("req", "select * from req0 where top_n between 1 and 100"),
+    ("pers", _pick_sql("req", "srv", ["user_id", "model_name", "scoring_method"])),
+    ("miss", "select * from req where request_id not in (select request_id from pers)"),
+    ("fb", _pick_sql("miss", "cold", ["model_name", "scoring_method"])),
+    ("found", "select request_id, 'personal' as source, genre, count(*) as n from pers group by request_id, genre union all "
+              "select request_id, 'cold_start', genre, count(*) from fb group by request_id, genre")]) + """
+select q.request_id, case when q.top_n not between 1 and 100 then 'invalid' else coalesce(f.source, 'none') end as source,
+       coalesce(f.genre, q.genre) as genre, coalesce(f.n, 0) as n_items,
+       case when q.top_n not between 1 and 100 then 'top_n ' || q.top_n || ' is outside 1..100'
+            when q.genre is not null then 'unknown genre ' || q.genre end as error
+from req0 q left join found f on f.request_id = q.request_id""")
+def q_lookup_edge_requests(spark, d):
+    """Requests with a null top_n and method, a top_n out of bounds, an unknown genre: one answer each, and the errors."""
+    top, cold = _serving(spark, d)
+    five = F.col("user_id") % 5
+    req = fx.user_vectors(spark, d).select(
+        F.col("user_id").alias("request_id"), "user_id", F.when(five == 2, F.lit("No Such Genre")).alias("genre"),
+        F.when(five == 0, F.lit(None)).when(five == 1, 500).otherwise(5).cast("int").alias("top_n"),
+        F.when(five != 0, F.lit("cosine")).alias("scoring_method"))
+    out = lk.batch_recommend(top, cold, req).join(lk.bad_requests(req), "request_id", "left")
+    return out.select("request_id", "source", "genre", F.coalesce(F.size("movie_ids"), F.lit(0)).cast("bigint").alias("n_items"), "error")
+
+
 @query("multi_model_recommend", W_([
     ("req0", "select user_id as request_id, user_id, null as genre, 'cosine' as scoring_method, 10 as top_n from ufu"),
     ("req", f"select r.*, m.model_name from req0 r cross join (select unnest(['{A}', '{B}']) as model_name) m")]) + """

