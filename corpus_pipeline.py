@@ -45,7 +45,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids)."""
-    out = encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded=None)
+    out = encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"), decoded=None)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

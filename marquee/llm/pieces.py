@@ -22,11 +22,13 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
-CACHE_CHUNKS, CACHE_CHUNK_CHARS = 250_000, 64
+CACHE_CHUNKS, CACHE_CHUNK_CHARS, OUT_ROWS = 120_000, 64, 256
 
 
 class PieceCodec:
@@ -207,17 +209,30 @@ def codec(model_file: str) -> PieceCodec:
     return PieceCodec(model_file)
 
 
-def encode_documents(docs: DataFrame, model_file: str, text_col: str = "text", ids: str = "ids", decoded: str | None = "decoded") -> DataFrame:
-    """docs plus ids array<int> and, unless decoded is None, the text that they decode to."""
-    @F.pandas_udf("ids array<int>, decoded string")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        c = codec(model_file)
-        made = [c.process(t or "") for t in texts]
-        return pd.DataFrame({"ids": pd.Series([np.fromstring(m[0], dtype=np.int32, sep=",") for m in made], dtype=object),
-                             "decoded": pd.Series([m[2] if decoded else None for m in made], dtype=object)})
+def encode_documents(docs: DataFrame, model_file: str, text_col: str = "text", keep: tuple[str, ...] | None = None,
+                     ids: str = "ids", decoded: str | None = "decoded") -> DataFrame:
+    """The columns named in ``keep`` (default: all but those named like a result), ids array<int> and, unless decoded is
+    None, the text that they decode to. Rows leave in small batches, so a task holds few results at a time."""
+    keep = tuple(c for c in docs.columns if c not in (ids, decoded)) if keep is None else tuple(keep)
+    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema.add(decoded, T.StringType())
 
-    both = docs.withColumn("__enc", run(F.col(text_col))).withColumn(ids, F.col("__enc.ids"))
-    return (both.withColumn(decoded, F.col("__enc.decoded")) if decoded else both).drop("__enc")
+    def run(batches):
+        c = codec(model_file)
+        for b in batches:
+            for i in range(0, b.num_rows, OUT_ROWS):
+                part = b.slice(i, OUT_ROWS)
+                made = [c.process(t or "") for t in part.column(len(keep)).to_pylist()]
+                values = np.fromstring(",".join(m[0] for m in made if m[1]), dtype=np.int32, sep=",")
+                ends = np.cumsum([0] + [m[1] for m in made], dtype=np.int32)
+                out = [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(values))]
+                if decoded:
+                    out.append(pa.array([m[2] for m in made], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def token_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
