@@ -52,12 +52,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     joined, k = b" ".join(words), min(shingle, len(words))
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    h64 = xxhash.xxh64_intdigest
-    hashes = np.array([h64(joined[a:b], SEED) for a, b in zip(starts[:len(words) - k + 1].tolist(), ends[k - 1:].tolist())], dtype=">u8")
+    h64, n = xxhash.xxh64_intdigest, len(words) - k + 1
     votes = np.zeros(64, dtype=np.int64)
-    for i in range(0, len(hashes), 1 << 15):
-        votes += np.unpackbits(hashes[i:i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(votes * 2 > len(hashes)).tobytes(), "big")
+    for i in range(0, n, 1 << 15):  # few hashes at a time, however long the text
+        cut = zip(starts[i:min(n, i + (1 << 15))].tolist(), ends[k - 1 + i:k - 1 + i + (1 << 15)].tolist())
+        hashes = np.array([h64(joined[a:b], SEED) for a, b in cut], dtype=">u8")
+        votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "text", out: str = "fp") -> DataFrame:
