@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-CACHE_CHUNKS, CACHE_CHUNK_CHARS, OUT_ROWS = 120_000, 64, 256
+CACHE_CHUNKS, CACHE_CHUNK_CHARS, CACHE_PAIRS, OUT_ROWS, INF = 250_000, 64, 400_000, 256, float("inf")
 
 
 class PieceCodec:
@@ -57,6 +57,7 @@ class PieceCodec:
         self.unk_text = sp.decode([sp.unk_id()])
         self.unk = sp.unk_id()
         self.merges, self.pair = merges, {}
+        self.cost = {p: c for p, (c, _) in merges.items()}.get
         self.known = {c for p in merges for c in p}
         # pieces that merging can reach; the others never come out of an encoding
         reach = [p for p in merges if len(p) == 1 or self.remerge(p) == [p]]
@@ -75,20 +76,23 @@ class PieceCodec:
 
     def remerge(self, text: str) -> list[str]:
         """The merges themselves, best score first and leftmost on ties; for short texts."""
-        parts = list(text)
-        while len(parts) > 1:
-            found = [(m[0], i) for i in range(len(parts) - 1) if (m := self.merges.get(parts[i] + parts[i + 1]))]
-            if not found:
-                break
-            i = min(found)[1]
+        parts, cost = list(text), self.cost
+        costs = [cost(a + b, INF) for a, b in zip(parts, parts[1:])]
+        while costs and (least := min(costs)) < INF:
+            i = costs.index(least)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del costs[i]
+            if i < len(costs):
+                costs[i] = cost(parts[i] + parts[i + 1], INF)
+            if i:
+                costs[i - 1] = cost(parts[i - 1] + parts[i], INF)
         return parts
 
     def compatible(self, left: str, right: str) -> bool:
         key = (left, right)
         ok = self.pair.get(key)
         if ok is None:
-            if len(self.pair) > 1_000_000:
+            if len(self.pair) > CACHE_PAIRS:
                 self.pair.clear()
             ok = self.pair[key] = self.remerge(left + right) == [left, right]
         return ok
@@ -99,7 +103,7 @@ class PieceCodec:
         longest: list = [None] * n
         for end, piece in self.backward.iter(text[::-1]):
             start = n - 1 - end
-            if longest[start] is None or len(piece) > len(longest[start]):
+            if longest[start] is None:  # the matches that end in one place come longest first
                 longest[start] = piece
         open_at = bytearray(b"\x01") * (n + 1)  # 0: no encoding goes on from here
         out: list[str] = []
@@ -122,6 +126,8 @@ class PieceCodec:
 
     def encode_chunk(self, chunk: str) -> list[int]:
         ids: list[int] = []
+        if chunk in self.id:  # reachable, so it is its own encoding
+            return [self.id[chunk]]
         if self.known.issuperset(chunk):
             return [self.id[p] for p in self._runs(chunk)]
         run = 0
