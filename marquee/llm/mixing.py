@@ -13,7 +13,7 @@ order is cut in hash buckets: sums per (source, bucket) give each bucket's place
 edge are ordered exactly, so a source holding a third of the rows is no single group.
 
 Edge cases: a null text has size 0; null is a source of its own, last; documents of size 0 take nothing; rows that share id
-and text are ordered by a row number (equal rows are interchangeable); a source without words has target 0; an empty
+and text stand in any order, as they are interchangeable; a source without words has target 0; an empty
 table gives an empty table. Columns named like the results are only returned when named in ``carry``, and the operator's
 own columns win.
 """
