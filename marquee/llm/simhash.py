@@ -38,7 +38,7 @@ from marquee.session import materialize
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 SEGMENTS = ((41, 23), (18, 23), (0, 18))  # (shift, bits)
 GENERATOR = 0b101011100011  # of the Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
-SHORT_RUN, BLOCK = 48, 4096
+SHORT_RUN, STEP, BLOCK = 48, 64, 2048
 SAMPLE_RATE, HOT_ROWS, HOT_BLOCK = 64, 20_000, 8_192
 
 
@@ -153,7 +153,7 @@ def run_links(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Row pairs of a spanning forest of the fingerprints (uint64) at most max_bits apart, block by block."""
     n, links = len(fps), []
     forest = Forest(n)
-    step = 512
+    step = STEP
     for i in range(0, n, step):
         left = fps[i:i + step]
         for j in range(i, n, BLOCK):
