@@ -1,8 +1,10 @@
 """HTML extraction: parser events, text-to-tag ratio per line, Gaussian smoothing and threshold clustering.
 
 The standard library's streaming parser feeds a line builder: a block element begins a new line, inline tags only count as tags
-of the line. Text inside elements that are no article text by their own account (nav, footer, aside, form, script, style, ... or
-a class, id or role such as menu, ad, cookie, comments) never becomes a line. Each line has a ratio of text to tags; the
+of the line. Text inside elements that are no article text by their own account (nav, footer, aside, script, style, ...) never
+becomes a line. Containers are marked off by a form element or a whole class, id or role token (menu, ad, cookie-notice,
+comments); an article, main, heading, paragraph or inline element never is by its name, and the mark of a container that holds
+most of the page's text is overruled. Each line not marked off has a ratio of text to tags; the
 ratios are smoothed with a Gaussian, and lines above the threshold (``spread`` standard deviations, capped at the mean) form the content
 cluster. The cluster selects content regions: the article and main elements that hold it; where there are none, the smallest
 container that holds nearly all of it, from its first to its last content line, less lines that are mostly links. Within a selected region nothing is
@@ -16,6 +18,7 @@ them; extra columns stay as they are, those named like a result are replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -23,44 +26,61 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SKIP = frozenset("head title script style noscript template svg math iframe object embed nav footer aside form button select "
+SKIP = frozenset("head title script style noscript template svg math iframe object embed nav footer aside button select "
                  "textarea input dialog menu canvas audio video map".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(("article", "main"))
 #: Elements that hold others and so may be regions.
-HOLDER = frozenset("html body article main section div header center td table tbody blockquote ul ol dl figure details".split())
+HOLDER = frozenset("html body article main section div header center td table tbody blockquote ul ol dl figure details form".split())
 BLOCK = HOLDER | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr th pre address figcaption summary hr fieldset legend caption thead tfoot "
                            "nav footer aside form title dialog menu".split())
-#: Words of class, id and role that mark text outside the article.
+#: Elements that no class, id or role marks off: the content itself, headings, paragraphs and what stands within a line.
+UNNAMED = ARTICLE | frozenset("html body p h1 h2 h3 h4 h5 h6 a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark "
+                              "q s samp small span strong sub sup time tt u var pre".split())
+#: A token of class, id or role marks a container off if one of its words is in BOILERPLATE and all others are there or in LAYOUT.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar "
     "breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup "
     "comment comments commentlist disqus replies social share sharing related recommended widget toolbar contentinfo complementary search pagination".split())
-PAGE_HEADER = frozenset(("header", "topbar"))
+LAYOUT = frozenset("container wrapper wrap box block list bar button buttons link links item items icons area section inner outer left right "
+                   "top bottom main primary secondary site page global mobile desktop post posts article articles stories entry form thread slot unit".split())
+#: Containers of these names may be longer than the article they belong to.
+COMMENTS = frozenset("comment comments commentlist disqus replies".split())
+PAGE_HEADER = frozenset(("header", "topbar", "site-header"))
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SIGMA, SPREAD = 1.0, 1.0
 
 
-def marked_off(attrs: list[tuple[str, str | None]], words: frozenset = BOILERPLATE) -> bool:
+def hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(name == "hidden" or name == "aria-hidden" and value == "true" for name, value in attrs)
+
+
+def named(attrs: list[tuple[str, str | None]]) -> str:
+    """What class, id and role say of a container: comments, boilerplate, header or nothing."""
+    found = ""
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            if not words.isdisjoint(w.lower() for w in _WORDS.findall(value)):
-                return True
-        elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-    return False
+            for token in value.split():
+                words = {w.lower() for w in _WORDS.findall(token) if not w.isdigit()}
+                if not words.isdisjoint(BOILERPLATE) and words <= BOILERPLATE | LAYOUT:
+                    if not words.isdisjoint(COMMENTS):
+                        return "comments"
+                    found = "boilerplate"
+                elif token.lower() in PAGE_HEADER:
+                    found = found or "header"
+    return found
 
 
 class Lines(HTMLParser):
-    """lines: [text, tags, link characters, region]; regions: [parent, tag]."""
+    """lines: (text, tags, link characters, region, mark, tag); regions: [parent, tag]; marks: [parent, what is said of it, region]."""
 
-    def __init__(self, by_name: bool = True):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.by_name = by_name  # whether class, id and role may mark an element off
-        self.lines, self.regions = [], [(-1, "")]
-        self.stack: list[tuple[str, bool, int]] = []  # open elements that matter: (tag, off, region inside)
+        self.lines, self.regions, self.marks = [], [(-1, "")], [(-1, "", 0)]
+        self.stack: list[tuple[str, bool, int, int]] = []  # open elements that matter: (tag, off, region inside, mark inside)
         self.off = self.links = 0
-        self.region = 0
+        self.region = self.mark = 0
+        self.block = ""  # the block element that began the line
         self.parts: list[str] = []
         self.tags = self.linked = 0
 
@@ -68,19 +88,19 @@ class Lines(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.tags, self.linked, self.region))
+                self.lines.append((text, self.tags, self.linked, self.region, self.mark, self.block))
             self.parts = []
         self.tags = self.linked = 0
 
     def close_to(self, depth: int) -> None:
         while len(self.stack) > depth:
-            _, off, region = self.stack.pop()
+            _, off, self.region, self.mark = self.stack.pop()
             self.off -= off
-            self.region = region
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.flush()
+            self.block = tag
             if self.stack and self.stack[-1][0] == "p":  # a block ends an open paragraph
                 self.close_to(len(self.stack) - 1)
         else:
@@ -91,27 +111,36 @@ class Lines(HTMLParser):
                 self.links += 1
         if tag in VOID:
             return
-        off = tag in SKIP or bool(attrs) and self.by_name and marked_off(attrs)
-        if not off and (tag == "header" or attrs and self.by_name and marked_off(attrs, PAGE_HEADER)):
-            off = not any(t in ARTICLE for t, *_ in self.stack)  # a page's header is no article text, an article's is
-        if tag in ("html", "body"):
-            off = False
-        if off or tag in HOLDER:
-            self.stack.append((tag, off, self.region))
+        off = tag in SKIP or bool(attrs) and tag not in ("html", "body") and hidden(attrs)
+        said = "form" if tag == "form" else ""
+        if attrs and tag not in UNNAMED:
+            said = named(attrs) or said
+        if tag == "header":
+            said = said or "header"
+        if said == "header" and any(t in ARTICLE for t, *_ in self.stack):
+            said = ""  # a page's header is no article text, an article's is
+        if off or said or tag in HOLDER:
+            self.stack.append((tag, off, self.region, self.mark))
             self.off += off
-            if tag in HOLDER and not self.off:
-                self.regions.append((self.region, tag))
-                self.region = len(self.regions) - 1
+            if not self.off:
+                if said:
+                    self.marks.append((self.mark, said, self.region))
+                    self.mark = len(self.marks) - 1
+                if tag in HOLDER:
+                    self.regions.append((self.region, tag))
+                    self.region = len(self.regions) - 1
 
     def handle_startendtag(self, tag, attrs):
         if tag in BLOCK:
             self.flush()
+            self.block = ""
         elif tag == "br":
             self.parts.append(" ")
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.flush()
+            self.block = ""
         elif tag == "a":
             self.links = max(0, self.links - 1)
         for depth in range(len(self.stack) - 1, -1, -1):
@@ -137,33 +166,80 @@ def content_lines(lengths: np.ndarray, tags: np.ndarray, sigma: float = SIGMA, s
     return smooth >= min(spread * smooth.std(), smooth.mean())
 
 
+def outermost(regions: list[tuple[int, str]]) -> list[int]:
+    """The outermost article or main element that each region lies in, or -1."""
+    outer: list[int] = []
+    for i, (parent, tag) in enumerate(regions):
+        outer.append(outer[parent] if parent >= 0 and outer[parent] >= 0 else i if tag in ARTICLE else -1)
+    return outer
+
+
+#: What a marked container must hold, as a multiple of the text that is not marked off, for its mark to be overruled.
+OVER = {"form": 0, "header": 4, "boilerplate": 4, "comments": 10}
+
+
+def unmarked(p: Lines, outer: list[int]) -> list[tuple]:
+    """Lines outside the containers that are marked off. The mark of one that holds more than half of the page's text is overruled
+    unless it stands beside another article or, but for a form, much other text; where only links are left, every mark is."""
+    if len(p.marks) == 1:
+        return p.lines
+    total, own, under = 0, [0] * len(p.marks), [0] * len(p.marks)
+    in_articles: list[Counter] = [Counter() for _ in p.marks]
+    for text, _, linked, region, mark, _ in p.lines:
+        n = max(0, len(text) - linked)
+        total += n
+        own[mark] += n
+        under[mark] += n
+        if n and outer[region] >= 0:
+            in_articles[mark][outer[region]] += n
+    for m in range(len(p.marks) - 1, 0, -1):
+        under[p.marks[m][0]] += under[m]
+    off, clear, articles = [False], own[0], set(in_articles[0])
+    for m in range(1, len(p.marks)):  # parents come first
+        parent, said, region = p.marks[m]
+        lifted = not off[parent] and 2 * under[m] > total and OVER[said] * clear <= under[m] and not articles - {outer[region]}
+        off.append(not lifted)
+        if lifted:
+            clear += own[m]
+            articles |= set(in_articles[m])
+    kept = [line for line in p.lines if not off[line[4]]]
+    return kept if any(linked * 2 <= len(t) for t, _, linked, *_ in kept) else p.lines
+
+
+def with_title(lines: list[tuple], rows: list[int]) -> str:
+    """The text of the rows; where they have no h1, the last one before them and what follows it in its container lead."""
+    if rows and not any(lines[i][5] == "h1" for i in rows):
+        h = next((i for i in range(rows[0] - 1, -1, -1) if lines[i][5] == "h1"), None)
+        if h is not None:
+            rows = [h] + [i for i in range(h + 1, rows[0]) if lines[i][3] == lines[h][3] and lines[i][2] * 2 <= len(lines[i][0])] + rows
+    return "\n\n".join(lines[i][0] for i in rows)
+
+
 def extract(html: str | None) -> str:
     """Main text of one page."""
     if not html:
         return ""
-    for by_name in (True, False):  # a page that lies wholly in an element marked off by its name is read again without names
-        p = Lines(by_name)
-        p.feed(html)
-        p.close()
-        p.flush()
-        if p.lines:
-            break
-    lines, regions = p.lines, p.regions
+    p = Lines()
+    p.feed(html)
+    p.close()
+    p.flush()
+    regions, outer = p.regions, outermost(p.regions)
+    lines = unmarked(p, outer)
     if not lines:
         return ""
     lengths = np.array([len(t) for t, *_ in lines], dtype=float)
-    weight = np.where(content_lines(lengths, np.array([t for _, t, *_ in lines])), lengths, 0.0)
+    weight = np.where(content_lines(lengths, np.array([n for _, n, *_ in lines])), lengths, 0.0)
     held = np.zeros(len(regions))
-    np.add.at(held, [r for *_, r in lines], weight)
-    outer = np.full(len(regions), -1)  # the outermost article that a region lies in
-    for i, (parent, tag) in enumerate(regions):
-        outer[i] = outer[parent] if parent >= 0 and outer[parent] >= 0 else i if tag in ARTICLE else -1
-    articles = {int(a): held[outer == a].sum() for a in set(outer) if a >= 0}
+    np.add.at(held, [line[3] for line in lines], weight)
+    articles = dict.fromkeys((a for a in outer if a >= 0), 0.0)
+    for a, h in zip(outer, held):
+        if a >= 0:
+            articles[a] += h
     if articles and max(articles.values()) > 0:
         chosen = {a for a, h in articles.items() if h * 4 >= max(articles.values())}
-        return "\n\n".join(t for t, _, _, r in lines if outer[r] in chosen)
-    if articles and any(outer[r] >= 0 for *_, r in lines):
-        return "\n\n".join(t for t, _, _, r in lines if outer[r] >= 0)
+        return with_title(lines, [i for i, line in enumerate(lines) if outer[line[3]] in chosen])
+    if articles and any(outer[line[3]] >= 0 for line in lines):
+        return with_title(lines, [i for i, line in enumerate(lines) if outer[line[3]] >= 0])
     for i in range(len(regions) - 1, 0, -1):  # children come after their parents
         held[regions[i][0]] += held[i]
     children: dict[int, list[int]] = {}
@@ -179,9 +255,9 @@ def extract(html: str | None) -> str:
     rows = [i for i, line in enumerate(lines) if inside[line[3]]]
     kept = [i for i in rows if weight[i]]
     if not kept:
-        return "\n\n".join(lines[i][0] for i in rows)
+        return with_title(lines, rows)
     # a heading directly above the first content line belongs to it
-    return "\n\n".join(lines[i][0] for i in rows if kept[0] - 1 <= i <= kept[-1] and (weight[i] or lines[i][2] * 2 <= len(lines[i][0])))
+    return with_title(lines, [i for i in rows if kept[0] - 1 <= i <= kept[-1] and (weight[i] or lines[i][2] * 2 <= len(lines[i][0]))])
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

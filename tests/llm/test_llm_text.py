@@ -203,6 +203,28 @@ def test_pages_without_article_element():
     assert extract("just text &lt;here&gt;") == "just text <here>"
 
 
+LONG = " ".join(["plain words of a longer paragraph"] * 6)
+
+
+@pytest.mark.parametrize("body, want", [
+    ('<article><h2 id="related-work">Related work</h2><p>L</p><p id="share-price">Share price</p><section id="social-impact"><p>Impact</p></section></article>',
+     "Related work|L|Share price|Impact"),
+    ('<a href="#c">Skip to content</a><main class="has-sidebar"><h1>T</h1><p>L</p></main>', "T|L"),
+    ('<a href="#c">Skip to content</a><article class="post comments-open"><h1>T</h1><p>L</p></article>', "T|L"),
+    ('<main class="sidebar" id="menu"><h1 class="banner">T</h1><p class="notice">L</p></main>', "T|L"),
+    ('<div class="entry-header"><h1>T</h1></div><article><p>L</p></article>', "T|L"),
+    ('<div class="entry-header"><h1>T</h1><p>Sub</p></div><div class="entry-content"><p>L</p></div>', "T|Sub|L"),
+    ('<form action="x"><a href="#c">Skip to content</a><div><h1>T</h1><p>L</p></div></form>', "T|L"),
+    ('<a href="#c">Skip to content</a><form><div id="notice"><h1>T</h1><p>L</p></div></form>', "T|L"),
+    ('<a href="#c">Skip to content</a><form><main><p>L</p></main><div class="ad">L L</div></form>', "L"),
+    ('<article><h1>T</h1><div class="notice"><p>L</p></div></article>', "T|L"),
+    ('<div class="story"><p>L</p></div><div id="comments">L L L</div>', "L"),
+    ('<div class="story"><p>L</p></div><div class="share-buttons">L</div><div class="site-footer">L</div><form>L</form>', "L"),
+])
+def test_names_and_forms_do_not_hide_content(body, want):
+    assert extract(page(body.replace("L", LONG))) == want.replace("|", "\n\n").replace("L", LONG)
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "<!-- x", "<script>never closed", "</p></div>", "<article></article>", "<nav>a</nav>", "<div " * 3000, "<b>" * 3000])
 def test_odd_pages(html):
     assert isinstance(extract(html), str)
