@@ -6,9 +6,10 @@ becomes a line. Containers are marked off by a form element or a whole class, id
 comments); an article, main, heading, paragraph or inline element never is by its name, and the mark of a container that holds
 most of the page's text is overruled. Each line not marked off has a ratio of text to tags; the
 ratios are smoothed with a Gaussian, and lines above the threshold (``spread`` standard deviations, capped at the mean) form the content
-cluster. The cluster selects content regions: the article and main elements that hold it; where there are none, the smallest
-container that holds nearly all of it, from its first to its last content line, less lines that are mostly links. Within a selected region nothing is
-dropped, so short paragraphs and headings stay.
+cluster. The cluster only selects content regions: the article and main elements, less those that are mostly links and hold under
+a quarter of the largest one's share; where there are none, the smallest container that holds nearly all of the cluster. All lines
+of a selected region stay, short ones before, between and after long ones too; outside article and main elements, lines that are
+mostly links go, unless they are headings of the first rank or long enough for the cluster by themselves.
 
 White space inside a block becomes one space, blocks are trimmed and joined by two line feeds; character references are
 decoded by the parser. Edge cases: null, empty and tag-free pages work (plain text is one block); unclosed tags, stray end tags
@@ -157,13 +158,14 @@ class Lines(HTMLParser):
                 self.linked += len(data)
 
 
-def content_lines(lengths: np.ndarray, tags: np.ndarray, sigma: float = SIGMA, spread: float = SPREAD) -> np.ndarray:
-    """Which lines are in the content cluster: smoothed text-to-tag ratio at or above the threshold."""
+def content_lines(lengths: np.ndarray, tags: np.ndarray, sigma: float = SIGMA, spread: float = SPREAD) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines are in the content cluster: smoothed text-to-tag ratio at or above the threshold; and which reach it unsmoothed."""
     ratio = lengths / np.maximum(1, tags)
     reach = int(3 * sigma)
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     smooth = np.convolve(np.pad(ratio, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
-    return smooth >= min(spread * smooth.std(), smooth.mean())
+    threshold = min(spread * smooth.std(), smooth.mean())
+    return smooth >= threshold, ratio >= threshold
 
 
 def outermost(regions: list[tuple[int, str]]) -> list[int]:
@@ -228,18 +230,20 @@ def extract(html: str | None) -> str:
     if not lines:
         return ""
     lengths = np.array([len(t) for t, *_ in lines], dtype=float)
-    weight = np.where(content_lines(lengths, np.array([n for _, n, *_ in lines])), lengths, 0.0)
+    cluster, alone = content_lines(lengths, np.array([n for _, n, *_ in lines]))
+    weight = np.where(cluster, lengths, 0.0)
     held = np.zeros(len(regions))
     np.add.at(held, [line[3] for line in lines], weight)
-    articles = dict.fromkeys((a for a in outer if a >= 0), 0.0)
-    for a, h in zip(outer, held):
-        if a >= 0:
-            articles[a] += h
-    if articles and max(articles.values()) > 0:
-        chosen = {a for a, h in articles.items() if h * 4 >= max(articles.values())}
-        return with_title(lines, [i for i, line in enumerate(lines) if outer[line[3]] in chosen])
-    if articles and any(outer[line[3]] >= 0 for line in lines):
-        return with_title(lines, [i for i, line in enumerate(lines) if outer[line[3]] >= 0])
+    share, links = Counter(), Counter()  # of each article: cluster weight, link characters less half of all
+    for i, line in enumerate(lines):
+        if (a := outer[line[3]]) >= 0:
+            share[a] += weight[i]
+            links[a] += line[2] - len(line[0]) / 2
+    if share:
+        most = max(share.values())
+        chosen = {a for a, h in share.items() if h and h * 4 >= most or links[a] <= 0}
+        rows = [i for i, line in enumerate(lines) if outer[line[3]] in chosen]
+        return with_title(lines, rows or [i for i, line in enumerate(lines) if outer[line[3]] >= 0])
     for i in range(len(regions) - 1, 0, -1):  # children come after their parents
         held[regions[i][0]] += held[i]
     children: dict[int, list[int]] = {}
@@ -253,11 +257,8 @@ def extract(html: str | None) -> str:
     for i in range(at + 1, len(regions)):
         inside[i] = inside[regions[i][0]]
     rows = [i for i, line in enumerate(lines) if inside[line[3]]]
-    kept = [i for i in rows if weight[i]]
-    if not kept:
-        return with_title(lines, rows)
-    # a heading directly above the first content line belongs to it
-    return with_title(lines, [i for i in rows if kept[0] - 1 <= i <= kept[-1] and (weight[i] or lines[i][2] * 2 <= len(lines[i][0]))])
+    text = [i for i in rows if alone[i] or lines[i][5] == "h1" or lines[i][2] * 2 <= len(lines[i][0])]
+    return with_title(lines, text or rows)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

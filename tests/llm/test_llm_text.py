@@ -225,6 +225,29 @@ def test_names_and_forms_do_not_hide_content(body, want):
     assert extract(page(body.replace("L", LONG))) == want.replace("|", "\n\n").replace("L", LONG)
 
 
+def sized(n, i):
+    return (f"line {i} " * n)[:n - 1] + "."
+
+
+def test_short_blocks_around_the_cluster_stay():
+    sizes = [40, 18, 22, 600, 700, 650, 500, 620, 30, 25, 28, 20, 24]
+    want = [sized(n, i) for i, n in enumerate(sizes)]
+    body = "".join(f"<{t}>{x}</{t}>" for t, x in zip(["h1"] + ["p"] * 12, want))
+    menu = '<ul><li><a href="#">one</a></li><li><a href="#">two</a></li></ul>'
+    assert extract(page(f'<div class="story">{body}</div>', menu, menu)) == "\n\n".join(want)
+    assert extract(page(f'<div class="story">{menu}{body}<div class="share-buttons">Share</div>{menu}</div>')) == "\n\n".join(want)
+    middle = want[3:8] + want[:3] + want[8:]  # short blocks at the end only
+    assert extract(page("<div>" + "".join(f"<p>{x}</p>" for x in middle) + "</div>")) == "\n\n".join(middle)
+
+
+def test_short_second_article_stays():
+    first = f"<article><h1>One</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article>"
+    want = f"One\n\n{LONG}\n\n{LONG}\n\n{LONG}"
+    assert extract(page(first + "<article><h2>Two</h2><p>Short.</p></article>")) == want + "\n\nTwo\n\nShort."
+    assert extract(page("<article><p>Short.</p></article>" + first)) == "Short.\n\n" + want
+    assert extract(page(first + '<article><h3><a href="#">More of this</a></h3></article>')) == want
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "<!-- x", "<script>never closed", "</p></div>", "<article></article>", "<nav>a</nav>", "<div " * 3000, "<b>" * 3000])
 def test_odd_pages(html):
     assert isinstance(extract(html), str)
