@@ -5,8 +5,9 @@ its structure and extent: repetition, word and line lengths, shares of upper cas
 sigmoid(w0 + <w, x> + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2)), the sum-of-squares form of all pairwise
 interactions, so a document costs time in proportion to its distinct words.
 
-Fitting uses labelled rows outside the held-out fold (crc32 of the id's text, modulo 5, is 0), at most ``sample`` of them (in
-the order of a hash of the id): the documented bound. Their sparse features are computed by Spark and fitted by seeded
+Fitting uses labelled ids outside the held-out fold (crc32 of the id's text, modulo 5, is 0), at most ``sample`` of them (in
+the order of a hash of the id): the documented bound. Of an id with several rows the text with the least hash stands for all, so
+that repeated rows neither outgrow the bound nor push out other ids. Their sparse features are computed by Spark and fitted by seeded
 AdaGrad on the driver. Scoring covers every row and all of its text in Arrow batches; the model (a few hundred KB) is broadcast.
 
 Edge cases: null and empty texts have a score like any other; repeated or conflicting labels of one id count by their mean (at
@@ -141,24 +142,28 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fit on at most ``sample`` labelled rows of docs outside the held-out fold."""
+    """Fit on at most ``sample`` labelled ids of docs outside the held-out fold, one row of each."""
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     usable = usable.groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     chosen = usable.orderBy(F.xxhash64("l_id"), "l_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = texts.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "y", "text")  # at most ``sample`` rows
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    first = texts.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "y", digest.alias("least"))
+    first = first.groupBy(F.col("id").alias("l_id")).agg(F.min("y").alias("y"), F.min("least").alias("least"))  # at most ``sample`` rows
+    joined = texts.join(F.broadcast(first), (F.col("id") == F.col("l_id")) & (digest == F.col("least"))).select("id", "y", "text")
 
     def run(batches):
         slots: dict[str, int] = {}
+        seen: set = set()
         for b in batches:
+            b = b[~b["id"].duplicated() & ~b["id"].isin(seen)]  # what is left of an id are copies of one text
+            seen.update(b["id"])
             rows = [features(t, bits, slots) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "at": [r[0] for r in rows], "value": [r[1] for r in rows],
-                                "stats": [r[2] for r in rows]})
+            yield pd.DataFrame({"id": b["id"].to_numpy(), "y": b["y"].to_numpy(), "at": [r[0] for r in rows],
+                                "value": [r[1] for r in rows], "stats": [r[2] for r in rows]})
 
-    made = joined.mapInPandas(run, "id long, y int, at array<int>, value array<double>, stats array<double>").toPandas()
-    # rows of one id in a fixed order, so that reruns fit the same model; repeated documents cannot outgrow the bound
-    made["extent"] = [s[0] for s in made["stats"]]
-    made = made.sort_values(["id", "extent"], kind="stable").head(sample)
+    made = joined.mapInPandas(run, "id long, y int, at array<int>, value array<double>, stats array<double>")
+    made = made.dropDuplicates(["id"]).toPandas().sort_values("id")  # in a fixed order, so that reruns fit the same model
     rows = [(np.asarray(a, dtype=np.int64), np.asarray(v), list(s)) for a, v, s in zip(made["at"], made["value"], made["stats"])]
     return fit_rows(rows, made["y"].to_numpy(dtype=float), bits)
 

@@ -183,6 +183,24 @@ def test_quality_reruns_and_edges(spark):
     assert q.score_documents(docs.limit(0), labels).count() == 0
 
 
+def test_one_row_of_each_sampled_id(spark, monkeypatch):
+    hot = [(1, f"copy {i % 3} of a text") for i in range(300)]  # 1 is not held out
+    docs = spark.createDataFrame(hot + [(i, f"text number {i}") for i in range(2, 100)] + [(99, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    fitted, collected = [], []
+    fit_rows, to_pandas = q.fit_rows, type(docs).toPandas
+    monkeypatch.setattr(q, "fit_rows", lambda rows, y, bits: fitted.append((rows, y)) or fit_rows(rows, y, bits))
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: collected.append(out := to_pandas(df)) or out)
+    a = q.fit(docs.repartition(7), labels, sample=90)
+    b = q.fit(docs.orderBy("text").coalesce(2), labels, sample=90)
+    ids = [x for x in docs.select("doc_id").distinct().where(~q.held_out()).toPandas()["doc_id"]]
+    assert 1 in ids and len(ids) < 90 and len(collected[0]) == len(fitted[0][0]) == len(ids)
+    assert sorted(collected[0]["id"]) == sorted(ids) and 0 < fitted[0][1].mean() < 1
+    assert np.array_equal(a.w, b.w) and np.array_equal(a.v, b.v)
+    q.fit(docs, labels, sample=10)
+    assert len(collected[-1]) == len(fitted[-1][0]) <= 10 and len(set(collected[-1]["id"])) == len(collected[-1])
+
+
 # HTML
 
 def page(body, before="", after=""):
