@@ -13,7 +13,7 @@ order is cut in hash buckets: sums per (source, bucket) give each bucket's place
 edge are ordered exactly, so a source holding a third of the rows is no single group.
 
 Edge cases: a null text has size 0; null is a source of its own, last; documents of size 0 take nothing; rows that share id
-and text stand in any order, as they are interchangeable; a source without words has target 0; an empty
+and text stand in any order, as they are interchangeable, or by ``row_key`` where it is given; a source without words has target 0; an empty
 table gives an empty table. Columns named like the results are only returned when named in ``carry``, and the operator's
 own columns win.
 """
@@ -72,11 +72,13 @@ def source_targets(sized: DataFrame, budget: tuple[int, int] = (3, 2), max_epoch
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        seed: str = SEED, budget: tuple[int, int] = (3, 2), max_epochs: int = 2) -> DataFrame:
-    """Per row: id, text_key, size, source_size, target, copies (whole repetitions), part (words of one more), taken."""
+        seed: str = SEED, budget: tuple[int, int] = (3, 2), max_epochs: int = 2, row_key: Column | None = None) -> DataFrame:
+    """Per row: id, text_key, size, source_size, target, copies (whole repetitions), part (words of one more), taken, and
+    row_key if given."""
+    extra_key = [] if row_key is None else ["row_key"]
     sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                         word_count(text_of(text_col)).alias("size"), order_key(id_col, seed).alias("key"),
-                        F.xxhash64(text_of(text_col)).alias("text_key"))
+                        F.xxhash64(text_of(text_col)).alias("text_key"), *[row_key.alias(k) for k in extra_key])
     sized = materialize(sized.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS)), "mix-sizes")
     targets = materialize(source_targets(sized, budget, max_epochs), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -93,23 +95,34 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = sized.join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
     at_edge = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
     sure = rows.where(~at_edge).withColumn("extra", F.when(F.col("before") < F.col("rest"), F.col("size")).otherwise(0))
-    inside = W.partitionBy("source", "bucket").orderBy("key", "id", "text_key").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "bucket").orderBy("key", "id", "text_key", *extra_key).rowsBetween(W.unboundedPreceding, -1)
     edge = rows.where(at_edge).withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     edge = edge.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("ahead")))).drop("ahead")
     full = F.col("whole") + F.when((F.col("extra") == F.col("size")) & (F.col("size") > 0), 1).otherwise(0)
     return sure.unionByName(edge).select(
         F.col("id").alias(id_col), "text_key", F.col("source").alias(source_col), "size", "source_size", "target", full.alias("copies"),
         F.when(F.col("extra") == F.col("size"), 0).otherwise(F.col("extra")).cast("long").alias("part"),
-        (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
+        (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"), *extra_key)
+
+
+def rest_key(docs: DataFrame, *but: str) -> Column:
+    """Hash of all columns but those named; nulls count, and what xxhash64 does not take is hashed as JSON."""
+    kinds = [(c, kind) for c, kind in docs.dtypes if c not in but]
+    values = [F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in kinds]
+    return F.xxhash64(*[x for v in values for x in (v.isNull(), v)])
 
 
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """docs with every row as often as the mix takes it, in whole documents: the one at the edge of a source's target is
     taken once more if at least half of it fits."""
-    mixed = mix(docs, id_col, text_col, source_col, **how)
+    others = rest_key(docs, id_col, text_col)  # source among them
+    mixed = mix(docs, id_col, text_col, source_col, row_key=others, **how)
     times = F.col("copies") + F.when((F.col("part") * 2 >= F.col("size")) & (F.col("part") > 0), 1).otherwise(0)
-    mixed = mixed.groupBy(F.xxhash64(id_col).alias("__k"), F.col("text_key").alias("__tk")).agg(F.sum(times).cast("int").alias("__n"))
-    row = docs.select(F.xxhash64(id_col).alias("__k"), F.xxhash64(text_of(text_col)).alias("__tk"), F.struct("*").alias("__row"))
-    # equal rows share both keys; their repetitions are added up
-    row = row.join(materialize(mixed.where("__n > 0"), "mix-repeats"), ["__k", "__tk"]).dropDuplicates(["__k", "__tk"])
+    mixed = mixed.groupBy(F.xxhash64(id_col).alias("__k"), F.col("text_key").alias("__tk"), F.col("row_key").alias("__rk"))
+    mixed = mixed.agg(F.sum(times).cast("int").alias("__n"))
+    row = docs.select(F.xxhash64(id_col).alias("__k"), F.xxhash64(text_of(text_col)).alias("__tk"), others.alias("__rk"),
+                      F.struct("*").alias("__row"))
+    # equal rows share all keys; their repetitions are added up
+    keys = ["__k", "__tk", "__rk"]
+    row = row.join(materialize(mixed.where("__n > 0"), "mix-repeats"), keys).dropDuplicates(keys)
     return row.select(F.explode(F.array_repeat("__row", F.col("__n"))).alias("r")).select("r.*")

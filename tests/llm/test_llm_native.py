@@ -143,6 +143,21 @@ def test_repeat_rows_follows_the_mix(spark):
     assert got == Counter({k: v for k, v in want.items() if v})
 
 
+def test_repeat_rows_keeps_rows_of_equal_id_and_text_apart(spark):
+    rows = [(1, "same text of five words", s, l) for s in ("a", "b", None) for l in ("en", None)] + [(1, "same text of five words", "a", "en")]
+    rows += [(i, f"other text number {i}", "abc"[i % 3], "de") for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = Counter(map(tuple, repeat_rows(df).collect()))
+    want = Counter()
+    for r in mix(df).collect():
+        want[r.source, r.doc_id] += r.copies + (r.part > 0 and r.part * 2 >= r.size)
+    by_source = Counter()
+    for (i, _, source, _), n in got.items():
+        by_source[source, i] += n
+    assert set(got) <= set(rows) and by_source == Counter({k: v for k, v in want.items() if v})
+    assert {r[2:] for r in got if r[0] == 1 and r[2] is None} == {(None, "en"), (None, None)}
+
+
 def test_kept_hash_is_utf8(spark):
     r = QUERIES["op1_line_dedup"](spark, SF).where("doc_id = 3").first()
     text = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id = 3").first().text
