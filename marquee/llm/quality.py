@@ -12,7 +12,8 @@ AdaGrad on the driver. Scoring covers every row and all of its text in Arrow bat
 
 Edge cases: null and empty texts have a score like any other; repeated or conflicting labels of one id count by their mean (at
 least 0.5 is good), null ones not at all; without usable labels every score is 0.5; an empty table gives an empty table; extra
-columns stay as they are, those named like a result are replaced. Labels, language, source and id never enter a score.
+columns stay as they are, those named like a result are replaced. Labels, language, source and id never enter a score,
+and n_chars only as the length of the text itself: no metadata field is a feature.
 """
 from __future__ import annotations
 
