@@ -122,3 +122,22 @@ tk_pairs as (
   from (select distinct * from tk where vec_id % 50 = 0) q join tk c on q.vec_id <> c.vec_id and len(q.v) = len(c.v))
 select query_id, rank::int as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from tk_pairs) where rank <= 5"""
+
+#: Ten rounds, one after the other; a row's number tells repeated rows apart.
+_NEAREST = """select rid, min([d, c::bigint]) as best from (
+    select rid, c, list_sum([(x.v[i] - s.v[i]) * (x.v[i] - s.v[i]) for i in range(1, 65)])::bigint as d from kc x, kc_s{r} s) group by rid"""
+_ROUND = """kc_n{r} as materialized ({nearest}),
+kc_m{r} as (
+  select c, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as v
+  from (select best[2] as c, i, sum(v[i]) as s, count(*) as n from kc join kc_n{r} using (rid), range(1, 65) t(i) group by all) group by c),
+kc_s{next} as materialized (select s.c, coalesce(m.v, s.v) as v from kc_s{r} s left join kc_m{r} m on s.c = m.c),"""
+CLUSTERS = """with kc as materialized (
+  select row_number() over () as rid, vec_id, [floor(1024 * x::double)::bigint for x in embedding] as v from embeddings
+  where embedding is not null and len(embedding) = 64 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+kc_s0 as materialized (
+  select * from (select row_number() over (order by sha256('3:' || vec_id), v) - 1 as c, v from kc where vec_id is not null) where c < 8),
+""" + "\n".join(_ROUND.format(r=r, next=r + 1, nearest=_NEAREST.format(r=r)) for r in range(10)) + f"""
+kc_l as materialized ({_NEAREST.format(r=10)})
+select vec_id, best[2]::int as cluster, best[1] as distance, (sum(best[1]) over (partition by best[2]))::bigint as cluster_inertia,
+       (sum(best[1]) over ())::bigint as inertia, sha256(array_to_string(s.v, ',')) as centroid_sha256
+from kc_l join kc using (rid) join kc_s10 s on s.c = best[2]"""

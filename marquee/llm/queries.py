@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import oracles
-from marquee.llm.common import table
+from marquee.llm.common import WORD, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,46 @@ def op9(spark, d):
     from marquee.llm.vector_search import exact_top_k
     vectors = table(spark, d, "embeddings")
     return exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op11_token_counts")
+def op11(spark, d):
+    import public_tokenizers
+
+    from marquee.llm.token_counts import count_tokens
+    return count_tokens(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def stretched(text, doc_id):
+    """The contract's texts: of every tenth document, by the CRC-32 of its id, the words from one place on repeat a few of them."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
+    n = F.nullif(F.size(words).cast("long"), F.lit(0))
+    a = g % n
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    tail = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    made = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(tail, F.lit(1), (n - a).cast("int")))
+    return F.when((h % 10 == 0) & (F.regexp_count(text, F.lit(WORD)) > 0), F.array_join(made, " ")).otherwise(text)
+
+
+@query("op12_periodic_runs")
+def op12(spark, d):
+    from marquee.llm.run_detection import find_runs
+    docs = table(spark, d, "documents").select("doc_id", stretched(F.col("text"), F.col("doc_id")).alias("text"))
+    out = find_runs(docs, keep=("doc_id",))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("back"), (-r.period).alias("low"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"),
+                     sha256("collapsed").alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.low")
+    return out.select("doc_id", "n_runs", (-F.col("best.back")).alias("start"), length.alias("length"), period.alias("period"),
+                      F.floor(F.lit(1000) * length / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query("op13_centroid_clustering", oracles.CLUSTERS)
+def op13(spark, d):
+    from marquee.llm.centroids import cluster_vectors
+    out = cluster_vectors(table(spark, d, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string"))), 256).alias("centroid_sha256"))
