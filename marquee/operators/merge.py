@@ -1,7 +1,7 @@
 """Keyed merges (upsert / skip / replace), key cleaning, insert stamps and watermarks.
 
 Parquet has no MERGE; a merge is a keyed anti-join plus union, written by the caller to a fresh version
-folder (plans.stages.Warehouse, streaming.ingest).
+folder (operators.buckets, plans.stages.Warehouse).
 Duplicates inside one source are resolved with a grouped max_by/min_by over a struct that starts with
 the order column: a partial (map-side) aggregate, so a hot key collapses before the shuffle.
 """
@@ -89,12 +89,6 @@ def merge_replace(src: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     return dedupe_first(drop_null_keys(src, keys), keys, order_col)
 
 
-def write_model_rows(df: DataFrame, path: str, partition_by=("model_name",)) -> None:
-    """Replace only the rows of the model(s) present in df (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-
-
 def arrival_ids(df: DataFrame, base: int = 0, out: str = "id") -> DataFrame:
     """Rows of a file scan numbered from base in arrival order: file path, then place in the file. Scans deal files
     to tasks by size, so the order of tasks says nothing about the order of files."""

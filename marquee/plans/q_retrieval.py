@@ -221,11 +221,11 @@ select 'model_a' as model_name, count(*) as n from csr cross join labels where r
 union all select 'model_b', count(*) from csr cross join labels""")
 def q_write_model_rows(spark, d):
     """Write two models' cold-start rows, then rewrite one model only: the other model's rows stay."""
-    from marquee.operators.merge import write_model_rows
+    from marquee.operators.buckets import read_model_rows, write_model_rows
     path = scratch_path(spark, "serving")
     items, mem = _items(spark, d), _membership(spark, d)
     full = rt.cold_start_genre(items, mem, METHODS, 20)
     write_model_rows(full.withColumn("model_name", F.lit("model_a")), path)
     write_model_rows(full.withColumn("model_name", F.lit("model_b")), path)
     write_model_rows(rt.cold_start_genre(items, mem, METHODS, 5).withColumn("model_name", F.lit("model_a")), path)
-    return spark.read.parquet(path).groupBy("model_name").agg(F.count(F.lit(1)).alias("n"))
+    return read_model_rows(spark, path).groupBy("model_name").agg(F.count(F.lit(1)).alias("n"))

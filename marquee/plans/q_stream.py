@@ -143,3 +143,112 @@ def q_stream_ingest(spark, d):
         q = stream_ingest(spark, f"{landing}/*/", table, ckpt, clock=lambda b: STREAM_BASE + timedelta(hours=b), buckets=8)
         q.awaitTermination()
     return current_table(spark, table).select("id", "user_id", "movie_id", "rating", "timestamp", "inserted_at")
+
+
+# FIXED VALUES: directory of a new table and rows of a bucket in the growth queries
+GROW_FROM, GROW_ROWS = 2, 200
+
+
+def _grown_table(spark, d):
+    """Two deliveries merged into a table whose directory grows with each; the reports of both batches and the table's path."""
+    from datetime import timedelta
+
+    from marquee.operators import buckets as bk
+    from marquee.sources import files as fl
+    base = scratch_path(spark, "buckets")
+    path, done = f"{base}/table", []
+    r = fx.fx_ratings(spark, d)
+    parts = [r.filter(F.col("inserted_at") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")),
+             r.filter(F.col("inserted_at") >= F.lit(SECOND_FILE_FROM).cast("timestamp_ntz"))]
+    for n, part in enumerate(parts):
+        rows = part.repartitionByRange("id").sortWithinPartitions("id")
+        fl.write_csv(rows.select(F.col("user_id").alias("userId"), F.col("movie_id").alias("movieId"), "rating", "timestamp"), f"{base}/d{n}")
+        done.append(bk.merge_rows(spark, fl.read_ratings_csv(spark, f"{base}/d{n}"), KEYS, path, n, stamp=STREAM_BASE + timedelta(hours=n),
+                                  table="ratings", buckets=GROW_FROM, bucket_rows=GROW_ROWS))
+    return path, done
+
+
+_GROWN = [
+    ("f1", f"select row_number() over (order by id) - 1 as rid, user_id, movie_id from fx_ratings where inserted_at < TIMESTAMP '{FIRST_LOAD_BEFORE}'"),
+    ("f2", f"select (select count(*) from f1) + row_number() over (order by id) - 1 as rid, user_id, movie_id from fx_ratings "
+           f"where inserted_at >= TIMESTAMP '{SECOND_FILE_FROM}'"),
+    ("k1", "select user_id, movie_id, max(rid) as rid from f1 group by all"), ("k2", "select user_id, movie_id, max(rid) as rid from f2 group by all"),
+    ("dirs", f"select greatest({GROW_FROM}, cast(ceil((select count(*) from f1) / {GROW_ROWS}.0) as int)) as n1"),
+    ("dirs2", f"select n1, greatest(n1, cast(ceil(((select count(*) from k1) + (select count(*) from f2)) / {GROW_ROWS}.0) as int)) as n2 from dirs"),
+]
+
+
+@query("bucket_growth", W("fx_ratings", extra=_GROWN) + f"""
+select 0 as batch, n1 as directory, (select count(*) from k1) as rows, (select max(rid) from k1) as max_id,
+       TIMESTAMP '{STREAM_BASE:%Y-%m-%d %H:%M:%S}' as last_inserted_at from dirs2
+union all select 1, n2, (select count(*) from k1 full join k2 using (user_id, movie_id)),
+       (select max(coalesce(k1.rid, k2.rid)) from k1 full join k2 using (user_id, movie_id)), TIMESTAMP '{STREAM_BASE:%Y-%m-%d} 01:00:00' from dirs2""")
+def q_bucket_growth(spark, d):
+    """The manifests of two batches: the directory after each, and the rows, largest id and watermark that it knows without a scan."""
+    from marquee.operators import buckets as bk
+    path, _ = _grown_table(spark, d)
+    out = None
+    for n in range(2):
+        m = bk.manifest(spark, path, before=n + 1)
+        one = m.agg(F.lit(n).alias("batch"), F.max("directory").alias("directory"), F.sum("rows").alias("rows"), F.max("max_id").alias("max_id"),
+                    F.max("max_inserted_at").alias("last_inserted_at"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("new_rows_by_manifest", W("fx_ratings", extra=_GROWN) + """
+select coalesce(k1.rid, k2.rid) as id, user_id, movie_id from k2 left join k1 using (user_id, movie_id)""")
+def q_new_rows_by_manifest(spark, d):
+    """Rows after the first batch's watermark, from the files whose insert times reach beyond it."""
+    from marquee.operators import buckets as bk
+    path, _ = _grown_table(spark, d)
+    return bk.rows_since(spark, path, STREAM_BASE).select("id", "user_id", "movie_id")
+
+
+def _written_tables(spark, d):
+    """The watermark scenario's tables as files, with their statistics."""
+    base, files = scratch_path(spark, "tables"), None
+    for name, df in _tables(spark, d).items():
+        df.write.parquet(f"{base}/{name}")
+        one = wmk.file_statistics(spark.read.parquet(f"{base}/{name}"), name)
+        files = one if files is None else files.unionByName(one)
+    files.write.parquet(f"{base}/files")
+    return spark.read.schema(wmk.FILES).parquet(f"{base}/files")
+
+
+@query("new_row_counts_by_files", W("fx_ratings", "fx_movies", "fx_tags", "fx_links", extra=_WM) + """
+select table_name, new_rows from counts""")
+def q_new_row_counts_by_files(spark, d):
+    return wmk.new_row_counts_by_files(spark, _written_tables(spark, d), _watermarks(spark, d))
+
+
+@query("first_changed_by_files", W("fx_ratings", "fx_movies", "fx_tags", "fx_links", extra=_WM) + """
+select (select count(*) from firstt) > 0 as has_new_data, (select table_name from firstt) as table_name""")
+def q_first_changed_by_files(spark, d):
+    return wmk.first_changed_by_files(_written_tables(spark, d), _watermarks(spark, d))
+
+
+@query("create_triggers", W("fx_runs", extra=[
+    ("log", "select 'trg-' || cast(run_id as varchar) as trigger_id, 'queued' as status, start_time as created_at from fx_runs"),
+    ("req", "select case when event_type = 'signup' then 'new-' else 'trg-' end || cast(user_id as varchar) as trigger_id, ts as at_ts, "
+            "event_type as requester, case event_type when 'click' then ['all'] when 'view' then null else [event_type, 'mse'] end as losses, "
+            "case when user_id % 2 = 0 then ['als'] end as archs from events"),
+    ("firstreq", "select trigger_id, arg_min({'a': at_ts, 'r': requester, 'l': losses, 's': archs}, (at_ts, requester)) as f from req "
+                 "where trigger_id not in (select trigger_id from log) group by trigger_id")]) + """
+select trigger_id, cast(null as varchar) as trigger_type, status, created_at, cast(null as varchar) as losses, cast(null as varchar) as archs,
+       cast(null as varchar) as requester from log
+union all select trigger_id, 'on_demand', 'pending', f.a, case when f.l <> ['all'] then array_to_string(f.l, ',') end, array_to_string(f.s, ','), f.r
+from firstreq""")
+def q_create_triggers(spark, d):
+    """Requests of events: ids of the log stay as they are, the first request of a new id makes its row."""
+    runs = fx.fx_runs(spark, d)
+    log = runs.select(F.concat(F.lit("trg-"), F.col("run_id").cast("string")).alias("trigger_id"), F.lit(None).cast("string").alias("trigger_type"),
+                      F.lit("queued").alias("status"), F.col("start_time").alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("completed_at"))
+    ev, kind = fx.table(spark, d, "events"), F.col("event_type")
+    losses = F.when(kind == "click", F.array(F.lit("all"))).when(kind != "view", F.array(kind, F.lit("mse")))
+    req = ev.select(F.concat(F.when(kind == "signup", F.lit("new-")).otherwise(F.lit("trg-")), F.col("user_id").cast("string")).alias("trigger_id"),
+                    losses.alias("losses"), F.when(F.col("user_id") % 2 == 0, F.array(F.lit("als"))).alias("architectures"),
+                    kind.alias("requester"), F.col("ts").alias("at"))
+    out = wmk.create_triggers(log, req)
+    return out.select("trigger_id", "trigger_type", "status", "created_at", F.array_join("requested_losses", ",").alias("losses"),
+                      F.array_join("requested_architectures", ",").alias("archs"), "requester")

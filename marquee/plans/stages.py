@@ -13,11 +13,11 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators import factors, features, merge, quality, retrieve, samples, split, watermark
+from marquee.operators import buckets, factors, features, merge, quality, retrieve, samples, split, watermark
 from marquee.session import drop_session_scratch
 from marquee.sources import discover as dv
 from marquee.sources.files import CONFLICT_KEYS
-from marquee.streaming.ingest import latest_version, version_path
+from marquee.operators.buckets import latest_version, version_path
 
 STAGES = ["ingest", "validate", "featurize", "split", "sweep", "train", "evaluate", "cross_evaluate", "precompute"]
 #: Settings that the sweep tries when none are given.
@@ -26,7 +26,7 @@ MODEL_NAME = "als_factors"
 
 
 class Warehouse:
-    """Versioned Parquet tables under one root: <root>/<namespace>/<table>/v=<n>."""
+    """Versioned Parquet tables under one root: <root>/<namespace>/<table>/v=<n>. Raw tables lie in growing hash buckets (operators.buckets)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -41,6 +41,8 @@ class Warehouse:
         return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
     def read(self, table: str) -> DataFrame | None:
+        if buckets.exists(self.spark, self.path(table)):
+            return buckets.current_table(self.spark, self.path(table))
         p = latest_version(self.spark, self.path(table))
         return None if p is None else self.spark.read.parquet(p)
 
@@ -77,30 +79,25 @@ def run_ingest(spark: SparkSession, source: str, wh: Warehouse, mode: str = "ups
         source = staged
     variant = dv.detect_variant(dv.list_files(spark, source)).first()["variant"]
     plan = dv.discover_inputs(spark, source).collect()  # one row per file or part folder (listing metadata)
-    written, report = {}, []
+    written, report = set(), []
     for r in sorted(plan, key=lambda r: r["dataset_path"]):
         if r["action"] != "load":
             report.append((r["name"], r["action"], r["table_name"], 0, 0, r["reason"]))
             continue
         try:
             table, df = dv.read_dataset(spark, r["name"], r["dataset_path"])
-            keys, name = CONFLICT_KEYS[table], f"raw/{table}"
-            current = written[table] if table in written else wh.read(name)
-            src = merge.arrival_ids(merge.drop_null_keys(df, keys), merge.next_id(current))
-            src = merge.stamp_inserted_at(src)
-            if mode == "replace" or current is None:
-                merged = merge.merge_replace(src, keys, "id") if mode != "upsert" else merge.dedupe_last(src, keys, "id")
-            elif mode == "skip":
-                merged = merge.merge_skip(current.select(*src.columns), src, keys, "id")
-            else:
-                merged = merge.merge_upsert(current.select(*src.columns), src, keys, "id")
-            written[table] = wh.write(name, merged)
+            path = wh.path(f"raw/{table}")
+            done = buckets.merge_rows(spark, df, CONFLICT_KEYS[table], path, buckets.next_batch(spark, path), mode, table=table)
+            written.add(table)
             bad = dv.unparsable(spark, r["name"], r["dataset_path"]).count()
-            report.append((r["name"], "load", table, src.count(), bad, f"{bad} records do not parse" if bad else None))
+            report.append((r["name"], "load", table, done["offered"], bad, f"{bad} records do not parse" if bad else None))
         except Exception as e:  # noqa: BLE001 - recorded per file; the stage fails at the end
             report.append((r["name"], "error", r["table_name"], 0, 0, f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"))
     if written:
-        marks = merge.max_inserted_watermark(dict(written))
+        marks = None
+        for table in sorted(written):
+            mark = buckets.current_watermark(spark, wh.path(f"raw/{table}"))
+            marks = mark if marks is None else marks.unionByName(mark)
         wh.write("pipeline/trigger_watermarks", merge.merge_watermarks(wh.read("pipeline/trigger_watermarks"), marks))
     errors = [x for x in report if x[1] == "error"]
     ok = not errors and {"ratings", "movies"} <= {x[2] for x in report if x[1] == "load"}
@@ -212,21 +209,38 @@ def run_precompute(spark: SparkSession, wh: Warehouse, top_n: int = 20, model_na
     membership = retrieve.genre_membership(wh.read("features/item_features"))
     methods = ("cosine", "dot", "l2", *(("learned",) if head is not None else ()))
     top, cold = retrieve.precompute_serving(users, items, membership, model_name, methods, top_n, head=head)
-    merge.write_model_rows(top, wh.path("serving/top_n_user_genre"))  # a model's rows go as a whole, dropped methods too
-    merge.write_model_rows(cold, wh.path("serving/cold_start_genre"))
+    buckets.write_model_rows(top, wh.path("serving/top_n_user_genre"))  # a model's rows go as a whole, dropped methods too
+    buckets.write_model_rows(cold, wh.path("serving/cold_start_genre"))
     retrieve.save_item_index(items, model_name, ("cosine", "dot", "l2"), wh.path("serving/item_index"))
-    t = spark.read.parquet(wh.path("serving/top_n_user_genre"))
-    c = spark.read.parquet(wh.path("serving/cold_start_genre"))
-    return retrieve.precompute_counts(t.filter(F.col("model_name") == model_name), c.filter(F.col("model_name") == model_name))
+    return retrieve.precompute_counts(*(buckets.read_model_rows(spark, wh.path(f"serving/{t}"), [model_name])
+                                        for t in ("top_n_user_genre", "cold_start_genre")))
+
+
+def raw_files(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """Statistics of the files of every raw table, from their manifests."""
+    files = spark.createDataFrame([], watermark.FILES)
+    for t in CONFLICT_KEYS:
+        m = buckets.manifest(spark, wh.path(f"raw/{t}"))
+        if m is not None:
+            files = files.unionByName(m.select(F.lit(t).alias("table_name"), "path", "rows", F.col("min_inserted_at").alias("lo"),
+                                               F.col("max_inserted_at").alias("hi")))
+    return files
 
 
 def run_gate(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    """(stage, run) of the daily run: ingest only where a raw table has rows after its watermark."""
-    tables = {t: wh.read(f"raw/{t}") for t in CONFLICT_KEYS}
+    """(stage, run) of the daily run: ingest only where a raw table has rows after its watermark. Reads manifests only."""
     marks = wh.read("pipeline/trigger_watermarks")
     if marks is None:
         marks = spark.createDataFrame([], "table_name string, last_inserted_at timestamp_ntz")
-    return watermark.daily_gate({t: df for t, df in tables.items() if df is not None}, marks)
+    return watermark.daily_gate_by_files(raw_files(spark, wh), marks)
+
+
+def run_trigger(spark: SparkSession, wh: Warehouse, requests: DataFrame) -> DataFrame:
+    """Add a pending row per request (trigger_id, losses, architectures, requester, at) to the trigger log."""
+    log = wh.read("pipeline/trigger_log")
+    if log is None:
+        log = spark.createDataFrame([], watermark.TRIGGER_LOG)
+    return wh.write("pipeline/trigger_log", watermark.create_triggers(log, requests))
 
 
 def run_trigger_log(spark: SparkSession, wh: Warehouse, updates: DataFrame) -> DataFrame:

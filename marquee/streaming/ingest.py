@@ -1,10 +1,9 @@
 """Continuous ingest: new files in a landing folder -> clean -> keyed merge -> watermark.
 
 Structured Streaming watches the folder and gives each micro-batch its new files (paths only; contents are not read by the
-stream). The batch reads them with the table's own reader, columns by header name, and merges them into a table that is
-dealt to hash buckets of its key: only the buckets that a batch touches are written anew, under the batch's number. A manifest
-(bucket -> folder) written last commits the batch, so a batch that fails anywhere before leaves the former state, and its
-replay writes the same folders again: data, then watermark, then manifest.
+stream). The batch reads them with the table's own reader, columns by header name, and merges them into a table of growing hash
+buckets (``operators.buckets``): only the buckets that a batch touches or splits are opened, ids and watermarks come from the
+manifest, and the manifest written last commits the batch.
 """
 from __future__ import annotations
 
@@ -12,117 +11,28 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from marquee.operators import buckets as bk
 from marquee.operators import merge
+from marquee.operators.buckets import BUCKET_ROWS, BUCKETS, current_table, current_watermark, latest_version, vacuum, version_path
 from marquee.sources.files import CONFLICT_KEYS, TABLE_READERS
 
-BUCKETS = 64
-
-
-def _path(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _success(path: str) -> str:
-    return f"{path.rstrip('/')}/_SUCCESS"
-
-
-def version_path(table_path: str, batch_id: int) -> str:
-    return f"{table_path.rstrip('/')}/v={batch_id:08d}"
-
-
-def _versions(spark: SparkSession, table_path: str) -> list[int]:
-    fs, root = _path(spark, table_path)
-    if not fs.exists(root):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(root)]
-    return sorted(int(n[2:]) for n in names if n.startswith("v="))
-
-
-def latest_version(spark: SparkSession, table_path: str, before: int | None = None) -> str | None:
-    """The newest complete version folder (optionally older than a batch id)."""
-    for v in reversed(_versions(spark, table_path)):
-        if before is None or v < before:
-            fs, done = _path(spark, _success(version_path(table_path, v)))
-            if fs.exists(done):
-                return version_path(table_path, v)
-    return None
-
-
-def _beside(table_path: str, what: str) -> str:
-    return f"{table_path.rstrip('/')}_{what}"
-
-
-def _manifest(spark: SparkSession, table_path: str, before: int | None = None) -> dict[int, str]:
-    """bucket -> folder of the newest committed batch; at most one row per bucket."""
-    path = latest_version(spark, _beside(table_path, "manifest"), before)
-    return {} if path is None else {r["bucket"]: r["path"] for r in spark.read.parquet(path).collect()}
+__all__ = ["current_table", "current_watermark", "latest_version", "merge", "merge_files", "stream_ingest", "vacuum", "version_path"]
 
 
 def merge_files(spark: SparkSession, paths: list[str], table: str, table_path: str, batch_id: int, mode: str = "upsert",
-                stamp: datetime | None = None, buckets: int = BUCKETS, keep_versions: int = 3) -> None:
+                stamp: datetime | None = None, buckets: int = BUCKETS, keep_versions: int = 3, bucket_rows: int = BUCKET_ROWS) -> dict:
     """Merge files into the table as batch ``batch_id``; does nothing if that batch is committed."""
-    commit = version_path(_beside(table_path, "manifest"), batch_id)
-    fs, done = _path(spark, _success(commit))
-    if fs.exists(done):
-        return
-    keys = CONFLICT_KEYS[table]
-    before = _manifest(spark, table_path, before=batch_id)
-    old = spark.read.parquet(*before.values()) if before else None
-    src = merge.arrival_ids(merge.drop_null_keys(TABLE_READERS[table](spark, sorted(paths)), keys), merge.next_id(old))
-    src = merge.stamp_inserted_at(src, stamp).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    touched = [r["bucket"] for r in src.select("bucket").distinct().collect()]  # at most ``buckets``
-    if mode == "replace":
-        before = {}
-    state = [before[b] for b in touched if b in before]
-    target = (spark.read.parquet(*state).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-              .select(*src.columns) if state else src.limit(0))
-    if mode == "upsert":
-        merged = merge.merge_upsert(target, src, keys, "id")
-    elif mode == "skip":
-        merged = merge.merge_skip(target, src, keys, "id")
-    elif mode == "replace":
-        merged = merge.merge_replace(src, keys, "id")
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    out = version_path(table_path, batch_id)
-    merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
-    now = before | {b: f"{out}/bucket={b}" for b in touched}
-    rows = spark.createDataFrame(sorted(now.items()), "bucket int, path string").coalesce(1)
-    current = spark.read.parquet(*now.values()) if now else src.limit(0)
-    merge.max_inserted_watermark({table: current}).write.mode("overwrite").parquet(version_path(_beside(table_path, "watermark"), batch_id))
-    rows.write.mode("overwrite").parquet(commit)
-    vacuum(spark, table_path, keep_versions)
-
-
-def vacuum(spark: SparkSession, table_path: str, keep_versions: int = 3) -> None:
-    """Delete bucket folders that none of the last manifests refers to, and older manifests and watermarks."""
-    manifests = _beside(table_path, "manifest")
-    kept = _versions(spark, manifests)[-keep_versions:]
-    if not kept:
-        return
-    used = {p for v in kept for p in _manifest(spark, table_path, before=v + 1).values()}
-    for v in _versions(spark, table_path):
-        if v >= kept[0]:
-            continue
-        fs, root = _path(spark, version_path(table_path, v))
-        folders = [st.getPath() for st in fs.listStatus(root) if st.isDirectory()]
-        for p in folders:
-            if f"{version_path(table_path, v)}/{p.getName()}" not in used:
-                fs.delete(p, True)
-    for side in ("manifest", "watermark"):
-        for v in _versions(spark, _beside(table_path, side)):
-            if v < kept[0]:
-                fs, p = _path(spark, version_path(_beside(table_path, side), v))
-                fs.delete(p, True)
+    if bk.committed(spark, version_path(bk.beside(table_path, "manifest"), batch_id)):
+        return {}
+    rows = TABLE_READERS[table](spark, sorted(paths))
+    return bk.merge_rows(spark, rows, CONFLICT_KEYS[table], table_path, batch_id, mode, stamp, table, buckets, bucket_rows, keep_versions)
 
 
 def stream_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str, table: str = "ratings",
                   mode: str = "upsert", available_now: bool = True, max_files_per_trigger: int | None = None,
                   poll: str = "60 seconds", clock: Callable[[int], datetime] | None = None, pattern: str = "*.csv",
-                  buckets: int = BUCKETS):
+                  buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS):
     """Start the ingest stream of one table (ratings, movies, tags, links or genome_scores); returns the StreamingQuery.
 
     Rows carry the time of the batch that commits them (``clock`` may replace the wall clock, by batch id)."""
@@ -135,23 +45,8 @@ def stream_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint
         paths = [r["path"] for r in batch.collect()]  # names of new files
         if paths:
             stamp = clock(batch_id) if clock else datetime.now(timezone.utc).replace(tzinfo=None)
-            merge_files(batch.sparkSession, paths, table, table_path, batch_id, mode, stamp, buckets)
+            merge_files(batch.sparkSession, paths, table, table_path, batch_id, mode, stamp, buckets, bucket_rows=bucket_rows)
 
     w = files.load(landing).select("path").writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=poll)
     return w.start()
-
-
-def current_table(spark: SparkSession, table_path: str) -> DataFrame:
-    paths = _manifest(spark, table_path)
-    if not paths:
-        raise FileNotFoundError(f"no committed version under {table_path}")
-    return spark.read.parquet(*paths.values())
-
-
-def current_watermark(spark: SparkSession, table_path: str) -> DataFrame:
-    """(table_name, last_inserted_at) of the newest committed batch."""
-    commit = latest_version(spark, _beside(table_path, "manifest"))
-    if commit is None:
-        raise FileNotFoundError(f"no watermark for {table_path}")
-    return spark.read.parquet(version_path(_beside(table_path, "watermark"), int(commit.rsplit("v=", 1)[1])))
