@@ -6,12 +6,16 @@ share therefore leaves at least one common hash in both fingerprints. A text wit
 a text shorter than k is one k-gram; an empty text has an empty fingerprint. Likeness is the Jaccard index of the hash sets,
 1 for two empty ones.
 
-``next_texts`` pairs every document with the one after it in descending id order (the first follows the last): bounds of
-the ids give ranges, each range is sorted and streamed by one task, and the first document of every range also goes, as a
-guest, to the end of the range before. So whole texts are shuffled once and no task holds more than two documents and a batch.
-
-Edge cases: null texts are empty; null ids come last in the order; rows of one id stand in order of their text's hash, equal rows
-follow each other; a lone document is its own next; an empty table gives an empty table; extra columns are ignored.
+``next_texts`` pairs every document with the one after it in descending id order (the first follows the last). The order is
+(id, hash of the text), so the rows of one id, or of null ids, are cut like any others: a written sort of these two narrow
+columns gives ranges and the first row of each; whole texts are dealt to the ranges and each range is sorted and streamed by
+one task. The first row of every range also goes, as a guest, to the end of the range before. Equal rows (id and text) are
+folded, batch by batch, to one with a count before they are shuffled, and their results are repeated afterwards. So whole
+texts are shuffled once and no task holds more than two documents and a batch. Ids never pass through a nullable pandas column.
+
+Edge cases: null texts are empty; null ids come last in the order; rows of one id stand in descending order of their text's hash; equal rows
+follow each other (each is the next of the one before); a lone document is its own next; very long texts are
+fingerprinted whole, in memory of about 40 bytes a code point; an empty table gives an empty table; extra columns are ignored.
 """
 from __future__ import annotations
 
@@ -21,12 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import shuffle_partitions, text_of
+from marquee.llm.common import shuffle_partitions, task_keys, text_of
+from marquee.session import materialize
 
-K, WINDOW = 12, 32
+K, WINDOW, REPEAT = 12, 32, 4096
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -98,55 +104,100 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprin
     return docs.withColumn(out, run(F.col(text_col)))
 
 
+class Ranges:
+    """Ranges of the descending order (null ids last, then id, then hash of the text), from the first row of each."""
+
+    def __init__(self, heads: list[tuple[bool, int, int]]):
+        self.heads = sorted(heads, reverse=True)  # (has an id, id, hash)
+        known = [h for h in self.heads if h[0]]
+        # the rows with an id and the others, each in ascending order
+        self.sides = [(np.array([h[1] for h in part][::-1], np.int64), np.array([h[2] for h in part][::-1], np.int64), first)
+                      for part, first in ((known, 0), (self.heads[len(known):], len(known)))]
+
+    def place(self, known: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(range of each row, whether it is the range's first row)."""
+        at, head = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+        for (h_ids, h_hashes, first), rows in zip(self.sides, (np.flatnonzero(known), np.flatnonzero(~known))):
+            low = np.searchsorted(h_ids, ids[rows], side="left")
+            high = end = np.searchsorted(h_ids, ids[rows], side="right")
+            while (low < high).any():  # the first head of the id that is not below the row
+                middle = (low + high) // 2
+                below = h_hashes[np.minimum(middle, len(h_hashes) - 1)] < hashes[rows]
+                low, high = np.where((low < high) & below, middle + 1, low), np.where((low < high) & ~below, middle, high)
+            if len(h_ids):
+                equal = (low < end) & (h_hashes[np.minimum(low, len(h_hashes) - 1)] == hashes[rows])
+                head[rows] = equal
+            at[rows] = first + len(h_ids) - low - 1
+        return at, head
+
+
+def _dealt(ranges: Ranges, keys: list[int]):
+    """Rows with their range and its task, equal rows of a batch folded; first rows also as guests of the range before."""
+    task = np.array([keys[r % len(keys)] for r in range(len(ranges.heads))], np.int32)
+
+    def run(batches):
+        for b in batches:
+            known, ids, hashes = (b.column(c).to_numpy(zero_copy_only=False) for c in ("known", "id", "hash"))
+            at, head = ranges.place(known, ids, hashes)
+            order = np.lexsort((hashes, ids, known))
+            first = np.ones(len(ids), bool)
+            first[1:] = (np.diff(hashes[order]) != 0) | (np.diff(ids[order]) != 0) | (known[order][1:] != known[order][:-1])
+            start = np.flatnonzero(first)
+            copies, rows = np.diff(np.append(start, len(ids))), order[start]
+            guest = np.flatnonzero(head[rows])
+            take = pa.array(np.concatenate((rows, rows[guest])))
+            where = np.concatenate((at[rows], (at[rows][guest] - 1) % len(ranges.heads))).astype(np.int32)
+            kind = np.concatenate((np.zeros(len(rows), np.int32), np.ones(len(guest), np.int32)))
+            part = b.take(take)
+            counts = np.concatenate((copies, copies[guest])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(task[where]), pa.array(where), pa.array(kind), *part.columns, pa.array(counts)],
+                                             ["task", "range", "guest", *part.schema.names, "copies"])
+    return run
+
+
 def next_texts(docs: DataFrame, visit, schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Run visit(row, next_row) over every document and the next one in descending id order. Rows are (id, text, memo
     dict); visit returns the values of one result row, and what it leaves in a memo is still there when that
     document has become the row."""
-    spark = docs.sparkSession
-    n = shuffle_partitions(spark) * 4
-    ids = docs.select(F.col(id_col).cast("long").alias("id"))
-    quantiles = ids.select(F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"] or []
-    bounds = np.unique(np.array(quantiles, dtype=np.int64))
-
-    def place(s: pd.Series) -> np.ndarray:
-        """Range 0 holds the largest ids; null ids are in the last."""
-        null = s.isna().to_numpy()
-        own = len(bounds) - np.searchsorted(bounds, s.fillna(0).to_numpy(np.int64), side="left")
-        own[null] = len(bounds) + 1
-        return own
-
-    @F.pandas_udf("int")
-    def range_of(s: pd.Series) -> pd.Series:
-        return pd.Series(place(s).astype(np.int32))
-
-    # one row per range: its largest id (null where all are null)
-    heads = [(r["r"], r["id"]) for r in ids.groupBy(range_of("id").alias("r")).agg(F.max("id").alias("id")).collect()]
-    heads.sort()
-    before = {heads[i][1]: heads[i - 1][0] for i in range(len(heads))}  # head id -> the range that it also visits
-
-    @F.pandas_udf("array<int>")
-    def ranges_of(s: pd.Series) -> pd.Series:
-        keys = [None if v != v or v is None else int(v) for v in s.astype(object)]
-        return pd.Series([[int(p), before[v]] if v in before else [int(p)] for p, v in zip(place(s), keys)], dtype=object)
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    rows = rows.select("id", "text", F.posexplode(ranges_of("id")).alias("guest", "range"))
-    rows = rows.repartition(shuffle_partitions(spark), "range")
-    rows = rows.sortWithinPartitions("range", "guest", F.col("id").desc_nulls_last(), F.xxhash64("text").desc())
+    n = shuffle_partitions(docs.sparkSession)
+    id_ = F.col(id_col).cast("long")
+    rows = docs.select(id_.isNotNull().alias("known"), F.coalesce(id_, F.lit(0)).alias("id"), text_of(text_col).alias("text"))
+    rows = rows.select("known", "id", F.xxhash64("text").alias("hash"), "text")
+    down = [F.col(c).desc() for c in ("known", "id", "hash")]
+    order = rows.select("known", "id", "hash").repartitionByRange(4 * n, *down)
+    order = materialize(order.withColumn("part", F.spark_partition_id()), "winnow-order")
+    # one row per range
+    heads = order.groupBy("part").agg(F.max(F.struct("known", "id", "hash")).alias("h")).select("h.*").collect()
+    ranges = Ranges([tuple(h) for h in heads])
+    dealt = rows.mapInArrow(_dealt(ranges, task_keys(docs.sparkSession, n)),
+                            "task int, range int, guest int, known boolean, id long, hash long, text string, copies long")
+    dealt = dealt.repartition(n, "task").sortWithinPartitions("range", "guest", *down)
     names = [c.strip().split()[0] for c in schema.split(",")]
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # (range, (id, text, memo)) still waiting for its next
+        held = None  # [range, (known, id, hash), row, copies] still waiting for its next
         for batch in batches:
             out = []
-            for range_, guest, id_, text in zip(batch["range"], batch["guest"], batch["id"], batch["text"]):
-                row = (None if pd.isna(id_) else int(id_), text, {})
+            columns = (batch[c].tolist() for c in ("range", "guest", "known", "id", "hash", "text", "copies"))
+            for range_, guest, known, id_, hash_, text, copies in zip(*columns):
+                key = (known, id_, hash_)
+                if held is not None and held[0] == range_ and held[1] == key and not guest:
+                    held[3] += copies
+                    continue
+                row = (id_ if known else None, text, {})
                 if held is not None and held[0] == range_:
-                    out.append(visit(held[1], row))
-                held = None if guest else (range_, row)
-            yield pd.DataFrame(out, columns=names)
-
-    return rows.select("range", "guest", "id", "text").mapInPandas(stream, schema)
+                    if held[3] > 1:
+                        out.append((*visit(held[2], held[2]), held[3] - 1))
+                    out.append((*visit(held[2], row), 1))
+                held = None if guest else [range_, key, row, copies]
+            # as objects: integers next to nulls would become floats
+            yield pd.DataFrame(out, columns=[*names, "__copies"], dtype=object)
+
+    found = dealt.select("range", "guest", "known", "id", "hash", "text", "copies").mapInPandas(stream, schema + ", __copies long")
+    again = found.withColumn("__more", F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / REPEAT)))
+    again = again.withColumn("__more", F.explode("__more"))
+    left = F.least(F.lit(REPEAT), F.col("__copies") - F.col("__more") * REPEAT)
+    return again.withColumn("__more", F.explode(F.sequence(F.lit(1).cast("long"), left))).select(*names)
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
