@@ -9,7 +9,8 @@ index rows: they are dealt by file, sorted by offset, neighbouring ranges become
 
 Files are opened through pyarrow's file systems (file, hdfs, s3, gs, abfs) under the shared folder.
 
-Edge cases: a null payload is an empty one; a null URL has no target header; control characters in a URL are percent-encoded in
+Edge cases: a null payload is an empty one; a payload of any length is one record (its task holds it once plain and once
+compressed); ids of any size stay exact, also next to null ones; of equal payloads with one id none is told from the others; a null URL has no target header; control characters in a URL are percent-encoded in
 the header only; rows that share id and payload are each a response or each a revisit of the same record; a null id is the response only if no other
 row has its payload; payloads shorter than ``min_revisit_bytes`` are always responses; an empty table has an empty index; extra
 columns are ignored.
@@ -27,9 +28,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.common import shuffle_partitions
 from marquee.session import materialize, scratch_path
 
-ROLL_BYTES, GAP_BYTES, READ_BYTES = 64 << 20, 256 << 10, 8 << 20
+ROLL_BYTES, GAP_BYTES, READ_BYTES, TASK_BYTES = 64 << 20, 256 << 10, 8 << 20, 64 << 20
 DATE = "1970-01-01T00:00:00Z"
 INDEX = ("id long, url string, file string, offset long, length long, payload_bytes long, payload_digest string, record_type string, "
          "refers_to long")
@@ -97,15 +99,19 @@ def write_archives(pages: DataFrame, path: str | None = None, id_col: str = "pag
                         F.encode(F.coalesce(F.col(payload_col).cast("string"), F.lit("")), "UTF-8").alias("payload"))
     revisits = _revisits(rows, min_revisit_bytes)
     rows = rows.join(revisits, F.col("id").eqNullSafe(F.col("r_id")) & (F.sha1("payload") == F.col("r_sha")), "left")
-    rows = rows.select("id", "url", "payload", "first_id", F.col("r_sha").isNotNull().alias("revisit"))
+    # nullable integers stay out of pandas, which would make floats of them
+    rows = rows.select(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).alias("id"), "url", "payload",
+                       F.col("first_id").isNotNull().alias("first_known"), F.coalesce("first_id", F.lit(0)).alias("first_id"),
+                       F.col("r_sha").isNotNull().alias("revisit"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target, out, name, at = None, None, "", 0
         try:
             for b in batches:
                 made = []
-                for id_, url, payload, first, revisit in zip(b["id"], b["url"], b["payload"], b["first_id"], b["revisit"]):
-                    id_, first = (None if pd.isna(x) else int(x) for x in (id_, first))
+                columns = (b[c].tolist() for c in ("known", "id", "url", "payload", "first_known", "first_id", "revisit"))
+                for known, id_, url, payload, first_known, first, revisit in zip(*columns):
+                    id_, first = id_ if known else None, first if first_known else None
                     payload = bytes(payload)
                     if out is None or at >= roll_bytes:
                         if out is not None:
@@ -120,8 +126,7 @@ def write_archives(pages: DataFrame, path: str | None = None, id_col: str = "pag
                     made.append((id_, url, f"{path}/{name}", at, len(member), len(payload), digest(payload),
                                  "revisit" if revisit else "response", first if revisit else None))
                     at += len(member)
-                frame = pd.DataFrame(made, columns=[c.split()[0] for c in INDEX.split(", ")])
-                yield frame.astype({"id": "Int64", "refers_to": "Int64"})
+                yield _frame(made, INDEX)
         finally:
             if out is not None:
                 out.close()
@@ -130,6 +135,11 @@ def write_archives(pages: DataFrame, path: str | None = None, id_col: str = "pag
     return spark.read.schema(INDEX).parquet(f"{path}/index")
 
 
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    """Rows as objects: an integer column with a null would otherwise pass through floats."""
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")], dtype=object)
+
+
 def coalesced(ranges: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = READ_BYTES) -> list[tuple[int, int, int]]:
     """Reads (offset, length, number of ranges) that cover sorted ranges, merging those at most ``gap`` apart."""
     reads: list[list[int]] = []
@@ -142,9 +152,19 @@ def coalesced(ranges: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = R
     return [tuple(r) for r in reads]
 
 
+def read_tasks(index: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """How many tasks read the selected records: by the archive bytes, which the index rows that are shuffled say nothing about."""
+    r = index.agg(F.sum("length").alias("n"), F.approx_count_distinct("file").alias("files")).first()
+    least = shuffle_partitions(index.sparkSession)
+    return max(1, min(2 * r["files"], max(least, -(-(r["n"] or 0) // task_bytes))))
+
+
 def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of any selection of index rows, from their byte ranges (columns of RECORDS; payload null for revisits)."""
-    chosen = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    """The records of any selection of index rows, from their byte ranges (columns of RECORDS; payload null for revisits).
+
+    An archive is read by one task, and the archives are dealt to as many tasks as their selected bytes ask for."""
+    chosen = index.select("file", "offset", "length")
+    chosen = chosen.repartition(read_tasks(chosen), "file").sortWithinPartitions("file", "offset")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -158,7 +178,7 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
                         for o, size in ranges[:n]:
                             made.append(_row(gzip.decompress(block[o - offset:o - offset + size]), payloads))
                         del ranges[:n]
-                        yield pd.DataFrame(made, columns=[c.split()[0] for c in RECORDS.split(", ")]).astype({"id": "Int64", "refers_to": "Int64"})
+                        yield _frame(made, RECORDS)
 
     return chosen.mapInPandas(read, RECORDS)
 
