@@ -220,9 +220,11 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
                 row, key = keys(part.view(np.uint64), max_bits)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], ["key", "fp"])
 
-    keyed = distinct.select("fp").mapInArrow(explode, "key long, fp long")
+    # a few bytes a row make some hundred keys: the tasks are counted by the keys, not by the bytes read
+    distinct = distinct.select("fp").repartition(n, "fp")
+    keyed = distinct.mapInArrow(explode, "key long, fp long")
     # keys that a sample of one fingerprint in SAMPLE_RATE shows to be frequent; fewer than rows * keys / HOT_ROWS of them
-    some = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE_RATE)) == 0).select("fp").mapInArrow(explode, "key long, fp long")
+    some = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE_RATE)) == 0).mapInArrow(explode, "key long, fp long")
     hot = some.groupBy("key").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") >= HOT_ROWS // SAMPLE_RATE)
     hot = hot.select(F.col("key").alias("h_key"), F.ceil(F.col("seen") * SAMPLE_RATE / HOT_BLOCK).cast("int").alias("blocks"))
     dealt = keyed.join(materialize(hot, "hot-keys"), F.col("key") == F.col("h_key"), "left")
