@@ -9,10 +9,10 @@ within one word, whatever its size, and no document exceeds ceil(r) times its wo
 Plan (SQL functions only): words are counted in the scan; everything after is narrow (id, source, size, order key). Sources
 are aggregated with partial sums, numbered by a range-partitioned global index (no single-task window), and the water
 level is found by repeated one-row aggregates over the source table, one round per set of newly clamped sources. The seeded
-order is cut in hash buckets: sums per (source, bucket) give each bucket's place, and only documents of the bucket at the
-edge are ordered exactly, so a source holding a third of the rows is no single group.
+order is cut in hash buckets of id and text: sums per (source, bucket) give each bucket's place, and only documents of the bucket at
+the edge are ordered exactly, so neither a source nor an id holding a third of the rows is a single group.
 
-Edge cases: a null text has size 0; null is a source of its own, last; documents of size 0 take nothing; rows that share id
+Edge cases: a null text has size 0; very long texts are counted whole in the scan; null is a source of its own, last; documents of size 0 take nothing; rows that share id
 and text stand in any order, as they are interchangeable, or by ``row_key`` where it is given; a source without words has target 0; an empty
 table gives an empty table. Columns named like the results are only returned when named in ``carry``, and the operator's
 own columns win.
@@ -30,11 +30,13 @@ from marquee.session import materialize
 WEIGHTS = (3, 1, 2)
 SEED = "mix-1"
 BUCKET_DIGITS = 3  # 4096 hash buckets in each source
+REPEAT = 4096
 
 
-def order_key(id_col: str, seed: str) -> Column:
-    """Seeded place of a document: MD5 of seed and id, the same in every run."""
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+def order_key(id_col: str, text_col: str, seed: str) -> Column:
+    """Seeded place of a document: MD5 of seed, id and text, the same in every run; rows of one id stand apart."""
+    own = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), own).cast("binary"))
 
 
 def water_fill(sources: DataFrame, total: int, max_epochs: int = 2, rounds: int | None = None) -> DataFrame:
@@ -77,7 +79,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     row_key if given."""
     extra_key = [] if row_key is None else ["row_key"]
     sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                        word_count(text_of(text_col)).alias("size"), order_key(id_col, seed).alias("key"),
+                        word_count(text_of(text_col)).alias("size"), order_key(id_col, text_col, seed).alias("key"),
                         F.xxhash64(text_of(text_col)).alias("text_key"), *[row_key.alias(k) for k in extra_key])
     sized = materialize(sized.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS)), "mix-sizes")
     targets = materialize(source_targets(sized, budget, max_epochs), "mix-targets")
@@ -119,10 +121,13 @@ def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mixed = mix(docs, id_col, text_col, source_col, row_key=others, **how)
     times = F.col("copies") + F.when((F.col("part") * 2 >= F.col("size")) & (F.col("part") > 0), 1).otherwise(0)
     mixed = mixed.groupBy(F.xxhash64(id_col).alias("__k"), F.col("text_key").alias("__tk"), F.col("row_key").alias("__rk"))
-    mixed = mixed.agg(F.sum(times).cast("int").alias("__n"))
+    mixed = mixed.agg(F.sum(times).cast("long").alias("__n"))
     row = docs.select(F.xxhash64(id_col).alias("__k"), F.xxhash64(text_of(text_col)).alias("__tk"), others.alias("__rk"),
                       F.struct("*").alias("__row"))
     # equal rows share all keys; their repetitions are added up
     keys = ["__k", "__tk", "__rk"]
     row = row.join(materialize(mixed.where("__n > 0"), "mix-repeats"), keys).dropDuplicates(keys)
-    return row.select(F.explode(F.array_repeat("__row", F.col("__n"))).alias("r")).select("r.*")
+    # repetitions in two steps of numbers, not as an array of rows: however often a row is taken, it is held once
+    row = row.select("__row", "__n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / REPEAT))).alias("__many"))
+    left = F.least(F.lit(REPEAT).cast("long"), F.col("__n") - F.col("__many") * REPEAT)
+    return row.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("__one")).select("__row.*")

@@ -27,7 +27,7 @@ select doc_id, n_lines, n_dropped, sha256(kept_text) as kept_sha256 from ld_out"
 #: {docs}: doc_id, text, source. One row per document: doc_id, size, source, source_size, target, whole, extra.
 MIXING_CTE = r"""
 mx_sized as (
-  select doc_id, source, md5('mix-1:' || coalesce(doc_id::varchar, 'null')) as key,
+  select doc_id, source, md5('mix-1:' || coalesce(doc_id::varchar, 'null') || ':' || md5(coalesce(text, ''))) as key,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from {docs}),
 mx_src as (
   select source, sum(size)::bigint as source_size,
@@ -78,12 +78,14 @@ SECRET_SCANS = f"""with ss_found as ({_kind('assign', 0, _ASSIGN, 2, 6)}
   union all {_kind('access', 1, 'AKIA[A-Z0-9]+', 0, 20)}
   union all {_kind('hex', 2, '[0-9a-f]+', 0, 24)}),
 ss_owned as (
-  select v, count(distinct coalesce(source, '')) as owners, count(distinct doc_id) as repos from ss_found group by v),
+  select v, count(distinct coalesce(source, '')) as owners from ss_found group by v),
 ss_live as (
   select distinct f.doc_id, 'live' as kind, 3 as nth_kind, f.e - length(f.v) as s, f.e
   from ss_found f join ss_owned o on f.v = o.v
-  where o.owners <= 1 and o.repos <= 4 and length(f.v) >= 16 and regexp_matches(f.v, '[0-9]') and regexp_matches(f.v, '[A-Za-z]')
-    and not regexp_matches(lower(f.v), 'example|placeholder|changeme|dummy|sample|xxxx|0000|1234')),
+  where o.owners <= 1 and regexp_matches(f.v, '[0-9]') and regexp_matches(f.v, '[A-Za-z]')
+    and len(list_distinct(regexp_extract_all(f.v, '.'))) >= least(8, length(f.v) - 1)
+    and not regexp_matches(lower(f.v), '(^|[^a-z0-9])(example|placeholder|changeme|change_me|dummy|sample|your|x{{4,}}|0{{4,}}|1234[0-9]*)([^a-z0-9]|$)')
+    and not regexp_matches(lower(f.v), '^(example|placeholder|changeme|dummy|sample)')),
 ss_all as (
   select doc_id, kind, nth_kind, s, e, true as base from ss_found
   union all select doc_id, kind, nth_kind, s, e, false from ss_live),

@@ -2,9 +2,10 @@ r"""Secret scans: pattern candidates with their places, then corpus-wide ownersh
 
 Base spans, leftmost and non-overlapping per kind: ``assign`` (a keyword, ``:`` or ``=``, a value of 6 characters or more),
 ``access`` (AKIA keys of 20 or more) and ``hex`` (24 or more digits). Each candidate value is hashed; distinct repositories
-and owners per hash tell widely copied examples from owner-specific values. A value that one owner alone holds, in at most
-``max_repos`` repositories, and that looks generated (16 characters or more, letters and digits, no placeholder word) adds a ``live``
-span over the value itself. Base spans always stay.
+and owners per hash tell widely copied examples from owner-specific values. A value that at most ``max_owners`` owners hold and that looks generated adds a ``live`` span over the value
+itself. Repositories are counted and returned beside the owners but decide nothing alone: an owner's secret stays live in however many
+of the owner's repositories it stands, and however large the corpus grows. Looking generated means letters and digits, at least
+eight different characters (all but one, in a shorter value), and no placeholder as a token of its own or ahead. Base spans always stay.
 
 Plan (SQL functions only): split and regexp_extract_all give gaps and matches of one scan; texts without a match never build
 arrays, and no text is shuffled. Lengths become rows of one narrow written table, a running sum per document and kind turns
@@ -13,7 +14,8 @@ they are joined back, so a value that a third of all rows hold is split by AQE's
 
 Edge cases: a null text is empty; null ids are kept apart by row; a null owner or repository counts as one unnamed owner or
 repository; repeated rows are separate rows of the result, counted once as repository; an empty table gives an empty table; extra columns
-are ignored. Offsets are code points, the end exclusive.
+are ignored. Offsets are code points, the end exclusive. A text of any length is scanned whole (its matches are one array in its own row);
+ties cannot arise, as matches of a kind do not overlap and spans that start together stand in the order of their kinds.
 """
 from __future__ import annotations
 
@@ -32,7 +34,9 @@ ASSIGN = (r"(" + "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in KEYW
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
-PLACEHOLDERS = "example|placeholder|changeme|dummy|sample|xxxx|0000|1234"
+PLACEHOLDERS = (r"(^|[^a-z0-9])(example|placeholder|changeme|change_me|dummy|sample|your|x{4,}|0{4,}|1234[0-9]*)([^a-z0-9]|$)",
+                r"^(example|placeholder|changeme|dummy|sample)")
+VARIETY = 8
 
 
 def _matches(text: Column, order: int, pattern: str, group: int) -> Column:
@@ -48,7 +52,7 @@ def _matches(text: Column, order: int, pattern: str, group: int) -> Column:
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repo_col: str = "doc_id", max_owners: int = 1, max_repos: int = 4) -> tuple[DataFrame, DataFrame]:
+                 repo_col: str = "doc_id", max_owners: int = 1) -> tuple[DataFrame, DataFrame]:
     """(documents: uid, id; spans: uid, kind, start, end, base, n_owners, n_repos, live)."""
     owner = F.coalesce(F.col(owner_col).cast("string"), F.lit(""))
     repo = F.coalesce(F.col(repo_col).cast("string"), F.lit(""))
@@ -69,13 +73,16 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     owned = rows.select("vhash", "owner", "repo").distinct()
     owned = owned.groupBy("vhash").agg(F.countDistinct("owner").alias("n_owners"), F.countDistinct("repo").alias("n_repos"))
     rows = rows.join(materialize(owned, "secret-owners"), "vhash")
-    live = F.col("generated") & (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+    live = F.col("generated") & (F.col("n_owners") <= max_owners)
     return base.select("uid", "id"), rows.withColumn("live", live)
 
 
 def _generated(value: Column) -> Column:
-    return ((F.length(value) >= 16) & F.regexp_like(value, F.lit("[0-9]")) & F.regexp_like(value, F.lit("[A-Za-z]"))
-            & ~F.regexp_like(value, F.lit(f"(?i:{PLACEHOLDERS})")))
+    """Letters and digits, varied characters, no placeholder; values are ASCII by their patterns."""
+    variety = F.size(F.array_distinct(F.regexp_extract_all(value, F.lit("."), F.lit(0))))
+    placeholder = [F.regexp_like(F.lower(value), F.lit(p)) for p in PLACEHOLDERS]
+    return (F.regexp_like(value, F.lit("[0-9]")) & F.regexp_like(value, F.lit("[A-Za-z]"))
+            & (variety >= F.least(F.lit(VARIETY), F.length(value) - 1)) & ~placeholder[0] & ~placeholder[1])
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
