@@ -11,7 +11,9 @@ skew join. Only the positions to drop travel to the documents; whole texts are s
 
 Edge cases: a null or empty text is one empty line; a null id is no document in the counts and never the largest id, so its
 frequent lines go; rows that share an id are one document for the counts and are cut separately; ties cannot arise, as the
-largest id is one document. An empty table gives an empty table. Extra columns are ignored unless named in ``carry``.
+largest id is one document. Texts of any length are cut whole: lines become rows, and a document's own lines are the only array that is
+held. An empty table gives an empty table. Extra columns are ignored unless named in ``carry``; of a carried column named like a result the
+result is returned.
 """
 from __future__ import annotations
 
@@ -22,6 +24,9 @@ from marquee.llm.common import SPACES, ascii_lower, text_of
 from marquee.session import materialize
 
 
+RESULTS = ("n_lines", "n_dropped", "kept_text")
+
+
 def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40) -> DataFrame:
     """One row per line whose key has min_chars code points: (id, tk, pos, h1, h2); tk tells texts of one id apart."""
     base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"))
@@ -61,4 +66,4 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").alias(id_col), F.size(split).cast("long").alias("n_lines"),
         F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("drop_flag").isNull(), F.col("t")).otherwise(kept).alias("kept_text"),
-        *[F.col("carried")[c].alias(c) for c in carry if c != id_col])
+        *[F.col("carried")[c].alias(c) for c in carry if c not in (id_col, *RESULTS)])

@@ -294,7 +294,35 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert Counter(map(str, P.run(spark, SF).collect())) == Counter(map(str, b.collect()))
 
 
+#: Names of the operators' results and of what they use inside.
+TAKEN = ("n_lines n_dropped kept_text score held_out predicted fp group_fp component_id text_key copies part taken size source_size target "
+         "ids n_tokens decoded id t tk carried key bucket row_key r pos line h1 h2 drop_flag d_id d_tk y l_id least f null __row __text __k __tk "
+         "__rk __n __many __one label quality").split()
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_columns_of_any_name_keep_their_values(spark, stage):
+    import corpus_pipeline as P
+
+    rng = random.Random(9)
+    rows = [(i if i % 9 else 2**60 + i, " ".join(rng.choices("some words of a plain text about nothing".split(), k=30)), "en", "abc"[i % 3], 100) for i in range(40)]
+    rows += [(None, None, None, None, None), (50, "", "en", "a", 0), (51, rows[3][1], "en", "a", 1), (52, "a very long text " * 60_000, "de", "b", 1)]
+    rows += [rows[5]] * 3
+    own = [f"own {name}" for name in TAKEN]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{name}` string" for name in TAKEN)
+    docs = spark.createDataFrame([(*r, *own) for r in rows], schema).repartition(3)
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    run = P.STAGES[stage][1]
+    out, want = run(spark, docs, SF), run(spark, plain, SF)
+    if stage < 4:
+        assert out.columns == docs.columns
+        assert all(r[5:] == tuple(own) for r in map(tuple, out.collect()))
+    got = Counter(map(str, out.select(*want.columns).collect()))
+    assert got == Counter(map(str, want.collect())) and got
+    assert run(spark, docs.limit(0), SF).count() == 0
+
+
 def test_entry_adds_the_queries():
     import __spark_entry__ as e
-    assert {q.split("_")[0] for q in e.queries() if q.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in e.queries()
+    assert {q.split("_")[0] for q in e.queries() if q.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in e.queries()
     assert set(QUERIES) <= set(e.queries())
