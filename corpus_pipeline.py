@@ -2,6 +2,12 @@
 
 Every function takes (spark, docs, sf_dir); all but the last return the columns of documents, in their order. A stage's result
 is written as Parquet and read again as the next one's docs. Part of the training-data subpackage.
+
+Edge cases, in every stage: a null text is empty (a stage that rewrites texts makes it one, the others hand it on as it is); a null id is an id
+of its own; very long texts are worked on whole; equal rows are treated alike (near-duplicate removal keeps one, mixing repeats them together);
+an empty table gives an empty table. Columns beside doc_id, text, source and n_chars travel as one struct around every operator, so they may
+have any names, those of an operator's results among them, and keep their values; the mixing stage hashes them to tell rows apart. Texts
+without words have a score like any other, no lines to drop, equal fingerprints, no share of the mix (so they end there) and no tokens.
 """
 from __future__ import annotations
 
@@ -17,35 +23,38 @@ from marquee.llm.quality import score_documents
 from marquee.llm.simhash import one_of_each
 from marquee.session import materialize
 
+#: All columns of a document, out of the way of an operator's own.
+ROW = F.struct("*").alias("__row")
 #: SimHash stage, as in its contract: words of a shingle, differing bits of a link.
 SHINGLE, MAX_BITS = 4, 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts (score of at least 0.3)."""
-    scored = score_documents(docs, table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    """Documents that the classifier accepts (score of at least 0.3). Ties: a score equal to the threshold is accepted."""
+    scored = score_documents(docs.select("doc_id", "text", ROW), table(spark, sf_dir, "labels"))
+    return scored.where("predicted = 1").select("__row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that many documents share; n_chars follows the text."""
-    out = line_dedup(docs, carry=tuple(c for c in docs.columns if c not in ("text", "n_chars")))
-    return out.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long")).select(*docs.columns)
+    out = line_dedup(docs.select("doc_id", "text", ROW), carry=("__row",))
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return out.select(*[new.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group: that of the smallest id (of equal ids, of the smallest text hash)."""
     return one_of_each(docs, SHINGLE, MAX_BITS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources takes them."""
+    """Documents as often as the mix of their sources takes them, in seeded order; equal rows have no order and need none."""
     return repeat_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, n_tokens, ids)."""
-    out = encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"), decoded=None)
+    """(doc_id, lang, source, n_tokens, ids) of every row; other columns end here."""
+    out = encode_documents(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"), decoded=None)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
