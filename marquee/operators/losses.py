@@ -1,8 +1,9 @@
 """Losses and evaluation over (user vector, item vector, weight, rating) rows.
 
-Row-wise losses are column expressions. InfoNCE needs the in-batch similarity matrix: batches have at
-most B rows by construction (batch_id = index div B), so each batch is scored with numpy inside
-applyInPandas and only one loss row per batch leaves the task; no pair rows are emitted.
+Row-wise losses are column expressions. InfoNCE needs the in-batch similarity matrix. A batch of up to a tile's rows is one
+matrix in one task; a larger one is cut in tiles of users and items, every (user tile, item tile) cell is one co-grouped task, and a
+cell emits for each of its rows and columns the largest similarity and the sum of exponentials below it. These states merge
+by a grouped aggregation, whatever their order, so a batch of any size has an exact loss; no pair rows are emitted.
 """
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import vectors as V
 from marquee.operators.split import with_global_index
+from marquee.session import materialize
 
 
 def weighted_mse_rows(pairs: DataFrame, rating_scale: float = 5.0) -> DataFrame:
@@ -26,12 +28,13 @@ def weighted_mse(pairs: DataFrame, by: str = "batch_id") -> DataFrame:
     return weighted_mse_rows(pairs).groupBy(by).agg(F.avg("loss").alias("loss"))
 
 
+def _unit(vectors: pd.Series) -> np.ndarray:
+    M = np.stack([np.asarray(x, dtype=np.float64) for x in vectors])
+    return M / np.maximum(np.linalg.norm(M, axis=1, keepdims=True), 1e-12)
+
+
 def _infonce_batch(pdf: pd.DataFrame, tau: float) -> float:
-    U = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["uv"]])
-    I = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["iv"]])
-    U = U / np.maximum(np.linalg.norm(U, axis=1, keepdims=True), 1e-12)
-    I = I / np.maximum(np.linalg.norm(I, axis=1, keepdims=True), 1e-12)
-    S = U @ I.T / tau
+    S = _unit(pdf["uv"]) @ _unit(pdf["iv"]).T / tau
     idx = np.arange(len(pdf))
     S[idx, idx] *= pdf["weight"].to_numpy(dtype=np.float64)
 
@@ -49,22 +52,89 @@ def with_batches(pairs: DataFrame, batch_size: int = 256, order: str = "k", by:
     return idx.withColumn(by, F.floor(F.col("_n") / batch_size)).drop("_n")
 
 
-def infonce_loss(pairs: DataFrame, tau: float = 0.07, by: str = "batch_id", order: str = "k",
-                 max_batch: int = 8192) -> DataFrame:
-    """Per batch: mean of the row-wise and column-wise cross-entropy of cos/tau, diagonal scaled by weight.
+TILE = 2048
+
+
+def infonce_loss(pairs: DataFrame, tau: float = 0.07, by: str = "batch_id", order: str = "k", tile: int = TILE) -> DataFrame:
+    """Per batch: mean of the row-wise and column-wise cross-entropy of cos/tau, diagonal scaled by weight. Batches above
+    ``tile`` rows are tiled; ``order`` tells the rows of a batch apart. Null batch ids are a batch; there are no batches in an empty table."""
+    rows = pairs.select(by, order, "uv", "iv", "weight")
+    sizes = materialize(rows.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")), "infonce-batches")
+    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    if largest <= tile:
+        return _whole_batches(rows, tau, by, order)
+    big = sizes.where(F.col("_rows") > tile).select(F.col(by).alias("_big"), F.ceil(F.col("_rows") / tile).cast("int").alias("_tiles"))
+    sized = rows.join(big, F.col(by).eqNullSafe(F.col("_big")), "left").drop("_big")
+    small = _whole_batches(sized.where(F.col("_tiles").isNull()).drop("_tiles"), tau, by, order)
+    return small.unionByName(_tiled_batches(sized.where(F.col("_tiles").isNotNull()), tau, by, order))
+
 
-    A batch is one similarity matrix in one task, so batches above ``max_batch`` rows raise; ``with_batches`` deals them."""
-    largest = pairs.groupBy(by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > max_batch:
-        raise ValueError(f"a batch of {largest} rows exceeds {max_batch}; deal the rows with with_batches")
-    key_type = pairs.schema[by].dataType.simpleString()
+def _whole_batches(rows: DataFrame, tau: float, by: str, order: str) -> DataFrame:
+    key_type = rows.schema[by].dataType.simpleString()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         return pd.DataFrame({by: [pdf[by].iloc[0]], "loss": [_infonce_batch(pdf, tau)]})
 
-    return (pairs.select(by, order, "uv", "iv", "weight").groupBy(by)
-            .applyInPandas(run, f"{by} {key_type}, loss double"))
+    return rows.groupBy(by).applyInPandas(run, f"{by} {key_type}, loss double")
+
+
+def _states(S: np.ndarray, times: np.ndarray, own: np.ndarray | None, row_times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(largest entry, sum of exponentials below it) of every row of a cell whose column j stands for times[j] equal ones. In the
+    cell of a row's own pair, own is the weighted similarity, which takes the place of one of the row's equal columns."""
+    if own is not None:
+        at = np.arange(len(S))
+        S = S.copy()
+        S[at, at] = np.where(row_times > 1, S[at, at], -np.inf)
+    top = S.max(axis=1)
+    if own is not None:
+        top = np.maximum(top, own)
+    E = np.exp(S - top[:, None])
+    total = E @ times
+    if own is not None:
+        total += np.exp(own - top) - E[at, at]
+    return top, total
+
+
+def _tiled_batches(rows: DataFrame, tau: float, by: str, order: str) -> DataFrame:
+    """rows with their batch's number of tiles (_tiles): the loss of each batch from merged (largest, sum) states. Equal rows
+    are folded to one with a count first, so they are neither a hot tile nor a hot group."""
+    rows = rows.groupBy(by, order, "uv", "iv", "weight", "_tiles").agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.withColumn("_row", F.xxhash64(order, "uv", "iv", "weight")).withColumn("_batch", F.xxhash64(by))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("_row"), F.col("_tiles")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
+    users = rows.select("_batch", F.col("_own").alias("_u"), others.alias("_i"), "_row", "_n", F.col("uv").alias("v"), "weight")
+    items = rows.select(F.col("_batch").alias("b_batch"), others.alias("b_u"), F.col("_own").alias("b_i"), F.col("_row").alias("b_row"),
+                        F.col("_n").alias("b_n"), F.col("iv").alias("b_v"))
+    schema = "_batch long, _side int, _row long, _top double, _sum double, _value double, _n long"
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({c.split()[0]: pd.Series(dtype="float64") for c in schema.split(", ")})
+        b = b.rename(columns=lambda c: c[1:] if c != "b_v" else "v")
+        a, b = a.sort_values("_row"), b.sort_values("_row")
+        S = _unit(a["v"]) @ _unit(b["v"]).T / tau
+        na, nb = a["_n"].to_numpy(np.float64), b["_n"].to_numpy(np.float64)
+        own = None
+        if a["_u"].iloc[0] == b["_i"].iloc[0]:  # the same rows on both sides
+            own = np.diagonal(S) * a["weight"].to_numpy(np.float64)
+        out = []
+        for side, M, frame, mine, theirs in ((0, S, a, na, nb), (1, S.T, b, nb, na)):
+            top, total = _states(M, theirs, own, mine)
+            out.append(pd.DataFrame({"_batch": a["_batch"].iloc[0], "_side": side, "_row": frame["_row"].to_numpy(), "_top": top, "_sum": total,
+                                     "_value": np.full(len(top), np.nan) if own is None else own, "_n": frame["_n"].to_numpy()}))
+        return pd.concat(out)
+
+    cells = users.groupBy("_batch", "_u", "_i").cogroup(items.groupBy("b_batch", "b_u", "b_i"))
+    states = cells.applyInPandas(run, schema)
+    # one state for each tile of the other side
+    merged = states.groupBy("_batch", "_side", "_row").agg(
+        F.max("_top").alias("_top"), F.collect_list(F.struct("_top", "_sum")).alias("_parts"),
+        F.max(F.when(~F.isnan("_value"), F.col("_value"))).alias("_value"), F.max("_n").alias("_n"))
+    total = F.aggregate("_parts", F.lit(0.0), lambda acc, p: acc + p["_sum"] * F.exp(p["_top"] - F.col("_top")))
+    entropy = F.col("_n") * (F.col("_top") + F.log(total) - F.col("_value"))
+    loss = merged.groupBy("_batch").agg((F.sum(entropy) / F.sum("_n")).alias("loss"))
+    return loss.join(rows.groupBy("_batch").agg(F.first(by).alias(by)), "_batch").select(by, "loss")
 
 
 def _masked_sq(s: str, t: str, mask_dims: int):

@@ -51,6 +51,21 @@ def q_infonce_loss(spark, d):
     return ls.infonce_loss(fx.fx_pairs(spark, d)).select("batch_id", R("loss").alias("loss"))
 
 
+#: One batch of all pairs, and the last pairs once more in batches of their own.
+_INFONCE_LARGE = [("lp", "select -1 as batch_id, k, uv, iv, weight from fx_pairs union all select k // 16, k, uv, iv, weight from fx_pairs where k % 32 < 16")] + [
+    (name, body.replace("fx_pairs", "lp")) for name, body in _INFONCE]
+
+
+@query("infonce_loss_large_batch", W("fx_pairs", extra=_INFONCE_LARGE) + """
+select lu.batch_id, round((lu.l + li.l) / 2.0e0, 6) as loss from lu join li on lu.batch_id = li.batch_id""")
+def q_infonce_loss_large_batch(spark, d):
+    """A batch of all pairs, many times a tile, next to small ones."""
+    p = fx.fx_pairs(spark, d).select("k", "uv", "iv", "weight")
+    small = p.where(F.col("k") % 32 < 16).withColumn("batch_id", F.floor(F.col("k") / 16))
+    rows = p.withColumn("batch_id", F.lit(-1).cast("long")).unionByName(small)
+    return ls.infonce_loss(rows, tile=32).select("batch_id", R("loss").alias("loss"))
+
+
 @query("embedding_kl", W("fx_pairs") + f"""
 select batch_id, round(0.5e0 * sum({_masked_sql('uv', 'iv', 8)}) / (count(*) * max(len(uv))), 6) as kl
 from fx_pairs group by batch_id""")

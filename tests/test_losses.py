@@ -36,6 +36,33 @@ def test_infonce_matches_numpy(spark):
     assert ls.infonce_loss(df).first()["loss"] == pytest.approx((ce(S) + ce(S.T)) / 2)
 
 
+@pytest.mark.parametrize("tile", [1, 7, 64, 2048])
+def test_tiled_infonce_equals_whole_batches(spark, tile):
+    """Batches of 1 to 150 rows, equal rows and zero vectors among them, whatever the tile."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for b, n in enumerate([1, 2, 60, 150]):
+        made = [(b, k, rng.normal(size=4).tolist(), rng.normal(size=4).tolist(), float(rng.uniform(0.2, 1))) for k in range(n)]
+        rows += made
+    rows += [(2, 900, [0.0] * 4, [1.0] * 4, 0.5)] + [rows[40]] * 20
+    rows = [(None if b == 3 else b, *r) for b, *r in rows]
+    df = spark.createDataFrame(rows, "batch_id long, k int, uv array<double>, iv array<double>, weight double")
+
+    def by_hand(part):
+        U, I = (np.array([r[c] for r in part]) for c in (2, 3))
+        U, I = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) for m in (U, I))
+        S = U @ I.T / 0.07
+        at = np.arange(len(part))
+        S[at, at] *= [r[4] for r in part]
+        return np.mean([np.logaddexp.reduce(M, axis=1) - S[at, at] for M in (S, S.T)])
+
+    got = {r.batch_id: r.loss for r in ls.infonce_loss(df, tile=tile).collect()}
+    assert set(got) == {None, 0, 1, 2}
+    for b, loss in got.items():
+        assert loss == pytest.approx(by_hand([r for r in rows if r[0] == b]))
+    assert ls.infonce_loss(df.limit(0)).count() == 0
+
+
 def test_weighted_mse(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], [1.0, 0.0], 0.5, 5.0), (0, [1.0, 0.0], [-1.0, 0.0], 1.0, 5.0)],
                                "batch_id int, uv array<double>, iv array<double>, weight double, rating double")
@@ -84,5 +111,6 @@ def test_batches_are_dealt_and_checked(spark):
     dealt = ls.with_batches(pairs, 4)
     assert {r["batch_id"]: r["count"] for r in dealt.groupBy("batch_id").count().collect()} == {0: 4, 1: 4, 2: 2}
     assert ls.infonce_loss(dealt).count() == 3
-    with pytest.raises(ValueError, match="exceeds 3"):
-        ls.infonce_loss(dealt, max_batch=3)
+    # batches above a tile are cut, not refused
+    tiled = {r.batch_id: r.loss for r in ls.infonce_loss(dealt, tile=3).collect()}
+    assert tiled == {r.batch_id: pytest.approx(r.loss) for r in ls.infonce_loss(dealt).collect()}
