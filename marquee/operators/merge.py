@@ -91,9 +91,11 @@ def merge_replace(src: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 
 def arrival_ids(df: DataFrame, base: int = 0, out: str = "id") -> DataFrame:
     """Rows of a file scan numbered from base in arrival order: file path, then place in the file. Scans deal files
-    to tasks by size, so the order of tasks says nothing about the order of files."""
-    located = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
-                        F.monotonically_increasing_id().alias("_row"))
+    to tasks by size, so the order of tasks says nothing about the order of files. Rows that carry _file, _start and _row
+    already (sources.files.read_located) keep those."""
+    located = df if {"_file", "_start", "_row"} <= set(df.columns) else df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"))
     numbered = with_global_index(located, ["_file", "_start", "_row"], out)
     return numbered.withColumn(out, F.col(out) + F.lit(base)).drop("_file", "_start", "_row")
 

@@ -96,6 +96,16 @@ def q_read_movies_multiline(spark, d):
     return fl.read_movies_csv(spark, p)
 
 
+@query("read_quoted_documents", """
+select cast(doc_id as int) as movie_id, md5(text) as title_md5, lang as genres from documents where text <> '' and lang <> ''""")
+def q_read_quoted_documents(spark, d):
+    """Whole documents as titles: fields of many lines, quotes and commas, read in splits."""
+    p = scratch_path(spark, "movies.csv")
+    docs = fx.table(spark, d, "documents").where("text <> '' and lang <> ''")
+    fl.write_csv(docs.select(F.col("doc_id").alias("movieId"), F.col("text").alias("title"), F.col("lang").alias("genres")), p)
+    return fl.read_movies_csv(spark, p).select("movie_id", F.md5(F.col("title").cast("binary")).alias("title_md5"), "genres")
+
+
 @query("unparsable_ratings", W("fx_ratings") + """
 select user_id, movie_id, timestamp, rating > 4.0e0 as bad from fx_ratings""")
 def q_unparsable_ratings(spark, d):

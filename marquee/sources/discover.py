@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.sources.files import READERS
+from marquee.sources.files import READERS, read_located
 
 # FIXED VALUES: known dataset files -> (table, layout)
 KNOWN = {
@@ -163,9 +163,9 @@ def _unpack(fs, base: str, path: str) -> list[tuple[str, str | None, str]]:
 
 
 def read_dataset(spark: SparkSession, name: str, path: str) -> tuple[str, DataFrame]:
-    """Read one classified dataset with the reader of its file name: (table, DataFrame)."""
+    """Read one classified dataset with the reader of its file name: (table, DataFrame that arrival_ids can number)."""
     table, reader = READERS[name.lower()]
-    return table, reader(spark, path)
+    return table, read_located(reader, spark, path)
 
 
 def unparsable(spark: SparkSession, name: str, path: str) -> DataFrame:

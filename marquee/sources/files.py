@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from marquee.functions.vocab import NO_GENRES, PANDAS_NA
 from marquee.operators.merge import drop_null_keys
+from marquee.sources.quoted import quoted_records
 
 I, L, D, S = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()
 
@@ -72,6 +73,27 @@ def _by_name(spark: SparkSession, path, schema: T.StructType, optional: tuple[st
     return df.where(_broken(df)).select(*cols, CORRUPT) if bad else df.where(~_broken(df)).select(*cols)
 
 
+#: File, split and row of a record, for readers whose rows have lost the scan's own metadata.
+PLACE = ("_file", "_start", "_row")
+
+
+def _by_record(spark: SparkSession, path, schema: T.StructType, bad: bool = False, located: bool = False) -> DataFrame:
+    """As _by_name for files whose quoted fields hold line breaks, in splits (sources.quoted); ``located`` adds PLACE."""
+    found = require_columns(spark, path, schema.names)
+    header = header_of(spark, path)
+    types = {f.name: f.dataType for f in schema}
+    file_schema = T.StructType([T.StructField(f"_{i}", types.get(n, S)) for i, n in enumerate(found)] + [T.StructField(CORRUPT, S)])
+    options = {"sep": ",", "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "multiLine": "true"}
+    records = quoted_records(spark, path, header)
+    place = [F.col(c).alias(p) for c, p in zip(("file", "start", "row"), PLACE)]
+    parsed = records.select(*place, F.from_csv("value", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in file_schema), options).alias("r"))
+    rows = parsed.select(*PLACE, "r.*")
+    ok = rows.drop(*PLACE)
+    cols = [F.col(f"_{found.index(f.name)}").alias(f.name) for f in schema]
+    keep = [*cols, *(PLACE if located else ())]
+    return rows.where(_broken(ok)).select(*keep, CORRUPT) if bad else rows.where(~_broken(ok)).select(*keep)
+
+
 def _by_place(spark: SparkSession, path, schema: T.StructType, sep: str, encoding: str = "UTF-8", bad: bool = False) -> DataFrame:
     """Files without a header: fields in the layout's order. Records that do not parse as with _by_name."""
     df = _reader(spark, sep, encoding, False).schema(T.StructType([*schema, T.StructField(CORRUPT, S)])).csv(path)
@@ -86,16 +108,16 @@ def read_ratings_csv(spark, path, bad: bool = False) -> DataFrame:
     return _by_name(spark, path, RATINGS, bad=bad)
 
 
-def read_movies_csv(spark, path, pandas_na: bool = False, multi_line: bool = True, bad: bool = False) -> DataFrame:
-    """Titles may hold quoted line breaks, so records may span lines (multiLine: one task per file)."""
-    df = _by_name(spark, path, MOVIES, multi_line=multi_line, bad=bad)
+def read_movies_csv(spark, path, pandas_na: bool = False, multi_line: bool = True, bad: bool = False, located: bool = False) -> DataFrame:
+    """Titles may hold quoted line breaks, so records may span lines; files are read in splits all the same. Files known to have
+    none can be read with multi_line=False, which needs no pass for the quotes."""
+    df = _by_record(spark, path, MOVIES, bad, located) if multi_line else _by_name(spark, path, MOVIES, bad=bad)
     return df.withColumn("title", _na_to_null("title")) if pandas_na else df
 
 
-def read_tags_csv(spark, path, pandas_na: bool = True, multi_line: bool = True, bad: bool = False) -> DataFrame:
-    """Tags may hold quoted line breaks, so records may span lines (multiLine: one task per file; files known to have none
-    can be read with multi_line=False, in splits)."""
-    df = _by_name(spark, path, TAGS, multi_line=multi_line, bad=bad)
+def read_tags_csv(spark, path, pandas_na: bool = True, multi_line: bool = True, bad: bool = False, located: bool = False) -> DataFrame:
+    """Tags may hold quoted line breaks, so records may span lines, as with read_movies_csv."""
+    df = _by_record(spark, path, TAGS, bad, located) if multi_line else _by_name(spark, path, TAGS, bad=bad)
     if bad:
         return df
     if pandas_na:
@@ -145,6 +167,11 @@ READERS = {
 # the stream and the stages read a table's own layout with these
 TABLE_READERS = {t: r for n, (t, r) in READERS.items() if n.endswith(".csv")}
 
+def read_located(reader, spark: SparkSession, path) -> DataFrame:
+    """A reader's rows with what merge.arrival_ids needs to number them in file order."""
+    return reader(spark, path, located=True) if reader in (read_movies_csv, read_tags_csv) else reader(spark, path)
+
+
 CONFLICT_KEYS = {
     "ratings": ["user_id", "movie_id"], "movies": ["movie_id"],
     "tags": ["user_id", "movie_id", "tag", "timestamp"], "links": ["movie_id"],

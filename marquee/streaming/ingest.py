@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.operators import buckets as bk
 from marquee.operators import merge
 from marquee.operators.buckets import BUCKET_ROWS, BUCKETS, current_table, current_watermark, latest_version, vacuum, version_path
-from marquee.sources.files import CONFLICT_KEYS, TABLE_READERS
+from marquee.sources.files import CONFLICT_KEYS, TABLE_READERS, read_located
 
 __all__ = ["current_table", "current_watermark", "latest_version", "merge", "merge_files", "stream_ingest", "vacuum", "version_path"]
 
@@ -25,7 +25,7 @@ def merge_files(spark: SparkSession, paths: list[str], table: str, table_path: s
     """Merge files into the table as batch ``batch_id``; does nothing if that batch is committed."""
     if bk.committed(spark, version_path(bk.beside(table_path, "manifest"), batch_id)):
         return {}
-    rows = TABLE_READERS[table](spark, sorted(paths))
+    rows = read_located(TABLE_READERS[table], spark, sorted(paths))
     return bk.merge_rows(spark, rows, CONFLICT_KEYS[table], table_path, batch_id, mode, stamp, table, buckets, bucket_rows, keep_versions)
 
 
