@@ -77,6 +77,20 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def task_keys(spark: SparkSession, n: int) -> list[int]:
+    """n integers, the i-th of which a repartition(n, key) sends to task i: for work whose share of every task is known."""
+    from pyspark.sql import functions as F
+
+    found: dict[int, int] = {}
+    first = 0
+    while len(found) < n:
+        ids = spark.range(first, first + 8 * n + 64).select(F.col("id").cast("int").alias("k"))
+        for r in ids.select("k", F.pmod(F.hash("k"), F.lit(n)).alias("p")).collect():  # some multiple of n
+            found.setdefault(r["p"], r["k"])
+        first += 8 * n + 64
+    return [found[i] for i in range(n)]
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch table whose readers are done; only paths under the checkpoint folder are accepted."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

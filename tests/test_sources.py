@@ -1,4 +1,5 @@
 import io
+import random
 import os
 import zipfile
 
@@ -17,11 +18,11 @@ def _write(path, text, encoding="utf-8"):
 @pytest.fixture()
 def download(tmp_path):
     d = tmp_path / "ml"
-    _write(str(d / "ratings.csv"), "userId,movieId,rating,timestamp\n1,10,4.0,1000\n2,20,3.5,2000\n")
+    _write(str(d / "ratings.csv"), "userId,movieId,rating,timestamp\n31,210,1.5,86400\n47,305,4.5,172800\n")
     _write(str(d / "movies.csv"), 'movieId,title,genres\n10,"Lantern, The (2011)",Action\n20,Quiet Harbour (2016),Drama\n')
     _write(str(d / "tags.csv"), 'userId,movieId,tag,timestamp\n1,10,slow burn,1500\n1,10,,1600\n2,20,"two\nlines",1700\n')
     _write(str(d / "links.csv"), "movieId,imdbId,tmdbId\n10,0450017,7731\n20,0620031,\n")
-    _write(str(d / "genome-scores.csv"), "movieId,tagId,relevance\n10,1,0.9\n10,2,0.4\n")
+    _write(str(d / "genome-scores.csv"), "movieId,tagId,relevance\n210,7,0.35\n305,7,0.8125\n")
     _write(str(d / "README.txt"), "hello\n")
     _write(str(d / "genome-tags.csv"), "tagId,tag\n1,a\n")
     _write(str(d / "stray_table.csv"), "a,b\n1,2\n")
@@ -30,7 +31,7 @@ def download(tmp_path):
 
 def test_modern_readers(spark, download):
     r = fl.read_ratings_csv(spark, f"{download}/ratings.csv").collect()
-    assert [(x.user_id, x.movie_id, x.rating, x.timestamp) for x in r] == [(1, 10, 4.0, 1000), (2, 20, 3.5, 2000)]
+    assert [(x.user_id, x.movie_id, x.rating, x.timestamp) for x in r] == [(31, 210, 1.5, 86400), (47, 305, 4.5, 172800)]
     m = fl.read_movies_csv(spark, f"{download}/movies.csv").collect()
     assert m[0].title == "Lantern, The (2011)"
     t = fl.read_tags_csv(spark, f"{download}/tags.csv").collect()
@@ -38,7 +39,7 @@ def test_modern_readers(spark, download):
     links = {x.movie_id: (x.imdb_id, x.tmdb_id) for x in fl.read_links_csv(spark, f"{download}/links.csv").collect()}
     assert links == {10: ("0450017", "7731"), 20: ("0620031", None)}
     g = fl.read_genome_csv(spark, f"{download}/genome-scores.csv").collect()
-    assert [(x.movie_id, x.tag_id, x.relevance) for x in g] == [(10, 1, 0.9), (10, 2, 0.4)]
+    assert [(x.movie_id, x.tag_id, x.relevance) for x in g] == [(210, 7, 0.35), (305, 7, 0.8125)]
 
 
 def test_links_without_tmdb(spark, tmp_path):
@@ -143,3 +144,42 @@ def test_zip_traversal_refused(spark, tmp_path):
     dv.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "out")).collect()
     assert fl.read_ratings_csv(spark, str(tmp_path / "out" / "*" / "ratings.csv")).count() == 2
     assert not list((tmp_path / "out").glob("*/.*part"))
+
+
+def test_one_archive_is_unpacked_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    texts = {f"folder/m{i}.csv": "".join(rng.choices("abc,\n", k=rng.randint(0, 30_000))) for i in range(24)}
+    os.makedirs(tmp_path / "zips")
+    with zipfile.ZipFile(tmp_path / "zips" / "big.zip", "w") as z:
+        for n, (name, text) in enumerate(texts.items()):
+            z.writestr(name, text, zipfile.ZIP_STORED if n % 3 == 0 else zipfile.ZIP_DEFLATED)
+        z.writestr("folder/", "")
+    done = dv.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "out"), task_bytes=10_000)
+    rows = done.withColumn("task", F.spark_partition_id()).collect()
+    assert {(r.member, r.status) for r in rows} == {(m, "extracted") for m in texts}
+    load = {}
+    for r in rows:
+        load[r.task] = load.get(r.task, 0) + 1
+    assert len(load) >= 8 and max(load.values()) <= 4
+    out = next((tmp_path / "out").iterdir())
+    assert {str(p.relative_to(out)): p.read_text() for p in out.rglob("*.csv")} == texts
+    assert not list(out.rglob("*.part"))
+
+
+def test_damaged_members_are_reported_alone(spark, tmp_path):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_STORED) as z:
+        for name in ("a.csv", "b.csv", "b.csv"):
+            z.writestr(name, f"content of {name} {len(buf.getvalue())}")
+        z.writestr("c.csv", "packed otherwise " * 50, zipfile.ZIP_BZIP2)
+    raw = bytearray(buf.getvalue())
+    raw[raw.index(b"content of a.csv")] = ord("C")
+    os.makedirs(tmp_path / "zips")
+    (tmp_path / "zips" / "x.zip").write_bytes(raw)
+    (tmp_path / "zips" / "empty.zip").write_bytes(b"PK\x05\x06" + bytes(18))
+    rows = dv.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "out")).collect()
+    got = {r.member: r.status.split(":")[0] + (r.status.split(":")[1] if ":" in r.status else "") for r in rows}
+    assert got == {"a.csv": "error ValueError", "b.csv": "extracted", "c.csv": "error NotImplementedError"}
+    out = next((tmp_path / "out").iterdir())
+    assert [p.name for p in out.iterdir()] == ["b.csv"] and not (out / "b.csv").read_text().endswith(" 0")
