@@ -29,7 +29,7 @@ _SPLIT = [
 
 
 def _split(spark, d):
-    return sp.temporal_split(data.ratings(spark, d))
+    return sp.temporal_split(data.ratings_table(spark, d))  # read a few times by the selection
 
 
 def _lsp(spark, d):

@@ -23,6 +23,8 @@ STAGES = ["ingest", "validate", "featurize", "split", "sweep", "train", "evaluat
 #: Settings that the sweep tries when none are given.
 GRID = [{"rank": 8, "max_iter": 5}, {"rank": 16, "max_iter": 5}]
 MODEL_NAME = "als_factors"
+#: Directory of a new raw table; it grows with the rows.
+FIRST_BUCKETS = 4
 
 
 class Warehouse:
@@ -87,7 +89,8 @@ def run_ingest(spark: SparkSession, source: str, wh: Warehouse, mode: str = "ups
         try:
             table, df = dv.read_dataset(spark, r["name"], r["dataset_path"])
             path = wh.path(f"raw/{table}")
-            done = buckets.merge_rows(spark, df, CONFLICT_KEYS[table], path, buckets.next_batch(spark, path), mode, table=table)
+            done = buckets.merge_rows(spark, df, CONFLICT_KEYS[table], path, buckets.next_batch(spark, path), mode, table=table,
+                                      buckets=FIRST_BUCKETS)
             written.add(table)
             bad = dv.unparsable(spark, r["name"], r["dataset_path"]).count()
             report.append((r["name"], "load", table, done["offered"], bad, f"{bad} records do not parse" if bad else None))
