@@ -245,38 +245,78 @@ def _train_val(spark, d):
     return w.filter(F.col("split") == "train"), w.filter(F.col("split") == "val")
 
 
-_TRAIN_VAL = _SPLIT[:3] + [
-    ("tr", "select * from lsp where split = 'train'"), ("va", "select * from lsp where split = 'val'"),
-    ("unseen", "select count(*) as n from va where user_id not in (select user_id from tr) or movie_id not in (select movie_id from tr)")]
-
-
-@query("fit_factors", W("rk", extra=_TRAIN_VAL) + """
-select 'user' as side, user_id as id, 8 as dim, count(*) as n_train, true as fits from tr group by user_id
-union all select 'item', movie_id, 8, count(*), true from tr group by movie_id""")
+def _fit_sql(name: str, iters: int, reg: float, background: float, seed: int = 42) -> str:
+    """CTEs of a fit of rank 2 on ff_rows(user_id, movie_id, w, y): half-steps with 2 x 2 normal equations solved by Cramer's rule.
+    The vectors end in {name}_u and {name}_i (id, a, b)."""
+    from marquee.operators.factors import START as S
+    start = ", ".join(f"((({{own}}) + {j} * {S['B']}) % {S['M']}) / {S['M']}.0e0 - 0.5e0 as {c}" for j, c in ((1, "a"), (2, "b")))
+    own = f"(((movie_id % {S['M']}) + {S['M']}) % {S['M']} * {S['A']} + {seed % S['M'] * S['C']}) % {S['M']}"
+    out = [f"{name}_i0 as materialized (select distinct movie_id as id, {start.replace('{own}', own)} from ff_rows)"]
+
+    def step(new: str, old: str, side: str, other: str) -> None:
+        out.append(f"{new}_g as materialized (select sum(a * a) as aa, sum(a * b) as ab, sum(b * b) as bb from {old})")
+        out.append(f"""{new} as materialized (
+  select id, (m22 * r1 - m12 * r2) / (m11 * m22 - m12 * m12) as a, (m11 * r2 - m12 * r1) / (m11 * m22 - m12 * m12) as b from (
+    select r.{side} as id, any_value({background}e0 * g.aa) + {reg}e0 + sum(r.w * o.a * o.a) as m11,
+           any_value({background}e0 * g.ab) + sum(r.w * o.a * o.b) as m12, any_value({background}e0 * g.bb) + {reg}e0 + sum(r.w * o.b * o.b) as m22,
+           sum(r.w * r.y * o.a) as r1, sum(r.w * r.y * o.b) as r2
+    from ff_rows r join {old} o on r.{other} = o.id, {new}_g g group by r.{side}))""")
+
+    for n in range(1, iters + 1):
+        last = n == iters
+        step(f"{name}_u" if last else f"{name}_u{n}", f"{name}_i{n - 1}", "user_id", "movie_id")
+        step(f"{name}_i" if last else f"{name}_i{n}", f"{name}_u" if last else f"{name}_u{n}", "movie_id", "user_id")
+    return ",\n".join(out)
+
+
+_FF_ROWS = """, ff_rows as materialized (select user_id, movie_id, weight as w, rating / 5.0e0 as y from wsp where split = 'train')"""
+
+
+@query("fit_factors", W("rk", extra=_SPLIT[:5]) + _FF_ROWS + ",\n" + _fit_sql("f", 2, 0.1, 0.1) + """,
+f_obj as (
+  select (select sum(r.w * power(r.y - u.a * i.a - u.b * i.b, 2)) from ff_rows r join f_u u on r.user_id = u.id join f_i i on r.movie_id = i.id) as fit,
+         (select 0.1e0 * sum(p.x) from (select (u.aa * i.aa + 2 * u.ab * i.ab + u.bb * i.bb) as x
+            from (select sum(a * a) as aa, sum(a * b) as ab, sum(b * b) as bb from f_u) u,
+                 (select sum(a * a) as aa, sum(a * b) as ab, sum(b * b) as bb from f_i) i) p) as pairs,
+         0.1e0 * ((select sum(a * a + b * b) from f_u) + (select sum(a * a + b * b) from f_i)) as size)
+select 'user' as side, id, round(a, 6) as a, round(b, 6) as b from f_u
+union all select 'item', id, round(a, 6), round(b, 6) from f_i
+union all select 'fit and pairs', 0, round(fit, 6), round(pairs, 6) from f_obj
+union all select 'size and objective', 0, round(size, 6), round(fit + pairs + size, 6) from f_obj""")
 def q_fit_factors(spark, d):
-    """ALS stand-in for the trainers: exactly the users and items of the train split have a vector, and the vectors fit: the
-    mean preference of rated pairs lies above that of all pairs (the product of the mean vectors)."""
-    from marquee.operators.factors import fit_factors, fit_margin
-    train, _ = _train_val(spark, d)
-    train = materialize(train, "train-split")
-    _, users, items = fit_factors(train, rank=8, max_iter=5)
-    users, items = materialize(users, "user-factors"), materialize(items, "item-factors")
-    fits = F.lit(fit_margin(train, users, items) > 0.01)
-    sides = [(users.withColumnRenamed("u", "f"), "user", "user_id"), (items.withColumnRenamed("i", "f"), "item", "movie_id")]
-    out = [f.join(train.groupBy(k).agg(F.count(F.lit(1)).alias("n_train")), k).select(
-        F.lit(side).alias("side"), F.col(k).alias("id"), F.size("f").alias("dim"), "n_train", fits.alias("fits")) for f, side, k in sides]
-    return out[0].unionByName(out[1])
-
-
-@query("sweep_factors", W("rk", extra=_TRAIN_VAL) + """
-select t.trial, t.params, (select count(*) from va) as n_val, (select n from unseen) as n_unseen, true as scored, cast(null as varchar) as error
-from (values (0, '[(''max_iter'', 3), (''rank'', 4)]'), (1, '[(''max_iter'', 3), (''rank'', 8)]')) as t(trial, params)
-union all select 2, '[(''max_iter'', 3), (''rank'', -1)]', null, null, false, 'IllegalArgumentException'""")
+    """Weighted factors of the train split, every value of both sides, and the terms of the objective that they minimise."""
+    from marquee.operators.factors import fit_factors, objective
+    train = materialize(_train_val(spark, d)[0], "train-split")
+    _, users, items = fit_factors(train, rank=2, max_iter=2)
+    o = objective(train, users, items)
+    cells = [users.select(F.lit("user").alias("side"), F.col("user_id").cast("long").alias("id"), F.col("u")[0].alias("a"), F.col("u")[1].alias("b")),
+             items.select(F.lit("item"), F.col("movie_id").cast("long"), F.col("i")[0], F.col("i")[1]),
+             o.select(F.lit("fit and pairs"), F.lit(0).cast("long"), "fit", "background"),
+             o.select(F.lit("size and objective"), F.lit(0).cast("long"), "size", "objective")]
+    out = cells[0]
+    for c in cells[1:]:
+        out = out.union(c)
+    return out.select("side", "id", R("a").alias("a"), R("b").alias("b"))
+
+
+def _val_loss_sql(name: str) -> str:
+    return f"""(select round(avg(v.weight * power(coalesce(u.a * i.a + u.b * i.b, 0) - v.rating / 5.0e0, 2)), 6)
+   from wsp v left join {name}_u u on v.user_id = u.id left join {name}_i i on v.movie_id = i.id where v.split = 'val')"""
+
+
+@query("sweep_factors", W("rk", extra=_SPLIT[:5]) + _FF_ROWS + ",\n" + _fit_sql("p", 1, 0.1, 0.1) + ",\n" + _fit_sql("q", 2, 0.5, 0.01) + f""",
+va as (select * from wsp where split = 'val'),
+unseen as (select count(*) as n from va where user_id not in (select user_id from ff_rows) or movie_id not in (select movie_id from ff_rows))
+select t.trial, t.params, t.loss as val_loss, (select count(*) from va) as n_val, (select n from unseen) as n_unseen, cast(null as varchar) as error
+from (values (0, '[(''background'', 0.1), (''max_iter'', 1), (''rank'', 2), (''reg'', 0.1)]', {_val_loss_sql('p')}),
+             (1, '[(''background'', 0.01), (''max_iter'', 2), (''rank'', 2), (''reg'', 0.5)]', {_val_loss_sql('q')})) as t(trial, params, loss)
+union all select 2, '[(''max_iter'', 3), (''rank'', -1)]', 9999.0, null, null, 'ValueError'""")
 def q_sweep_factors(spark, d):
     """Two settings scored on every row of the temporal validation split (with the rows whose user or movie the train split
     lacks), and a third that cannot be fitted: its error is kept."""
-    from marquee.operators.factors import FAILED_LOSS, sweep_factors
+    from marquee.operators.factors import sweep_factors
     train, val = _train_val(spark, d)
-    trials = sweep_factors(train, val, [{"rank": 4, "max_iter": 3}, {"rank": 8, "max_iter": 3}, {"rank": -1, "max_iter": 3}])
-    return trials.select("trial", "params", "n_val", "n_unseen", ((F.col("val_loss") > 0) & (F.col("val_loss") < FAILED_LOSS)).alias("scored"),
+    trials = sweep_factors(train, val, [{"rank": 2, "max_iter": 1, "reg": 0.1, "background": 0.1}, {"rank": 2, "max_iter": 2, "reg": 0.5, "background": 0.01},
+                                        {"rank": -1, "max_iter": 3}])
+    return trials.select("trial", "params", R("val_loss").alias("val_loss"), "n_val", "n_unseen",
                          F.regexp_extract("error", "^([A-Za-z]+)", 1).alias("error"))
