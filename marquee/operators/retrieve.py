@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import vectors as V
 from marquee.functions.vocab import GENRE_VOCAB, TOP_N
+from marquee.operators.item_index import ItemIndex, load_item_index, open_item_index, save_item_index  # noqa: F401
 
 EPS = 1e-8
 ALL_POOL = "*"
@@ -255,31 +256,13 @@ def precompute_counts(top: DataFrame, cold: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def save_item_index(items: DataFrame, model_name: str, methods, path: str) -> None:
-    """Persist per (model, method) the searchable vectors (normalised for cosine)."""
-    parts = []
-    normed = V.with_normalized(items.select("movie_id", "i"), "i", "n", EPS)
-    for m in methods:
-        vec = F.col("n") if m == "cosine" else F.col("i")
-        parts.append(normed.select(F.lit(model_name).alias("model_name"), F.lit(m).alias("scoring_method"),
-                                   "movie_id", vec.alias("i")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("model_name", "scoring_method").parquet(path))
-
-
-def search_item_index(index: DataFrame, queries: DataFrame, method: str, k: int = TOP_N, **kw) -> DataFrame:
+def search_item_index(index: DataFrame | ItemIndex, queries: DataFrame, method: str, k: int = TOP_N, **kw) -> DataFrame:
     """Exact search of a loaded index: (user_id, rank, movie_id, score). Cosine indexes hold unit vectors, so the dot
-    product with the unit query is the cosine."""
+    product with the unit query is the cosine. An opened index (open_item_index) reads only the cells it needs; the rows of
+    a loaded one are all compared."""
+    if isinstance(index, ItemIndex):
+        return index.search(queries, k)
     if method == "cosine":
         queries = V.with_normalized(queries.select("user_id", "u"), "u", "u", EPS)
     found = topk_global(queries, index, ("dot" if method == "cosine" else method,), k, **kw)
     return found.drop("scoring_method")
-
-
-def load_item_index(spark, path: str, model_name: str, method: str) -> DataFrame:
-    return (spark.read.parquet(path)
-            .filter((F.col("model_name") == model_name) & (F.col("scoring_method") == method))
-            .select("movie_id", "i"))

@@ -216,6 +216,24 @@ def q_item_index_roundtrip(spark, d):
         "movie_id", F.col("pos").cast("bigint").alias("pos"), R("value").alias("value"))
 
 
+_INDEX_SCORES = " union all ".join(f"select u.user_id, i.movie_id, '{m}' as scoring_method, " + sql_score(m, "u.u", "i.i") + f" as score from uvec u, ivec i" for m in METHODS)
+
+
+@query("item_index_search", W("uvec", "ivec") + f"""
+select user_id, scoring_method, rank, movie_id, round(score, 6) as score from (
+  select *, row_number() over (partition by user_id, scoring_method order by case when scoring_method = 'l2' then round(score, 9) else -round(score, 9) end, movie_id) as rank
+  from ({_INDEX_SCORES})) where rank <= 10""")
+def q_item_index_search(spark, d):
+    """Every user against the saved index of every method, in the order of the cells' bounds."""
+    path, out = scratch_path(spark, "item-index"), None
+    rt.save_item_index(_items(spark, d), "fixture_model", METHODS, path, cell_rows=32)
+    for m in METHODS:
+        found = rt.open_item_index(spark, path, "fixture_model", m).search(fx.user_vectors(spark, d), 10)
+        one = found.select("user_id", F.lit(m).alias("scoring_method"), F.col("rank").cast("bigint").alias("rank"), "movie_id", R("score").alias("score"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("write_model_rows", _COLD + """
 select 'model_a' as model_name, count(*) as n from csr cross join labels where rank <= 5
 union all select 'model_b', count(*) from csr cross join labels""")

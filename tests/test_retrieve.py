@@ -139,6 +139,54 @@ def test_search_of_a_loaded_index(vecs, spark, tmp_path):
         assert have == want
 
 
+@pytest.mark.parametrize("method", ["cosine", "dot", "l2"])
+def test_opened_index_is_exact_and_prunes(spark, tmp_path, method):
+    """Well-parted items: the answer of all items, from a few files; ties and equal vectors among them."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 10, (30, 8))
+    I = np.concatenate([c + rng.normal(0, 0.05, (40, 8)) for c in centres])
+    I[5] = I[6] = I[900]
+    iid = rng.permutation(len(I)) + 1
+    U = np.stack([I[0] + 0.01, I[400], I[900], I[900] * 2])
+    items = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(iid, I)] + [(5000, None), (5001, [])], "movie_id int, i array<double>")
+    users = spark.createDataFrame([(n, u.tolist()) for n, u in enumerate(U)] + [(77, None)], "user_id int, u array<double>")
+    rt.save_item_index(items, "m/1", (method,), str(tmp_path / "ix"), cell_rows=20)
+    index = rt.open_item_index(spark, str(tmp_path / "ix"), "m/1", method)
+    assert len(index.cell) > 25 and index.n.sum() == len(I)
+    for k in (1, 7, 50):
+        got = rt.search_item_index(index, users, method, k).collect()
+        want = _brute(U, list(range(len(U))), I, iid, {"*": set(iid)}, method, k)
+        have = {}
+        for r in sorted(got, key=lambda r: r["rank"]):
+            have.setdefault((r["user_id"], "*"), []).append(r["movie_id"])
+        assert have == want
+        read = set(index.probed) | set(index.opened)
+        assert len(read) < len(index.cell) / 2  # files of other cells are not opened
+        assert {f.rsplit("cell=", 1)[1].split("/")[0] for f in index.rows(sorted(read)).inputFiles()} == {str(c) for c in read}
+    rt.save_item_index(items.limit(3), "m/1", (method,), str(tmp_path / "ix"))  # a new version replaces the model's index
+    assert rt.load_item_index(spark, str(tmp_path / "ix"), "m/1", method).count() == 3
+    with pytest.raises(FileNotFoundError):
+        rt.open_item_index(spark, str(tmp_path / "ix"), "other", method)
+
+
+@pytest.mark.parametrize("method", ["cosine", "dot", "l2"])
+def test_opened_index_without_structure(spark, tmp_path, method):
+    """Random vectors leave nothing to prune; the answer stays exact, also for more than there is."""
+    rng = np.random.default_rng(6)
+    I, U = rng.normal(size=(60, 5)), rng.normal(size=(9, 5))
+    U[0] = 0
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(I)], "movie_id int, i array<double>")
+    users = spark.createDataFrame([(n, u.tolist()) for n, u in enumerate(U)], "user_id int, u array<double>")
+    rt.save_item_index(items, "m", (method,), str(tmp_path / "ix"), cell_rows=4)
+    for k in (4, 100):
+        got = rt.open_item_index(spark, str(tmp_path / "ix"), "m", method).search(users, k).collect()
+        want = _brute(U, list(range(9)), I, np.arange(60), {"*": set(range(60))}, method, k)
+        have = {}
+        for r in sorted(got, key=lambda r: r["rank"]):
+            have.setdefault((r["user_id"], "*"), []).append(r["movie_id"])
+        assert have == want
+
+
 def test_weights_from_a_table(spark, tmp_path):
     from marquee.operators import encode as en
     from marquee.sources.fixtures import tower_weights
