@@ -4,7 +4,7 @@ Exact top-k needs every (user, item) score, but never as rows. One plan at every
 of bounded size by a hash of their id, each user goes once to every item block and each item once to every user
 block, and a ``cogroup`` scores one (user block, item block) cell per task with Arrow-batched numpy. A cell emits one row per
 (user, pool, method) holding its best k in two arrays; where there are several item blocks the arrays of a user are
-merged by one aggregation. Block sizes bound a task's memory; with u users and i items of d doubles the cells ship
+merged by one aggregation. Block sizes bound a task's memory, its lists among them (the user block follows from pools, methods and k); with u users and i items of d doubles the cells ship
 8 d u i (1 / user_block + 1 / item_block) bytes.
 
 Pools are genres (items can belong to several; an item carries its pools in an array); ``topk_global`` uses a single pool.
@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,10 @@ ALL_POOL = "*"
 
 LIST_SCHEMA = "user_id int, genre string, scoring_method string, movie_ids array<int>, scores array<double>"
 LIST_COLUMNS = [c.split()[0] for c in LIST_SCHEMA.split(", ")]
+LIST_ARROW = pa.schema([("user_id", pa.int32()), ("genre", pa.string()), ("scoring_method", pa.string()), ("movie_ids", pa.list_(pa.int32())),
+                        ("scores", pa.list_(pa.float64()))])
+#: Bytes of the lists that a cell puts out.
+OUT_BYTES = 128 << 20
 
 
 # ---------------------------------------------------------------- expression form (explicit pairs)
@@ -106,54 +111,78 @@ def _best(key: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(cols, order, 1)
 
 
-def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET) -> pd.DataFrame:
-    """Exact top-k lists per (user, pool, method) for one block of users against one block of items.
+def _topk_chunks(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET):
+    """Exact top-k lists per (user, pool, method) of one block of users against one block of items, chunk by chunk:
+    (user ids, pool, method, item ids, scores), the last two with a row per user.
 
     Users are processed in chunks of at most budget / n_items rows and one method at a time, so a
     task holds a few (chunk x items) matrices, never (batch x items x methods).
     pools: list of (pool name, positions into the item arrays, sorted by movie_id)."""
+    if not len(user_ids) or not len(item_ids):
+        return
+    need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
+    sq_i = np.einsum("ij,ij->i", I, I)
+    norm_i = np.maximum(np.sqrt(sq_i), EPS)
+    chunk = max(1, budget // len(item_ids))
+    for s in range(0, len(user_ids), chunk):
+        Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
+        dots = Uc @ I.T if need_dot else None
+        for m in methods:
+            if m == "dot":
+                S = dots
+            elif m == "cosine":
+                S = dots / np.maximum(np.sqrt(np.einsum("ij,ij->i", Uc, Uc)), EPS)[:, None] / norm_i[None, :]
+            elif m == "l2":
+                S = np.einsum("ij,ij->i", Uc, Uc)[:, None] + sq_i[None, :] - 2.0 * dots
+            else:
+                S = learned_scores(Uc, I, head, budget)
+            key = S if m == "l2" else -S
+            for pool, pos in pools:
+                chosen = pos[_best(key[:, pos], k)]
+                yield ids, pool, m, item_ids[chosen].astype(np.int32), np.take_along_axis(S, chosen, axis=1)
+            del S, key
+
+
+def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET) -> pd.DataFrame:
+    """_topk_chunks as one pandas frame."""
     out: dict[str, list] = {c: [] for c in LIST_COLUMNS}
-    if len(user_ids) and len(item_ids):
-        need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
-        sq_i = np.einsum("ij,ij->i", I, I)
-        norm_i = np.maximum(np.sqrt(sq_i), EPS)
-        chunk = max(1, budget // len(item_ids))
-        for s in range(0, len(user_ids), chunk):
-            Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
-            dots = Uc @ I.T if need_dot else None
-            for m in methods:
-                if m == "dot":
-                    S = dots
-                elif m == "cosine":
-                    S = dots / np.maximum(np.sqrt(np.einsum("ij,ij->i", Uc, Uc)), EPS)[:, None] / norm_i[None, :]
-                elif m == "l2":
-                    S = np.einsum("ij,ij->i", Uc, Uc)[:, None] + sq_i[None, :] - 2.0 * dots
-                else:
-                    S = learned_scores(Uc, I, head, budget)
-                key = S if m == "l2" else -S
-                for pool, pos in pools:
-                    chosen = pos[_best(key[:, pos], k)]
-                    out["user_id"] += ids.tolist()
-                    out["genre"] += [pool] * len(ids)
-                    out["scoring_method"] += [m] * len(ids)
-                    out["movie_ids"] += list(item_ids[chosen].astype("int32"))
-                    out["scores"] += list(np.take_along_axis(S, chosen, axis=1))
-                del S, key
+    for ids, pool, m, chosen, scores in _topk_chunks(user_ids, U, item_ids, I, pools, methods, k, head, budget):
+        out["user_id"] += ids.tolist()
+        out["genre"] += [pool] * len(ids)
+        out["scoring_method"] += [m] * len(ids)
+        out["movie_ids"] += list(chosen)
+        out["scores"] += list(scores)
     return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in out.items()})
 
 
-def _item_block(pdf: pd.DataFrame):
-    """Items sorted by id, their matrix, and the positions of each pool."""
-    pdf = pdf.sort_values("movie_id", kind="stable").drop_duplicates("movie_id")
-    at: dict[str, list[int]] = {}
-    for n, names in enumerate(pdf["pools"]):
-        for name in names:
-            at.setdefault(name, []).append(n)
-    return pdf["movie_id"].to_numpy(), _matrix(pdf["i"]), [(name, np.array(p)) for name, p in sorted(at.items())]
+def _topk_table(*args) -> pa.Table:
+    """_topk_chunks as Arrow lists over flat numbers: no object per list or value, some 12 bytes an entry."""
+    batches = []
+    for ids, pool, m, chosen, scores in _topk_chunks(*args):
+        n, width = chosen.shape
+        ends = pa.array(np.arange(0, n * width + 1, max(width, 1), dtype=np.int32) if width else np.zeros(n + 1, np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (chosen, scores)]
+        batches.append(pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.repeat(pa.scalar(pool), n), pa.repeat(pa.scalar(m), n), *lists], schema=LIST_ARROW))
+    return pa.Table.from_batches(batches, LIST_ARROW)
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
+def _vectors(column) -> np.ndarray:
+    """Matrix of an Arrow column of lists of one length."""
+    column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0))
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
+
+
+def _item_block(items: pa.Table):
+    """Items sorted by id, one row of each, their matrix, and the positions of each pool."""
+    ids, at = np.unique(items["movie_id"].to_numpy(), return_index=True)
+    taken = items.take(pa.array(at))
+    pools: dict[str, list[int]] = {}
+    for n, names in enumerate(taken["pools"].to_pylist()):
+        for name in names:
+            pools.setdefault(name, []).append(n)
+    return ids, _vectors(taken["i"]), [(name, np.array(p)) for name, p in sorted(pools.items())]
 
 
 # ---------------------------------------------------------------- plan
@@ -166,16 +195,22 @@ def _pool_items(items: DataFrame, membership: DataFrame | None) -> DataFrame:
     return items.select("movie_id", "i").join(pools, "movie_id").select("movie_id", "pools", "i")
 
 
+def default_user_block(pools: int, methods: int, k: int) -> int:
+    """Users of a cell whose lists fill OUT_BYTES, at most 65 536."""
+    return max(1, min(65_536, OUT_BYTES // (12 * max(1, k) * max(1, pools) * max(1, methods))))
+
+
 def topk_lists(users: DataFrame, items: DataFrame, membership: DataFrame | None, methods=("cosine", "dot", "l2"),
-               k: int = TOP_N, user_block: int = 65_536, item_block: int = 32_768, head: dict | None = None) -> DataFrame:
+               k: int = TOP_N, user_block: int | None = None, item_block: int = 32_768, head: dict | None = None) -> DataFrame:
     """Exact top-k per (user, pool, method): (user_id, genre, scoring_method, movie_ids, scores), best first.
 
     users: (user_id, u array<double>); items: (movie_id, i array<double>);
-    membership: (movie_id, genre) or None for one global pool."""
+    membership: (movie_id, genre) or None for one global pool. Without a user_block a cell's lists take OUT_BYTES at most."""
     methods = list(methods)
     if "learned" in methods and head is None:
         raise ValueError("the learned method needs the weights of a trained head")
     pooled = _pool_items(items, membership)
+    user_block = user_block or default_user_block(len(GENRE_VOCAB) if membership is not None else 1, len(methods), k)
     n_users, n_items = users.count(), items.count()
     # at least as many user blocks as shuffle partitions, so that small inputs use every core too
     nub = max(1, math.ceil(n_users / user_block), min(n_users, int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
@@ -185,10 +220,10 @@ def topk_lists(users: DataFrame, items: DataFrame, membership: DataFrame | None,
     u_rep = users.select("user_id", "u").withColumn("ub", ub).withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(nib - 1))))
     i_rep = pooled.withColumn("ib", ib).withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nub - 1))))
 
-    def run(upd: pd.DataFrame, ipd: pd.DataFrame) -> pd.DataFrame:
-        return _topk_block(upd["user_id"].to_numpy(), _matrix(upd["u"]), *_item_block(ipd), methods, k, head)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _topk_table(left["user_id"].to_numpy(), _vectors(left["u"]), *_item_block(right), methods, k, head)
 
-    cand = u_rep.groupBy("ub", "ib").cogroup(i_rep.groupBy("ub", "ib")).applyInPandas(run, LIST_SCHEMA)
+    cand = u_rep.groupBy("ub", "ib").cogroup(i_rep.groupBy("ub", "ib")).applyInArrow(run, LIST_SCHEMA)
     return cand if nib == 1 else merge_lists(cand, k)
 
 

@@ -115,6 +115,20 @@ def test_kernel_chunking_does_not_change_results():
     assert all(np.allclose(x, y) for x, y in zip(a["scores"], b["scores"]))
 
 
+def test_cell_output_is_bounded():
+    for pools, methods, k in ((20, 4, 20), (1, 1, 5), (20, 3, 1000)):
+        block = rt.default_user_block(pools, methods, k)
+        assert 12 * pools * methods * k * block <= rt.OUT_BYTES and block <= 65_536
+    rng = np.random.default_rng(2)
+    U, I = rng.normal(size=(7, 4)), rng.normal(size=(11, 4))
+    args = (np.arange(7), U, np.arange(11), I, [("a", np.arange(11)), ("b", np.array([3]))], ["dot", "l2"], 5, None)
+    table, frame = rt._topk_table(*args), rt._topk_block(*args)
+    assert table["movie_ids"].to_pylist() == [x.tolist() for x in frame["movie_ids"]]
+    assert table["scores"].to_pylist() == [x.tolist() for x in frame["scores"]] and table["genre"].to_pylist() == frame["genre"].tolist()
+    # an entry takes 12 bytes and a list some more, however they are chunked
+    assert table.nbytes < 12 * 7 * 2 * 6 + 40 * table.num_rows
+
+
 def test_best_columns_with_ties():
     key = np.array([[3.0, 1.0, 2.0, 1.0, 1.0], [5.0, 5.0, 5.0, 5.0, 5.0]])
     assert rt._best(key, 2).tolist() == [[1, 3], [0, 1]]
