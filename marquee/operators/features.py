@@ -5,11 +5,14 @@ the only scalars pulled to the driver are the global time bounds (one row).
 """
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.text import extract_year, tokens
 from marquee.functions.vocab import GENRE_VOCAB, genre_vocab_col
+from marquee.session import materialize
 
 
 # ---------------------------------------------------------------- time decay
@@ -103,26 +106,86 @@ def genre_multihot(mv: DataFrame) -> DataFrame:
     return mv.select("movie_id", _multihot().alias("genre_multihot"))
 
 
-def tag_tokens(tags: DataFrame, mv: DataFrame) -> DataFrame:
-    """(movie_id, term) per token occurrence; tags of unknown movies are ignored."""
-    known = tags.join(mv.select("movie_id"), "movie_id", "left_semi")
-    return known.select("movie_id", F.explode(tokens("tag")).alias("term"))
+def tag_terms(tags: DataFrame, mv: DataFrame) -> DataFrame:
+    """(movie_id, terms) of every tag of a known movie."""
+    known = tags.join(mv.select("movie_id").distinct(), "movie_id", "left_semi")
+    return known.select("movie_id", tokens("tag").alias("terms")).where(F.size("terms") > 0)
 
 
-def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100) -> DataFrame:
+def tag_tokens(tags: DataFrame, mv: DataFrame) -> DataFrame:
+    """(movie_id, term) per token occurrence; tags of unknown movies are ignored."""
+    return tag_terms(tags, mv).select("movie_id", F.explode("terms").alias("term"))
+
+
+#: Terms that a task's summary holds at least, in pass 1.
+SUMMARY_TERMS = 50_000
+
+
+def _summary(capacity: int):
+    """A task's Misra-Gries summary of the terms of its rows: (term, n, 0) with n at most the count, and one row (null, 0, error): no
+    term's count exceeds its n (0 if it is not there) by more than the error."""
+    def run(batches):
+        counts: dict[str, int] = {}
+        error = 0
+
+        def prune() -> int:
+            cut = sorted(counts.values(), reverse=True)[capacity]
+            for t in [t for t, n in counts.items() if n <= cut]:
+                del counts[t]
+            for t in counts:
+                counts[t] -= cut
+            return cut
+
+        for b in batches:
+            found = pc.value_counts(b.column(0).flatten())
+            for t, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+                counts[t] = counts.get(t, 0) + n
+            if len(counts) > 2 * capacity:
+                error += prune()
+        if len(counts) > capacity:
+            error += prune()
+        rows = [*((t, n, 0) for t, n in counts.items()), (None, 0, error)]
+        for s in range(0, len(rows), 10_000):
+            part = list(zip(*rows[s:s + 10_000]))
+            yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.string()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.int64())], ["term", "n", "error"])
+
+    return run
+
+
+def frequent_terms(rows: DataFrame, k: int, capacity: int | None = None) -> list[str]:
+    """The k most frequent terms of rows (terms array<string>), ties by term, exactly.
+
+    Tasks send bounded summaries instead of all their terms. With T the kth largest merged count and E the sum of the tasks' errors, a
+    term outside the candidates (count + E >= T) has a true count below T, so only the candidates are counted anew; without
+    errors the counts are exact already, and only where E reaches T (nothing is frequent) are all terms counted."""
+    capacity = max(capacity or SUMMARY_TERMS, k)
+    summary = materialize(rows.select("terms").mapInArrow(_summary(capacity), "term string, n long, error long"), "term-summaries")
+    merged = summary.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("n").alias("n"))
+    error = summary.agg(F.sum("error")).first()[0] or 0
+    top = merged.orderBy(F.desc("n"), "term").limit(k).collect()  # k rows
+    if not error:
+        return [r["term"] for r in top]
+    least = top[-1]["n"] if len(top) == k else 0
+    terms = rows.select(F.explode("terms").alias("term"))
+    if error < least:
+        terms = terms.join(merged.where(F.col("n") + error >= least).select("term"), "term", "left_semi")
+    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return [r["term"] for r in counts.orderBy(F.desc("n"), "term").limit(k).collect()]
+
+
+def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100, capacity: int | None = None) -> DataFrame:
     """Long form (movie_id, term, tfidf): smoothed idf over all movies, L2-normalised over kept terms, > 0 only.
 
-    Pass 1 counts every term (map-side sums) and keeps the max_features most frequent. Pass 2 drops all other tokens
-    inside their array, before anything is exploded, so counts, document frequencies and norms come from at most
-    max_features rows per movie; its aggregation is shared by the idf and the weights, and nothing is written."""
-    counts = tag_tokens(tags, mv).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
-    vocab = [r["term"] for r in counts.orderBy(F.desc("cf"), F.asc("term")).limit(max_features).collect()]  # the vocabulary
-    kept = tags.select("movie_id", F.filter(tokens("tag"), lambda t: t.isin(vocab)).alias("terms")).where(F.size("terms") > 0)
-    tf = (kept.join(mv.select("movie_id"), "movie_id", "left_semi").select("movie_id", F.explode("terms").alias("term"))
-          .groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    n_docs = mv.agg(F.countDistinct("movie_id").alias("n_docs"))  # one row
-    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n_docs))
-           .select("term", (F.log((1.0 + F.col("n_docs")) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+    Texts are tokenised once and the tokens written. Pass 1 finds the max_features most frequent terms from bounded summaries
+    (frequent_terms). Pass 2 drops all other tokens inside their array, before anything is exploded, so counts, document
+    frequencies and norms come from at most max_features rows per movie; its aggregation is shared by the idf and the weights."""
+    rows = materialize(tag_terms(tags, mv), "tag-terms")
+    vocab = frequent_terms(rows, max_features, capacity)  # the vocabulary
+    kept = rows.select("movie_id", F.filter("terms", lambda t: t.isin(vocab)).alias("terms")).where(F.size("terms") > 0)
+    tf = kept.select("movie_id", F.explode("terms").alias("term")).groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    n_docs = mv.agg(F.countDistinct("movie_id").alias("n_docs")).first()[0]
+    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+           .select("term", (F.log((1.0 + F.lit(n_docs)) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
     raw = tf.join(F.broadcast(idf), "term").select("movie_id", "term", (F.col("tf") * F.col("idf")).alias("x"))  # max_features rows
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("movie_id")))
     return raw.select("movie_id", "term", (F.col("x") / norm).alias("tfidf")).filter(F.col("tfidf") > 0)

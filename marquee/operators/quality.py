@@ -43,6 +43,28 @@ def distinct_counts(rk: DataFrame) -> DataFrame:
                   F.count_distinct("movie_id").alias("distinct_movies"))
 
 
+#: Precision of the distinct sketches: 2**LG_K registers, and the errors of an estimate that its bounds allow.
+LG_K, BOUND_ERRORS = 12, 4
+
+
+def distinct_sketches(rk: DataFrame) -> DataFrame:
+    """One row of mergeable sketches of the user and movie ids (nulls left out): made once for every version or batch, kept with it."""
+    return rk.agg(F.hll_sketch_agg("user_id", F.lit(LG_K)).alias("users"), F.hll_sketch_agg("movie_id", F.lit(LG_K)).alias("movies"))
+
+
+def distinct_estimates(sketches: DataFrame) -> DataFrame:
+    """distinct_users and distinct_movies of all versions together from their sketches (any number of rows), with the bounds that
+    the precision gives: estimate -/+ BOUND_ERRORS * 1.04 / sqrt(2**LG_K) of it, and one. No ratings are read. A sketch of few ids is
+    exact to within one."""
+    merged = sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in ("users", "movies")])
+    share = BOUND_ERRORS * 1.04 / 2 ** (LG_K / 2)
+    cols = []
+    for c, name in (("users", "distinct_users"), ("movies", "distinct_movies")):
+        n = F.coalesce(F.col(c), F.lit(0))
+        cols += [n.alias(name), (F.floor(n * (1 - share)) - 1).cast("long").alias(f"{name}_low"), (F.ceil(n * (1 + share)) + 1).cast("long").alias(f"{name}_high")]
+    return merged.select(*cols)
+
+
 def orphan_ratings(rk: DataFrame, mv: DataFrame) -> DataFrame:
     """Ratings whose movie is not in movies (a null movie id counts too)."""
     return rk.join(mv.select("movie_id"), "movie_id", "left_anti")

@@ -187,6 +187,21 @@ def q_distinct_counts(spark, d):
     return quality.distinct_counts(data.ratings(spark, d))
 
 
+@query("distinct_by_sketches", W("fx_ratings") + """
+select count(distinct user_id) as exact_users, count(distinct movie_id) as exact_movies, 0 as users_outside, 0 as movies_outside,
+       count(*) as n_rows from fx_ratings""")
+def q_distinct_by_sketches(spark, d):
+    """Sketches of ten deliveries merged without their rows; how many of the two exact counts lie outside the merged bounds."""
+    rk = fx.fx_ratings(spark, d)
+    per = rk.groupBy((F.col("id") % 10).alias("delivery")).agg(F.hll_sketch_agg("user_id", F.lit(quality.LG_K)).alias("users"),
+                                                              F.hll_sketch_agg("movie_id", F.lit(quality.LG_K)).alias("movies"))
+    e = quality.distinct_estimates(per).first()  # one row
+    exact = quality.distinct_counts(rk).first()  # one row
+    out = [int(not e[f"distinct_{c}_low"] <= exact[f"distinct_{c}"] <= e[f"distinct_{c}_high"]) for c in ("users", "movies")]
+    return rk.agg(F.count(F.lit(1)).alias("n_rows")).select(*[F.lit(exact[f"distinct_{c}"]).alias(f"exact_{c}") for c in ("users", "movies")],
+                                                           F.lit(out[0]).alias("users_outside"), F.lit(out[1]).alias("movies_outside"), "n_rows")
+
+
 @query("orphan_ratings", W("rk", "fx_movies_gaps") + """
 select r.id, r.user_id, r.movie_id from rk r left join fx_movies_gaps m on r.movie_id = m.movie_id where m.movie_id is null""")
 def q_orphan_ratings(spark, d):

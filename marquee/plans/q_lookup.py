@@ -14,6 +14,7 @@ from marquee.plans import data
 from marquee.plans.catalog import R, query
 from marquee.plans.oracle_views import VOCAB, with_views as W
 from marquee.plans.q_retrieval import sql_score
+from marquee.session import scratch_path
 from marquee.sources import fixtures as fx
 
 A, B = lk.MODEL_A, lk.MODEL_B
@@ -281,6 +282,30 @@ def q_search_titles(spark, d):
     return lk.search_titles(mv, itf, SEARCH_Q, SEARCH_LIMIT)
 
 
+_TITLE_REQ = """
+select movie_id as request_id, case movie_id % 6 when 0 then substr(title, 1, 6) when 1 then upper(substr(title, 3, 4)) when 2 then substr(title, 1, 2)
+       when 3 then substr(title, 2, 3) || '%' || substr(title, 8, 2) when 4 then substr(title, 1, 1) else '_' || substr(title, 2, 4) end as q,
+       cast(1 + movie_id % 50 as int) as top from fx_movies where movie_id % 10 = 3"""
+
+
+@query("search_titles_index", W("fx_movies", extra=[("treq", _TITLE_REQ)]) + """
+select request_id, rank, movie_id, title from (
+  select r.request_id, m.movie_id, m.title, r.top, row_number() over (partition by r.request_id order by m.movie_id) as rank
+  from treq r join fx_movies m on m.title ilike '%' || r.q || '%') where rank <= top""")
+def q_search_titles_index(spark, d):
+    """A table of requests, with whole, short and wildcard patterns made from titles, against the trigram index of all titles."""
+    from marquee.operators import titles as ti
+    mv, path = data.movies(spark, d), scratch_path(spark, "titles")
+    ti.build_title_index(mv, path)
+    t, n = F.col("title"), F.col("movie_id") % 6
+    q = (F.when(n == 0, F.substring(t, 1, 6)).when(n == 1, F.upper(F.substring(t, 3, 4))).when(n == 2, F.substring(t, 1, 2))
+         .when(n == 3, F.concat(F.substring(t, 2, 3), F.lit("%"), F.substring(t, 8, 2))).when(n == 4, F.substring(t, 1, 1))
+         .otherwise(F.concat(F.lit("_"), F.substring(t, 2, 4))))
+    req = mv.where("movie_id % 10 = 3").select(F.col("movie_id").alias("request_id"), q.alias("q"), (1 + F.col("movie_id") % 50).cast("int").alias("limit"))
+    out = ti.search_titles(spark, path, req)
+    return out.select("request_id", F.col("rank").cast("bigint").alias("rank"), "movie_id", "title")
+
+
 @query("explain_cold_start", W_([
     ("req", f"select genre as request_id, genre, 'dot' as scoring_method, 10 as top_n, '{A}' as model_name "
             f"from (select distinct genre from mg)"),

@@ -1,4 +1,6 @@
 import math
+import random
+from collections import Counter
 
 import pytest
 
@@ -71,3 +73,30 @@ def test_tag_tfidf_vocabulary_cap(spark, movies3):
     words = " ".join(f"w{i:03d}" for i in range(150))
     tags = spark.createDataFrame([(1, 10, words, 1)], "user_id int, movie_id int, tag string, timestamp long")
     assert fe.tag_tfidf(tags, movies3, max_features=100).count() == 100
+
+
+@pytest.mark.parametrize("capacity", [3, 8, 40, 1000])
+def test_frequent_terms_are_exact_whatever_the_summaries_hold(spark, capacity):
+    """From summaries that hold everything to ones too small to tell anything, with ties at the edge."""
+    rng = random.Random(capacity)
+    for skew in (0.0, 1.5):
+        words = [f"w{int(300 * rng.random() ** (1 + skew * 3))}" for _ in range(4000)] + ["tie1", "tie2"] * 30
+        rng.shuffle(words)
+        rows = [(words[i:i + 7],) for i in range(0, len(words), 7)]
+        df = spark.createDataFrame(rows, "terms array<string>").repartition(5)
+        want = [t for t, n in sorted(Counter(words).items(), key=lambda x: (-x[1], x[0]))]
+        for k in (1, 5, 30):
+            assert fe.frequent_terms(df, k, capacity) == want[:k]
+    assert fe.frequent_terms(df.limit(0), 5) == []
+
+
+def test_summaries_are_bounded_and_bracket_the_counts():
+    import pyarrow as pa
+    rng = random.Random(1)
+    words = [f"w{int(500 * rng.random() ** 3)}" for _ in range(5000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([words[i:i + 100]])], ["terms"]) for i in range(0, 5000, 100)]
+    out = pa.Table.from_batches(list(fe._summary(40)(batches)))
+    rows = dict(zip(out["term"].to_pylist(), out["n"].to_pylist()))
+    error, true = sum(out["error"].to_pylist()), Counter(words)
+    assert len(rows) <= 41 and error < len(words) / 40
+    assert all(rows.get(t, 0) <= n <= rows.get(t, 0) + error for t, n in true.items())

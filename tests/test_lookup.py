@@ -108,3 +108,30 @@ def test_search_titles_wildcards(spark):
     assert [r["movie_id"] for r in lk.search_titles(mv, itf, "TOY", 10).collect()] == [1, 2]
     assert [r["movie_id"] for r in lk.search_titles(mv, itf, "toy_s", 10).collect()] == [1, 2]
     assert lk.search_titles(mv, itf, "o", 1).count() == 1
+
+
+def test_title_index_equals_a_scan(spark, tmp_path, monkeypatch):
+    """Patterns of every kind against ilike over all titles: long, short, wildcards, escapes, other cases, none."""
+    import random
+
+    from marquee.operators import titles as ti
+    monkeypatch.setattr(ti, "LIST_IDS", 40)  # several lists a trigram
+    rng = random.Random(3)
+    words = ["The", "Night", "of", "é", "STRASSE", "100%", "a_b", "x", "Ünder", "\\", "2001", "..", "Naïve"]
+    names = [" ".join(rng.choices(words, k=rng.randint(1, 5))) for _ in range(300)] + ["", "a", "ab", None, "abc", "İstanbul"]
+    mv = spark.createDataFrame(list(enumerate(names)), "movie_id int, title string")
+    ti.build_title_index(mv, str(tmp_path / "ix"))
+    patterns = ["night of", "THE", "é", "ün", "Stra", "%", "", "_", "____________________________", "t%t", "n_g", "zzz", "ab", "a", "100\\%", "a\\_b",
+                "\\%", "the%of%x", "..", "_b_", "20%", None, "naïve", "i"]
+    req = [(f"r{i}", q, rng.choice([None, 1, 7, 50])) for i, q in enumerate(patterns)] + [("bad", "the", 51), ("bad2", "the", 0)]
+    got = {}
+    out = ti.search_titles(spark, str(tmp_path / "ix"), spark.createDataFrame(req, "request_id string, q string, limit int"))
+    for r in sorted(out.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.request_id, []).append((r["rank"], r.movie_id, r.title))
+    for rid, q, limit in req:
+        want = []
+        limit = 10 if limit is None else limit
+        if q is not None and 1 <= limit <= 50:
+            hits = mv.where(F.col("title").ilike(f"%{q}%")).orderBy("movie_id").limit(limit).collect()
+            want = [(n, r.movie_id, r.title) for n, r in enumerate(hits, 1)]
+        assert got.get(rid, []) == want, q
