@@ -40,10 +40,11 @@ def new_row_counts(tables: dict[str, DataFrame], wm: DataFrame, order: list[str]
 
 
 def first_changed_table(tables: dict[str, DataFrame], wm: DataFrame) -> DataFrame:
-    """One row: has_new_data and the first table (in the fixed order) with new rows, else null."""
-    c = new_row_counts(tables, wm).filter(F.col("new_rows") > 0)
-    first = c.agg(F.min(F.struct("ord", "table_name")).alias("f"))
-    return first.select(F.col("f").isNotNull().alias("has_new_data"), F.col("f.table_name").alias("table_name"))
+    """One row: has_new_data and the first table (in the fixed order) with new rows, else null. Tables are asked in turn for a
+    single new row, and the first that has one ends it; without file statistics a table is read as far as that row."""
+    order = [t for t in RAW_TABLES if t in tables] + [t for t in tables if t not in RAW_TABLES]
+    hit = next((t for t in order if not new_rows_since(tables[t], t, wm).isEmpty()), None)
+    return wm.sparkSession.createDataFrame([(hit is not None, hit)], "has_new_data boolean, table_name string")
 
 
 STAGES = ("ingest", "validate", "featurize", "split", "train", "evaluate", "precompute")
