@@ -2,14 +2,23 @@
 
 The standard library's streaming parser feeds a line builder: a block element begins a new line, inline tags only count as tags
 of the line. Text inside elements that are no article text by their own account (nav, footer, aside, script, style, ...) never
-becomes a line. Containers are marked off by a form element or a whole class, id or role token (menu, ad, cookie-notice,
-comments); an article, main, heading, paragraph or inline element never is by its name, and the mark of a container that holds
-most of the page's text is overruled. Each line not marked off has a ratio of text to tags; the
-ratios are smoothed with a Gaussian, and lines above the threshold (``spread`` standard deviations, capped at the mean) form the content
-cluster. The cluster only selects content regions: the article and main elements, less those that are mostly links and hold under
-a quarter of the largest one's share; where there are none, the smallest container that holds nearly all of the cluster. All lines
-of a selected region stay, short ones before, between and after long ones too; outside article and main elements, lines that are
-mostly links go, unless they are headings of the first rank or long enough for the cluster by themselves.
+becomes a line. Each line has a ratio of text to tags; the ratios are smoothed with a Gaussian, and lines above the threshold
+(``spread`` standard deviations, capped at the mean) form the content cluster.
+
+The cluster selects content regions. Where a page has article elements, those that hold cluster text are selected, less the ones that
+are mostly links and hold under a quarter of the largest one's share, and less comments and teasers (below); all lines of a
+selected article stay. Elsewhere the smallest container that holds nearly all of the cluster is opened, and each container inside
+it is judged by the lines that reach the threshold by themselves: it stays if they make up half of its text, if they stand under
+a plain heading of its own, or if a container of the same kind beside it stays; a list, table or quotation stays next to cluster
+lines, and a container with the page's first heading always. So menus, share bars, adverts, notices and author boxes go
+whatever they are called, and short paragraphs beside long ones stay. Containers of two or more like items, each with a short line
+(who, when) beside its text and without headings, are comments or teasers and go, unless they hold most of the text.
+
+Names are a second witness. Containers are marked off by a form element or a whole class, id or role token (menu, ad,
+cookie-notice, comments), or by a class token with a telling word in it (user-comments, share-tools), which a plain heading over text
+that reaches the threshold outweighs. An article, main, heading, paragraph or inline element never is by its name; but an article
+whose name says comment or related beside another one of twice its text goes, as does any article of less text beside a main
+element. The mark of a container that holds most of the page's text is overruled.
 
 White space inside a block becomes one space, blocks are trimmed and joined by two line feeds; character references are
 decoded by the parser. Edge cases: null, empty and tag-free pages work (plain text is one block); unclosed tags, stray end tags
@@ -32,8 +41,11 @@ SKIP = frozenset("head title script style noscript template svg math iframe obje
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(("article", "main"))
 #: Elements that hold others and so may be regions.
-HOLDER = frozenset("html body article main section div header center td table tbody blockquote ul ol dl figure details form".split())
-BLOCK = HOLDER | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr th pre address figcaption summary hr fieldset legend caption thead tfoot "
+HOLDER = frozenset("html body article main section div header center td table tbody blockquote ul ol li dl figure details form".split())
+#: Holders whose lines belong together.
+LISTS = frozenset("ul ol li dl table tbody blockquote figure details".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BLOCK = HOLDER | frozenset("p h1 h2 h3 h4 h5 h6 dt dd tr th pre address figcaption summary hr fieldset legend caption thead tfoot "
                            "nav footer aside form title dialog menu".split())
 #: Elements that no class, id or role marks off: the content itself, headings, paragraphs and what stands within a line.
 UNNAMED = ARTICLE | frozenset("html body p h1 h2 h3 h4 h5 h6 a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark "
@@ -45,6 +57,10 @@ BOILERPLATE = frozenset(
     "comment comments commentlist disqus replies social share sharing related recommended widget toolbar contentinfo complementary search pagination".split())
 LAYOUT = frozenset("container wrapper wrap box block list bar button buttons link links item items icons area section inner outer left right "
                    "top bottom main primary secondary site page global mobile desktop post posts article articles stories entry form thread slot unit".split())
+#: Words that tell within a longer class token, unless it states a condition.
+TELLING = frozenset("ad ads advert adverts advertisement sponsor sponsored promo newsletter subscribe cookie cookies consent gdpr comment comments "
+                    "disqus replies share sharing related recommended breadcrumb breadcrumbs popup modal".split())
+CONDITION = frozenset("has have with without no not is are free open closed enabled disabled".split())
 #: Containers of these names may be longer than the article they belong to.
 COMMENTS = frozenset("comment comments commentlist disqus replies".split())
 PAGE_HEADER = frozenset(("header", "topbar", "site-header"))
@@ -57,7 +73,7 @@ def hidden(attrs: list[tuple[str, str | None]]) -> bool:
 
 
 def named(attrs: list[tuple[str, str | None]]) -> str:
-    """What class, id and role say of a container: comments, boilerplate, header or nothing."""
+    """What class, id and role say of a container: comments, boilerplate, suspect, header or nothing."""
     found = ""
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
@@ -67,17 +83,22 @@ def named(attrs: list[tuple[str, str | None]]) -> str:
                     if not words.isdisjoint(COMMENTS):
                         return "comments"
                     found = "boilerplate"
+                elif name != "id" and not words.isdisjoint(TELLING) and words.isdisjoint(CONDITION):
+                    if not words.isdisjoint(COMMENTS):
+                        return "comments"
+                    found = found if found == "boilerplate" else "suspect"
                 elif token.lower() in PAGE_HEADER:
                     found = found or "header"
     return found
 
 
 class Lines(HTMLParser):
-    """lines: (text, tags, link characters, region, mark, tag); regions: [parent, tag]; marks: [parent, what is said of it, region]."""
+    """lines: (text, tags, link characters, region, mark, tag); regions: [parent, tag, class, what its name says]; marks: [parent, what is
+    said of it, region]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines, self.regions, self.marks = [], [(-1, "")], [(-1, "", 0)]
+        self.lines, self.regions, self.marks = [], [(-1, "", "", "")], [(-1, "", 0)]
         self.stack: list[tuple[str, bool, int, int]] = []  # open elements that matter: (tag, off, region inside, mark inside)
         self.off = self.links = 0
         self.region = self.mark = 0
@@ -104,6 +125,13 @@ class Lines(HTMLParser):
             self.block = tag
             if self.stack and self.stack[-1][0] == "p":  # a block ends an open paragraph
                 self.close_to(len(self.stack) - 1)
+            if tag == "li":  # and an item the one before
+                for depth in range(len(self.stack) - 1, -1, -1):
+                    if self.stack[depth][0] in ("ul", "ol", "menu"):
+                        break
+                    if self.stack[depth][0] == "li":
+                        self.close_to(depth)
+                        break
         else:
             self.tags += 1
             if tag == "br":
@@ -128,7 +156,8 @@ class Lines(HTMLParser):
                     self.marks.append((self.mark, said, self.region))
                     self.mark = len(self.marks) - 1
                 if tag in HOLDER:
-                    self.regions.append((self.region, tag))
+                    kind = next((v for k, v in attrs if k == "class"), None) or ""
+                    self.regions.append((self.region, tag, kind, said or (named(attrs) if tag in ARTICLE else "")))
                     self.region = len(self.regions) - 1
 
     def handle_startendtag(self, tag, attrs):
@@ -168,27 +197,32 @@ def content_lines(lengths: np.ndarray, tags: np.ndarray, sigma: float = SIGMA, s
     return smooth >= threshold, ratio >= threshold
 
 
-def outermost(regions: list[tuple[int, str]]) -> list[int]:
+def outermost(regions: list[tuple]) -> list[int]:
     """The outermost article or main element that each region lies in, or -1."""
     outer: list[int] = []
-    for i, (parent, tag) in enumerate(regions):
+    for i, (parent, tag, *_) in enumerate(regions):
         outer.append(outer[parent] if parent >= 0 and outer[parent] >= 0 else i if tag in ARTICLE else -1)
     return outer
 
 
 #: What a marked container must hold, as a multiple of the text that is not marked off, for its mark to be overruled.
-OVER = {"form": 0, "header": 4, "boilerplate": 4, "comments": 10}
+OVER = {"form": 0, "header": 4, "boilerplate": 4, "suspect": 1, "comments": 10}
 
 
-def unmarked(p: Lines, outer: list[int]) -> list[tuple]:
+def unmarked(p: Lines, outer: list[int], alone: np.ndarray) -> list[tuple]:
     """Lines outside the containers that are marked off. The mark of one that holds more than half of the page's text is overruled
-    unless it stands beside another article or, but for a form, much other text; where only links are left, every mark is."""
+    unless it stands beside another article or, but for a form, much other text; that of a suspect name also where it has a plain
+    heading and text that reaches the threshold (alone). Where only links are left, every mark is."""
     if len(p.marks) == 1:
         return p.lines
     total, own, under = 0, [0] * len(p.marks), [0] * len(p.marks)
     in_articles: list[Counter] = [Counter() for _ in p.marks]
-    for text, _, linked, region, mark, _ in p.lines:
+    heading, long = [False] * len(p.marks), [False] * len(p.marks)
+    for (text, _, linked, region, mark, tag), reaches in zip(p.lines, alone):
         n = max(0, len(text) - linked)
+        plain = linked * 2 <= len(text)
+        heading[mark] |= tag in HEADINGS and plain
+        long[mark] |= bool(reaches) and plain and tag not in HEADINGS
         total += n
         own[mark] += n
         under[mark] += n
@@ -199,6 +233,9 @@ def unmarked(p: Lines, outer: list[int]) -> list[tuple]:
     off, clear, articles = [False], own[0], set(in_articles[0])
     for m in range(1, len(p.marks)):  # parents come first
         parent, said, region = p.marks[m]
+        if said == "suspect" and heading[m] and long[m] and not off[parent]:
+            off.append(False)
+            continue
         lifted = not off[parent] and 2 * under[m] > total and OVER[said] * clear <= under[m] and not articles - {outer[region]}
         off.append(not lifted)
         if lifted:
@@ -217,6 +254,113 @@ def with_title(lines: list[tuple], rows: list[int]) -> str:
     return "\n\n".join(lines[i][0] for i in rows)
 
 
+class Judge:
+    """Which containers below a region hold content, from the lines that reach the threshold."""
+
+    def __init__(self, lines: list[tuple], regions: list[tuple], cluster: np.ndarray, alone: np.ndarray):
+        n = len(regions)
+        self.lines, self.regions, self.alone = lines, regions, alone
+        self.text, self.links, self.long = np.zeros(n), np.zeros(n), np.zeros(n)
+        self.plain, self.first, self.near = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
+        self.own: list[list[int]] = [[] for _ in range(n)]
+        self.count = np.zeros(n, int)
+        for i, (text, _, linked, region, _, tag) in enumerate(lines):
+            self.own[region].append(i)
+            self.count[region] += 1
+            self.text[region] += len(text)
+            self.links[region] += min(linked, len(text))
+            plain = linked * 2 <= len(text)
+            self.long[region] += len(text) * bool(alone[i] and plain)
+            self.plain[region] |= tag in HEADINGS and plain
+            self.first[region] |= tag == "h1"
+            self.near[region] |= bool(cluster[i])
+        self.children: list[list[int]] = [[] for _ in range(n)]
+        for i in range(1, n):
+            self.children[regions[i][0]].append(i)
+        for i in range(n - 1, 0, -1):  # children come after their parents
+            up = regions[i][0]
+            for total in (self.text, self.links, self.long, self.count):
+                total[up] += total[i]
+            for flag in (self.plain, self.first, self.near):
+                flag[up] |= flag[i]
+
+        self.items = np.zeros(n, bool)
+        for i in range(n - 1, -1, -1):
+            self.items[i] = self._items(i)
+
+    def _items(self, region: int) -> bool:
+        """Two or more like containers without headings that hold most of the region, each with a short line beside its text; or a
+        container of such that holds most of it."""
+        kinds: dict[tuple, list[int]] = {}
+        for c in self.children[region]:
+            if self.count[c]:
+                kinds.setdefault(self.regions[c][1:3], []).append(c)
+        for alike in kinds.values():
+            if len(alike) < 2 or sum(self.text[c] for c in alike) < 0.6 * self.text[region]:
+                continue
+            if not any(self.plain[c] for c in alike) and sum(self.count[c] > 1 and self.long[c] < self.text[c] for c in alike) * 2 > len(alike):
+                return True
+        return any(self.items[c] for c in self.children[region] if self.text[c] >= 0.6 * self.text[region])
+
+    def stays(self, region: int, whole: float) -> bool:
+        if not self.text[region] or self.links[region] * 2 > self.text[region]:
+            return False
+        if self.long[region] * 2 < whole and self.items[region]:
+            return False
+        if self.first[region] or self.long[region] * 2 >= self.text[region] or self.plain[region] and self.long[region]:
+            return True
+        return self.regions[region][1] in LISTS and bool(self.near[region])
+
+    def rows(self, region: int) -> list[int]:
+        """The content lines of a region that is opened."""
+        whole, out, open_ = self.long[region], [], [(region, False)]
+        while open_:
+            region, entire = open_.pop()
+            own, children = self.own[region], self.children[region]
+            if entire:
+                out += own
+                open_ += [(c, True) for c in children]
+                continue
+            out += [i for i in own if self.alone[i] or self.lines[i][5] == "h1" or self.lines[i][2] * 2 <= len(self.lines[i][0])]
+            kept = {c for c in children if self.stays(c, whole)}
+            # what stands beside long lines of its own kind, with no more lines in it, is a paragraph in a container
+            kinds = {self.regions[c][1:3] for c in kept if self.count[c] == 1}
+            open_ += [(c, self.regions[c][1] in LISTS) for c in children
+                      if c in kept or self.count[c] == 1 and self.regions[c][1:3] in kinds and self.links[c] * 2 <= self.text[c]]
+        return sorted(out)
+
+    def all(self, region: int) -> list[int]:
+        """Every line of a region."""
+        out, open_ = [], [region]
+        while open_:
+            at = open_.pop()
+            out += self.own[at]
+            open_ += self.children[at]
+        return sorted(out)
+
+
+def articles_of(lines: list[tuple], regions: list[tuple], outer: list[int], weight: np.ndarray) -> list[int]:
+    """Rows of the selected article elements."""
+    share, links, text = Counter(), Counter(), Counter()  # of each: cluster weight, link characters less half of all, characters
+    for i, line in enumerate(lines):
+        if (a := outer[line[3]]) >= 0:
+            share[a] += weight[i]
+            links[a] += line[2] - len(line[0]) / 2
+            text[a] += len(line[0])
+    if not share:
+        return []
+    most = max(share.values())
+    main = [a for a in share if regions[a][1] == "main"]
+    chosen = set()
+    for a, h in share.items():
+        beside = max((text[x] for x in share if x != a), default=0)
+        if regions[a][3] in ("comments", "boilerplate", "suspect") and beside >= 2 * text[a] or a not in main and any(text[m] > text[a] for m in main):
+            continue
+        if h and h * 4 >= most or links[a] <= 0:
+            chosen.add(a)
+    return [i for i, line in enumerate(lines) if outer[line[3]] in chosen] or [i for i, line in enumerate(lines) if outer[line[3]] >= 0]
+
+
 def extract(html: str | None) -> str:
     """Main text of one page."""
     if not html:
@@ -225,40 +369,47 @@ def extract(html: str | None) -> str:
     p.feed(html)
     p.close()
     p.flush()
+    if not p.lines:
+        return ""
+
+    def clustered(lines):
+        return content_lines(np.array([len(t) for t, *_ in lines], dtype=float), np.array([n for _, n, *_ in lines]))
+
     regions, outer = p.regions, outermost(p.regions)
-    lines = unmarked(p, outer)
+    lines = unmarked(p, outer, clustered(p.lines)[1])
     if not lines:
         return ""
-    lengths = np.array([len(t) for t, *_ in lines], dtype=float)
-    cluster, alone = content_lines(lengths, np.array([n for _, n, *_ in lines]))
-    weight = np.where(cluster, lengths, 0.0)
+    cluster, alone = clustered(lines)
+    weight = np.where(cluster, [len(t) for t, *_ in lines], 0)
+    inside = articles_of(lines, regions, outer, weight)
+    if inside and not any(regions[outer[lines[i][3]]][1] == "main" and not _articles_in(regions, outer[lines[i][3]]) for i in inside):
+        return with_title(lines, inside)
+    if inside:  # a main element without articles is a container like others
+        keep = set(inside)
+        lines, cluster, alone = ([x for i, x in enumerate(v) if i in keep] for v in (lines, cluster, alone))
+        cluster, alone = np.array(cluster), np.array(alone)
+        weight = np.where(cluster, [len(t) for t, *_ in lines], 0)
     held = np.zeros(len(regions))
     np.add.at(held, [line[3] for line in lines], weight)
-    share, links = Counter(), Counter()  # of each article: cluster weight, link characters less half of all
-    for i, line in enumerate(lines):
-        if (a := outer[line[3]]) >= 0:
-            share[a] += weight[i]
-            links[a] += line[2] - len(line[0]) / 2
-    if share:
-        most = max(share.values())
-        chosen = {a for a, h in share.items() if h and h * 4 >= most or links[a] <= 0}
-        rows = [i for i, line in enumerate(lines) if outer[line[3]] in chosen]
-        return with_title(lines, rows or [i for i, line in enumerate(lines) if outer[line[3]] >= 0])
     for i in range(len(regions) - 1, 0, -1):  # children come after their parents
         held[regions[i][0]] += held[i]
-    children: dict[int, list[int]] = {}
-    for i, (parent, _) in enumerate(regions):
-        children.setdefault(parent, []).append(i)
+    judge = Judge(lines, regions, cluster, alone)
     at = 0
-    while (best := max(children.get(at, []), key=lambda i: held[i], default=None)) is not None and held[best] >= 0.8 * held[0]:
+    while (best := max(judge.children[at], key=lambda i: held[i], default=None)) is not None and held[best] >= 0.8 * held[0]:
+        if regions[best][1] in LISTS - {"table", "tbody"}:
+            break
         at = best
-    inside = np.zeros(len(regions), bool)
-    inside[at] = True
-    for i in range(at + 1, len(regions)):
-        inside[i] = inside[regions[i][0]]
-    rows = [i for i, line in enumerate(lines) if inside[line[3]]]
-    text = [i for i in rows if alone[i] or lines[i][5] == "h1" or lines[i][2] * 2 <= len(lines[i][0])]
-    return with_title(lines, text or rows)
+    return with_title(lines, judge.rows(at) or judge.all(at))
+
+
+def _articles_in(regions: list[tuple], region: int) -> bool:
+    """Whether an article element stands inside the region."""
+    for parent, tag, *_ in regions[region + 1:]:
+        if parent < region:
+            break
+        if tag == "article":
+            return True
+    return False
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
