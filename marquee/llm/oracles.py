@@ -116,14 +116,14 @@ select page_id, payload_bytes,
 from h"""
 
 TOP_K = """with tk as (
-  select vec_id, [floor(256 * x::double)::bigint for x in embedding] as v from embeddings
+  select row_number() over () as rid, vec_id, [floor(256 * x::double)::bigint for x in embedding] as v from embeddings
   where embedding is not null and vec_id is not null
     and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
 tk_pairs as (
-  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
-  from (select distinct * from tk where vec_id % 50 = 0) q join tk c on q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+  select q.rid, q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+  from tk q join tk c on q.vec_id % 50 = 0 and q.rid <> c.rid and len(q.v) = len(c.v))
 select query_id, rank::int as rank, vec_id, score
-from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from tk_pairs) where rank <= 5"""
+from (select *, row_number() over (partition by rid order by score desc, vec_id) as rank from tk_pairs) where rank <= 5"""
 
 #: Ten rounds, one after the other; a row's number tells repeated rows apart.
 _NEAREST = """select rid, min([d, c::bigint]) as best from (

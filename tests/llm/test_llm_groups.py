@@ -156,9 +156,11 @@ def test_near_groups_edges(spark):
 # vector search
 
 def slow_top(vectors, queries, k):
+    """queries: positions in vectors; a row's candidates are all rows but itself."""
     out = []
-    for qi, q in queries:
-        s = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in vectors if i != qi and len(v) == len(q))
+    for at in queries:
+        qi, q = vectors[at]
+        s = sorted((-sum(a * b for a, b in zip(q, v)), i) for n, (i, v) in enumerate(vectors) if n != at and len(v) == len(q))
         out += [(qi, r + 1, i, -x) for r, (x, i) in enumerate(s[:k])]
     return sorted(out)
 
@@ -167,16 +169,27 @@ def floors(v):
     return [int(np.floor(256.0 * float(np.float32(x)))) for x in v]
 
 
-@pytest.mark.parametrize("shard_rows,block_rows", [(10_000, 10_000), (90, 7)])
-def test_exact_top_k(spark, shard_rows, block_rows):
+@pytest.mark.parametrize("shard_rows", [10_000, 90])
+def test_exact_top_k(spark, shard_rows):
     rng = np.random.default_rng(3)
     vecs = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(700)]
     vecs += [(1000 + i, [0.5] * 8) for i in range(400)] + [(2000, [1.0, 2.0]), (2050, [3.0, -1.0]), (2001, [0.1, 0.2])]
     bad = [(3000, None), (3050, [1.0, None] + [0.0] * 6), (3100, [float("nan")] * 8), (3150, [float("inf")] * 8), (None, [9.0] * 8)]
     df = spark.createDataFrame([(i, v, 1, "r") for i, v in vecs + bad], "vec_id long, embedding array<float>, rank int, id string")
-    got = exact_top_k(df, df.where("vec_id % 50 = 0"), 5, shard_rows=shard_rows, block_rows=block_rows)
+    got = exact_top_k(df, df.where("vec_id % 50 = 0"), 5, shard_rows=shard_rows)
     ints = [(i, floors(v)) for i, v in vecs]
-    assert sorted(map(tuple, got.collect())) == slow_top(ints, [x for x in ints if x[0] % 50 == 0], 5)
+    assert sorted(map(tuple, got.collect())) == slow_top(ints, [n for n, x in enumerate(ints) if x[0] % 50 == 0], 5)
+
+
+def test_rows_that_share_an_id_or_a_vector(spark):
+    """A third of the rows on one id, a third equal rows, ids above 2**53: every row is a query and a candidate of the others."""
+    rng = np.random.default_rng(5)
+    vecs = [(100, rng.normal(size=4).tolist()) for _ in range(60)] + [(50, [0.5, 0.25, 1.0, -1.0])] * 60
+    vecs += [(2**60 + 50 * i, rng.normal(size=4).tolist()) for i in range(30)] + [(7, [0.5, 0.25, 1.0, -1.0])] * 3
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<float>").repartition(5)
+    got = exact_top_k(df, df.where("vec_id % 50 = 0"), 5, shards=6)
+    ints = [(i, floors(v)) for i, v in vecs]
+    assert sorted(map(tuple, got.collect())) == slow_top(ints, [n for n, x in enumerate(ints) if x[0] % 50 == 0], 5)
 
 
 def test_top_k_edges(spark):
@@ -185,7 +198,8 @@ def test_top_k_edges(spark):
     assert exact_top_k(none, none).count() == 0
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (0, [1.0, 0.0])], schema)
     got = exact_top_k(few, few.where("vec_id = 0")).collect()
-    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 1, 0)]
+    # the two equal rows are each other's candidates
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(0, 1, 0, 65536)] * 2 + [(0, 2, 1, 0)] * 2
 
 
 def test_branch_and_bound_prunes_and_keeps_ties():
@@ -195,7 +209,7 @@ def test_branch_and_bound_prunes_and_keeps_ties():
     tree = BallTree(np.arange(4000), rows)
     q = rows[::500].copy()
     n = len(q)
-    row, ids, score = search(tree, np.arange(0, 4000, 500), q, 3, np.full(n, -np.inf), np.full(n, 2**63 - 1), False)
+    row, ids, score, _ = search(tree, np.arange(0, 4000, 500), q, 3, np.full(n, -np.inf), np.full(n, 2**63 - 1), False)
     for i in range(n):
         s = rows @ q[i]
         s[i * 500] = -np.inf
