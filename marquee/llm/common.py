@@ -31,15 +31,3 @@ def word_count(c: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def task_keys(spark: SparkSession, n: int) -> list[int]:
-    """n integers, the i-th of which a repartition(n, key) sends to task i: for work whose share of every task is known."""
-    found: dict[int, int] = {}
-    first = 0
-    while len(found) < n:
-        rows = spark.range(first, first + 8 * n + 64).select(F.col("id").cast("int").alias("k")).select("k", F.pmod(F.hash("k"), F.lit(n)).alias("p"))
-        for r in rows.collect():  # some multiple of n
-            found.setdefault(r["p"], r["k"])
-        first += 8 * n + 64
-    return [found[i] for i in range(n)]
