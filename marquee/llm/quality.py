@@ -1,7 +1,8 @@
-"""Quality classifier: a factorisation machine over hashed words and structure statistics, scored in linear time.
+"""Quality classifier: a factorisation machine over hashed words, structure statistics and metadata, scored in linear time.
 
-Inputs are the lower-cased words of the whole text, hashed to ``2**bits`` slots (length-normalised), and statistics of
-its structure and extent: repetition, word and line lengths, shares of upper case, digits, punctuation and line ends. The score is
+Inputs are the lower-cased words of the whole text, hashed to ``2**bits`` slots (length-normalised), statistics of
+its structure and extent (repetition, word and line lengths, shares of upper case, digits, punctuation and line ends), and the one metadata
+field that may enter a score: the number of characters that the document's record states. The score is
 sigmoid(w0 + <w, x> + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2)), the sum-of-squares form of all pairwise
 interactions, so a document costs time in proportion to its distinct words.
 
@@ -12,8 +13,9 @@ AdaGrad on the driver. Scoring covers every row and all of its text in Arrow bat
 
 Edge cases: null and empty texts have a score like any other; repeated or conflicting labels of one id count by their mean (at
 least 0.5 is good), null ones not at all; without usable labels every score is 0.5; an empty table gives an empty table; extra
-columns stay as they are, those named like a result are replaced. Labels, language, source and id never enter a score,
-and n_chars only as the length of the text itself: no metadata field is a feature.
+columns stay as they are, those named like a result are replaced. Labels, language, source and id never enter a score.
+A stated number of characters that is null, negative or absent as a column counts as the text's own. Ties: a score equal to the
+threshold is accepted. Very long texts are scored whole, 64 documents at a time, in memory of some hundred bytes a distinct word.
 """
 from __future__ import annotations
 
@@ -32,7 +34,7 @@ SAMPLE, BITS, FACTORS, EPOCHS, STEPS, BATCH, RATE, DECAY, SEED = 4000, 14, 6, 6,
 FOLDS, THRESHOLD = 5, 0.3
 _UPPER, _DIGIT = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
 _PUNCT = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-N_STATS = 12
+N_STATS = 13  # the last one is metadata
 
 
 def structure(text: str, words: list[str], counts: Counter) -> list[float]:
@@ -47,8 +49,8 @@ def structure(text: str, words: list[str], counts: Counter) -> list[float]:
             punct / nw, lines / nw, sum(c > 1 for c in counts.values()) / max(1, len(counts))]
 
 
-def features(text: str | None, bits: int, slots: dict[str, int]) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """(slot, value) of the distinct words, and the statistics."""
+def features(text: str | None, bits: int, slots: dict[str, int], stated: float | None = None) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(slot, value) of the distinct words, and the statistics; stated: characters by the document's record."""
     text = text or ""
     words = text.split()
     counts = Counter(words)
@@ -63,7 +65,8 @@ def features(text: str | None, bits: int, slots: dict[str, int]) -> tuple[np.nda
                 slots[w] = s
         at.append(s)
     value = np.log1p(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))
-    return np.array(at, dtype=np.int64), value / (math.sqrt(float(value @ value)) or 1.0), structure(text, words, counts)
+    return np.array(at, dtype=np.int64), value / (math.sqrt(float(value @ value)) or 1.0), [
+        *structure(text, words, counts), math.log1p(len(text) if stated is None else stated)]
 
 
 @dataclass
@@ -87,10 +90,10 @@ class Model:
         squares = np.add.reduceat((vx * vx).sum(axis=1), starts)
         return self.bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
-    def score(self, texts: list, slots: dict[str, int]) -> np.ndarray:
+    def score(self, texts: list, slots: dict[str, int], stated: list | None = None) -> np.ndarray:
         if not len(texts):
             return np.empty(0)
-        rows = [features(t, self.bits, slots) for t in texts]
+        rows = [features(t, self.bits, slots, m) for t, m in zip(texts, stated or [None] * len(texts))]
         at, value, ends = stack(rows, self)
         return 1 / (1 + np.exp(-np.clip(self.raw(at, value, ends)[0], -30, 30)))
 
@@ -141,17 +144,27 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def stated_chars(docs: DataFrame, text_col: str, meta_col: str) -> Column:
+    """The metadata field as a double without nulls."""
+    own = F.coalesce(F.length(text_col), F.lit(0)).cast("double")
+    if meta_col not in docs.columns:
+        return own
+    meta = F.col(meta_col).try_cast("double")
+    return F.when(meta >= 0, meta).otherwise(own)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "quality") -> Model:
+        text_col: str = "text", label_col: str = "quality", meta_col: str = "n_chars") -> Model:
     """Fit on at most ``sample`` labelled ids of docs outside the held-out fold, one row of each."""
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     usable = usable.groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     chosen = usable.orderBy(F.xxhash64("l_id"), "l_id").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), stated_chars(docs, text_col, meta_col).alias("meta"))
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    first = texts.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "y", digest.alias("least"))
+    first = texts.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "y", F.struct(digest.alias("d"), "meta").alias("least"))
     first = first.groupBy(F.col("id").alias("l_id")).agg(F.min("y").alias("y"), F.min("least").alias("least"))  # at most ``sample`` rows
-    joined = texts.join(F.broadcast(first), (F.col("id") == F.col("l_id")) & (digest == F.col("least"))).select("id", "y", "text")
+    own = (F.col("id") == F.col("l_id")) & (digest == F.col("least.d")) & (F.col("meta") == F.col("least.meta"))
+    joined = texts.join(F.broadcast(first), own).select("id", "y", "text", "meta")
 
     def run(batches):
         slots: dict[str, int] = {}
@@ -159,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
         for b in batches:
             b = b[~b["id"].duplicated() & ~b["id"].isin(seen)]  # what is left of an id are copies of one text
             seen.update(b["id"])
-            rows = [features(t, bits, slots) for t in b["text"]]
+            rows = [features(t, bits, slots, m) for t, m in zip(b["text"], b["meta"])]
             yield pd.DataFrame({"id": b["id"].to_numpy(), "y": b["y"].to_numpy(), "at": [r[0] for r in rows],
                                 "value": [r[1] for r in rows], "stats": [r[2] for r in rows]})
 
@@ -169,18 +182,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     return fit_rows(rows, made["y"].to_numpy(dtype=float), bits)
 
 
-def with_scores(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
+def with_scores(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score", meta_col: str = "n_chars") -> DataFrame:
     """docs plus the score of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         slots: dict[str, int] = {}
-        for texts in batches:
-            found = [shared.value.score(list(texts.iloc[i:i + 64]), slots) for i in range(0, len(texts), 64)]
+        for texts, stated in batches:
+            found = [shared.value.score(list(texts.iloc[i:i + 64]), slots, stated.iloc[i:i + 64].tolist()) for i in range(0, len(texts), 64)]
             yield pd.Series(np.concatenate(found) if found else [], dtype=float)
 
-    return docs.withColumn(out, run(F.col(text_col)))
+    return docs.withColumn(out, run(F.col(text_col), stated_chars(docs, text_col, meta_col)))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD,

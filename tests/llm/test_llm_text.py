@@ -162,6 +162,51 @@ def test_factorisation_equals_pairwise_sum():
     assert m.raw(at, value, np.array([4]))[0][0] == pytest.approx(m.bias + m.w[at] @ value + pairs)
 
 
+def brute_scores(rows, m):
+    """doc_id to score from all pairs of features, one by one as a matrix; rows: (doc_id, text, n_chars)."""
+    import math
+    import zlib
+    from collections import Counter
+    out = {}
+    for i, text, stated in rows:
+        text = text or ""
+        words = text.split()
+        counts = Counter(words)
+        raw = text.encode()
+        size, n, nw, nc, lines = len(raw), max(1, len(raw)), max(1, len(words)), len(counts), text.count("\n") + 1
+        kinds = [sum(c in kind for c in raw) for kind in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", bytes(c for c in range(33, 127) if not chr(c).isalnum()))]
+        stats = [math.log1p(size), math.log1p(len(words)), math.log1p(lines), nc / nw, max(counts.values(), default=0) / nw, size / nw / 10,
+                 kinds[0] / n, kinds[1] / n, kinds[2] / n, kinds[2] / nw, lines / nw, sum(c > 1 for c in counts.values()) / max(1, nc), math.log1p(stated)]
+        x = np.log1p(np.array(list(counts.values()), float))
+        x = x / (math.sqrt(float(x @ x)) or 1.0)
+        at = [zlib.crc32(w.lower().encode()) % 2**m.bits for w in counts] + [2**m.bits + j for j in range(q.N_STATS)]
+        x = np.concatenate((x, np.clip((np.array(stats) - m.mean) / m.scale, -4, 4) / 4))
+        both = (m.v[at] @ m.v[at].T) * np.outer(x, x)
+        out[i] = 1 / (1 + math.exp(-(m.bias + m.w[at] @ x + np.triu(both, 1).sum())))
+    return out
+
+
+def test_op2_query_against_all_pairs(spark):
+    import zlib
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    want = brute_scores([(r.doc_id, r.text, r.n_chars) for r in docs.collect()], q.fit(docs, labels))
+    got = QUERIES["op2_quality_classifier"](spark, SF).collect()
+    assert len(got) == len(want) > 100
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id]) and r.predicted == (r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_metadata_counts_and_has_defaults(spark):
+    rng = np.random.default_rng(1)
+    m = q.Model(4, 0.1, rng.normal(size=16 + q.N_STATS), rng.normal(size=(16 + q.N_STATS, 3)), np.zeros(q.N_STATS), np.ones(q.N_STATS))
+    df = spark.createDataFrame([(0, "a b", 3), (1, "a b", None), (2, "a b", -1), (3, "a b", 40)], "doc_id long, text string, n_chars long")
+    s = {r.doc_id: r.score for r in q.with_scores(df, m).collect()}
+    assert s[0] == s[1] == s[2] != s[3]
+    assert {r.score for r in q.with_scores(df.drop("n_chars"), m).collect()} == {s[0]}
+    assert {r.score for r in q.with_scores(df.where("doc_id = 0").withColumn("n_chars", q.F.lit("no number")), m).collect()} == {s[0]}
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     got = QUERIES["op2_quality_classifier"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
