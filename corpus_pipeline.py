@@ -31,7 +31,7 @@ SHINGLE, MAX_BITS = 4, 4
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score of at least 0.3). Ties: a score equal to the threshold is accepted."""
-    scored = score_documents(docs.select("doc_id", "text", ROW), table(spark, sf_dir, "labels"))
+    scored = score_documents(docs.select("doc_id", "text", "n_chars", ROW), table(spark, sf_dir, "labels"))
     return scored.where("predicted = 1").select("__row.*")
 
 
