@@ -10,7 +10,7 @@ from marquee.plans.catalog import ORACLES, QUERIES, load_all  # noqa: E402
 # (section, survey id, implementing function, registered queries)
 MAP = [
     ("A", "read_ratings_csv", "sources.files.read_ratings_csv", ["read_ratings_csv", "read_ratings_reordered", "unparsable_ratings"]),
-    ("A", "read_movies_csv", "sources.files.read_movies_csv", ["read_movies_csv", "read_movies_multiline"]),
+    ("A", "read_movies_csv", "sources.files.read_movies_csv", ["read_movies_csv", "read_movies_multiline", "read_quoted_documents"]),
     ("A", "read_tags_csv", "sources.files.read_tags_csv", ["read_tags_csv"]),
     ("A", "read_links_csv", "sources.files.read_links_csv", ["read_links_csv", "read_links_csv_no_tmdb", "read_links_no_imdb"]),
     ("A", "read_genome_csv", "sources.files.read_genome_csv", ["read_genome_csv"]),
@@ -25,19 +25,19 @@ MAP = [
     ("B", "drop_null_keys", "operators.merge.drop_null_keys", ["drop_null_keys"]),
     ("B", "null_sentinel", "operators.merge.null_sentinel", ["null_sentinel"]),
     ("B", "stamp_inserted_at", "operators.merge.stamp_inserted_at", ["stamp_inserted_at"]),
-    ("B", "merge_upsert", "operators.merge.merge_upsert", ["merge_upsert", "upsert_keeps_id", "splits_after_upsert"]),
+    ("B", "merge_upsert", "operators.merge.merge_upsert / operators.buckets.merge_rows", ["merge_upsert", "upsert_keeps_id", "splits_after_upsert", "bucket_growth"]),
     ("B", "merge_skip", "operators.merge.merge_skip", ["merge_skip"]),
     ("B", "merge_replace", "operators.merge.merge_replace", ["merge_replace"]),
     ("B", "ingest_report", "sources.files.ingest_report", ["ingest_report", "ingest_with_bad_file", "ingest_all"]),
     ("B", "write_features", "operators.merge.merge_upsert (plans.stages.run_featurize)", ["write_features"]),
     ("B", "write_split", "operators.split.write_split", ["write_split"]),
-    ("B", "write_model_rows", "operators.merge.write_model_rows", ["write_model_rows"]),
+    ("B", "write_model_rows", "operators.buckets.write_model_rows", ["write_model_rows"]),
     ("B", "max_inserted_watermark", "operators.merge.max_inserted_watermark", ["max_inserted_watermark", "watermarks_partial_run"]),
     ("C", "check_row_count", "operators.quality.check_row_count", ["check_row_count"]),
     ("C", "check_null_keys", "operators.quality.check_null_keys", ["check_null_keys"]),
     ("C", "check_null_titles", "operators.quality.check_null_titles", ["check_null_titles"]),
     ("C", "check_rating_range", "operators.quality.check_rating_range", ["check_rating_range"]),
-    ("C", "distinct_users, distinct_rated_movies", "operators.quality.distinct_counts", ["distinct_counts"]),
+    ("C", "distinct_users, distinct_rated_movies", "operators.quality.distinct_counts / distinct_estimates", ["distinct_counts", "distinct_by_sketches"]),
     ("C", "orphan_ratings", "operators.quality.orphan_ratings", ["orphan_ratings"]),
     ("C", "validate_all", "operators.quality.validate_all", ["validate_all", "validate_failing"]),
     ("C", "table_counts", "operators.quality.table_counts", ["table_counts"]),
@@ -84,10 +84,10 @@ MAP = [
     ("G", "topk_user_genre", "operators.retrieve.topk_user_genre", ["topk_user_genre", "topk_user_genre_blocked"]),
     ("G", "cold_start_genre", "operators.retrieve.cold_start_genre", ["cold_start_genre"]),
     ("G", "precompute_serving", "operators.retrieve.precompute_serving", ["precompute_serving"]),
-    ("G", "save_item_index / load_item_index", "operators.retrieve.save_item_index / load_item_index", ["item_index_roundtrip"]),
+    ("G", "save_item_index / load_item_index", "operators.item_index.save_item_index / load_item_index / ItemIndex.search", ["item_index_roundtrip", "item_index_search"]),
     ("G", "precompute_counts", "operators.retrieve.precompute_counts", ["precompute_counts"]),
     ("H", "weighted_mse", "operators.losses.weighted_mse", ["weighted_mse"]),
-    ("H", "infonce_loss", "operators.losses.infonce_loss", ["infonce_loss"]),
+    ("H", "infonce_loss", "operators.losses.infonce_loss", ["infonce_loss", "infonce_loss_large_batch"]),
     ("H", "embedding_kl", "operators.losses.embedding_kl", ["embedding_kl"]),
     ("H", "cross_kl", "operators.losses.cross_kl", ["cross_kl"]),
     ("H", "model_pairs", "operators.losses.model_pairs", ["model_pairs"]),
@@ -103,17 +103,17 @@ MAP = [
     ("I", "enrich_recs", "operators.lookup.enrich_recs", ["enrich_recs"]),
     ("I", "ab_assign", "operators.lookup.ab_assign", ["ab_assign"]),
     ("I", "ab_compare", "operators.lookup.ab_compare", ["ab_compare"]),
-    ("I", "search_titles", "operators.lookup.search_titles", ["search_titles"]),
+    ("I", "search_titles", "operators.lookup.search_titles", ["search_titles", "search_titles_index"]),
     ("J", "runs_filtered", "operators.metrics.runs_filtered", ["runs_filtered", "runs_filtered_distill"]),
     ("J", "metric_history", "operators.metrics.metric_history", ["metric_history"]),
     ("J", "latest_metric", "operators.metrics.latest_metric", ["latest_metric"]),
     ("J", "sweep_trials", "operators.metrics.sweep_trials", ["sweep_trials"]),
     ("J", "run_summary", "operators.metrics.run_summary", ["run_summary"]),
-    ("K", "new_rows_since", "operators.watermark.new_rows_since", ["new_rows_since", "new_rows_no_watermark", "new_row_counts"]),
-    ("K", "first_changed_table", "operators.watermark.first_changed_table", ["first_changed_table"]),
+    ("K", "new_rows_since", "operators.watermark.new_rows_since", ["new_rows_since", "new_rows_no_watermark", "new_row_counts", "new_rows_by_manifest", "new_row_counts_by_files"]),
+    ("K", "first_changed_table", "operators.watermark.first_changed_table", ["first_changed_table", "first_changed_by_files"]),
     ("K", "stream_ingest", "streaming.ingest.stream_ingest", ["stream_ingest"]),
     ("K", "daily_gate", "operators.watermark.daily_gate", ["daily_gate"]),
-    ("K", "trigger_log_update", "operators.watermark.trigger_log_update", ["trigger_log_update"]),
+    ("K", "trigger_log_update", "operators.watermark.trigger_log_update / create_triggers", ["trigger_log_update", "create_triggers"]),
 ]
 
 
