@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as F.col takes it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_of(col: str) -> Column:
     """The column's text; null counts as empty."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

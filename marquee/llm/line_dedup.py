@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import SPACES, ascii_lower, text_of
+from marquee.llm.common import SPACES, ascii_lower, quoted, text_of
 from marquee.session import materialize
 
 
@@ -57,7 +57,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dropped = dropped.select(F.col("id").alias("d_id"), F.col("tk").alias("d_tk"),
                              F.size("drop_pos").cast("long").alias("n_dropped"), F.flatten(gap).alias("drop_flag"))
     base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t"),
-                       F.struct(*[F.col(c) for c in carry]).alias("carried") if carry else F.lit(0).alias("carried"))
+                       F.struct(*[F.col(quoted(c)) for c in carry]).alias("carried") if carry else F.lit(0).alias("carried"))
     base = base.withColumn("tk", F.xxhash64("t"))
     both = base.join(dropped, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("tk") == F.col("d_tk")), "left")
     split = F.split("t", "\n", -1)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from marquee.llm.common import text_of, word_count
+from marquee.llm.common import quoted, text_of, word_count
 from marquee.operators.split import with_global_index
 from marquee.session import materialize
 
@@ -110,7 +110,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def rest_key(docs: DataFrame, *but: str) -> Column:
     """Hash of all columns but those named; nulls count, and what xxhash64 does not take is hashed as JSON."""
     kinds = [(c, kind) for c, kind in docs.dtypes if c not in but]
-    values = [F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in kinds]
+    values = [F.to_json(F.struct(F.col(quoted(c)))) if "map<" in kind or "variant" in kind else F.col(quoted(c)) for c, kind in kinds]
     return F.xxhash64(*[x for v in values for x in (v.isNull(), v)])
 
 

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.llm.common import quoted
+
 MARK = "▁"
 CACHE_CHUNKS, CACHE_CHUNK_CHARS, CACHE_PAIRS, OUT_ROWS, INF = 250_000, 64, 400_000, 256, float("inf")
 
@@ -220,7 +222,7 @@ def encode_documents(docs: DataFrame, model_file: str, text_col: str = "text", k
     """The columns named in ``keep`` (default: all but those named like a result), ids array<int> and, unless decoded is
     None, the text that they decode to. Rows leave in small batches, so a task holds few results at a time."""
     keep = tuple(c for c in docs.columns if c not in (ids, decoded)) if keep is None else tuple(keep)
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
+    rows = docs.select(*[F.col(quoted(c)) for c in keep], F.col(text_col).alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids, T.ArrayType(T.IntegerType()))])
     if decoded:
         schema.add(decoded, T.StringType())

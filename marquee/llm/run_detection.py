@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.llm.common import quoted
+
 TREE_WORDS, BATCH_BYTES, GRAM, ROUNDS = 1 << 15, 4 << 20, 5, 8
 RUN = T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "period")])
 
@@ -317,7 +319,7 @@ def find_runs(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] | N
     """The columns named in ``keep`` (default: all but those named like a result), the runs as array<struct<start, length, period>> and,
     unless collapsed is None, the words outside of what runs repeat, joined by one space."""
     keep = tuple(c for c in docs.columns if c not in (runs, collapsed)) if keep is None else tuple(keep)
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
+    rows = docs.select(*[F.col(quoted(c)) for c in keep], F.col(text_col).cast("string").alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(runs, T.ArrayType(RUN))])
     if collapsed:
         schema.add(collapsed, T.StringType())

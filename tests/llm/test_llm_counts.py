@@ -183,6 +183,8 @@ def test_find_runs_keeps_columns(spark):
     df = spark.createDataFrame([(1, "a " * 9, "mine", 2)], "doc_id long, text string, collapsed string, other int")
     r = rd.find_runs(df).first()
     assert r.asDict(True) == {"doc_id": 1, "text": "a " * 9, "other": 2, "runs": [{"start": 0, "length": 9, "period": 1}], "collapsed": "a"}
+    dotted = rd.find_runs(df.withColumnRenamed("other", "a.b")).first()
+    assert dotted["a.b"] == 2
     kept = rd.find_runs(df, runs="r", collapsed=None).first()
     assert kept["collapsed"] == "mine" and len(kept["r"]) == 1
     assert rd.find_runs(df.limit(0)).count() == 0

@@ -313,7 +313,7 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
 #: Names of the operators' results and of what they use inside.
 TAKEN = ("n_lines n_dropped kept_text score held_out predicted fp group_fp component_id text_key copies part taken size source_size target "
          "ids n_tokens decoded id t tk carried key bucket row_key r pos line h1 h2 drop_flag d_id d_tk y l_id least f null __row __text __k __tk "
-         "__rk __n __many __one label quality").split()
+         "__rk __n __many __one label quality").split() + ["a.b", "with space"]
 
 
 @pytest.mark.parametrize("stage", range(5))
