@@ -12,10 +12,10 @@ without words have a score like any other, no lines to drop, equal fingerprints,
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import table
+from marquee.llm.common import quoted, table
 from marquee.llm.line_dedup import line_dedup
 from marquee.llm.mixing import repeat_rows
 from marquee.llm.pieces import encode_documents
@@ -23,23 +23,30 @@ from marquee.llm.quality import score_documents
 from marquee.llm.simhash import one_of_each
 from marquee.session import materialize
 
-#: All columns of a document, out of the way of an operator's own.
-ROW = F.struct("*").alias("__row")
 #: SimHash stage, as in its contract: words of a shingle, differing bits of a link.
 SHINGLE, MAX_BITS = 4, 4
 
 
+def beside(docs: DataFrame, *but: str) -> Column:
+    """The columns of docs but those named, as one struct out of the way of an operator's own (doc_id is always in it)."""
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns if c not in but]).alias("__row")
+
+
+def restored(out: DataFrame, docs: DataFrame, **own: Column) -> DataFrame:
+    """The columns of docs in their order: own ones, the others from the struct."""
+    return out.select(*[own[c].alias(c) if c in own else F.col("__row")[c].alias(c) for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score of at least 0.3). Ties: a score equal to the threshold is accepted."""
-    scored = score_documents(docs.select("doc_id", "text", "n_chars", ROW), table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select("__row.*")
+    scored = score_documents(docs.select("doc_id", "text", "n_chars", beside(docs, "text", "n_chars")), table(spark, sf_dir, "labels"))
+    return restored(scored.where("predicted = 1"), docs, text=F.col("text"), n_chars=F.col("n_chars"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that many documents share; n_chars follows the text."""
-    out = line_dedup(docs.select("doc_id", "text", ROW), carry=("__row",))
-    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return out.select(*[new.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])
+    out = line_dedup(docs.select("doc_id", "text", beside(docs, "text", "n_chars")), carry=("__row",))
+    return restored(out, docs, text=F.col("kept_text"), n_chars=F.length("kept_text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
