@@ -222,8 +222,10 @@ def encode_documents(docs: DataFrame, model_file: str, text_col: str = "text", k
     """The columns named in ``keep`` (default: all but those named like a result), ids array<int> and, unless decoded is
     None, the text that they decode to. Rows leave in small batches, so a task holds few results at a time."""
     keep = tuple(c for c in docs.columns if c not in (ids, decoded)) if keep is None else tuple(keep)
-    rows = docs.select(*[F.col(quoted(c)) for c in keep], F.col(text_col).alias("__text"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    # by number on the way in: mapInArrow looks names up unquoted
+    rows = docs.select(*[F.col(quoted(c)).alias(f"__{i}") for i, c in enumerate(keep)], F.col(text_col).alias("__text"))
+    kept = [T.StructField(c, f.dataType) for c, f in zip(keep, rows.schema.fields)]
+    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     if decoded:
         schema.add(decoded, T.StringType())
 

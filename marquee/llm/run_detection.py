@@ -319,8 +319,10 @@ def find_runs(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] | N
     """The columns named in ``keep`` (default: all but those named like a result), the runs as array<struct<start, length, period>> and,
     unless collapsed is None, the words outside of what runs repeat, joined by one space."""
     keep = tuple(c for c in docs.columns if c not in (runs, collapsed)) if keep is None else tuple(keep)
-    rows = docs.select(*[F.col(quoted(c)) for c in keep], F.col(text_col).cast("string").alias("__text"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(runs, T.ArrayType(RUN))])
+    # by number on the way in: mapInArrow looks names up unquoted
+    rows = docs.select(*[F.col(quoted(c)).alias(f"__{i}") for i, c in enumerate(keep)], F.col(text_col).cast("string").alias("__text"))
+    kept = [T.StructField(c, f.dataType) for c, f in zip(keep, rows.schema.fields)]
+    schema = T.StructType([*kept, T.StructField(runs, T.ArrayType(RUN))])
     if collapsed:
         schema.add(collapsed, T.StringType())
     names = [f.name for f in RUN.fields]
