@@ -126,8 +126,9 @@ def op12(spark, d):
     out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"),
                      sha256("collapsed").alias("collapsed_sha256"))
     length, period = F.col("best.length"), -F.col("best.low")
+    thousand = F.lit(1000) * length
     return out.select("doc_id", "n_runs", (-F.col("best.back")).alias("start"), length.alias("length"), period.alias("period"),
-                      F.floor(F.lit(1000) * length / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+                      ((thousand - thousand % period) / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
 @query("op13_centroid_clustering", oracles.CLUSTERS)
