@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from marquee.operators import merge
 BUCKETS, BUCKET_ROWS = 64, 2_000_000
 MANIFEST = ("directory int, bucket int, path string, rows long, bytes long, max_id long, min_inserted_at timestamp_ntz, "
             "max_inserted_at timestamp_ntz")
+MANIFEST_ARROW = pa.schema([("directory", pa.int32()), ("bucket", pa.int32()), ("path", pa.string()), ("rows", pa.int64()), ("bytes", pa.int64()),
+                            ("max_id", pa.int64()), ("min_inserted_at", pa.timestamp("us")), ("max_inserted_at", pa.timestamp("us"))])
 
 
 # ---------------------------------------------------------------- versions
@@ -137,6 +140,12 @@ def rows_since(spark: SparkSession, table_path: str, mark: datetime | None) -> D
 
 # ---------------------------------------------------------------- merge
 
+def _table(rows: list[tuple]) -> pa.Table:
+    """Manifest rows for Spark, as a local relation instead of a job of Python rows."""
+    columns = list(zip(*rows)) or [[] for _ in MANIFEST_ARROW]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, MANIFEST_ARROW)], MANIFEST_ARROW)
+
+
 def _statistics(spark: SparkSession, folder: str, schema, directory: int) -> DataFrame:
     """One manifest row per file that a batch wrote; reads the id and insert time of these files."""
     written = spark.read.schema(schema).parquet(folder)
@@ -176,7 +185,9 @@ def merge_rows(spark: SparkSession, source: DataFrame, keys: list[str], table_pa
     state = [r["path"] for r in before if r["bucket"] in opened]
     columns = src.columns
     target = (_read(spark, state).withColumn("bucket", address(F.xxhash64(*keys), size)).select(*columns) if state else src.limit(0))
-    if mode == "upsert":
+    if not state and mode == "upsert":  # nothing to meet
+        merged = merge.dedupe_last(src, keys, "id")
+    elif mode == "upsert":
         merged = merge.merge_upsert(target, src, keys, "id")
     elif mode == "skip":
         merged = merge.merge_skip(target, src, keys, "id")
@@ -187,7 +198,7 @@ def merge_rows(spark: SparkSession, source: DataFrame, keys: list[str], table_pa
     fresh = _statistics(spark, out, merged.schema, size).collect()  # one row per file
     kept = [r for r in before if r["bucket"] not in opened]
     rows = [(size, *list(r)[1:]) for r in kept] + [tuple(r) for r in fresh]
-    now = spark.createDataFrame(rows, MANIFEST).coalesce(1)
+    now = spark.createDataFrame(_table(rows)).coalesce(1)
     marks = merge.max_inserted_watermark({table: now.select(F.col("max_inserted_at").alias("inserted_at"))})
     marks.write.mode("overwrite").parquet(version_path(beside(table_path, "watermark"), batch_id))
     now.write.mode("overwrite").parquet(commit)

@@ -106,9 +106,11 @@ def genre_multihot(mv: DataFrame) -> DataFrame:
     return mv.select("movie_id", _multihot().alias("genre_multihot"))
 
 
-def tag_terms(tags: DataFrame, mv: DataFrame) -> DataFrame:
-    """(movie_id, terms) of every tag of a known movie."""
-    known = tags.join(mv.select("movie_id").distinct(), "movie_id", "left_semi")
+def tag_terms(tags: DataFrame, mv: DataFrame, spread: int | None = None) -> DataFrame:
+    """(movie_id, terms) of every tag of a known movie; spread: deal the texts to so many tasks first, for sources with fewer splits
+    than there are cores."""
+    known = tags.join(mv.select("movie_id").distinct(), "movie_id", "left_semi").select("movie_id", "tag")
+    known = known.repartition(spread) if spread else known
     return known.select("movie_id", tokens("tag").alias("terms")).where(F.size("terms") > 0)
 
 
@@ -173,13 +175,13 @@ def frequent_terms(rows: DataFrame, k: int, capacity: int | None = None) -> list
     return [r["term"] for r in counts.orderBy(F.desc("n"), "term").limit(k).collect()]
 
 
-def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100, capacity: int | None = None) -> DataFrame:
+def tag_tfidf(tags: DataFrame, mv: DataFrame, max_features: int = 100, capacity: int | None = None, spread: int | None = None) -> DataFrame:
     """Long form (movie_id, term, tfidf): smoothed idf over all movies, L2-normalised over kept terms, > 0 only.
 
     Texts are tokenised once and the tokens written. Pass 1 finds the max_features most frequent terms from bounded summaries
     (frequent_terms). Pass 2 drops all other tokens inside their array, before anything is exploded, so counts, document
     frequencies and norms come from at most max_features rows per movie; its aggregation is shared by the idf and the weights."""
-    rows = materialize(tag_terms(tags, mv), "tag-terms")
+    rows = materialize(tag_terms(tags, mv, spread), "tag-terms")
     vocab = frequent_terms(rows, max_features, capacity)  # the vocabulary
     kept = rows.select("movie_id", F.filter("terms", lambda t: t.isin(vocab)).alias("terms")).where(F.size("terms") > 0)
     tf = kept.select("movie_id", F.explode("terms").alias("term")).groupBy("movie_id", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -201,11 +203,11 @@ def item_base_features(mv: DataFrame) -> DataFrame:
     return mv.select("movie_id", _multihot().alias("genre_multihot"), extract_year("title").alias("release_year"))
 
 
-def item_features(mv: DataFrame, tags: DataFrame, max_features: int = 100) -> DataFrame:
+def item_features(mv: DataFrame, tags: DataFrame, max_features: int = 100, spread: int | None = None) -> DataFrame:
     """One row per movie: genre_multihot[20], tag_tfidf map (empty when no terms), release_year.
 
     A movie's map holds at most max_features terms (the vocabulary size), so the gather is bounded."""
-    tfidf = (tag_tfidf(tags, mv, max_features).groupBy("movie_id")
+    tfidf = (tag_tfidf(tags, mv, max_features, spread=spread).groupBy("movie_id")
              .agg(F.map_from_entries(F.collect_list(F.struct("term", "tfidf"))).alias("tag_tfidf")))
     base = item_base_features(mv)
     empty = F.create_map().cast("map<string,double>")

@@ -30,3 +30,15 @@ def movies_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 def tags(spark: SparkSession, d: str) -> DataFrame:
     return merge.drop_null_keys(fx.fx_tags(spark, d), ["user_id", "movie_id", "tag", "timestamp"])
+
+
+#: Bytes of a scan's split by default.
+SPLIT = 128 << 20
+
+
+def spread_of(spark: SparkSession, d: str, table: str) -> int | None:
+    """How many tasks to deal a table's texts to where it is smaller than a split for every core; None for a larger one, which the
+    scan deals by itself."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{d}/{table}.parquet").select("length")
+    cores = spark.sparkContext.defaultParallelism
+    return cores if sum(r["length"] for r in files.collect()) < SPLIT * cores else None  # a listing

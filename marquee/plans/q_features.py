@@ -133,7 +133,7 @@ def q_tag_documents(spark, d):
 @query("tag_tfidf", W("fx_movies", "fx_tags", extra=_TFIDF_CTES) +
        "select movie_id, term, round(tfidf, 6) as tfidf from tfidf")
 def q_tag_tfidf(spark, d):
-    t = fe.tag_tfidf(data.tags(spark, d), data.movies(spark, d))
+    t = fe.tag_tfidf(data.tags(spark, d), data.movies(spark, d), spread=data.spread_of(spark, d, "documents"))
     return t.select("movie_id", "term", R("tfidf").alias("tfidf"))
 
 
@@ -145,7 +145,7 @@ select y.movie_id, y.release_year, cast(s.pos as varchar) as name,
 union all select y.movie_id, y.release_year, 'term:' || t.term, round(t.tfidf, 6) from years y join tfidf t on t.movie_id = y.movie_id""")
 def q_item_features(spark, d):
     """Every value of the vectors, in long form: genre slots by their place, terms by name."""
-    itf = fe.item_features(data.movies(spark, d), data.tags(spark, d))
+    itf = fe.item_features(data.movies(spark, d), data.tags(spark, d), spread=data.spread_of(spark, d, "documents"))
     slots = F.transform("genre_multihot", lambda x, i: F.struct(i.cast("string").alias("name"), x.alias("value")))
     terms = F.transform(F.map_entries("tag_tfidf"), lambda e: F.struct(F.concat(F.lit("term:"), e["key"]).alias("name"), e["value"].alias("value")))
     return itf.select("movie_id", "release_year", F.explode(F.concat(slots, terms)).alias("v")).select(
