@@ -88,6 +88,23 @@ def test_several_files_and_arrival_order(spark, tmp_path, small_splits):
         fl.read_movies_csv(spark, str(tmp_path)).collect()
 
 
+def test_splits_stay_where_only_some_files_are_torn(spark, tmp_path):
+    """Split sizes follow from the bytes of a scan: the second pass must list the files of the first, torn or not."""
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        want = [(i, "line\n" * 40 + "end", "Drama") for i in range(200)]
+        write(tmp_path / "part-0.csv", want)
+        for n in (1, 2):
+            plain = [(1000 * n + i, "plain " * 40, "Drama") for i in range(180)]
+            write(tmp_path / f"part-{n}.csv", plain)
+            want = want + plain
+        inside, step = qt.start_states(qt.lines_of(spark, str(tmp_path)))
+        assert {f.rsplit("/", 1)[1] for f, _ in inside} == {"part-0.csv"} and step
+        assert Counter(map(tuple, fl.read_movies_csv(spark, str(tmp_path)).collect())) == Counter(want)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_odd_files(spark, tmp_path, small_splits):
     def read(text, **kw):
         (tmp_path / "m.csv").write_bytes(text.encode())
