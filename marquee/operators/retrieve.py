@@ -1,11 +1,14 @@
 """Scoring and exact top-k retrieval per (user, genre pool).
 
-Exact top-k needs every (user, item) score, but never as rows. One plan at every size: users and items are dealt to blocks
-of bounded size by a hash of their id, each user goes once to every item block and each item once to every user
-block, and a ``cogroup`` scores one (user block, item block) cell per task with Arrow-batched numpy. A cell emits one row per
-(user, pool, method) holding its best k in two arrays; where there are several item blocks the arrays of a user are
-merged by one aggregation. Block sizes bound a task's memory, its lists among them (the user block follows from pools, methods and k); with u users and i items of d doubles the cells ship
-8 d u i (1 / user_block + 1 / item_block) bytes.
+Exact top-k needs every (user, item) score, but never as rows. One plan at every size: users and items are dealt to shares
+of bounded size by a hash of their id, each user goes once to every share of items and each item once to every share of
+users, and a ``cogroup`` scores one (share of users, share of items) cell per task with Arrow-batched numpy. A cell emits one row per
+(user, pool, method) holding its best k in two arrays; where there are several shares of items (more than ``SHARE_ITEMS``) the arrays of a
+user are merged by one aggregation. Shares bound a task's memory, its lists among them (users follow from pools, methods and k); with u
+users and i items of d doubles the cells ship 8 d u i (1 / users + 1 / items of a share) bytes.
+
+Inside a cell a block of users meets the items of a pool block by block: the first block is searched whole, of the others only
+scores that beat a user's kth so far are looked at. ``user_block`` and ``item_block`` bound these blocks; they ship nothing.
 
 Pools are genres (items can belong to several; an item carries its pools in an array); ``topk_global`` uses a single pool.
 Order: best score first (larger for cosine/dot/learned, smaller for squared l2), then movie_id.
@@ -31,8 +34,8 @@ LIST_SCHEMA = "user_id int, genre string, scoring_method string, movie_ids array
 LIST_COLUMNS = [c.split()[0] for c in LIST_SCHEMA.split(", ")]
 LIST_ARROW = pa.schema([("user_id", pa.int32()), ("genre", pa.string()), ("scoring_method", pa.string()), ("movie_ids", pa.list_(pa.int32())),
                         ("scores", pa.list_(pa.float64()))])
-#: Bytes of the lists that a cell puts out.
-OUT_BYTES = 128 << 20
+#: Bytes of the lists that a cell puts out, and the items of a cell.
+OUT_BYTES, SHARE_ITEMS = 128 << 20, 65_536
 
 
 # ---------------------------------------------------------------- expression form (explicit pairs)
@@ -69,14 +72,19 @@ def learned_scores(U: np.ndarray, I: np.ndarray, head: dict, budget: int = CELL_
     iu = I @ w1i.T + head["b1"]            # (ni, h)
     uu = U @ w1u.T                          # (nu, h)
     w2 = head["w2"][0]
-    hidden = len(w2)
-    out = np.empty((U.shape[0], I.shape[0]))
-    ci = max(1, min(I.shape[0], budget // hidden))
-    cu = max(1, budget // (ci * hidden))
+    # w relu(u + i) = max(w u, -w i) + w i, min for a negative w: one look at a small tile per hidden unit
+    a, b = np.ascontiguousarray((uu * w2).T), np.ascontiguousarray((-iu * w2).T)
+    out = np.tile(iu @ w2 + head["b2"][0], (U.shape[0], 1))
+    ci = max(1, min(I.shape[0], 2048, budget))
+    cu = max(1, min(8, budget // ci))
     for s in range(0, U.shape[0], cu):
         for t in range(0, I.shape[0], ci):
-            h = np.maximum(uu[s:s + cu, None, :] + iu[None, t:t + ci, :], 0.0)
-            out[s:s + cu, t:t + ci] = h @ w2 + head["b2"][0]
+            cells = out[s:s + cu, t:t + ci]
+            total, one = np.zeros(cells.shape), np.empty(cells.shape)
+            for h, w in enumerate(w2):
+                (np.maximum if w >= 0 else np.minimum)(a[h, s:s + cu, None], b[h, None, t:t + ci], out=one)
+                total += one
+            cells += total
     return out
 
 
@@ -111,36 +119,70 @@ def _best(key: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(cols, order, 1)
 
 
-def _topk_chunks(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET):
-    """Exact top-k lists per (user, pool, method) of one block of users against one block of items, chunk by chunk:
+def _best_of(key: np.ndarray, pos: np.ndarray, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places in pos) of the k least keys of each row among the columns pos, in order, ties by place. Columns are looked at in growing blocks
+    of at most ``most``; after the first k a block's keys matter only where they are below a row's kth."""
+    top = at = None
+    t = 0
+    while t < len(pos):
+        step = min(most, max(t, 256))
+        new = np.take(key, pos[t:t + step], axis=1)
+        if top is None or top.shape[1] < k:
+            where = np.broadcast_to(np.arange(t, t + new.shape[1]), new.shape)
+            if top is not None:
+                new, where = np.concatenate([top, new], axis=1), np.concatenate([at, where], axis=1)
+            cols = _best(new, k)
+            top, at = np.take_along_axis(new, cols, 1), np.take_along_axis(where, cols, 1)
+        else:
+            row, col = np.nonzero(new < top[:, -1:])
+            if len(row):
+                n = np.bincount(row, minlength=len(top))
+                rows = np.nonzero(n)[0]
+                line, slot = np.repeat(np.arange(len(rows)), n[rows]), k + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                keys = np.full((len(rows), k + n.max()), np.inf)
+                where = np.zeros(keys.shape, at.dtype)
+                keys[:, :k], where[:, :k] = top[rows], at[rows]
+                keys[line, slot], where[line, slot] = new[row, col], t + col
+                order = np.argsort(keys, axis=1, kind="stable")[:, :k]
+                top[rows], at[rows] = np.take_along_axis(keys, order, 1), np.take_along_axis(where, order, 1)
+        t += step
+    return top, at
+
+
+def _topk_chunks(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET, user_block: int = 65_536, item_block: int = 4096):
+    """Exact top-k lists per (user, pool, method) of some users against some items, chunk by chunk:
     (user ids, pool, method, item ids, scores), the last two with a row per user.
 
-    Users are processed in chunks of at most budget / n_items rows and one method at a time, so a
-    task holds a few (chunk x items) matrices, never (batch x items x methods).
+    Users are processed in chunks of at most budget / n_items rows (and user_block) and one method at a time, so a
+    task holds two (chunk x items) matrices, never (batch x items x methods).
     pools: list of (pool name, positions into the item arrays, sorted by movie_id)."""
     if not len(user_ids) or not len(item_ids):
         return
     need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
     sq_i = np.einsum("ij,ij->i", I, I)
     norm_i = np.maximum(np.sqrt(sq_i), EPS)
-    chunk = max(1, budget // len(item_ids))
+    chunk = max(1, min(user_block, budget // len(item_ids)))
     for s in range(0, len(user_ids), chunk):
         Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
         dots = Uc @ I.T if need_dot else None
         for m in methods:
+            # keys leave out what is the same for all items of a user; the scores of the chosen get it back
             if m == "dot":
-                S = dots
+                key = -dots
             elif m == "cosine":
-                S = dots / np.maximum(np.sqrt(np.einsum("ij,ij->i", Uc, Uc)), EPS)[:, None] / norm_i[None, :]
+                key = dots / -norm_i
             elif m == "l2":
-                S = np.einsum("ij,ij->i", Uc, Uc)[:, None] + sq_i[None, :] - 2.0 * dots
+                key = -2.0 * dots
+                key += sq_i
             else:
-                S = learned_scores(Uc, I, head, budget)
-            key = S if m == "l2" else -S
+                key = learned_scores(Uc, I, head, budget)
+                np.negative(key, out=key)
+            sq_u = np.einsum("ij,ij->i", Uc, Uc)[:, None]
             for pool, pos in pools:
-                chosen = pos[_best(key[:, pos], k)]
-                yield ids, pool, m, item_ids[chosen].astype(np.int32), np.take_along_axis(S, chosen, axis=1)
-            del S, key
+                best, at = _best_of(key, pos, k, max(1, item_block))
+                scores = best + sq_u if m == "l2" else -best / np.maximum(np.sqrt(sq_u), EPS) if m == "cosine" else -best
+                yield ids, pool, m, item_ids[pos[at]].astype(np.int32), scores
+            del key
 
 
 def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET) -> pd.DataFrame:
@@ -155,10 +197,10 @@ def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int =
     return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in out.items()})
 
 
-def _topk_table(*args) -> pa.Table:
+def _topk_table(*args, **kw) -> pa.Table:
     """_topk_chunks as Arrow lists over flat numbers: no object per list or value, some 12 bytes an entry."""
     batches = []
-    for ids, pool, m, chosen, scores in _topk_chunks(*args):
+    for ids, pool, m, chosen, scores in _topk_chunks(*args, **kw):
         n, width = chosen.shape
         ends = pa.array(np.arange(0, n * width + 1, max(width, 1), dtype=np.int32) if width else np.zeros(n + 1, np.int32))
         lists = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (chosen, scores)]
@@ -201,34 +243,36 @@ def default_user_block(pools: int, methods: int, k: int) -> int:
 
 
 def topk_lists(users: DataFrame, items: DataFrame, membership: DataFrame | None, methods=("cosine", "dot", "l2"),
-               k: int = TOP_N, user_block: int | None = None, item_block: int = 32_768, head: dict | None = None) -> DataFrame:
+               k: int = TOP_N, user_block: int = 65_536, item_block: int = 4096, head: dict | None = None,
+               share_items: int = SHARE_ITEMS) -> DataFrame:
     """Exact top-k per (user, pool, method): (user_id, genre, scoring_method, movie_ids, scores), best first.
 
     users: (user_id, u array<double>); items: (movie_id, i array<double>);
-    membership: (movie_id, genre) or None for one global pool. Without a user_block a cell's lists take OUT_BYTES at most."""
+    membership: (movie_id, genre) or None for one global pool. A cell's lists take OUT_BYTES at most."""
     methods = list(methods)
     if "learned" in methods and head is None:
         raise ValueError("the learned method needs the weights of a trained head")
     pooled = _pool_items(items, membership)
-    user_block = user_block or default_user_block(len(GENRE_VOCAB) if membership is not None else 1, len(methods), k)
+    share = default_user_block(len(GENRE_VOCAB) if membership is not None else 1, len(methods), k)
     n_users, n_items = users.count(), items.count()
-    # at least as many user blocks as shuffle partitions, so that small inputs use every core too
-    nub = max(1, math.ceil(n_users / user_block), min(n_users, int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    nib = max(1, math.ceil(n_items / item_block))
+    # at least as many shares of users as shuffle partitions, so that small inputs use every core too
+    nub = max(1, math.ceil(n_users / share), min(n_users, int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    nib = max(1, math.ceil(n_items / share_items))
     ub = F.pmod(F.xxhash64("user_id"), F.lit(nub)).cast("int")
     ib = F.pmod(F.xxhash64("movie_id"), F.lit(nib)).cast("int")
     u_rep = users.select("user_id", "u").withColumn("ub", ub).withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(nib - 1))))
     i_rep = pooled.withColumn("ib", ib).withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nub - 1))))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _topk_table(left["user_id"].to_numpy(), _vectors(left["u"]), *_item_block(right), methods, k, head)
+        return _topk_table(left["user_id"].to_numpy(), _vectors(left["u"]), *_item_block(right), methods, k, head,
+                           user_block=user_block, item_block=item_block)
 
     cand = u_rep.groupBy("ub", "ib").cogroup(i_rep.groupBy("ub", "ib")).applyInArrow(run, LIST_SCHEMA)
     return cand if nib == 1 else merge_lists(cand, k)
 
 
 def merge_lists(cand: DataFrame, k: int) -> DataFrame:
-    """The k best of the lists of each (user, pool, method): at most k entries per item block."""
+    """The k best of the lists of each (user, pool, method): at most k entries per share of items."""
     keys = ["user_id", "genre", "scoring_method"]
     sign = F.when(F.col("scoring_method") == "l2", 1.0).otherwise(-1.0)
     entries = cand.select(*keys, F.transform(F.arrays_zip("movie_ids", "scores"), lambda z: F.struct(

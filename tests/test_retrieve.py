@@ -49,6 +49,30 @@ def test_topk_matches_brute_force(vecs, kw):
         assert have == want, m
 
 
+def test_blocks_ship_nothing(vecs):
+    """Small blocks cut the work inside a cell: the shares that are shipped, and so the tasks, stay the same; several shares merge."""
+    U, uid, I, iid, pools, users, items, mem = vecs
+    plan = lambda **kw: rt.topk_lists(users, items, mem, ("dot",), 5, **kw)._jdf.queryExecution().analyzed().toString()
+    assert plan(user_block=2, item_block=2).count("Aggregate") == plan().count("Aggregate") < plan(share_items=20).count("Aggregate")
+    got = rt.topk_user_genre(users, items, mem, ("cosine", "dot", "l2"), k=5, share_items=20).collect()
+    for m in ("cosine", "dot", "l2"):
+        have = {}
+        for r in sorted((r for r in got if r["scoring_method"] == m), key=lambda r: r["rank"]):
+            have.setdefault((r["user_id"], r["genre"]), []).append(r["movie_id"])
+        assert have == _brute(U, uid, I, iid, pools, m, 5), m
+
+
+@pytest.mark.parametrize("most", [1, 7, 300, 4096])
+def test_best_in_blocks_is_the_best_of_all(most):
+    rng = np.random.default_rng(3)
+    key = rng.integers(0, 40, (9, 900)).astype(np.float64)  # many ties
+    pos = np.sort(rng.permutation(900)[:700])
+    for k in (1, 5, 800):
+        top, at = rt._best_of(key, pos, k, most)
+        want = np.argsort(key[:, pos], axis=1, kind="stable")[:, :k]
+        assert np.array_equal(at, want) and np.array_equal(top, np.take_along_axis(key[:, pos], want, 1))
+
+
 def test_pool_smaller_than_k(vecs):
     U, uid, I, iid, pools, users, items, mem = vecs
     got = rt.topk_user_genre(users, items, mem, ("dot",), k=20).filter("genre = 'C'").groupBy("user_id").count()
