@@ -1,9 +1,10 @@
 """Losses and evaluation over (user vector, item vector, weight, rating) rows.
 
 Row-wise losses are column expressions. InfoNCE needs the in-batch similarity matrix. A batch of up to a tile's rows is one
-matrix in one task; a larger one is cut in tiles of users and items, every (user tile, item tile) cell is one co-grouped task, and a
-cell emits for each of its rows and columns the largest similarity and the sum of exponentials below it. These states merge
-by a grouped aggregation, whatever their order, so a batch of any size has an exact loss; no pair rows are emitted.
+matrix in one task; a larger one is cut in shares of ``SHARE_ROWS`` users and items (at least a tile), every (user share, item share) cell is
+one co-grouped task that computes its matrix strip by strip, and a cell emits for each of its rows and columns a largest similarity and the
+sum of exponentials below it. These states merge by a grouped aggregation, whatever their order, so a batch of any size has an exact
+loss; no pair rows are emitted. The shares of n rows ship 2 n^2 / SHARE_ROWS vectors, whatever the tile.
 """
 from __future__ import annotations
 
@@ -17,6 +18,10 @@ from marquee.operators.split import with_global_index
 from marquee.session import materialize
 
 
+#: Rows of a share of a large batch, rows of a strip of its matrix, and the widest range of exponents that one shift serves.
+SHARE_ROWS, STRIP_ROWS, EXP_RANGE = 16_384, 128, 600.0
+
+
 def weighted_mse_rows(pairs: DataFrame, rating_scale: float = 5.0) -> DataFrame:
     """Per row: w * (((cos + 1) / 2) - rating / scale)^2."""
     pred = (V.cosine("uv", "iv") + F.lit(1.0)) / F.lit(2.0)
@@ -63,7 +68,7 @@ def infonce_loss(pairs: DataFrame, tau: float = 0.07, by: str = "batch_id", orde
     largest = sizes.agg(F.max("_rows")).first()[0] or 0
     if largest <= tile:
         return _whole_batches(rows, tau, by, order)
-    big = sizes.where(F.col("_rows") > tile).select(F.col(by).alias("_big"), F.ceil(F.col("_rows") / tile).cast("int").alias("_tiles"))
+    big = sizes.where(F.col("_rows") > tile).select(F.col(by).alias("_big"), F.ceil(F.col("_rows") / max(tile, SHARE_ROWS)).cast("int").alias("_tiles"))
     sized = rows.join(big, F.col(by).eqNullSafe(F.col("_big")), "left").drop("_big")
     small = _whole_batches(sized.where(F.col("_tiles").isNull()).drop("_tiles"), tau, by, order)
     return small.unionByName(_tiled_batches(sized.where(F.col("_tiles").isNotNull()), tau, by, order))
@@ -79,21 +84,46 @@ def _whole_batches(rows: DataFrame, tau: float, by: str, order: str) -> DataFram
     return rows.groupBy(by).applyInPandas(run, f"{by} {key_type}, loss double")
 
 
-def _states(S: np.ndarray, times: np.ndarray, own: np.ndarray | None, row_times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(largest entry, sum of exponentials below it) of every row of a cell whose column j stands for times[j] equal ones. In the
-    cell of a row's own pair, own is the weighted similarity, which takes the place of one of the row's equal columns."""
-    if own is not None:
-        at = np.arange(len(S))
-        S = S.copy()
-        S[at, at] = np.where(row_times > 1, S[at, at], -np.inf)
-    top = S.max(axis=1)
-    if own is not None:
-        top = np.maximum(top, own)
-    E = np.exp(S - top[:, None])
-    total = E @ times
+def _cell_states(strip, n: int, m: int, row_times: np.ndarray, times: np.ndarray, own: np.ndarray | None, strip_rows: int = STRIP_ROWS):
+    """((top, sum) of each row, (top, sum) of each column) of an n x m matrix that ``strip`` gives by slices of rows, new arrays. Row i stands for
+    row_times[i] equal ones, column j for times[j]; ``own`` takes the place of one copy on the diagonal. One strip is held at a time."""
+    row_top, row_sum = np.full(n, -np.inf), np.zeros(n)
+    col_top, col_sum = np.full(m, -np.inf), np.zeros(m)
+
+    def merged(top, total, more_top, more):
+        best = np.maximum(top, more_top)
+        shift = np.where(np.isfinite(best), best, 0.0)
+        return best, total * np.exp(top - shift) + more * np.exp(more_top - shift)
+
+    for s in range(0, n, strip_rows):
+        r = slice(s, min(n, s + strip_rows))
+        x = strip(r)
+        at = np.arange(r.start, r.stop)
+        if own is not None and not (row_times[at] > 1).all():
+            x[(at - s)[row_times[at] <= 1], at[row_times[at] <= 1]] = -np.inf
+        if not np.isfinite(x).any():
+            continue
+
+        def sums(e, e_col):
+            if own is not None:  # of n equal ones, n - 1 are left beside the own pair
+                for one in (e,) if e is e_col else (e, e_col):
+                    one[at - s, at] *= (times[at] - 1) / times[at]
+            return e @ times, row_times[r] @ e_col
+
+        high, low = x.max(), np.min(x, where=np.isfinite(x), initial=np.inf)
+        if high - low < EXP_RANGE:  # one shift for the strip: each exponential is taken once for its row and its column
+            e = np.exp(x - high)
+            row_top[r], top = high, np.full(m, high)
+            row_sum[r], total = sums(e, e)
+        else:
+            row_top[r], top = x.max(axis=1), x.max(axis=0)
+            own_shift, shift = (np.where(np.isfinite(t), t, 0.0) for t in (row_top[r], top))
+            row_sum[r], total = sums(np.exp(x - own_shift[:, None]), np.exp(x - shift))
+        col_top, col_sum = merged(col_top, col_sum, top, total)
     if own is not None:
-        total += np.exp(own - top) - E[at, at]
-    return top, total
+        row_top, row_sum = merged(row_top, row_sum, own, np.ones(n))
+        col_top, col_sum = merged(col_top, col_sum, own, np.ones(m))
+    return (row_top, row_sum), (col_top, col_sum)
 
 
 def _tiled_batches(rows: DataFrame, tau: float, by: str, order: str) -> DataFrame:
@@ -113,21 +143,21 @@ def _tiled_batches(rows: DataFrame, tau: float, by: str, order: str) -> DataFram
             return pd.DataFrame({c.split()[0]: pd.Series(dtype="float64") for c in schema.split(", ")})
         b = b.rename(columns=lambda c: c[1:] if c != "b_v" else "v")
         a, b = a.sort_values("_row"), b.sort_values("_row")
-        S = _unit(a["v"]) @ _unit(b["v"]).T / tau
+        A, B = _unit(a["v"]), _unit(b["v"])
         na, nb = a["_n"].to_numpy(np.float64), b["_n"].to_numpy(np.float64)
         own = None
         if a["_u"].iloc[0] == b["_i"].iloc[0]:  # the same rows on both sides
-            own = np.diagonal(S) * a["weight"].to_numpy(np.float64)
+            own = np.einsum("ij,ij->i", A, B) / tau * a["weight"].to_numpy(np.float64)
+        rows, columns = _cell_states(lambda r: A[r] @ B.T / tau, len(A), len(B), na, nb, own)
         out = []
-        for side, M, frame, mine, theirs in ((0, S, a, na, nb), (1, S.T, b, nb, na)):
-            top, total = _states(M, theirs, own, mine)
+        for side, (top, total), frame in ((0, rows, a), (1, columns, b)):
             out.append(pd.DataFrame({"_batch": a["_batch"].iloc[0], "_side": side, "_row": frame["_row"].to_numpy(), "_top": top, "_sum": total,
                                      "_value": np.full(len(top), np.nan) if own is None else own, "_n": frame["_n"].to_numpy()}))
         return pd.concat(out)
 
     cells = users.groupBy("_batch", "_u", "_i").cogroup(items.groupBy("b_batch", "b_u", "b_i"))
     states = cells.applyInPandas(run, schema)
-    # one state for each tile of the other side
+    # one state for each share of the other side
     merged = states.groupBy("_batch", "_side", "_row").agg(
         F.max("_top").alias("_top"), F.collect_list(F.struct("_top", "_sum")).alias("_parts"),
         F.max(F.when(~F.isnan("_value"), F.col("_value"))).alias("_value"), F.max("_n").alias("_n"))

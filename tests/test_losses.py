@@ -114,3 +114,29 @@ def test_batches_are_dealt_and_checked(spark):
     # batches above a tile are cut, not refused
     tiled = {r.batch_id: r.loss for r in ls.infonce_loss(dealt, tile=3).collect()}
     assert tiled == {r.batch_id: pytest.approx(r.loss) for r in ls.infonce_loss(dealt).collect()}
+
+
+@pytest.mark.parametrize("scale", [1.0, 2000.0])
+def test_cell_states_in_strips(scale):
+    """Rows' and columns' log-sums of a matrix in strips, with equal rows folded, are those of the unfolded matrix."""
+    rng = np.random.default_rng(8)
+    S, n = rng.normal(size=(11, 11)) * scale, rng.integers(1, 4, 11).astype(float)
+    own = np.diagonal(S) * 0.3
+    for mine in (own, None):
+        rows, columns = ls._cell_states(lambda r: S[r].copy(), 11, 11, n, n, mine, strip_rows=3)
+        for M, (top, total) in ((S, rows), (S.T, columns)):
+            for i in range(11):
+                x = np.repeat(M[i], n.astype(int))
+                if mine is not None:
+                    x[int(n[:i].sum())] = own[i]
+                assert top[i] + np.log(total[i]) == pytest.approx(np.logaddexp.reduce(x))
+
+
+@pytest.mark.parametrize("share", [8, 64])
+def test_shares_of_a_large_batch(spark, monkeypatch, share):
+    rng = np.random.default_rng(9)
+    rows = [(0, k, rng.normal(size=4).tolist(), rng.normal(size=4).tolist(), float(rng.uniform(0.5, 1))) for k in range(60)]
+    df = spark.createDataFrame(rows, "batch_id long, k long, uv array<double>, iv array<double>, weight double")
+    want = ls.infonce_loss(df).first()["loss"]
+    monkeypatch.setattr(ls, "SHARE_ROWS", share)
+    assert ls.infonce_loss(df, tile=2).first()["loss"] == pytest.approx(want)
