@@ -9,8 +9,9 @@ A search first looks into each query's best cells, until they hold k items, whic
 cannot fall below. Then it opens only cells whose bound still reaches some query's kth score, and each query meets those cells
 alone. The answer is exact, ties going to the smaller id, whatever the clustering is like; that only decides how many files are read.
 
-The table of cells is at most ``MAX_CELLS`` rows and goes through the driver and to the tasks. Items of a cell and the queries that
-need it meet in co-grouped blocks of bounded size. Saving a model writes a new version; the cells' table commits it.
+The table of cells is at most ``MAX_CELLS`` rows and goes through the driver and to the tasks. Cells lie in groups of up to ``GROUP_ROWS``
+items (parts of a group, where one cell is larger); a query goes to a group once, with the numbers of the cells it needs there, and meets them in
+co-grouped blocks of bounded size. Saving a model writes a new version; the cells' table commits it.
 
 Edge cases: null or empty vectors are not indexed and null query vectors find nothing; several rows of one id are indexed as they are; fewer than k
 items give fewer rows; an index without items gives none.
@@ -31,6 +32,7 @@ from marquee.session import materialize
 
 EPS = 1e-8
 CELL_ROWS, MAX_CELLS, BLOCK_ROWS, SAMPLE = 4096, 8192, 8192, 8
+GROUP_ROWS, FILE_ROWS, YIELD_ROWS, TOGETHER = 32_768, 65_536, 4096, 64
 CELLS = "scoring_method string, cell int, n long, centre array<double>, radius double"
 FOUND = "query long, user_id int, movie_id int, score double"
 
@@ -55,12 +57,12 @@ def _nearest(centres: np.ndarray):
 def centres_of(sample: np.ndarray, want: int, rounds: int = 3) -> np.ndarray:
     """Centres of a sample: the point farthest from all chosen so far, again and again, then a few rounds of means."""
     far, chosen = np.full(len(sample), np.inf), []
-    at = 0
+    at, square = 0, (sample * sample).sum(axis=1)
     for _ in range(min(want, len(sample))):
         chosen.append(at)
-        far = np.minimum(far, ((sample - sample[at]) ** 2).sum(axis=1))
+        far = np.minimum(far, square + square[at] - 2 * (sample @ sample[at]))
         at = int(far.argmax())
-        if far[at] == 0:
+        if far[at] <= 1e-12 * square[at]:
             break
     centres = sample[chosen].copy()
     for _ in range(rounds):
@@ -97,7 +99,9 @@ def save_item_index(items: DataFrame, model_name: str, methods, path: str, cell_
     cells = None
     for m in methods:
         own = kinds[m != "cosine"]
-        own.repartition("cell", F.pmod(F.xxhash64("movie_id"), F.lit(8))).write.mode("overwrite").partitionBy("cell").parquet(f"{out}/{m}")
+        files = own.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / FILE_ROWS).alias("files"))  # at most MAX_CELLS rows
+        dealt = own.join(F.broadcast(files), "cell").repartition("cell", F.pmod(F.xxhash64("movie_id"), F.col("files"))).drop("files")
+        dealt.write.mode("overwrite").partitionBy("cell").parquet(f"{out}/{m}")
         flat = own.select("cell", F.posexplode("i").alias("at", "x")).groupBy("cell", "at").agg(F.avg("x").alias("x"))
         centre = flat.groupBy("cell").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda p: p["x"]).alias("centre"))  # one vector
         far = own.join(F.broadcast(centre), "cell").groupBy("cell", "centre").agg(  # at most MAX_CELLS rows
@@ -152,24 +156,36 @@ class ItemIndex:
         if not q.where(F.size("u") != width).isEmpty():
             raise ValueError(f"queries must have {width} components, as the index has")
         first = materialize(q.withColumn("kth", F.lit(float("inf"))).mapInPandas(self._wanted(k, True), self._WANTED), "index-probe")
-        self.probed = sorted(r["cell"] for r in first.select("cell").distinct().collect())  # at most MAX_CELLS
+        self.probed = sorted(r["cell"] for r in first.select(F.explode("cells").alias("cell")).distinct().collect())  # at most MAX_CELLS
         probe = materialize(self._top(self._meet(first, self.probed, k), k), "index-probed")
         kth = probe.where(F.col("rank") == k).select("query", F.col("key").alias("kth"))
         open_ = q.join(kth, "query", "left").withColumn("kth", F.coalesce("kth", F.lit(float("inf"))))
         more = materialize(open_.select("query", "user_id", "u", "kth").mapInPandas(self._wanted(k, False), self._WANTED), "index-wanted")
-        self.opened = sorted(r["cell"] for r in more.select("cell").distinct().collect())
+        self.opened = sorted(r["cell"] for r in more.select(F.explode("cells").alias("cell")).distinct().collect())
         found = self._meet(more, self.opened, k).unionByName(probe.select("query", "user_id", "movie_id", "score"))
         return self._top(found, k).select("user_id", F.col("rank").cast("int").alias("rank"), "movie_id", "score")
 
-    _WANTED = "query long, user_id int, u array<double>, cell int"
+    _WANTED = "query long, user_id int, u array<double>, grp int, parts int, cells array<int>"
+
+    def _groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """(group, parts of it) of every cell: cells in their order, up to GROUP_ROWS items together."""
+        groups, held = [], 0
+        for n in self.n.tolist():
+            new = not groups or held + n > GROUP_ROWS
+            held = n if new else held + n
+            groups.append((groups[-1] if groups else -1) + new)
+        group = np.array(groups, np.int32)
+        parts = np.maximum(1, -(-np.bincount(group, self.n).astype(np.int64) // GROUP_ROWS)).astype(np.int32)
+        return group, parts[group]
 
     def _wanted(self, k: int, probe: bool):
-        """Queries with the cells to look into: the best ones until they hold k items, or all others that reach the kth key."""
-        shared = self.spark.sparkContext.broadcast((self.cell, self.n, self.centre, self.radius))  # at most MAX_CELLS rows
+        """Queries with the cells to look into, a row per group of cells: the best ones until they hold k items, or all others that reach
+        the kth key."""
+        shared = self.spark.sparkContext.broadcast((self.cell, self.n, self.centre, self.radius, *self._groups()))  # at most MAX_CELLS rows
         method, folder = self.method, self.folder
 
         def run(batches):
-            cell, n, centre, radius = shared.value
+            cell, n, centre, radius, group, parts = shared.value
             index = ItemIndex(None, folder, method, cell, n, centre, radius)
             for b in batches:
                 for s in range(0, len(b), 1024):
@@ -181,24 +197,34 @@ class ItemIndex:
                     np.put_along_axis(best, order, held < k, axis=1)
                     pick = best if probe else ~best & (keys <= part["kth"].to_numpy()[:, None])
                     row, at = np.nonzero(pick)
-                    yield pd.DataFrame({"query": part["query"].to_numpy()[row], "user_id": part["user_id"].to_numpy()[row],
-                                        "u": part["u"].to_numpy()[row], "cell": cell[at].astype(np.int32)})
+                    if not len(row):
+                        continue
+                    starts = np.concatenate([[0], np.nonzero((np.diff(row) != 0) | (np.diff(group[at]) != 0))[0] + 1])
+                    ends = np.append(starts[1:], len(row))
+                    cells = cell[at].astype(np.int32)
+                    for t in range(0, len(starts), YIELD_ROWS):
+                        first, last = starts[t:t + YIELD_ROWS], ends[t:t + YIELD_ROWS]
+                        own = part.iloc[row[first]]
+                        yield pd.DataFrame({"query": own["query"].to_numpy(), "user_id": own["user_id"].to_numpy(), "u": own["u"].to_numpy(),
+                                            "grp": group[at[first]], "parts": parts[at[first]], "cells": [cells[x:y] for x, y in zip(first, last)]})
         return run
 
     def _meet(self, wanted: DataFrame, cells: list[int], k: int) -> DataFrame:
-        """The k best items of every wanted (query, cell), from the cells' files."""
-        sizes = dict(zip(self.cell.tolist(), self.n.tolist()))
-        parts = F.create_map(*[x for c in cells for x in (F.lit(c), F.lit(-(-sizes[c] // BLOCK_ROWS)))]) if cells else None
-        if parts is None:
+        """The k best items of every wanted (query, group of cells), from the cells' files."""
+        if not cells:
             return self.spark.createDataFrame([], FOUND)
-        per = wanted.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-        per = materialize(per, "index-blocks")  # a row a cell
-        asked = wanted.join(F.broadcast(per), "cell").withColumn("block", F.pmod(F.col("query"), F.col("blocks")).cast("int"))
-        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), parts[F.col("cell")] - 1)))
-        items = self.rows(cells).join(F.broadcast(per), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        items = items.withColumn("part", F.pmod(F.xxhash64("movie_id", "i"), parts[F.col("cell")]).cast("int"))
-        left = asked.select("cell", "block", "part", "query", "user_id", "u").groupBy("cell", "block", "part")
-        right = items.select(F.col("cell").alias("c"), F.col("block").alias("b"), F.col("part").alias("p"), "movie_id", "i").groupBy("c", "b", "p")
+        group, parts = self._groups()
+        of = pd.DataFrame({"cell": self.cell.astype(np.int32), "grp": group, "parts": parts})
+        of_cell = F.broadcast(self.spark.createDataFrame(of, "cell int, grp int, parts int"))  # at most MAX_CELLS rows
+        per = wanted.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+        per = materialize(per, "index-blocks")  # a row a group
+        asked = wanted.join(F.broadcast(per), "grp").withColumn("block", F.pmod(F.col("query"), F.col("blocks")).cast("int"))
+        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        items = self.rows(cells).join(of_cell, "cell").join(F.broadcast(per), "grp")
+        items = items.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        items = items.withColumn("part", F.pmod(F.xxhash64("movie_id", "i"), F.col("parts")).cast("int"))
+        left = asked.select("grp", "block", "part", "query", "user_id", "u", "cells").groupBy("grp", "block", "part")
+        right = items.select(F.col("grp").alias("g"), F.col("block").alias("b"), F.col("part").alias("p"), "cell", "movie_id", "i").groupBy("g", "b", "p")
         return left.cogroup(right).applyInPandas(_block(self.method, k), FOUND)
 
     def _top(self, found: DataFrame, k: int) -> DataFrame:
@@ -208,21 +234,35 @@ class ItemIndex:
 
 
 def _block(method: str, k: int):
+    from marquee.operators.retrieve import _best
+
     def run(asked: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asked) and len(items):
             items = items.sort_values("movie_id", kind="stable")
             ids, m = items["movie_id"].to_numpy(), np.stack(items["i"].to_numpy())
-            for s in range(0, len(asked), 512):
-                part = asked.iloc[s:s + 512]
-                u = np.stack(part["u"].to_numpy())
-                score = u @ m.T
+            names, cell = np.unique(items["cell"].to_numpy(), return_inverse=True)
+            # queries that want the same cells stand together, so few cells are looked at for some of them only
+            asked = asked.iloc[np.argsort([c[0] for c in asked["cells"]], kind="stable")]
+            for s in range(0, len(asked), TOGETHER):
+                part = asked.iloc[s:s + TOGETHER]
+                u, wants = np.stack(part["u"].to_numpy()), np.zeros((len(part), len(names)), bool)
+                line, want = np.repeat(np.arange(len(part)), [len(c) for c in part["cells"]]), np.concatenate(part["cells"].to_numpy())
+                place = np.minimum(np.searchsorted(names, want), len(names) - 1)
+                wants[line[names[place] == want], place[names[place] == want]] = True
+                own = np.nonzero(wants.any(axis=0)[cell])[0]  # by movie_id
+                if not len(own):
+                    continue
+                score = u @ m[own].T
                 if method == "l2":
-                    score = np.maximum((u * u).sum(1)[:, None] + (m * m).sum(1) - 2 * score, 0)
-                top = np.argsort(score if method == "l2" else -score, axis=1, kind="stable")[:, :k]
+                    score = np.maximum((u * u).sum(1)[:, None] + (m[own] * m[own]).sum(1) - 2 * score, 0)
+                key = np.where(wants[:, cell[own]], score if method == "l2" else -score, np.inf)
+                top = _best(key, k)
                 row = np.repeat(np.arange(len(part)), top.shape[1])
+                kept = wants[row, cell[own][top.ravel()]]
+                row, at = row[kept], top.ravel()[kept]
                 out.append(pd.DataFrame({"query": part["query"].to_numpy()[row], "user_id": part["user_id"].to_numpy()[row],
-                                         "movie_id": ids[top.ravel()], "score": score[row, top.ravel()]}))
+                                         "movie_id": ids[own][at], "score": score[row, at]}))
         return pd.concat(out) if out else pd.DataFrame({"query": pd.Series(dtype="int64"), "user_id": pd.Series(dtype="int32"),
                                                         "movie_id": pd.Series(dtype="int32"), "score": pd.Series(dtype="float64")})
     return run

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.operators import retrieve as rt
 from marquee.sources.fixtures import learned_head_weights
@@ -225,6 +226,25 @@ def test_opened_index_without_structure(spark, tmp_path, method):
         assert have == want
 
 
+def test_a_query_goes_to_a_group_of_cells_once(spark, tmp_path, monkeypatch):
+    """Many small cells: a query's vector is sent once to a group of them, not once to each; groups and parts of large cells are exact."""
+    from marquee.operators import item_index as ix
+    rng = np.random.default_rng(12)
+    I, U = rng.normal(size=(200, 6)), rng.normal(size=(20, 6))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(I)], "movie_id int, i array<double>")
+    users = spark.createDataFrame([(n, u.tolist()) for n, u in enumerate(U)], "user_id int, u array<double>")
+    rt.save_item_index(items, "m", ("dot",), str(tmp_path / "ix"), cell_rows=2)
+    index = rt.open_item_index(spark, str(tmp_path / "ix"), "m", "dot")
+    q = users.withColumn("query", F.col("user_id").cast("long")).withColumn("kth", F.lit(float("inf")))
+    assert len(index.cell) > 50 and q.mapInPandas(index._wanted(200, True), index._WANTED).count() == len(U)
+    for rows in (32_768, 30, 1):
+        monkeypatch.setattr(ix, "GROUP_ROWS", rows)
+        have = {}
+        for r in sorted(index.search(users, 5).collect(), key=lambda r: r["rank"]):
+            have.setdefault((r["user_id"], "*"), []).append(r["movie_id"])
+        assert have == _brute(U, range(20), I, range(200), {"*": set(range(200))}, "dot", 5)
+
+
 def test_weights_from_a_table(spark, tmp_path):
     from marquee.operators import encode as en
     from marquee.sources.fixtures import tower_weights
