@@ -5,7 +5,9 @@ without user_id. A request without genre takes the row of the lowest vocabulary
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.vocab import GENRE_VOCAB, genre_vocab_col
@@ -22,19 +24,19 @@ def _vocab_pos(genre_col):
     return F.when(p == 0, F.lit(len(GENRE_VOCAB) + 1)).otherwise(p)
 
 
-def _first_genres(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """The lowest vocabulary genre of each key; chosen by place alone, before any list is looked at."""
-    place = F.min(F.struct(_vocab_pos(F.col("genre")).alias("vp"), F.col("genre").alias("g")))
-    return rows.groupBy(*keys).agg(place.alias("f")).select(*keys, F.col("f.g").alias(out))
+def _with_first_genre(rows: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """Rows beside the lowest vocabulary genre of their key: a window over the shuffle that the lookup's join needs anyway, so
+    the rows, which may be a whole precomputation, are computed once."""
+    place = F.min(F.struct(_vocab_pos(F.col("genre")).alias("vp"), F.col("genre").alias("g"))).over(Window.partitionBy(*keys))  # a row a genre
+    return rows.withColumn(out, place["g"])
 
 
 def _pick_rows(req: DataFrame, rows: DataFrame, keys: list[str], req_id: str) -> DataFrame:
     """Join requests to rows on keys; keep the request's genre, or the lowest vocabulary genre if none. Which side is
     small enough to be sent around is the optimizer's business at run time."""
-    q = req.join(_first_genres(rows, keys, "first_genre"), on=keys, how="inner")
-    q = q.withColumn("genre", F.coalesce("genre", "first_genre")).drop("first_genre")
-    j = q.join(rows.select(*keys, "genre", "movie_ids", "scores"), on=[*keys, "genre"], how="inner")
-    return j.select(req_id, *keys, "top_n", "genre", F.slice("movie_ids", 1, F.col("top_n")).alias("movie_ids"),
+    lists = _with_first_genre(rows.select(*keys, "genre", "movie_ids", "scores"), keys, "first_genre").withColumnRenamed("genre", "row_genre")
+    j = req.join(lists, on=keys, how="inner").where(F.coalesce("genre", "first_genre") == F.col("row_genre"))
+    return j.select(req_id, *keys, "top_n", F.col("row_genre").alias("genre"), F.slice("movie_ids", 1, F.col("top_n")).alias("movie_ids"),
                     F.slice("scores", 1, F.col("top_n")).alias("scores"))
 
 
@@ -78,10 +80,10 @@ def batch_recommend(serving: DataFrame, cold: DataFrame, requests: DataFrame, re
     q = with_request_defaults(requests)
     valid = F.col("top_n").between(1, MAX_TOP_N)
     for prefix, rows, keys in (("p", serving, ["user_id", "model_name", "scoring_method"]), ("c", cold, ["model_name", "scoring_method"])):
-        lists = rows.select(*keys, F.col("genre").alias(f"{prefix}_genre"),
-                            F.struct("genre", "movie_ids", "scores").alias(prefix))
-        q = q.join(_first_genres(rows, keys, f"{prefix}_genre"), keys, "left")
-        q = q.withColumn(f"{prefix}_genre", F.coalesce("genre", f"{prefix}_genre")).join(lists, [*keys, f"{prefix}_genre"], "left")
+        lists = _with_first_genre(rows.select(*keys, "genre", "movie_ids", "scores"), keys, "first").select(
+            *[F.col(k).alias(f"{prefix}_{k}") for k in keys], F.col("first").alias(f"{prefix}_first"), F.struct("genre", "movie_ids", "scores").alias(prefix))
+        own = [F.col(k) == F.col(f"{prefix}_{k}") for k in keys] + [F.coalesce("genre", f"{prefix}_first") == F.col(f"{prefix}.genre")]
+        q = q.join(lists, reduce(lambda a, b: a & b, own), "left")
     found = F.when(valid, F.coalesce("p", "c"))
     source = (F.when(~valid, "invalid").when(F.col("p").isNotNull(), "personal").when(F.col("c").isNotNull(), "cold_start")
               .otherwise("none"))

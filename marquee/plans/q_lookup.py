@@ -14,7 +14,7 @@ from marquee.plans import data
 from marquee.plans.catalog import R, query
 from marquee.plans.oracle_views import VOCAB, with_views as W
 from marquee.plans.q_retrieval import sql_score
-from marquee.session import scratch_path
+from marquee.session import materialize, scratch_path
 from marquee.sources import fixtures as fx
 
 A, B = lk.MODEL_A, lk.MODEL_B
@@ -82,7 +82,7 @@ def _membership(spark, d):
 
 
 def _serving(spark, d):
-    users_with_features = data.ratings(spark, d).select("user_id").distinct()
+    users_with_features = materialize(data.ratings(spark, d).select("user_id").distinct(), "rating-users")  # both models and their counts read it
     v = fx.fx_vec(spark, d)
     ua = fx.user_vectors(spark, d).join(users_with_features, "user_id")
     ia = fx.item_vectors(spark, d).select("movie_id", "i")
