@@ -135,3 +135,22 @@ def test_title_index_equals_a_scan(spark, tmp_path, monkeypatch):
             hits = mv.where(F.col("title").ilike(f"%{q}%")).orderBy("movie_id").limit(limit).collect()
             want = [(n, r.movie_id, r.title) for n, r in enumerate(hits, 1)]
         assert got.get(rid, []) == want, q
+
+
+def test_title_patterns_stop_at_the_block_that_answers_them(spark, tmp_path, monkeypatch):
+    """Blocks of ids: equal patterns are searched once, and only those without an answer go on to larger ids."""
+    from marquee.operators import titles as ti
+    names = [f"{'rare ' if i in (3, 390) else ''}night {i}" for i in range(400)]
+    mv = spark.createDataFrame([(1000 - i, n) for i, n in enumerate(names)] + [(700, "night again")], "movie_id int, title string")
+    ti.build_title_index(mv, str(tmp_path / "ix"), first_ids=30)
+    assert spark.read.parquet(str(tmp_path / "ix" / "bounds")).count() == 2
+    asked, hits = [], ti._hits
+    monkeypatch.setattr(ti, "_hits", lambda lists, sizes, titles, ask: asked.append(sorted(r["q"] for r in ask.collect())) or hits(lists, sizes, titles, ask))
+    req = [(n, q, 5) for n, q in enumerate(["night", "rare", "n", "%", "night", "a__re", "1_"])]
+    got = {}
+    for r in sorted(ti.search_titles(spark, str(tmp_path / "ix"), spark.createDataFrame(req, "request_id long, q string, limit int")).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.request_id, []).append(r.movie_id)
+    for n, q, top in req:
+        want = [r.movie_id for r in mv.where(F.col("title").ilike(f"%{q}%")).orderBy("movie_id").limit(top).collect()]
+        assert got.get(n, []) == want, q
+    assert asked[0] == sorted({q for _, q, _ in req}) and asked[1:] and all("night" not in a and "%" not in a for a in asked[1:])
