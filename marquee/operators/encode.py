@@ -1,8 +1,8 @@
 """Batch inference of the two towers as Spark jobs.
 
 Id embeddings are a keyed table (id -> vector) joined on the id, so they scale with the catalogue;
-the dense layers are small fixed-size weights shipped with the task closure; each Arrow batch is one
-numpy forward pass inside mapInPandas.
+the dense layers are small fixed-size weights shipped with the task closure; each piece of an Arrow batch is
+one numpy forward pass inside mapInPandas.
 """
 from __future__ import annotations
 
@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 from marquee.functions.vocab import DEFAULT_YEAR
 
 N_GENRES = 20
+#: Rows of one forward pass: bounds the layers' matrices whatever the Arrow batch.
+FORWARD_ROWS = 1024
+
+
+def _pieces(batches):
+    """The batches' rows in pieces of at most FORWARD_ROWS."""
+    for b in batches:
+        for s in range(0, len(b), FORWARD_ROWS):
+            yield b.iloc[s:s + FORWARD_ROWS]
 
 
 WEIGHTS_SCHEMA = "part string, layer int, row int, w array<double>, b double"
@@ -90,9 +99,7 @@ def encode_items(itf: DataFrame, id_emb: DataFrame, weights: dict) -> DataFrame:
     j = rows.join(id_emb.select("movie_id", "emb"), "movie_id", "left")
 
     def run(batches):
-        for b in batches:
-            if len(b) == 0:
-                continue
+        for b in _pieces(batches):
             x = np.concatenate([_embeddings(b["emb"], e), _slots(b["genre_multihot"]),
                                 b["year"].to_numpy(dtype=np.float64)[:, None]], axis=1)
             y = mlp_forward(x, weights["item_mlp"])
@@ -110,9 +117,7 @@ def encode_users(uf: DataFrame, id_emb: DataFrame, weights: dict) -> DataFrame:
         id_emb.select("user_id", "emb"), "user_id", "left")
 
     def run(batches):
-        for b in batches:
-            if len(b) == 0:
-                continue
+        for b in _pieces(batches):
             ga = _slots(b["genre_affinity"])
             h = np.maximum(ga @ hist["w"].T + hist["b"], 0.0)
             x = np.concatenate([_embeddings(b["emb"], e), ga, h,

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,9 @@ def test_shares_of_a_large_batch(spark, monkeypatch, share):
     want = ls.infonce_loss(df).first()["loss"]
     monkeypatch.setattr(ls, "SHARE_ROWS", share)
     assert ls.infonce_loss(df, tile=2).first()["loss"] == pytest.approx(want)
+
+
+def test_forward_passes_are_bounded():
+    from marquee.operators import encode as en
+    pieces = list(en._pieces(pd.DataFrame({"movie_id": range(n)}) for n in (0, 2500, 3)))
+    assert [len(p) for p in pieces] == [1024, 1024, 452, 3] and pieces[2]["movie_id"].tolist() == list(range(2048, 2500))
