@@ -1,14 +1,16 @@
 """Scoring and exact top-k retrieval per (user, genre pool).
 
 Exact top-k needs every (user, item) score, but never as rows. One plan at every size: users and items are dealt to shares
-of bounded size by a hash of their id, each user goes once to every share of items and each item once to every share of
-users, and a ``cogroup`` scores one (share of users, share of items) cell per task with Arrow-batched numpy. A cell emits one row per
-(user, pool, method) holding its best k in two arrays; where there are several shares of items (more than ``SHARE_ITEMS``) the arrays of a
-user are merged by one aggregation. Shares bound a task's memory, its lists among them (users follow from pools, methods and k); with u
-users and i items of d doubles the cells ship 8 d u i (1 / users + 1 / items of a share) bytes.
+by a hash of their id, each user goes once to every share of items and each item once to every share of
+users, and one task scores a (share of users, share of items) cell with Arrow-batched numpy. A task gets the items of its cell first and keeps
+them (``SHARE_ITEMS`` at most); the users stream past them in Arrow batches, and their lists leave chunk by chunk. A cell emits one row per
+(user, pool, method) holding its best k in two arrays; where there are several shares of items the arrays of a
+user are merged by one aggregation. There are as many shares of users as the cores and the work ask for, not one per shuffle partition: every one is
+another copy of the items. With u users and i items of d doubles the cells ship 8 d u i (1 / users + 1 / items of a share) bytes.
 
-Inside a cell a block of users meets the items of a pool block by block: the first block is searched whole, of the others only
-scores that beat a user's kth so far are looked at. ``user_block`` and ``item_block`` bound these blocks; they ship nothing.
+Inside a cell a chunk of users meets the items tile by tile; of a tile only scores that beat a user's kth so far are looked at.
+``user_block`` and ``item_block`` bound chunk and tile; they ship nothing. The learned head is summed in 16-bit integers first: their error is
+bounded, and whatever it leaves in doubt is scored in doubles.
 
 Pools are genres (items can belong to several; an item carries its pools in an array); ``topk_global`` uses a single pool.
 Order: best score first (larger for cosine/dot/learned, smaller for squared l2), then movie_id.
@@ -20,12 +22,14 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import vectors as V
 from marquee.functions.vocab import GENRE_VOCAB, TOP_N
 from marquee.operators.item_index import ItemIndex, load_item_index, open_item_index, save_item_index  # noqa: F401
+from marquee.session import task_keys
 
 EPS = 1e-8
 ALL_POOL = "*"
@@ -34,10 +38,14 @@ LIST_SCHEMA = "user_id int, genre string, scoring_method string, movie_ids array
 LIST_COLUMNS = [c.split()[0] for c in LIST_SCHEMA.split(", ")]
 LIST_ARROW = pa.schema([("user_id", pa.int32()), ("genre", pa.string()), ("scoring_method", pa.string()), ("movie_ids", pa.list_(pa.int32())),
                         ("scores", pa.list_(pa.float64()))])
-#: Bytes of the lists that a cell puts out, and the items of a cell.
-OUT_BYTES, SHARE_ITEMS = 128 << 20, 65_536
-#: Items of a pool that are looked at together.
-LOOK_ITEMS = 4096
+#: Bytes of the lists that a cell puts out, and the items of a cell: what a task keeps.
+OUT_BYTES, SHARE_ITEMS = 128 << 20, 327_680
+#: Pairs of a cell: at least so many before there are as many cells as LEAST_CELLS or twice the cores, and at most so many.
+FEW_PAIRS, LEAST_CELLS, MANY_PAIRS = 1 << 21, 32, 1 << 32
+#: Users and items that are looked at together, and the items of a pool that are ranked whole at first.
+LOOK_USERS, LOOK_ITEMS, FIRST_ITEMS = 1024, 4096, 64
+#: Hidden units of the learned head that are summed in 16 bits, and the items of one such sum.
+UNITS, SUM_ITEMS = 64, 128
 
 
 # ---------------------------------------------------------------- expression form (explicit pairs)
@@ -78,7 +86,7 @@ def learned_scores(U: np.ndarray, I: np.ndarray, head: dict, budget: int = CELL_
     a, b = np.ascontiguousarray((uu * w2).T), np.ascontiguousarray((-iu * w2).T)
     out = np.tile(iu @ w2 + head["b2"][0], (U.shape[0], 1))
     ci = max(1, min(I.shape[0], 2048, budget))
-    cu = max(1, min(8, budget // ci))
+    cu = max(1, min(16_384, budget) // ci)
     for s in range(0, U.shape[0], cu):
         for t in range(0, I.shape[0], ci):
             cells = out[s:s + cu, t:t + ci]
@@ -121,70 +129,182 @@ def _best(key: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(cols, order, 1)
 
 
+class _Best:
+    """The k least keys so far of every user of a chunk, in order, ties by place; fed in the order of places."""
+
+    def __init__(self, users: int, k: int):
+        self.k, self.seen = k, 0
+        self.top, self.at = np.empty((users, 0)), np.empty((users, 0), np.int64)
+
+    def look(self, places: np.ndarray, whole, below) -> None:
+        """whole(a, b): keys (users x b - a) of the places a to b. below(a, b, edge): those of them that are less than the users' edge, as
+        (places from a, users, keys) in the order of places."""
+        t = 0
+        while t < len(places):
+            if self.top.shape[1] < self.k:
+                end = min(len(places), t + max(FIRST_ITEMS, self.k))
+                new = whole(t, end)
+                key = np.concatenate([self.top, new], axis=1)
+                at = np.concatenate([self.at, np.broadcast_to(places[t:end], new.shape)], axis=1)
+                cols = _best(key, self.k)
+                self.top, self.at = np.take_along_axis(key, cols, 1), np.take_along_axis(at, cols, 1)
+            else:  # the edge falls fast at first: blocks double
+                end = min(len(places), t + max(self.seen, FIRST_ITEMS))
+                self._merge(places[t:end], *below(t, end, self.top[:, -1]))
+            self.seen += end - t
+            t = end
+
+    def _merge(self, places: np.ndarray, col: np.ndarray, row: np.ndarray, key: np.ndarray) -> None:
+        if not len(row):
+            return
+        k, order = self.k, np.argsort(row, kind="stable")
+        n = np.bincount(row, minlength=len(self.top))
+        rows = np.nonzero(n)[0]
+        n = n[rows]
+        line, slot = np.repeat(np.arange(len(rows)), n), k + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        keys = np.full((len(rows), k + n.max()), np.inf)
+        at = np.zeros(keys.shape, self.at.dtype)
+        keys[:, :k], at[:, :k] = self.top[rows], self.at[rows]
+        keys[line, slot], at[line, slot] = key[order], places[col[order]]
+        order = np.argsort(keys, axis=1, kind="stable")[:, :k]
+        self.top[rows], self.at[rows] = np.take_along_axis(keys, order, 1), np.take_along_axis(at, order, 1)
+
+    def look_at(self, places: np.ndarray, key: np.ndarray) -> None:
+        """key (places x users)."""
+        def below(a, b, edge):
+            hit = np.flatnonzero(key[a:b] < edge)
+            col, row = np.divmod(hit, key.shape[1])
+            return col, row, key[a:b].ravel()[hit]
+
+        self.look(places, lambda a, b: key[a:b].T, below)
+
+
 def _best_of(key: np.ndarray, pos: np.ndarray, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, places in pos) of the k least keys of each row among the columns pos, in order, ties by place. Columns are looked at in growing blocks
-    of at most ``most``; after the first k a block's keys matter only where they are below a row's kth."""
-    top = at = None
-    t = 0
-    while t < len(pos):
-        step = min(most, max(t, 256))
-        new = np.take(key, pos[t:t + step], axis=1)
-        if top is None or top.shape[1] < k:
-            where = np.broadcast_to(np.arange(t, t + new.shape[1]), new.shape)
-            if top is not None:
-                new, where = np.concatenate([top, new], axis=1), np.concatenate([at, where], axis=1)
-            cols = _best(new, k)
-            top, at = np.take_along_axis(new, cols, 1), np.take_along_axis(where, cols, 1)
-        else:
-            row, col = np.nonzero(new < top[:, -1:])
-            if len(row):
-                n = np.bincount(row, minlength=len(top))
-                rows = np.nonzero(n)[0]
-                line, slot = np.repeat(np.arange(len(rows)), n[rows]), k + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                keys = np.full((len(rows), k + n.max()), np.inf)
-                where = np.zeros(keys.shape, at.dtype)
-                keys[:, :k], where[:, :k] = top[rows], at[rows]
-                keys[line, slot], where[line, slot] = new[row, col], t + col
-                order = np.argsort(keys, axis=1, kind="stable")[:, :k]
-                top[rows], at[rows] = np.take_along_axis(keys, order, 1), np.take_along_axis(where, order, 1)
-        t += step
-    return top, at
+    """(keys, places in pos) of the k least keys of each row among the columns pos, in order, ties by place, looked at in blocks of ``most``."""
+    best = _Best(len(key), k)
+    for t in range(0, len(pos), most):
+        best.look_at(np.arange(t, min(t + most, len(pos))), np.ascontiguousarray(np.take(key, pos[t:t + most], axis=1).T))
+    return best.top, best.at
+
+
+class _Head:
+    """The learned head over a chunk of users: sums of 16-bit integers for all items of a tile, doubles for the few that matter."""
+
+    def __init__(self, U: np.ndarray, head: dict, budget: int):
+        d = U.shape[1]
+        self.U, self.head, self.budget = U, head, budget
+        self.w1i, self.w2, self.b1, self.b2 = head["w1"][:, d:], head["w2"][0], head["b1"], head["b2"][0]
+        self.hu = U @ head["w1"][:, :d].T
+        self.p = np.ascontiguousarray((self.hu * np.abs(self.w2)).T)  # |w| relu(u + i) = relu(|w| u + |w| i)
+
+    def tile(self, I: np.ndarray) -> None:
+        self.I, self.hi = I, I @ self.w1i.T + self.b1
+        q = np.ascontiguousarray((self.hi * np.abs(self.w2)).T)
+        self.step, self.sums = self._sums(q)
+
+    def _sums(self, q: np.ndarray) -> tuple[float, np.ndarray | None]:
+        """(step, sums): step x sums is off the score without b2 by a step per hidden unit at most; None where numbers are not finite.
+
+        A unit's terms p and q are rounded to the step, half a step off each. Where p + q can't be positive they are lifted to the least value
+        that keeps it so, which bounds them from below too. The units with w2 >= 0 of a group, or the others, fill 16 bits at most."""
+        p, plus = self.p, self.w2 >= 0
+        high_p, high_q = p.max(axis=1), q.max(axis=1)
+        span = np.maximum(high_p + high_q, 0.0)
+        units = [np.arange(g, min(g + UNITS, len(p))) for g in range(0, len(p), UNITS)]
+        step = max(max(span[g][plus[g]].sum(), span[g][~plus[g]].sum()) for g in units) / 32_000
+        if not np.isfinite(p).all() or not np.isfinite(q).all() or not np.isfinite(step):
+            return 0.0, None
+        step = step or 1.0
+        P = np.rint(np.maximum(p, -high_q[:, None]) / step).clip(-32_700, 32_700).astype(np.int16)
+        Q = np.rint(np.maximum(q, -high_p[:, None]) / step).clip(-32_700, 32_700).astype(np.int64)
+        # relu(P + Q) = max(P, -Q) + Q; sums may run over and back, the last one fits
+        N = (-Q).astype(np.int16)
+        out = np.zeros((q.shape[1], p.shape[1]), np.int16 if len(units) == 1 else np.int32)
+        term, part = np.empty((2, min(SUM_ITEMS, len(out)), out.shape[1]), np.int16)
+        for g in units:
+            used = g[span[g] > 0]  # the others are nothing everywhere
+            base = (Q[used] * np.where(plus[used], 1, -1)[:, None]).sum(axis=0).astype(np.int16)[:, None]
+            for t in range(0, len(out), SUM_ITEMS):
+                n = min(SUM_ITEMS, len(out) - t)
+                part[:n] = base[t:t + n]
+                for h in used:
+                    np.maximum(P[h], N[h, t:t + n, None], out=term[:n])
+                    (np.add if plus[h] else np.subtract)(part[:n], term[:n], out=part[:n])
+                out[t:t + n] += part[:n]
+        return step, out
+
+    def look(self, best: _Best, places: np.ndarray, at: np.ndarray) -> None:
+        """The items of the tile at ``at``."""
+        if self.sums is None:
+            best.look_at(places, np.ascontiguousarray(-learned_scores(self.U, self.I[at], self.head, self.budget).T))
+            return
+        sums = self.sums if len(at) == len(self.sums) else self.sums.take(at, axis=0)
+
+        def whole(a, b):
+            return -learned_scores(self.U, self.I[at[a:b]], self.head, self.budget)
+
+        def below(a, b, edge):
+            least = np.floor((-edge - self.b2) / self.step - len(self.w2) - 2)
+            info = np.iinfo(sums.dtype)
+            hit = np.flatnonzero(sums[a:b] >= least.clip(info.min, info.max).astype(sums.dtype))
+            col, row = np.divmod(hit, sums.shape[1])
+            key = np.empty(len(hit))
+            for s in range(0, len(hit), 16_384):
+                c, r = col[s:s + 16_384], row[s:s + 16_384]
+                key[s:s + 16_384] = -np.einsum("ij,j->i", np.maximum(self.hu[r] + self.hi[at[a + c]], 0.0), self.w2) - self.b2
+            less = key < edge[row]
+            return col[less], row[less], key[less]
+
+        best.look(places, whole, below)
 
 
 def _topk_chunks(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET, user_block: int = 65_536, item_block: int = 4096):
     """Exact top-k lists per (user, pool, method) of some users against some items, chunk by chunk:
     (user ids, pool, method, item ids, scores), the last two with a row per user.
 
-    Users are processed in chunks of at most budget / n_items rows (and user_block) and one method at a time, so a
-    task holds two (chunk x items) matrices, never (batch x items x methods).
+    A chunk has at most LOOK_USERS users (and user_block), a tile at most LOOK_ITEMS items (and item_block), both at most budget pairs, so a
+    task holds one tile of scores and the lists of one chunk, never (batch x items x methods).
     pools: list of (pool name, positions into the item arrays, sorted by movie_id)."""
     if not len(user_ids) or not len(item_ids):
         return
+    tile = max(1, min(item_block, LOOK_ITEMS, budget, len(item_ids)))
+    chunk = max(1, min(user_block, LOOK_USERS, budget // tile))
     need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
-    sq_i = np.einsum("ij,ij->i", I, I)
+    sq_i = np.einsum("ij,ij->i", I, I)[:, None]
     norm_i = np.maximum(np.sqrt(sq_i), EPS)
-    chunk = max(1, min(user_block, budget // len(item_ids)))
     for s in range(0, len(user_ids), chunk):
         Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
-        dots = Uc @ I.T if need_dot else None
-        for m in methods:
-            # keys leave out what is the same for all items of a user; the scores of the chosen get it back
-            if m == "dot":
-                key = -dots
-            elif m == "cosine":
-                key = dots / -norm_i
-            elif m == "l2":
-                key = -2.0 * dots
-                key += sq_i
-            else:
-                key = learned_scores(Uc, I, head, budget)
-                np.negative(key, out=key)
-            sq_u = np.einsum("ij,ij->i", Uc, Uc)[:, None]
+        best = {(pool, m): _Best(len(ids), k) for m in methods for pool, _ in pools}
+        minus = np.ascontiguousarray(-Uc.T)
+        scorer = _Head(Uc, head, budget) if "learned" in methods else None
+        for t in range(0, len(item_ids), tile):
+            It = I[t:t + tile]
+            dots = It @ minus if need_dot else None  # (items x users), negated: least first
+            if scorer is not None:
+                scorer.tile(It)
             for pool, pos in pools:
-                best, at = _best_of(key, pos, k, max(1, item_block))
-                scores = best + sq_u if m == "l2" else -best / np.maximum(np.sqrt(sq_u), EPS) if m == "cosine" else -best
-                yield ids, pool, m, item_ids[pos[at]].astype(np.int32), scores
-            del key
+                places = pos[np.searchsorted(pos, t):np.searchsorted(pos, t + len(It))]
+                if not len(places):
+                    continue
+                some = dots if dots is None or len(places) == len(It) else dots.take(places - t, axis=0)
+                # keys leave out what is the same for all items of a user; the scores of the chosen get it back
+                for m in methods:
+                    if m == "learned":
+                        scorer.look(best[pool, m], places, places - t)
+                    elif m == "dot":
+                        best[pool, m].look_at(places, some)
+                    elif m == "cosine":
+                        best[pool, m].look_at(places, some / norm_i[places])
+                    else:
+                        key = 2.0 * some
+                        key += sq_i[places]
+                        best[pool, m].look_at(places, key)
+        sq_u = np.einsum("ij,ij->i", Uc, Uc)[:, None]
+        for m in methods:
+            for pool, _ in pools:
+                top, at = best[pool, m].top, best[pool, m].at
+                scores = top + sq_u if m == "l2" else -top / np.maximum(np.sqrt(sq_u), EPS) if m == "cosine" else -top
+                yield ids, pool, m, item_ids[at].astype(np.int32), scores
 
 
 def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET) -> pd.DataFrame:
@@ -228,21 +348,76 @@ def _one_list_a_user(lists: pa.Table, k: int) -> pa.Table:
 
 def _vectors(column) -> np.ndarray:
     """Matrix of an Arrow column of lists of one length."""
-    column = column.combine_chunks()
     if not len(column):
         return np.zeros((0, 0))
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
 
 
-def _item_block(items: pa.Table):
-    """Items sorted by id, one row of each, their matrix, and the positions of each pool."""
-    ids, at = np.unique(items["movie_id"].to_numpy(), return_index=True)
-    taken = items.take(pa.array(at))
-    pools: dict[str, list[int]] = {}
-    for n, names in enumerate(taken["pools"].to_pylist()):
-        for name in names:
-            pools.setdefault(name, []).append(n)
-    return ids, _vectors(taken["i"]), [(name, np.array(p)) for name, p in sorted(pools.items())]
+class _Items:
+    """Items of a cell, gathered from batches: sorted by id, one row of each, their matrix, and the positions of each pool."""
+
+    def __init__(self):
+        self.ids, self.vectors, self.pools = [], [], []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.ids.append(batch["id"].to_numpy(zero_copy_only=False))
+        self.vectors.append(_vectors(batch["v"]).copy())  # frees the batch
+        names = batch["pools"]
+        self.pools.append((names.flatten().dictionary_encode(), np.diff(names.offsets.to_numpy())))
+
+    def block(self):
+        if not self.ids:
+            return np.zeros(0, np.int64), np.zeros((0, 0)), []
+        ids, first, place = np.unique(np.concatenate(self.ids), return_index=True, return_inverse=True)
+        kept = np.zeros(len(place), bool)
+        kept[first] = True
+        matrix = np.empty((len(ids), self.vectors[0].shape[1]))
+        pools: dict[str, list[np.ndarray]] = {}
+        s = 0
+        for n, (names, counts) in enumerate(self.pools):
+            some, to = kept[s:s + len(counts)], place[s:s + len(counts)]
+            matrix[to[some]] = self.vectors[n][some]
+            self.vectors[n] = None
+            code, owner = names.indices.to_numpy(), np.repeat(np.where(some, to, -1), counts)
+            for c, name in enumerate(names.dictionary.to_pylist()):
+                pools.setdefault(name, []).append(owner[(code == c) & (owner >= 0)])
+            s += len(counts)
+        return ids, matrix, [(name, np.sort(np.concatenate(p))) for name, p in sorted(pools.items())]
+
+
+def _cell_lists(batches, methods, k, head, user_block: int, item_block: int, merge: bool):
+    """Lists of the cells of a task, from batches (cell, side, id, v, pools) sorted by the first three: a cell's items, side 0, come before its users."""
+    cell = held = carry = None
+
+    def out(lists: pa.Table):
+        return lists.combine_chunks().to_batches()
+
+    for batch in batches:
+        cells, sides = batch["cell"].to_numpy(), batch["side"].to_numpy()
+        cuts = np.nonzero((np.diff(cells) != 0) | (np.diff(sides) != 0))[0] + 1
+        for s, e in zip([0, *cuts], [*cuts, len(cells)]):
+            if s == e:
+                continue
+            if cells[s] != cell:
+                if carry is not None:
+                    yield from out(carry)
+                cell, held, block, carry = cells[s], _Items(), None, None
+            part = batch.slice(s, e - s)
+            if sides[s] == 0:
+                held.add(part)
+                continue
+            if block is None:
+                block, held = held.block(), None
+            ids, U = part["id"].to_numpy(), _vectors(part["v"])
+            for n in range(0, len(ids), LOOK_USERS):
+                lists = _topk_table(ids[n:n + LOOK_USERS], U[n:n + LOOK_USERS], *block, methods, k, head, user_block=user_block, item_block=item_block)
+                if merge and len(lists):  # an id's rows may go on in the next chunk
+                    lists = _one_list_a_user(lists if carry is None else pa.concat_tables([carry, lists]), k)
+                    last = pa.array(lists["user_id"].to_numpy() == ids[n:n + LOOK_USERS][-1])
+                    carry, lists = lists.filter(last), lists.filter(pc.invert(last))
+                yield from out(lists)
+    if carry is not None:
+        yield from out(carry)
 
 
 # ---------------------------------------------------------------- plan
@@ -260,6 +435,15 @@ def default_user_block(pools: int, methods: int, k: int) -> int:
     return max(1, min(65_536, OUT_BYTES // (12 * max(1, k) * max(1, pools) * max(1, methods))))
 
 
+def cell_grid(users: int, items: int, user_block: int, share_items: int, cores: int) -> tuple[int, int]:
+    """(shares of users, shares of items): every share of users is another copy of the items, so there are no more than keep the cores busy,
+    hold the lists of user_block users and MANY_PAIRS pairs in a cell."""
+    nib = max(1, math.ceil(items / share_items))
+    pairs = users * math.ceil(items / nib)
+    busy = min(max(LEAST_CELLS, 2 * cores), math.ceil(pairs / FEW_PAIRS))
+    return max(1, min(users, max(busy, math.ceil(users / user_block), math.ceil(pairs / MANY_PAIRS)))), nib
+
+
 def topk_lists(users: DataFrame, items: DataFrame, membership: DataFrame | None, methods=("cosine", "dot", "l2"),
                k: int = TOP_N, user_block: int = 65_536, item_block: int = 32_768, head: dict | None = None,
                share_items: int = SHARE_ITEMS) -> DataFrame:
@@ -273,21 +457,23 @@ def topk_lists(users: DataFrame, items: DataFrame, membership: DataFrame | None,
     pooled = _pool_items(items, membership)
     share = default_user_block(len(GENRE_VOCAB) if membership is not None else 1, len(methods), k)
     n_users, n_items = users.count(), items.count()
-    # at least as many shares of users as shuffle partitions, so that small inputs use every core too
-    nub = max(1, math.ceil(n_users / share), min(n_users, int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    nib = max(1, math.ceil(n_items / share_items))
+    spark = users.sparkSession
+    nub, nib = cell_grid(n_users, n_items, share, share_items, spark.sparkContext.defaultParallelism)
     blocks = math.ceil(n_items / item_block)
+    keys = F.array(*[F.lit(n) for n in task_keys(spark, nub * nib)])
     ub = F.pmod(F.xxhash64("user_id"), F.lit(nub)).cast("int")
     ib = F.pmod(F.xxhash64("movie_id"), F.lit(nib)).cast("int")
     u_rep = users.select("user_id", "u").withColumn("ub", ub).withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(nib - 1))))
     i_rep = pooled.withColumn("ib", ib).withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(nub - 1))))
+    cell = F.get(keys, F.col("ub") * nib + F.col("ib")).alias("cell")
+    rows = i_rep.select(cell, F.lit(0).alias("side"), F.col("movie_id").alias("id"), F.col("i").alias("v"), "pools").unionByName(
+        u_rep.select(cell, F.lit(1).alias("side"), F.col("user_id").alias("id"), F.col("u").alias("v"), F.lit(None).cast("array<string>").alias("pools")))
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = _topk_table(left["user_id"].to_numpy(), _vectors(left["u"]), *_item_block(right), methods, k, head,
-                            user_block=user_block, item_block=min(item_block, LOOK_ITEMS))
-        return lists if blocks <= 1 else _one_list_a_user(lists, k)
+    def run(batches):
+        return _cell_lists(batches, methods, k, head, user_block, min(item_block, LOOK_ITEMS), blocks > 1)
 
-    cand = u_rep.groupBy("ub", "ib").cogroup(i_rep.groupBy("ub", "ib")).applyInArrow(run, LIST_SCHEMA)
+    # a task per cell: its items first, so that the users need not be kept
+    cand = rows.repartition(nub * nib, "cell").sortWithinPartitions("cell", "side", "id").mapInArrow(run, LIST_SCHEMA)
     return cand if nib == 1 else merge_lists(cand, k)
 
 

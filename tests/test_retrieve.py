@@ -270,3 +270,88 @@ def test_weights_from_a_table(spark, tmp_path):
     assert all(np.array_equal(a["w"], b["w"]) and np.array_equal(a["b"], b["b"]) for p in ("user_mlp", "item_mlp") for a, b in zip(w[p], back[p]))
     with pytest.raises(ValueError, match="expect 4"):
         en._embeddings([[1.0, 2.0]], 4)
+
+
+@pytest.mark.parametrize("hidden,scale", [(64, 1.0), (200, 1.0), (5, 1e6), (64, 0.0)])
+def test_learned_sums_leave_no_best_item_out(hidden, scale):
+    """16-bit sums are off by a step per unit at most, so the lists are those of doubles: one group of units or several, outliers, all equal."""
+    rng = np.random.default_rng(hidden)
+    U, I = rng.normal(size=(30, 6)), rng.normal(size=(700, 6)) * scale
+    U[3] *= 1000
+    I[650] = I[20]  # a tie
+    head = {"w1": rng.normal(size=(hidden, 12)), "b1": rng.normal(size=hidden), "w2": rng.normal(size=(1, hidden)), "b2": np.array([0.3])}
+    h = rt._Head(U, head, 1 << 22)
+    h.tile(I)
+    want = rt.learned_scores(U, I, head)
+    assert np.abs(h.step * h.sums.T + head["b2"][0] - want).max() <= h.step * hidden
+    pos = np.arange(0, 700, 2)
+    got = {p: (items, scores) for _, p, _, items, scores in rt._topk_chunks(
+        np.arange(30), U, np.arange(700), I, [("all", np.arange(700)), ("even", pos)], ["learned"], 7, head, item_block=100)}
+    for name, at in (("all", np.arange(700)), ("even", pos)):
+        best = np.sort(-want[:, at], axis=1)[:, :7]
+        assert np.allclose(got[name][1], -best) and np.allclose(np.take_along_axis(want, got[name][0], 1), -best)
+
+
+def test_learned_with_numbers_that_are_not_finite():
+    rng = np.random.default_rng(1)
+    U, I, head = rng.normal(size=(4, 6)), rng.normal(size=(300, 6)), learned_head_weights(6)
+    I[200] = np.nan
+    (_, _, _, items, _), = rt._topk_chunks(np.arange(4), U, np.arange(300), I, [("*", np.arange(300))], ["learned"], 5, head)
+    rest = np.delete(np.arange(300), 200)
+    assert items.tolist() == rest[np.argsort(-rt.learned_scores(U, I[rest], head), axis=1, kind="stable")[:, :5]].tolist()
+
+
+def test_shares_of_users_follow_cores_and_work():
+    """Every share of users is a copy of the items: their number is not that of the shuffle partitions, and grows by the bounds of a cell only."""
+    assert rt.cell_grid(1000, 1000, 9320, rt.SHARE_ITEMS, 12) == (1, 1)
+    assert rt.cell_grid(5000, 5000, 9320, rt.SHARE_ITEMS, 12) == (12, 1)
+    assert rt.cell_grid(50_000, 50_000, 9320, rt.SHARE_ITEMS, 12) == (32, 1)
+    assert rt.cell_grid(300_000, 300_000, 9320, rt.SHARE_ITEMS, 12) == (33, 1)
+    assert rt.cell_grid(300_000, 300_000, 9320, rt.SHARE_ITEMS, 100) == (200, 1)
+    assert rt.cell_grid(3, 10 ** 9, 9320, rt.SHARE_ITEMS, 4) == (1, 3052)
+
+
+def test_copies_of_items_do_not_follow_the_shuffle_partitions(vecs, spark):
+    *_, users, items, mem = vecs
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert rt.topk_lists(users, items, mem, ("dot",), 5).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_users_stream_past_the_items_of_a_cell(monkeypatch):
+    """Lists of a batch of users leave before the next is drawn; a user's rows merge over chunks and batches, cells follow each other."""
+    import pyarrow as pa
+    monkeypatch.setattr(rt, "LOOK_USERS", 3)
+    rng = np.random.default_rng(8)
+    U, I = rng.normal(size=(6, 4)), rng.normal(size=(9, 4))
+    drawn = []
+
+    def batch(cell, side, ids, vectors, pools):
+        return pa.RecordBatch.from_pydict({"cell": pa.array([cell] * len(ids), pa.int32()), "side": pa.array([side] * len(ids), pa.int32()),
+                                           "id": pa.array(ids, pa.int32()), "v": pa.array([list(v) for v in vectors], pa.list_(pa.float64())),
+                                           "pools": pa.array(pools, pa.list_(pa.string()))})
+
+    def source():
+        for cell in (1, 2):
+            yield batch(cell, 0, [5, 5, 7], I[[0, 0, 1]], [["a"], ["a"], ["a", "b"]])
+            yield batch(cell, 0, range(10, 17), I[2:], [["b"]] * 7)
+            for n, ids in enumerate(([0, 1, 2, 2], [2, 2, 2, 3], [4])):
+                drawn.append((cell, n))
+                yield batch(cell, 1, ids, U[ids], [None] * len(ids))
+
+    seen, out = [], []
+    for b in rt._cell_lists(source(), ["dot"], 3, None, 65_536, 4, True):
+        seen.append(len(drawn))
+        out += b.to_pylist()
+    assert seen[0] == 1 and seen == sorted(seen) and len(set(seen)) > 2
+    have = {}
+    for r in out:
+        have.setdefault((r["user_id"], r["genre"]), []).append(r["movie_ids"])
+    ids = np.array([5, 7, *range(10, 17)])
+    for u in range(5):
+        for pool, at in (("a", [0, 1]), ("b", list(range(1, 9)))):
+            best = sorted(at, key=lambda j: -(U[u] @ I[j]))
+            want = [int(ids[j]) for j in best for _ in range(5 if u == 2 else 1)][:3]
+            assert have[u, pool] == [want, want]
