@@ -67,6 +67,36 @@ def test_rows_since_reads_late_files_only(spark, tmp_path):
     assert bk.rows_since(spark, table, None).count() == 201
 
 
+def test_many_small_files_are_listed_by_few_tasks(spark, tmp_path):
+    table, sc = str(tmp_path / "t"), spark.sparkContext
+    bk.merge_rows(spark, fl.read_ratings_csv(spark, _csv(str(tmp_path / "d"), [(u, 1, 1.0, 0) for u in range(600)])), KEYS, table, 0, stamp=DAY,
+                  buckets=150, bucket_rows=10 ** 6)
+    before = spark.conf.get(bk.LISTERS)
+    sc.setJobGroup("listing", "listing")
+    try:
+        rows = bk.current_table(spark, table)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert max(tasks) <= 8 < bk.manifest(spark, table).count() and rows.count() == 600
+    assert spark.conf.get(bk.LISTERS) == before
+
+
+def test_statistics_of_several_files_a_bucket(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "3")
+    try:
+        table = str(tmp_path / "t")
+        bk.merge_rows(spark, fl.read_ratings_csv(spark, _csv(str(tmp_path / "d"), [(u, 1, 1.0, 0) for u in range(20)])), KEYS, table, 0, stamp=DAY, buckets=2)
+        m = bk.manifest(spark, table).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sum(r.rows for r in m) == 20 and max(r.rows for r in m) == 3 and len({r.path for r in m}) == len(m) > 6
+    for r in m:
+        one = spark.read.parquet(r.path)
+        assert (one.count(), one.agg(F.max("id")).first()[0], os.path.getsize(r.path)) == (r.rows, r.max_id, r.bytes)
+
+
 def test_modes_and_empty_sources(spark, tmp_path):
     table = str(tmp_path / "t")
     a = fl.read_ratings_csv(spark, _csv(str(tmp_path / "a"), [(1, 1, 1.0, 0), (2, 2, 2.0, 0)]))
