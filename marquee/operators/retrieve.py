@@ -9,7 +9,8 @@ user are merged by one aggregation. There are as many shares of users as the cor
 another copy of the items. With u users and i items of d doubles the cells ship 8 d u i (1 / users + 1 / items of a share) bytes.
 
 Inside a cell a chunk of users meets the items tile by tile; of a tile only scores that beat a user's kth so far are looked at.
-``user_block`` and ``item_block`` bound chunk and tile; they ship nothing. The learned head is summed in 16-bit integers first: their error is
+``LOOK_USERS`` and ``LOOK_ITEMS`` bound chunk and tile. ``item_block`` cuts a tile in blocks: each gives a user a list of at most k, and the lists
+of a tile's blocks merge at once; lists leave by ``user_block`` users. Both ship nothing, and small blocks cost no product of their own. The learned head is summed in 16-bit integers first: their error is
 bounded, and whatever it leaves in doubt is scored in doubles.
 
 Pools are genres (items can belong to several; an item carries its pools in an array); ``topk_global`` uses a single pool.
@@ -130,10 +131,11 @@ def _best(key: np.ndarray, k: int) -> np.ndarray:
 
 
 class _Best:
-    """The k least keys so far of every user of a chunk, in order, ties by place; fed in the order of places."""
+    """The k least keys so far of every user of a chunk, in order, ties by place; fed in the order of places. ``block`` places make a block, whose
+    list of a user holds k at most."""
 
-    def __init__(self, users: int, k: int):
-        self.k, self.seen = k, 0
+    def __init__(self, users: int, k: int, block: int = 1 << 62):
+        self.k, self.seen, self.block = k, 0, block
         self.top, self.at = np.empty((users, 0)), np.empty((users, 0), np.int64)
 
     def look(self, places: np.ndarray, whole, below) -> None:
@@ -142,7 +144,7 @@ class _Best:
         t = 0
         while t < len(places):
             if self.top.shape[1] < self.k:
-                end = min(len(places), t + max(FIRST_ITEMS, self.k))
+                end = min(len(places), t + max(FIRST_ITEMS, self.k), int(np.searchsorted(places, places[t] - places[t] % self.block + self.block)))
                 new = whole(t, end)
                 key = np.concatenate([self.top, new], axis=1)
                 at = np.concatenate([self.at, np.broadcast_to(places[t:end], new.shape)], axis=1)
@@ -157,6 +159,9 @@ class _Best:
     def _merge(self, places: np.ndarray, col: np.ndarray, row: np.ndarray, key: np.ndarray) -> None:
         if not len(row):
             return
+        if places[0] // self.block < places[-1] // self.block:
+            kept = self._lists(places // self.block - places[0] // self.block, col, row, key)
+            col, row, key = col[kept], row[kept], key[kept]
         k, order = self.k, np.argsort(row, kind="stable")
         n = np.bincount(row, minlength=len(self.top))
         rows = np.nonzero(n)[0]
@@ -169,6 +174,19 @@ class _Best:
         order = np.argsort(keys, axis=1, kind="stable")[:, :k]
         self.top[rows], self.at[rows] = np.take_along_axis(keys, order, 1), np.take_along_axis(at, order, 1)
 
+    def _lists(self, block: np.ndarray, col: np.ndarray, row: np.ndarray, key: np.ndarray):
+        """Which entries are on the list of their block and user: the k least, ties by place."""
+        each = row * (int(block[-1]) + 1) + block[col]
+        full = (np.bincount(each) > self.k)[each]
+        if not full.any():
+            return slice(None)
+        some = np.nonzero(full)[0]
+        order = some[np.lexsort((key[some], each[some]))]
+        starts = np.concatenate([[0], np.nonzero(np.diff(each[order]))[0] + 1])
+        n = np.diff(np.append(starts, len(order)))
+        full[order[np.arange(len(order)) - np.repeat(starts, n) < self.k]] = False
+        return ~full
+
     def look_at(self, places: np.ndarray, key: np.ndarray) -> None:
         """key (places x users)."""
         def below(a, b, edge):
@@ -262,19 +280,20 @@ def _topk_chunks(user_ids, U, item_ids, I, pools, methods, k, head, budget: int
     """Exact top-k lists per (user, pool, method) of some users against some items, chunk by chunk:
     (user ids, pool, method, item ids, scores), the last two with a row per user.
 
-    A chunk has at most LOOK_USERS users (and user_block), a tile at most LOOK_ITEMS items (and item_block), both at most budget pairs, so a
-    task holds one tile of scores and the lists of one chunk, never (batch x items x methods).
+    A chunk has at most LOOK_USERS users, a tile at most LOOK_ITEMS items, both at most budget pairs, so a task holds one tile of scores and the
+    lists of one chunk, never (batch x items x methods). A tile is cut in blocks of item_block items, a chunk's lists leave by user_block users.
     pools: list of (pool name, positions into the item arrays, sorted by movie_id)."""
     if not len(user_ids) or not len(item_ids):
         return
-    tile = max(1, min(item_block, LOOK_ITEMS, budget, len(item_ids)))
-    chunk = max(1, min(user_block, LOOK_USERS, budget // tile))
+    tile = max(1, min(LOOK_ITEMS, budget, len(item_ids)))
+    tile -= tile % item_block if item_block < tile else 0  # whole blocks
+    chunk = max(1, min(LOOK_USERS, budget // tile))
     need_dot = any(m in ("cosine", "dot", "l2") for m in methods)
     sq_i = np.einsum("ij,ij->i", I, I)[:, None]
     norm_i = np.maximum(np.sqrt(sq_i), EPS)
     for s in range(0, len(user_ids), chunk):
         Uc, ids = U[s:s + chunk], user_ids[s:s + chunk]
-        best = {(pool, m): _Best(len(ids), k) for m in methods for pool, _ in pools}
+        best = {(pool, m): _Best(len(ids), k, item_block) for m in methods for pool, _ in pools}
         minus = np.ascontiguousarray(-Uc.T)
         scorer = _Head(Uc, head, budget) if "learned" in methods else None
         for t in range(0, len(item_ids), tile):
@@ -304,7 +323,9 @@ def _topk_chunks(user_ids, U, item_ids, I, pools, methods, k, head, budget: int
             for pool, _ in pools:
                 top, at = best[pool, m].top, best[pool, m].at
                 scores = top + sq_u if m == "l2" else -top / np.maximum(np.sqrt(sq_u), EPS) if m == "cosine" else -top
-                yield ids, pool, m, item_ids[at].astype(np.int32), scores
+                chosen = item_ids[at].astype(np.int32)
+                for b in range(0, len(ids), user_block):
+                    yield ids[b:b + user_block], pool, m, chosen[b:b + user_block], scores[b:b + user_block]
 
 
 def _topk_block(user_ids, U, item_ids, I, pools, methods, k, head, budget: int = CELL_BUDGET) -> pd.DataFrame:

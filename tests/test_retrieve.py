@@ -83,6 +83,38 @@ def test_rows_of_one_user_merge_over_blocks(spark, vecs):
     assert [r[:5] for r in got[0]] == [r[:5] for r in got[1]] and {(r[0], r[3]) for r in got[0]} == {(u, n) for u in range(5) for n in range(1, 5)}
 
 
+def test_small_blocks_are_looked_at_together(monkeypatch):
+    """Blocks of items give lists of k that merge, lists leave by blocks of users, and neither costs a look of its own."""
+    rng = np.random.default_rng(13)
+    U, I = rng.integers(-3, 4, (50, 4)).astype(np.float64), rng.integers(-3, 4, (400, 4)).astype(np.float64)  # many ties
+    pools = [("all", np.arange(400)), ("some", np.arange(1, 400, 7))]
+    looks, merged, real, lists = [], [], rt._Best.look_at, rt._Best._lists
+    monkeypatch.setattr(rt._Best, "look_at", lambda *a: (looks.append(1), real(*a))[1])
+    monkeypatch.setattr(rt._Best, "_lists", lambda *a: (merged.append(1), lists(*a))[1])
+    out = []
+    for kw in ({}, {"user_block": 8, "item_block": 8}):
+        have, looks[:] = {}, []
+        for ids, pool, m, items, scores in rt._topk_chunks(np.arange(50), U, np.arange(400), I, pools, ["dot", "l2"], 5, None, **kw):
+            assert len(ids) <= kw.get("user_block", 50)
+            have.update({(u, pool, m): (i.tolist(), s.tolist()) for u, i, s in zip(ids.tolist(), items, scores)})
+        out.append((have, len(looks)))
+    assert out[0] == out[1] and out[0][1] == 4 and merged
+    for name, at in pools:
+        want = np.argsort(-(U @ I[at].T), axis=1, kind="stable")[:, :5]
+        assert [out[1][0][u, name, "dot"][0] for u in range(50)] == at[want].tolist()
+
+
+@pytest.mark.parametrize("block", [1, 6, 64])
+def test_lists_of_blocks_merge(block):
+    rng = np.random.default_rng(block)
+    key = rng.integers(0, 30, (500, 7)).astype(np.float64)
+    for k in (1, 3, 20):
+        best, places = rt._Best(7, k, block), np.sort(rng.permutation(900)[:500])
+        best.look_at(places[:400], key[:400])
+        best.look_at(places[400:], key[400:])
+        assert np.array_equal(best.at, places[np.argsort(key, axis=0, kind="stable")[:k].T])
+
+
 def test_pool_smaller_than_k(vecs):
     U, uid, I, iid, pools, users, items, mem = vecs
     got = rt.topk_user_genre(users, items, mem, ("dot",), k=20).filter("genre = 'C'").groupBy("user_id").count()
