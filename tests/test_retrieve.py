@@ -292,6 +292,79 @@ def test_a_query_goes_to_a_group_of_cells_once(spark, tmp_path, monkeypatch):
         assert have == _brute(U, range(20), I, range(200), {"*": set(range(200))}, "dot", 5)
 
 
+def test_queries_do_not_carry_the_cells_they_need(spark, tmp_path):
+    """Nothing to prune: a query needs all cells, and takes no more than its best ones with it to a group."""
+    rng = np.random.default_rng(14)
+    I, U = rng.normal(size=(200, 6)), rng.normal(size=(20, 6))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(I)], "movie_id int, i array<double>")
+    users = spark.createDataFrame([(n, u.tolist()) for n, u in enumerate(U)], "user_id int, u array<double>")
+    rt.save_item_index(items, "m", ("dot",), str(tmp_path / "ix"), cell_rows=2)
+    index = rt.open_item_index(spark, str(tmp_path / "ix"), "m", "dot")
+    q = users.withColumn("query", F.col("user_id").cast("long")).withColumn("kth", F.lit(float("inf"))).coalesce(1)
+    for probe in (True, False):
+        rows = q.mapInPandas(index._wanted(3, probe), index._WANTED).collect()
+        assert len(rows) == len(U) and all(1 <= len(r["cells"]) <= 3 for r in rows)
+        best, fresh = {c for r in rows for c in r["cells"]}, [c for r in rows for c in r["fresh"]]
+        assert len(fresh) == len(set(fresh)) and set(fresh) == (best if probe else set(index.cell.tolist()))
+
+
+def test_many_cells_share_folders(spark, tmp_path, monkeypatch):
+    """The folders of an index are bounded, its cells are still told apart; an index with a folder per method and cell stays readable."""
+    import os
+    import shutil
+
+    from marquee.operators import item_index as ix
+    rng = np.random.default_rng(15)
+    I, U = rng.normal(size=(200, 6)), rng.normal(size=(20, 6))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(I)], "movie_id int, i array<double>")
+    users = spark.createDataFrame([(n, u.tolist()) for n, u in enumerate(U)], "user_id int, u array<double>")
+
+    def answers(index, method):
+        have = {}
+        for r in sorted(index.search(users, 5).collect(), key=lambda r: r["rank"]):
+            have.setdefault((r["user_id"], "*"), []).append(r["movie_id"])
+        assert have == _brute(U, range(20), I, range(200), {"*": set(range(200))}, method, 5)
+
+    with monkeypatch.context() as m:
+        m.setattr(ix, "FOLDERS", 8)
+        rt.save_item_index(items, "m", ("dot", "l2"), str(tmp_path / "ix"), cell_rows=2)
+    index = rt.open_item_index(spark, str(tmp_path / "ix"), "m", "l2")
+    assert len(index.cell) > 50 and sum(x.startswith("cell=") for x in os.listdir(index.folder)) <= 8
+    some = index.cell[[0, 7, 20]].tolist()
+    assert {r["cell"] for r in index.rows(some).collect()} == set(some) and index.rows(some).count() == index.n[[0, 7, 20]].sum()
+    answers(index, "l2")
+    rt.save_item_index(items, "old", ("dot",), str(tmp_path / "ix"), cell_rows=20)
+    index = rt.open_item_index(spark, str(tmp_path / "ix"), "old", "dot")
+    manifest = ix.latest_version(spark, ix.beside(ix._base(str(tmp_path / "ix"), "old"), "manifest"))
+    spark.read.parquet(manifest).drop("folder", "held").coalesce(1).write.parquet(str(tmp_path / "m"))
+    shutil.copytree(index.folder, index.folder.rsplit("/", 1)[0] + "/dot")
+    spark.read.parquet(str(tmp_path / "m")).write.mode("overwrite").parquet(manifest)
+    old = rt.open_item_index(spark, str(tmp_path / "ix"), "old", "dot")
+    assert old.folder.endswith("/dot")
+    answers(old, "dot")
+
+
+@pytest.mark.parametrize("method", ["dot", "l2"])
+@pytest.mark.parametrize("scale", [1.0, 1e13, 1e-14])
+def test_products_of_32_bits_leave_no_best_item_out(method, scale, monkeypatch):
+    """Ties, near ties, and numbers that 32 bits do not bear."""
+    from marquee.operators import item_index as ix
+    monkeypatch.setattr(ix, "TILE", 64)
+    rng = np.random.default_rng(16)
+    U, I = rng.normal(size=(40, 8)) * scale, rng.normal(size=(500, 8)) * scale
+    I[100:120], I[300:320] = I[7], I[7] * (1 + 1e-9)
+    cell, order = np.arange(500) // 10, rng.permutation(500)
+    full = U @ I.T if method == "dot" else None
+    key = -full if method == "dot" else np.stack([np.einsum("ij,ij->i", u - I, u - I) for u in U])
+    want = np.lexsort((np.broadcast_to(order, key.shape), key), axis=1)[:, :7]
+    for probe, edge in ((True, np.full(40, np.inf)), (False, np.take_along_axis(key, want[:, 6:], 1)[:, 0] * (1 + np.sign(key.min()) * 0.01) + 0.3 * scale ** 2)):
+        hits = ix._Hits(U, edge, I, order, method, 7)
+        ix._look(hits, np.ones((50, 40), bool), np.arange(0, 501, 10), cell, probe)
+        got = {u: hits.at[hits.row == u].tolist() for u in range(40)}
+        far = {u: np.abs(key[u, got[u]] - key[u, want[u]]).max() for u in range(40) if len(got[u]) == 7}
+        assert len(far) == 40 and max(far.values()) <= 1e-12 * np.abs(key).max()
+
+
 def test_weights_from_a_table(spark, tmp_path):
     from marquee.operators import encode as en
     from marquee.sources.fixtures import tower_weights
